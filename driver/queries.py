@@ -290,13 +290,14 @@ def _flat(records: DataFrame) -> DataFrame:
 
 
 def samples_latest(spark, sf_dir):
-    """All hours sampled with a low cap, then even hours again with the usual one."""
+    """All hours sampled with a low cap, then the later half again with the usual one."""
     inputs = Inputs(spark, sf_dir)
     hours = inputs.hours()
     wanted = config_hours(inputs.configs, hours)
     first = sample_records(wanted, inputs.samples(hours, value_cap=10.0))
-    even = F.hour("window_start") % 2 == 0
-    again = sample_records(wanted.where(even), inputs.samples(hours).where(even))
+    middle = hours.first + (hours.last - hours.first) // HOUR // 2 * HOUR
+    later = Hours(middle, hours.last)
+    again = sample_records(config_hours(inputs.configs, later), inputs.samples(later))
     log = first.withColumn("written_at", ntz(RUN_AT)).unionByName(
         again.withColumn("written_at", ntz(RERUN_AT))
     )

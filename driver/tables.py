@@ -49,44 +49,58 @@ CATALOG_PRICES = {
 }
 
 
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sql_pick(options: list[str], index: str) -> str:
+    names = ", ".join(f"'{o}'" for o in options)
+    return f"element_at(array({names}), cast({index} as int) + 1)"
+
+
 def pick(options: list[str], index: str) -> Column:
-    return F.element_at(F.array(*[F.lit(o) for o in options]), F.expr(f"cast({index} as int) + 1"))
+    return F.expr(sql_pick(options, index))
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed(table(spark, sf_dir, "events"))
+def rows_of(spark: SparkSession, structs: str) -> DataFrame:
+    """A small table from SQL for an array of structs."""
+    return spark.range(0, 1, 1, 1).select(F.expr(f"inline({structs})"))
 
 
-def keyed(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    source = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
     return keyed(source.parquet(sf_dir))
 
 
+def keyed(rows: DataFrame) -> DataFrame:
+    # json_tuple, as Spark would repeat get_json_object for every use of k.
+    return rows.select(
+        "event_id", "ts", "user_id", "event_type", "value", F.json_tuple("props", "k").alias("k")
+    ).withColumn("k", F.col("k").cast("int"))
+
+
 def page_views(rows: DataFrame) -> DataFrame:
     """A page view per event. Its components: the event, for half of the views also a closing; for some
     other events none, as an empty or a missing array."""
-
-    def component(action: Column) -> Column:
-        return F.struct(
-            F.col("ts").cast("timestamp_ntz").alias("event_timestamp"),
-            action.alias("event_action"),
-            pick(COMPONENTS, "k % 3").alias("component_type"),
-            F.concat(F.lit("TEST_"), F.expr("cast(k % 5 as string)")).alias("ab_test_name"),
-            F.expr("if(user_id % 2 = 0, 'control', 'variant')").alias("ab_test_variant"),
-        )
-
-    event = component(F.expr("upper(event_type)"))
-    closing = component(F.lit("CLOSE"))
-    view = F.col("event_type") == "view"
+    component = (
+        "named_struct('event_timestamp', ts, 'event_action', {}, 'component_type', "
+        + sql_pick(COMPONENTS, "k % 3")
+        + ", 'ab_test_name', 'TEST_' || (k % 5),"
+        " 'ab_test_variant', if(user_id % 2 = 0, 'control', 'variant'))"
+    ).format
+    number = (
+        "case when event_type = 'view' then if(k % 2 = 0, 2, 1)"
+        " when k % 10 = 0 then null when k % 10 = 1 then 0 else 1 end"
+    )
     return rows.select(
         F.expr("if(event_id % 50 = 0, date_add(date(ts), 1), date(ts - interval 1 hour))").alias(
             "received_date"
@@ -98,12 +112,9 @@ def page_views(rows: DataFrame) -> DataFrame:
             " else '/article/' || (user_id % 10) end"
         ).alias("path"),
         pick(COUNTRIES, "user_id % 8").alias("country_key"),
-        F.when(view & F.expr("k % 2 = 0"), F.array(closing, event))
-        .when(view, F.array(event))
-        .when(F.expr("k % 10 = 0"), None)
-        .when(F.expr("k % 10 = 1"), F.slice(F.array(event), 1, 0))
-        .otherwise(F.array(event))
-        .alias("component_event_array"),
+        F.expr(
+            f"slice(array({component('upper(event_type)')}, {component("'CLOSE'")}), 1, {number})"
+        ).alias("component_event_array"),
         F.expr(
             "if(user_id % 20 = 0, array(named_struct('ab_test_name', 'LP_TEST_1', 'ab_test_variant',"
             " if(user_id % 40 = 0, 'control', 'variant'))), null)"
@@ -121,7 +132,7 @@ def acquisitions(rows: DataFrame) -> DataFrame:
         " if(user_id % 40 = 0, 'control', 'variant')))"
     )
     return rows.where("event_type = 'purchase'").select(
-        F.col("ts").cast("timestamp_ntz").alias("event_timestamp"),
+        F.col("ts").alias("event_timestamp"),
         pick(PRODUCTS, "k % 4").alias("product"),
         pick(FREQUENCIES, "event_id % 4").alias("payment_frequency"),
         pick(CURRENCIES, "event_id % 7").alias("currency"),
@@ -136,7 +147,7 @@ def acquisitions(rows: DataFrame) -> DataFrame:
 def exchange_rates(spark: SparkSession) -> DataFrame:
     rates = ", ".join(f"'{c}', {r}d" for c, r in BASE_RATES.items())
     return (
-        spark.range(35)
+        spark.range(0, 35, 1, 1)
         .select(F.expr("date_add(date'2023-12-28', cast(id as int))").alias("date"))
         .select("date", F.explode(F.expr(f"map({rates})")).alias("target", "base"))
         .select(
@@ -166,7 +177,8 @@ def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def configs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CONFIGS, "channel string, name string")
+    structs = [f"named_struct('channel', '{c}', 'name', '{n}')" for c, n in CONFIGS]
+    return rows_of(spark, f"array({', '.join(structs)})")
 
 
 def channel_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,7 +249,7 @@ def catalog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_document(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.expr(catalog_text()).alias("document"))
+    return spark.range(0, 1, 1, 1).select(F.expr(catalog_text()).alias("document"))
 
 
 def stored_boosts(rows: DataFrame) -> DataFrame:
@@ -257,5 +269,5 @@ def stored_boosts(rows: DataFrame) -> DataFrame:
         (F.col("value") / 100).alias("avPerView"),
         F.col("k").cast("bigint").alias("totalViews"),
         F.lit(1).cast("bigint").alias("totalAcquisitions"),
-        F.col("ts").cast("timestamp_ntz").alias("written_at"),
+        F.col("ts").alias("written_at"),
     )

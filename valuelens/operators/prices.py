@@ -43,9 +43,12 @@ def price_dimension(catalog: DataFrame, *keep: str) -> DataFrame:
 
 def boost_prices(spark: SparkSession) -> DataFrame:
     """The fixed price list of the boost job."""
-    return spark.createDataFrame(
-        BOOST_PRICES, "product string, currency string, payment_frequency string, price double"
-    )
+    fields = ["product", "currency", "payment_frequency", "price"]
+    rows = [
+        F.struct(*[F.lit(value).alias(name) for name, value in zip(fields, row)])
+        for row in BOOST_PRICES
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
 def list_prices(requests: DataFrame, prices: DataFrame | Lookup, strict: bool = False) -> DataFrame:
@@ -100,7 +103,7 @@ def missing_prices(prices: DataFrame) -> DataFrame:
         for currency in CATALOG_CURRENCIES
     ]
     return (
-        prices.sparkSession.range(1)
+        prices.sparkSession.range(0, 1, 1, 1)
         .select(F.inline(F.array(*wanted)))
         .join(prices, PRICE_KEY, "left_anti")
     )
