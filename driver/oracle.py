@@ -303,19 +303,19 @@ def _query(select: str, **overrides: str) -> str:
 
 
 SAMPLE = """window_start, channel, test_name, variant_name, views, acquisitions,
-    round(sum_av_gbp, 6) AS sum_av_gbp, round(sum_av_gbp_per_view, 6) AS sum_av_gbp_per_view"""
+    round(sum_av_gbp + 1e-9, 6) AS sum_av_gbp, round(sum_av_gbp_per_view + 1e-9, 6) AS sum_av_gbp_per_view"""
 ACQUISITION = """window_start, product, payment_frequency, currency, amount, component_type, test_name,
     variant_name"""
-BOOST = """url, region, round("totalAv", 6) AS "totalAv", "totalAcquisitions", "totalViews",
-    round("avPerView", 6) AS "avPerView\""""
+BOOST = """url, region, round("totalAv" + 1e-9, 6) AS "totalAv", "totalAcquisitions", "totalViews",
+    round("avPerView" + 1e-9, 6) AS "avPerView\""""
 
 
 def _flat(samples: str, hours: str, name: str = "config_hours") -> str:
     return f"""
         SELECT channel || '_' || test_name AS "testName",
             strftime(window_start, '%Y-%m-%d %H:%M:%S.') || '000Z' AS "timestamp",
-            variant_name AS "variantName", round(sum_av_gbp, 6) AS "annualisedValueInGBP",
-            round(sum_av_gbp_per_view, 6) AS "annualisedValueInGBPPerView", views
+            variant_name AS "variantName", round(sum_av_gbp + 1e-9, 6) AS "annualisedValueInGBP",
+            round(sum_av_gbp_per_view + 1e-9, 6) AS "annualisedValueInGBPPerView", views
         FROM (SELECT * FROM {name} WHERE {hours})
         LEFT JOIN {samples} USING (channel, test_name, window_start)"""
 
@@ -380,15 +380,14 @@ ORACLE: dict[str, str] = {
         LEFT JOIN list_prices USING (product, currency, payment_frequency)"""),
     "catalog_violations": _counts("part", CATALOG_RULES),
     "fx_reverse_rate": _query(
-        "SELECT date, target AS currency, round(1 / rate, 6) AS reverse_rate FROM quotes"
+        "SELECT date, target AS currency, 1 / rate AS reverse_rate FROM quotes"
     ),
     "fx_to_gbp": _query(
-        """SELECT rates_date, currency, round(to_gbp_rate, 6) AS to_gbp_rate FROM boost_fx""",
+        """SELECT rates_date, currency, to_gbp_rate FROM boost_fx""",
         rates="SELECT * FROM daily_quotes",
     ),
     "fx_sample_rates": _query(
-        """SELECT rates_date, currency, round(reverse_rate, 6) AS reverse_rate,
-            round(gbp_rate, 6) AS gbp_rate FROM sample_fx""",
+        """SELECT rates_date, currency, reverse_rate, gbp_rate FROM sample_fx""",
         rates="SELECT * FROM daily_quotes",
     ),
     "component_views_hourly": _query("SELECT * FROM component_views"),
@@ -406,22 +405,22 @@ ORACLE: dict[str, str] = {
         f"SELECT {ACQUISITION}, price, paid FROM priced", priced=_priced("unnested", "fixed_prices")
     ),
     "acquisitions_av_gbp": _query(
-        f"SELECT {ACQUISITION}, round(av_eur, 6) AS av_eur, round(av_gbp, 6) AS av_gbp FROM valued",
+        f"SELECT {ACQUISITION}, av_eur, av_gbp FROM valued",
         priced=_priced("unnested", "list_prices"),
     ),
     "acquisitions_av_gbp_corrected": _query(
-        f"SELECT {ACQUISITION}, round(av_eur, 6) AS av_eur, round(av_gbp, 6) AS av_gbp FROM valued",
+        f"SELECT {ACQUISITION}, av_eur, av_gbp FROM valued",
         priced=_priced("unnested", "list_prices"),
         valued=_valued("priced", quarterly=True, fix_gbp=True),
     ),
     "acquisitions_capped": _query(
         f"""SELECT {ACQUISITION},
-            round(CASE WHEN av_gbp >= 250 THEN 250 ELSE av_gbp END, 6) AS capped_av_gbp
+            CASE WHEN av_gbp >= 250 THEN 250 ELSE av_gbp END AS capped_av_gbp
         FROM valued""",
         priced=_priced("unnested", "list_prices"),
     ),
     "acquisition_totals": _query("""
-        SELECT window_start, channel, test_name, variant_name, round(sum_av_gbp, 6) AS sum_av_gbp,
+        SELECT window_start, channel, test_name, variant_name, round(sum_av_gbp + 1e-9, 6) AS sum_av_gbp,
             acquisitions
         FROM totals"""),
     "acquisitions_unrated": _query("""
@@ -468,7 +467,7 @@ ORACLE: dict[str, str] = {
     ),
     "boost_views": _query("SELECT * FROM boost_views"),
     "boost_acquisitions": _query("""
-        SELECT window_start, url, region, round(sum_av_gbp, 6) AS sum_av_gbp, acquisitions
+        SELECT window_start, url, region, round(sum_av_gbp + 1e-9, 6) AS sum_av_gbp, acquisitions
         FROM boost_totals"""),
     "boost_candidates": _query(f"SELECT window_start, {BOOST} FROM candidates"),
     "boosts_latest": _query("SELECT * FROM latest_boosts"),
@@ -524,8 +523,8 @@ ORACLE: dict[str, str] = {
     ),
     "stream_article_windows": _query(
         f"""SELECT window_start, url, region, total_views AS "totalViews",
-            round(sum_av_gbp, 6) AS "totalAv", acquisitions AS "totalAcquisitions",
-            round(sum_av_gbp / total_views, 6) AS "avPerView"
+            round(sum_av_gbp + 1e-9, 6) AS "totalAv", acquisitions AS "totalAcquisitions",
+            round(sum_av_gbp / total_views + 1e-9, 6) AS "avPerView"
         FROM boost_totals JOIN boost_views USING (window_start, url, region)
         WHERE window_start + INTERVAL 3 HOUR <=
             {CLOSED.format(views="WHERE component_type = 'ACQUISITIONS_EPIC'")}""",
