@@ -223,7 +223,7 @@ def acquisitions_av_gbp_corrected(spark, sf_dir):
 
 def acquisitions_capped(spark, sf_dir):
     valued = Inputs(spark, sf_dir).valued()
-    return valued.select(*ACQUISITION, *TEST, cap(F.col("av_gbp")).alias("capped_av_gbp"))
+    return valued.select(*ACQUISITION, *TEST, F.expr(cap("av_gbp")).alias("capped_av_gbp"))
 
 
 def acquisition_totals(spark, sf_dir):
@@ -259,8 +259,8 @@ def backfill_windows(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
     first, last = inputs.events.agg(F.min("ts"), F.max("ts")).first()
     hours = backfill_hours(first, last)
-    windows = spark.range(1).select(F.explode(hours.each()).alias("window_start"))
-    counts = inputs.acquisitions.groupBy(hour_of(F.col("event_timestamp")).alias("window_start"))
+    windows = spark.range(1).select(F.expr(f"explode({hours.each()})").alias("window_start"))
+    counts = inputs.acquisitions.groupBy(F.expr(hour_of("event_timestamp")).alias("window_start"))
     return windows.join(counts.agg(F.count("*").alias("n")), "window_start", "left").select(
         "window_start", F.coalesce("n", F.lit(0)).alias("acquisitions")
     )
@@ -296,8 +296,8 @@ def samples_latest(spark, sf_dir):
     middle = hours.first + (hours.last - hours.first) // HOUR // 2 * HOUR
     later = Hours(middle, hours.last)
     again = sample_records(config_hours(inputs.configs, later), inputs.samples(later))
-    log = first.withColumn("written_at", ntz(RUN_AT)).unionByName(
-        again.withColumn("written_at", ntz(RERUN_AT))
+    log = first.withColumn("written_at", F.expr(ntz(RUN_AT))).unionByName(
+        again.withColumn("written_at", F.expr(ntz(RERUN_AT)))
     )
     return _flat(latest_per_key(log, SAMPLE_RECORD_KEY))
 
@@ -312,7 +312,7 @@ def region_of_country(spark, sf_dir):
     )
     return (
         rows.select(country.alias("country"))
-        .withColumn("region", region_of(F.col("country")))
+        .withColumn("region", F.expr(region_of("country")))
         .groupBy("country", "region")
         .agg(F.count("*").alias("acquisitions"))
     )

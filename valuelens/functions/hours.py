@@ -1,11 +1,14 @@
-"""Hourly windows: which hours a run covers, and hour arithmetic on columns. All times are UTC."""
+"""Hourly windows: which hours a run covers, and hour arithmetic in SQL. All times are UTC.
+
+Functions that work on columns take SQL text (mostly a column's name) and return SQL text or a column.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuelens.schemas import BOOST_WINDOW_HOURS
@@ -55,15 +58,15 @@ class Hours:
         """Exchange rates are those of the day before a window starts: the table lags by a day."""
         return self.first.date() - DAY, self.last.date() - DAY
 
-    def contains(self, time: Column) -> Column:
-        return (time >= ntz(self.first)) & (time < ntz(self.end))
+    def contains(self, time: str) -> str:
+        return f"{time} >= {ntz(self.first)} and {time} < {ntz(self.end)}"
 
-    def starts(self, window_start: Column) -> Column:
-        return window_start.between(ntz(self.first), ntz(self.last))
+    def starts(self, window_start: str) -> str:
+        return f"{window_start} between {ntz(self.first)} and {ntz(self.last)}"
 
-    def each(self) -> Column:
+    def each(self) -> str:
         """An array of all window starts, to explode."""
-        return F.sequence(ntz(self.first), ntz(self.last), F.expr("interval 1 hour"))
+        return f"sequence({ntz(self.first)}, {ntz(self.last)}, interval 1 hour)"
 
 
 def sampling_hours(as_of: datetime) -> Hours:
@@ -91,47 +94,45 @@ def _utc(time: datetime) -> datetime:
     return time.astimezone(timezone.utc).replace(tzinfo=None) if time.tzinfo else time
 
 
-def ntz(time: datetime) -> Column:
-    # From text, as a Python datetime literal would pass through the zone of the driver's machine.
-    return F.lit(time.isoformat(sep=" ")).cast("timestamp_ntz")
+def ntz(time: datetime) -> str:
+    return f"timestamp_ntz'{time.isoformat(sep=' ')}'"
 
 
-def day(value: date) -> Column:
-    return F.lit(value.isoformat()).cast("date")
+def days_between(column: str, days: tuple[date, date]) -> str:
+    return f"{column} between date'{days[0].isoformat()}' and date'{days[1].isoformat()}'"
 
 
-def plus_hours(time: Column, hours: Column | int) -> Column:
-    hours = F.lit(hours) if isinstance(hours, int) else hours
-    return time + F.make_dt_interval(hours=hours)
+def plus_hours(time: str, hours: int | str) -> str:
+    return f"({time} + make_dt_interval(0, {hours}))"
 
 
-def hour_of(time: Column) -> Column:
+def hour_of(time: str) -> str:
     """Start of the hour, whatever the session's time zone."""
-    return plus_hours(F.to_date(time).cast("timestamp_ntz"), F.hour(time))
+    return plus_hours(f"cast(to_date({time}) as timestamp_ntz)", f"hour({time})")
 
 
-def window_starts(hour: Column, span: int) -> Column:
+def window_starts(hour: str, span: int) -> str:
     """Starts of the windows of ``span`` hours that hold an hour, to explode."""
-    return F.sequence(plus_hours(hour, 1 - span), hour, F.expr("interval 1 hour"))
+    return f"sequence({plus_hours(hour, 1 - span)}, {hour}, interval 1 hour)"
 
 
-def received_for(window_start: Column, received_date: Column) -> Column:
+def received_for(window_start: str, received_date: str = "received_date") -> str:
     """Only page views received on the day a window starts, or the day before, count for it."""
-    start_date = F.to_date(window_start)
-    return received_date.between(F.date_sub(start_date, 1), start_date)
+    start_date = f"to_date({window_start})"
+    return f"{received_date} between date_sub({start_date}, 1) and {start_date}"
 
 
-def rates_date(window_start: Column) -> Column:
-    return F.date_sub(F.to_date(window_start), 1)
+def rates_date(window_start: str) -> str:
+    return f"date_sub(to_date({window_start}), 1)"
 
 
-def sample_time_text(time: Column) -> Column:
-    return F.concat(F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSS"), F.lit("Z"))
+def sample_time_text(time: str) -> str:
+    return f"concat(date_format({time}, 'yyyy-MM-dd HH:mm:ss.SSS'), 'Z')"
 
 
-def boost_time_text(time: Column) -> Column:
-    return F.date_format(time, "yyyy-MM-dd HH:00:00.000")
+def boost_time_text(time: str) -> str:
+    return f"date_format({time}, 'yyyy-MM-dd HH:00:00.000')"
 
 
-def boost_date_text(time: Column) -> Column:
-    return F.date_format(time, "yyyy-MM-dd")
+def boost_date_text(time: str) -> str:
+    return f"date_format({time}, 'yyyy-MM-dd')"

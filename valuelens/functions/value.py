@@ -1,10 +1,8 @@
-"""Column expressions that turn a payment into annualised value."""
+"""SQL expressions that turn a payment into annualised value. Arguments are SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from valuelens.functions.text import case_of, one_of
 from valuelens.schemas import (
     PAID_AMOUNT_PRODUCTS,
     PAYMENTS_PER_YEAR,
@@ -13,17 +11,17 @@ from valuelens.schemas import (
 )
 
 
-def reverse_rate(rate: Column) -> Column:
+def reverse_rate(rate: str) -> str:
     """EUR per unit of a currency. A rate of zero fails the query."""
-    return F.lit(1) / rate
+    return f"1 / {rate}"
 
 
-def paid_or_list_price(product: Column, amount: Column, price: Column) -> Column:
+def paid_or_list_price(product: str, amount: str, price: str) -> str:
     """What was paid for a contribution, the list price (or NULL) for everything else."""
-    return F.when(product.isin(PAID_AMOUNT_PRODUCTS), amount).otherwise(price)
+    return f"if({one_of(product, PAID_AMOUNT_PRODUCTS)}, {amount}, {price})"
 
 
-def annualise(value: Column, frequency: Column, quarterly: bool = False) -> Column:
+def annualise(value: str, frequency: str, quarterly: bool = False) -> str:
     """Value of a year of payments; NULL for any frequency without a rule.
 
     Quarterly payments have no rule unless ``quarterly`` asks for one.
@@ -31,22 +29,22 @@ def annualise(value: Column, frequency: Column, quarterly: bool = False) -> Colu
     payments = dict(PAYMENTS_PER_YEAR)
     if quarterly:
         payments["QUARTERLY"] = QUARTERLY_PAYMENTS_PER_YEAR
-    chain = F
-    for name, times in payments.items():
-        chain = chain.when(frequency == name, value if times == 1 else value * times)
-    return chain
+    return case_of(
+        frequency,
+        {name: f"({value})" if times == 1 else f"({value}) * {times}" for name, times in payments.items()},
+    )
 
 
-def eur_to_gbp(av_eur: Column, currency: Column, gbp_rate: Column, fix_gbp: bool = False) -> Column:
+def eur_to_gbp(av_eur: str, currency: str, gbp_rate: str, fix_gbp: bool = False) -> str:
     """GBP value of a EUR value.
 
     Payments made in GBP keep the EUR figure, as the results compared against do; ``fix_gbp`` converts
     them like all others.
     """
-    converted = av_eur * gbp_rate
-    return converted if fix_gbp else F.when(currency == "GBP", av_eur).otherwise(converted)
+    converted = f"{av_eur} * {gbp_rate}"
+    return converted if fix_gbp else f"if({currency} = 'GBP', {av_eur}, {converted})"
 
 
-def cap(value: Column, limit: float = VALUE_CAP) -> Column:
+def cap(value: str, limit: float = VALUE_CAP) -> str:
     """At most ``limit``. A NULL stays NULL, which ``least`` would replace by the limit."""
-    return F.when(value >= limit, F.lit(float(limit))).otherwise(value)
+    return f"if({value} >= {float(limit)}d, {float(limit)}d, {value})"

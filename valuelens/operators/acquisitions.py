@@ -2,43 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuelens.functions.article import region_of
 from valuelens.functions.hours import Hours, hour_of, ntz, rates_date, window_starts
-from valuelens.functions.value import annualise, cap, eur_to_gbp
+from valuelens.functions.value import annualise, cap, eur_to_gbp, paid_or_list_price
 from valuelens.operators.lookup import Lookup
-from valuelens.operators.prices import price_acquisitions
+from valuelens.operators.prices import list_prices, price_acquisitions
 from valuelens.operators.views import SAMPLE_KEY
 from valuelens.schemas import BOOST_WINDOW_HOURS, VALUE_CAP
 
 
 def acquired_in(acquisitions: DataFrame, hours: Hours | None) -> DataFrame:
     """Acquisitions of the windows; the bounds reach the scan."""
-    if hours is None:
-        return acquisitions
-    return acquisitions.where(hours.contains(F.col("event_timestamp")))
+    return acquisitions if hours is None else acquisitions.where(hours.contains("event_timestamp"))
 
 
-def unnest_tests(
-    acquisitions: DataFrame, hours: Hours | None = None, *keep: str | Column
-) -> DataFrame:
+def unnest_tests(acquisitions: DataFrame, hours: Hours | None = None, *keep: str) -> DataFrame:
     """One row per acquisition and test: an acquisition in two tests appears twice."""
+    columns = ["product", "payment_frequency", "currency", "amount", "component_type"]
     return (
         acquired_in(acquisitions, hours)
-        .select(
+        .selectExpr(
             *keep,
-            hour_of(F.col("event_timestamp")).alias("window_start"),
-            "product",
-            "payment_frequency",
-            "currency",
-            "amount",
-            "component_type",
-            F.explode("ab_tests").alias("ab"),
+            f"{hour_of('event_timestamp')} as window_start",
+            *columns,
+            "explode(ab_tests) as ab",
+        )
+        .selectExpr(
+            *keep, "window_start", *columns, "ab.name as test_name", "ab.variant as variant_name"
         )
-        .withColumns({"test_name": F.col("ab.name"), "variant_name": F.col("ab.variant")})
-        .drop("ab")
     )
 
 
@@ -48,14 +42,13 @@ def of_tests(unnested: DataFrame, configs: DataFrame | Lookup) -> DataFrame:
     Tests of a component count acquisitions made through that component only. Landing-page tests, and
     tests of a channel without a component, count all.
     """
-    configs = Lookup.of(configs).select(
-        "channel", "test_name", F.col("component_type").alias("test_component_type")
-    )
-    through_component = F.col("test_component_type").isNull() | (
-        F.col("test_component_type") == F.col("component_type")
+    tests = Lookup.of(configs).selectExpr(
+        "channel", "test_name", "component_type as test_component_type"
     )
     return (
-        unnested.join(configs.side, "test_name").where(through_component).drop("test_component_type")
+        unnested.join(tests.side, "test_name")
+        .where("test_component_type is null or test_component_type = component_type")
+        .drop("test_component_type")
     )
 
 
@@ -69,18 +62,16 @@ def value_of_acquisitions(
 
     ``rates`` are sample rates. Acquisitions in a currency without a rate on the day are dropped.
     """
-    rates = Lookup.of(rates)
-    av_eur = annualise(
-        F.col("paid") * F.col("reverse_rate"), F.col("payment_frequency"), quarterly
-    )
+    av_eur = annualise("paid * reverse_rate", "payment_frequency", quarterly)
     return (
-        priced.withColumn("rates_date", rates_date(F.col("window_start")))
-        .join(rates.side, ["rates_date", "currency"])
-        .withColumn("av_eur", av_eur)
-        .withColumn(
-            "av_gbp", eur_to_gbp(F.col("av_eur"), F.col("currency"), F.col("gbp_rate"), fix_gbp)
+        priced.withColumn("rates_date", F.expr(rates_date("window_start")))
+        .join(Lookup.of(rates).side, ["rates_date", "currency"])
+        .selectExpr(*priced.columns, "gbp_rate", f"{av_eur} as av_eur")
+        .selectExpr(
+            *priced.columns,
+            "av_eur",
+            f"{eur_to_gbp('av_eur', 'currency', 'gbp_rate', fix_gbp)} as av_gbp",
         )
-        .drop("rates_date", "reverse_rate", "gbp_rate")
     )
 
 
@@ -97,13 +88,13 @@ def acquisition_values(
     """Rows of SAMPLE_KEY and ``capped_av_gbp``, one per acquisition in a configured test."""
     tested = of_tests(unnest_tests(acquisitions, hours), configs)
     valued = value_of_acquisitions(price_acquisitions(tested, prices), rates, fix_gbp, quarterly)
-    return valued.select(*SAMPLE_KEY, cap(F.col("av_gbp"), value_cap).alias("capped_av_gbp"))
+    return valued.selectExpr(*SAMPLE_KEY, f"{cap('av_gbp', value_cap)} as capped_av_gbp")
 
 
 def acquisition_totals(values: DataFrame) -> DataFrame:
     """Value and number of acquisitions per hour, test and variant."""
     return values.groupBy(*SAMPLE_KEY).agg(
-        F.sum("capped_av_gbp").alias("sum_av_gbp"), F.count("*").alias("acquisitions")
+        F.expr("sum(capped_av_gbp) as sum_av_gbp"), F.expr("count(*) as acquisitions")
     )
 
 
@@ -113,11 +104,11 @@ def unrated_acquisitions(
     """Per hour, the acquisitions that count nowhere as their currency has no rate on the day."""
     return (
         acquired_in(acquisitions, hours)
-        .select(hour_of(F.col("event_timestamp")).alias("window_start"), "currency")
-        .withColumn("rates_date", rates_date(F.col("window_start")))
+        .selectExpr(f"{hour_of('event_timestamp')} as window_start", "currency")
+        .withColumn("rates_date", F.expr(rates_date("window_start")))
         .join(Lookup.of(rates).side, ["rates_date", "currency"], "left_anti")
         .groupBy("window_start")
-        .agg(F.count("*").alias("unrated"))
+        .agg(F.expr("count(*) as unrated"))
     )
 
 
@@ -133,33 +124,36 @@ def article_acquisition_values(
     ``rates`` are boost rates. The value has no cap. Rates are those of the window, so an acquisition
     may have another value in the next window.
     """
-    rates = Lookup.of(rates)
-    if hours is not None and hours.single:
+    single = hours is not None and hours.single
+    if single:
         window_start = ntz(hours.first)
     else:
-        window_start = F.explode(window_starts(hour_of(F.col("event_timestamp")), span))
+        window_start = f"explode({window_starts(hour_of('event_timestamp'), span)})"
+    columns = ["payment_frequency", "currency", "paid", "url", "region"]
     rows = (
-        price_acquisitions(acquired_in(acquisitions, hours), prices)
-        .select(
-            window_start.alias("window_start"),
-            F.col("referrer_url").alias("url"),
-            region_of(F.col("country_code")).alias("region"),
+        list_prices(acquired_in(acquisitions, hours), prices)
+        .selectExpr(
+            f"{window_start} as window_start",
             "payment_frequency",
             "currency",
-            "paid",
+            f"{paid_or_list_price('product', 'amount', 'price')} as paid",
+            "referrer_url as url",
+            f"{region_of('country_code')} as region",
         )
-        .withColumn("rates_date", rates_date(F.col("window_start")))
+        .selectExpr("window_start", *columns, f"{rates_date('window_start')} as rates_date")
     )
-    if hours is not None and not hours.single:
-        rows = rows.where(hours.starts(F.col("window_start")))
-    av_gbp = annualise(F.col("paid") * F.col("to_gbp_rate"), F.col("payment_frequency"))
-    return rows.join(rates.side, ["rates_date", "currency"]).select(
-        "window_start", "url", "region", av_gbp.alias("av_gbp")
+    if hours is not None and not single:
+        rows = rows.where(hours.starts("window_start"))
+    return rows.join(Lookup.of(rates).side, ["rates_date", "currency"]).selectExpr(
+        "window_start",
+        "url",
+        "region",
+        f"{annualise('paid * to_gbp_rate', 'payment_frequency')} as av_gbp",
     )
 
 
 def article_acquisitions(values: DataFrame) -> DataFrame:
     """Value and number of acquisitions per window, article URL and region."""
     return values.groupBy("window_start", "url", "region").agg(
-        F.sum("av_gbp").alias("sum_av_gbp"), F.count("*").alias("acquisitions")
+        F.expr("sum(av_gbp) as sum_av_gbp"), F.expr("count(*) as acquisitions")
     )

@@ -2,30 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from valuelens.functions.hours import Hours
+from valuelens.functions.text import case_of, one_of, quoted
 from valuelens.schemas import COMPONENT_TYPES, SAMPLED_METHODOLOGIES
 
 
-def _sampled(methodology: Column) -> Column:
-    return methodology["name"].isin(SAMPLED_METHODOLOGIES)
-
-
 def sampled_tests(tests: DataFrame) -> DataFrame:
     """Tests with at least one sampled methodology, all their methodologies kept."""
-    return tests.where(F.exists("methodologies", _sampled)).select(
-        "name", "channel", "methodologies"
-    )
+    return tests.where(
+        f"exists(methodologies, m -> {one_of('m.name', SAMPLED_METHODOLOGIES)})"
+    ).select("name", "channel", "methodologies")
 
 
-def component_type_of(channel: Column) -> Column:
+def component_type_of(channel: str) -> str:
     """Component type of a channel; NULL for the landing page and for unknown channels."""
-    chain = F
-    for name, component_type in COMPONENT_TYPES.items():
-        chain = chain.when(channel == name, F.lit(component_type))
-    return chain
+    return case_of(channel, {name: quoted(value) for name, value in COMPONENT_TYPES.items()})
 
 
 def test_configs(tests: DataFrame) -> DataFrame:
@@ -34,29 +27,26 @@ def test_configs(tests: DataFrame) -> DataFrame:
     Two methodologies without a name of their own give two equal rows. Both count in the run metrics.
     """
     return (
-        tests.select("channel", "name", F.explode("methodologies").alias("methodology"))
-        .where(_sampled(F.col("methodology")))
-        .select(
+        tests.selectExpr("channel", "name", "explode(methodologies) as methodology")
+        .where(one_of("methodology.name", SAMPLED_METHODOLOGIES))
+        .selectExpr(
             "channel",
-            F.coalesce("methodology.testName", "name").alias("name"),
-            component_type_of(F.col("channel")).alias("component_type"),
+            "coalesce(methodology.testName, name) as name",
+            f"{component_type_of('channel')} as component_type",
         )
     )
 
 
 def distinct_configs(configs: DataFrame) -> DataFrame:
     """Configs as a join key: (channel, test_name, component_type), each once."""
-    return configs.select(
-        "channel",
-        F.col("name").alias("test_name"),
-        component_type_of(F.col("channel")).alias("component_type"),
+    return configs.selectExpr(
+        "channel", "name as test_name", f"{component_type_of('channel')} as component_type"
     ).distinct()
 
 
 def config_hours(configs: DataFrame, hours: Hours) -> DataFrame:
     """One row per config and hour, with the number of equal configs as ``copies``."""
-    return (
-        configs.groupBy("channel", F.col("name").alias("test_name"))
-        .agg(F.count("*").alias("copies"))
-        .select("channel", "test_name", "copies", F.explode(hours.each()).alias("window_start"))
+    copies = configs.groupBy("channel", "name").count()
+    return copies.selectExpr(
+        "channel", "name as test_name", "count as copies", f"explode({hours.each()}) as window_start"
     )

@@ -31,17 +31,17 @@ class Lookup:
         # The limit keeps the measurement itself small, however large the table is.
         rows, size = (
             frame.limit(max_rows + 1)
-            .agg(F.count("*"), F.sum(F.octet_length(F.to_json(F.struct("*")))))
+            .selectExpr("count(*)", "coalesce(sum(octet_length(to_json(struct(*)))), 0)")
             .first()
         )
-        return cls(frame, rows <= max_rows and (size or 0) <= max_bytes)
+        return cls(frame, rows <= max_rows and size <= max_bytes)
 
     @property
     def side(self) -> DataFrame:
         return F.broadcast(self.frame) if self.small else self.frame
 
-    def select(self, *columns) -> Lookup:
-        return Lookup(self.frame.select(*columns), self.small)
+    def selectExpr(self, *columns: str) -> Lookup:
+        return Lookup(self.frame.selectExpr(*columns), self.small)
 
-    def where(self, condition) -> Lookup:
+    def where(self, condition: str) -> Lookup:
         return Lookup(self.frame.where(condition), self.small)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from valuelens.functions.text import one_of, quoted, struct_array
 from valuelens.functions.value import paid_or_list_price
 from valuelens.operators.lookup import Lookup
 from valuelens.schemas import (
@@ -17,38 +18,43 @@ from valuelens.schemas import (
 
 PRICE_KEY = ["product", "currency", "payment_frequency"]
 
+_PRICED = [
+    (product, frequency)
+    for product, frequencies in PRICED_FREQUENCIES.items()
+    for frequency in frequencies
+]
+
 
 def price_dimension(catalog: DataFrame, *keep: str) -> DataFrame:
     """(product, payment_frequency, currency, price) of a catalog; absent prices have no row.
 
     ``keep`` names further columns of the catalog to carry along, such as a version.
     """
-    products = [
-        F.struct(
-            F.lit(product).alias("product"),
-            F.lit(frequency).alias("payment_frequency"),
-            F.col(CATALOG_PRODUCTS[product])["ratePlans"][BILLING_PERIODS[frequency]][
-                "pricing"
-            ].alias("pricing"),
-        )
-        for product, frequencies in PRICED_FREQUENCIES.items()
-        for frequency in frequencies
-    ]
+    plans = struct_array(
+        ["product", "payment_frequency", "pricing"],
+        [
+            (
+                quoted(product),
+                quoted(frequency),
+                f"{CATALOG_PRODUCTS[product]}.ratePlans['{BILLING_PERIODS[frequency]}'].pricing",
+            )
+            for product, frequency in _PRICED
+        ],
+    )
     return (
-        catalog.select(*keep, F.inline(F.array(*products)))
-        .select(*keep, "product", "payment_frequency", F.explode("pricing").alias("currency", "price"))
-        .where(F.col("currency").isin(CATALOG_CURRENCIES) & F.col("price").isNotNull())
+        catalog.selectExpr(*keep, f"inline({plans})")
+        .selectExpr(
+            *keep, "product", "payment_frequency", "explode(pricing) as (currency, price)"
+        )
+        .where(f"{one_of('currency', CATALOG_CURRENCIES)} and price is not null")
     )
 
 
 def boost_prices(spark: SparkSession) -> DataFrame:
     """The fixed price list of the boost job."""
-    fields = ["product", "currency", "payment_frequency", "price"]
-    rows = [
-        F.struct(*[F.lit(value).alias(name) for name, value in zip(fields, row)])
-        for row in BOOST_PRICES
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+    rows = [(*(quoted(name) for name in row[:3]), f"{row[3]}d") for row in BOOST_PRICES]
+    prices = struct_array([*PRICE_KEY, "price"], rows)
+    return spark.range(0, 1, 1, 1).selectExpr(f"inline({prices})")
 
 
 def list_prices(requests: DataFrame, prices: DataFrame | Lookup, strict: bool = False) -> DataFrame:
@@ -59,51 +65,41 @@ def list_prices(requests: DataFrame, prices: DataFrame | Lookup, strict: bool =
     found = requests.join(Lookup.of(prices).side, PRICE_KEY, "left")
     if not strict:
         return found
-    missing = F.concat_ws(" ", F.lit("no list price:"), *PRICE_KEY)
-    return found.withColumn(
-        "price", F.when(F.col("price").isNull(), F.raise_error(missing)).otherwise(F.col("price"))
-    )
+    missing = f"raise_error(concat_ws(' ', 'no list price:', {', '.join(PRICE_KEY)}))"
+    return found.withColumn("price", F.expr(f"coalesce(price, {missing})"))
 
 
 def price_matrix(prices: DataFrame, *keep: str) -> DataFrame:
     """Per product and currency, a map from payment frequency to price."""
     # A map of at most three frequencies, so no group can grow.
+    frequencies = ", ".join(quoted(name) for name in BILLING_PERIODS)
+    found = ", ".join(
+        f"max(price) filter (where payment_frequency = '{name}')" for name in BILLING_PERIODS
+    )
+    all_prices = f"map_from_arrays(array({frequencies}), array({found}))"
     return prices.groupBy(*keep, "product", "currency").agg(
-        F.map_filter(
-            F.map_from_arrays(
-                F.array(*[F.lit(name) for name in BILLING_PERIODS]),
-                F.array(*[_price_for(name) for name in BILLING_PERIODS]),
-            ),
-            lambda _, price: price.isNotNull(),
-        ).alias("prices")
+        F.expr(f"map_filter({all_prices}, (frequency, price) -> price is not null)").alias("prices")
     )
 
 
-def _price_for(frequency: str) -> Column:
-    return F.max(F.when(F.col("payment_frequency") == frequency, F.col("price")))
-
-
 def price_acquisitions(acquisitions: DataFrame, prices: DataFrame | Lookup) -> DataFrame:
     """Adds ``paid``: the amount of contributions, the list price of other products."""
-    return list_prices(acquisitions, prices).withColumn(
-        "paid", paid_or_list_price(F.col("product"), F.col("amount"), F.col("price"))
-    )
+    paid = paid_or_list_price("product", "amount", "price")
+    return list_prices(acquisitions, prices).withColumn("paid", F.expr(paid))
 
 
 def missing_prices(prices: DataFrame) -> DataFrame:
     """The (product, payment_frequency, currency) that should have a list price but do not."""
-    wanted = [
-        F.struct(
-            F.lit(product).alias("product"),
-            F.lit(frequency).alias("payment_frequency"),
-            F.lit(currency).alias("currency"),
-        )
-        for product, frequencies in PRICED_FREQUENCIES.items()
-        for frequency in frequencies
-        for currency in CATALOG_CURRENCIES
-    ]
+    wanted = struct_array(
+        ["product", "payment_frequency", "currency"],
+        [
+            (quoted(product), quoted(frequency), quoted(currency))
+            for product, frequency in _PRICED
+            for currency in CATALOG_CURRENCIES
+        ],
+    )
     return (
         prices.sparkSession.range(0, 1, 1, 1)
-        .select(F.inline(F.array(*wanted)))
+        .selectExpr(f"inline({wanted})")
         .join(prices, PRICE_KEY, "left_anti")
     )

@@ -1,10 +1,14 @@
-"""Checks of results, and the metrics of a run."""
+"""Checks of results, and the metrics of a run. A rule is the SQL of a violation, by its name."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import datetime
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from valuelens.functions.hours import ntz
+from valuelens.functions.text import one_of, quoted, struct_array
 from valuelens.schemas import (
     BILLING_PERIODS,
     BOOST_THRESHOLDS,
@@ -27,51 +31,50 @@ class InvalidData(Exception):
     """A result or document breaks its rules; nothing of the run may be written."""
 
 
-def _missing(fields: list[str]) -> dict[str, Column]:
-    return {f"{name} is missing": F.col(name).isNull() for name in fields}
+def _missing(fields: list[str]) -> dict[str, str]:
+    return {f"{name} is missing": f"{name} is null" for name in fields}
 
 
-def sample_rules() -> dict[str, Column]:
+def sample_rules() -> dict[str, str]:
     return _missing(SAMPLE_FIELDS)
 
 
-def total_views_rules() -> dict[str, Column]:
+def total_views_rules() -> dict[str, str]:
     return _missing(["total_views"])
 
 
-def boost_rules() -> dict[str, Column]:
-    known = F.col("region").isin(list(BOOST_THRESHOLDS))
-    return {**_missing(BOOST_FIELDS), "region is unknown": ~known}
+def boost_rules() -> dict[str, str]:
+    known = one_of("region", BOOST_THRESHOLDS)
+    return {**_missing(BOOST_FIELDS), "region is unknown": f"not {known}"}
 
 
-def catalog_rules() -> dict[str, Column]:
+def catalog_rules() -> dict[str, str]:
     rules = {}
     for product, frequencies in PRICED_FREQUENCIES.items():
         name = CATALOG_PRODUCTS[product]
-        rules[f"{name}.active is missing"] = F.col(name)["active"].isNull()
+        rules[f"{name}.active is missing"] = f"{name}.active is null"
         for frequency in frequencies:
             plan = BILLING_PERIODS[frequency]
-            pricing = F.col(name)["ratePlans"][plan]["pricing"]
-            rules[f"{name}.{plan} has no pricing"] = pricing.isNull()
-            rules[f"{name}.{plan} has an empty price"] = F.exists(
-                F.map_values(pricing), lambda price: price.isNull()
+            pricing = f"{name}.ratePlans['{plan}'].pricing"
+            rules[f"{name}.{plan} has no pricing"] = f"{pricing} is null"
+            rules[f"{name}.{plan} has an empty price"] = (
+                f"exists(map_values({pricing}), price -> price is null)"
             )
     return rules
 
 
-def violations(rows: DataFrame, rules: dict[str, Column], *by: str) -> DataFrame:
+def violations(rows: DataFrame, rules: dict[str, str], *by: str) -> DataFrame:
     """(rule, violations) of all rules, counted in one pass, per group of ``by``."""
     counts = rows.groupBy(*by).agg(
-        *[F.count_if(rule).alias(f"_{i}") for i, rule in enumerate(rules.values())]
+        *[F.expr(f"count_if({rule})").alias(f"_{i}") for i, rule in enumerate(rules.values())]
+    )
+    pairs = struct_array(
+        ["rule", "violations"], [(quoted(name), f"_{i}") for i, name in enumerate(rules)]
     )
-    pairs = [
-        F.struct(F.lit(name).alias("rule"), F.col(f"_{i}").alias("violations"))
-        for i, name in enumerate(rules)
-    ]
-    return counts.select(*by, F.inline(F.array(*pairs)))
+    return counts.selectExpr(*by, f"inline({pairs})")
 
 
-def require(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
+def require(rows: DataFrame, rules: dict[str, str]) -> DataFrame:
     """The rows, if none breaks a rule."""
     broken = violations(rows, rules).where("violations > 0").collect()  # one row per rule
     if broken:
@@ -81,10 +84,7 @@ def require(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 def rejected_hours(samples: DataFrame) -> DataFrame:
     """Hours with an invalid sample."""
-    broken = F.lit(False)
-    for rule in sample_rules().values():
-        broken = broken | rule
-    return samples.where(broken).select("window_start").distinct()
+    return samples.where(" or ".join(sample_rules().values())).select("window_start").distinct()
 
 
 def run_metrics(config_hours: DataFrame, samples: DataFrame) -> DataFrame:
@@ -93,15 +93,14 @@ def run_metrics(config_hours: DataFrame, samples: DataFrame) -> DataFrame:
     Equal configs count each, as each would have been queried.
     """
     keys = ["window_start", "channel", "test_name"]
-    sampled = samples.groupBy(*keys).agg(F.sum("views").alias("views"))
-    with_data = F.when(F.col("views").isNotNull(), F.col("copies")).otherwise(0)
+    sampled = samples.groupBy(*keys).agg(F.expr("sum(views) as views"))
     return (
         config_hours.join(sampled, keys, "left")
         .groupBy("window_start")
         .agg(
-            F.sum("copies").alias("total_tests"),
-            F.sum(with_data).alias("tests_with_data"),
-            F.coalesce(F.sum(F.col("copies") * F.col("views")), F.lit(0)).alias("variant_views"),
+            F.expr("sum(copies) as total_tests"),
+            F.expr("sum(if(views is null, 0L, copies)) as tests_with_data"),
+            F.expr("coalesce(sum(copies * views), 0) as variant_views"),
         )
     )
 
@@ -115,24 +114,20 @@ def no_views_check(metrics: DataFrame, channel_views: DataFrame) -> DataFrame:
     return (
         metrics.select("window_start", "variant_views")
         .join(channel_views, "window_start", "left")
-        .select(
-            "window_start",
-            "variant_views",
-            F.coalesce("channel_views", F.lit(0)).alias("channel_views"),
-        )
+        .selectExpr("window_start", "variant_views", "coalesce(channel_views, 0) as channel_views")
         .withColumn(
-            "no_views_data",
-            F.when((F.col("variant_views") == 0) & (F.col("channel_views") == 0), 1).otherwise(0),
+            "no_views_data", F.expr("cast(variant_views = 0 and channel_views = 0 as int)")
         )
     )
 
 
-def metric_points(metrics: DataFrame, time: Column, **columns: str) -> DataFrame:
-    """Columns of a frame as long-format metrics: ``metric_points(m, t, Views='views')``."""
-    points = [
-        F.struct(F.lit(name).alias("name"), F.col(column).cast("double").alias("value"))
-        for name, column in columns.items()
-    ]
-    return metrics.select(time.alias("time"), F.inline(F.array(*points))).select(
-        "name", "value", F.lit("Count").alias("unit"), "time"
+def metric_points(metrics: DataFrame, time: datetime, **columns: str) -> DataFrame:
+    """Columns of a frame as long-format metrics: ``metric_points(m, now, Views='views')``."""
+    points = struct_array(
+        ["name", "value", "unit", "time"],
+        [
+            (quoted(name), f"cast({column} as double)", "'Count'", ntz(time))
+            for name, column in columns.items()
+        ],
     )
+    return metrics.selectExpr(f"inline({points})")

@@ -5,27 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuelens.functions.hours import Hours, day
+from valuelens.functions.hours import Hours, days_between
 from valuelens.functions.value import reverse_rate
 
 
 def rates_for(rates: DataFrame, hours: Hours | None) -> DataFrame:
     """Only the days the windows need."""
-    if hours is None:
-        return rates
-    first, last = hours.rates_dates
-    return rates.where(F.col("date").between(day(first), day(last)))
+    return rates if hours is None else rates.where(days_between("date", hours.rates_dates))
 
 
 def eur_rates(rates: DataFrame) -> DataFrame:
     """EUR per unit of each currency: (date, currency, reverse_rate)."""
-    return rates.select(
-        "date", F.col("target").alias("currency"), reverse_rate(F.col("rate")).alias("reverse_rate")
+    return rates.selectExpr(
+        "date", "target as currency", f"{reverse_rate('rate')} as reverse_rate"
     )
 
 
 def gbp_rates(rates: DataFrame) -> DataFrame:
-    return rates.where("target = 'GBP'").select("date", F.col("rate").alias("gbp_rate"))
+    return rates.where("target = 'GBP'").selectExpr("date", "rate as gbp_rate")
 
 
 def sample_rates(rates: DataFrame) -> DataFrame:
@@ -34,9 +31,7 @@ def sample_rates(rates: DataFrame) -> DataFrame:
     A day without a GBP rate has no row. A day with two GBP rates has every row twice, which counts
     the acquisitions valued at it twice.
     """
-    return (
-        eur_rates(rates).join(gbp_rates(rates), "date").withColumnRenamed("date", "rates_date")
-    )
+    return eur_rates(rates).join(gbp_rates(rates), "date").withColumnRenamed("date", "rates_date")
 
 
 def boost_rates(rates: DataFrame) -> DataFrame:
@@ -44,19 +39,15 @@ def boost_rates(rates: DataFrame) -> DataFrame:
 
     A day without a GBP rate has NULL rates. A day with two fails the query.
     """
-    gbp = gbp_rates(rates).groupBy("date").agg(
-        F.min("gbp_rate").alias("gbp_rate"), F.count("*").alias("n")
+    two_rates = "raise_error('more than one GBP rate on ' || date)"
+    gbp = (
+        gbp_rates(rates)
+        .groupBy("date")
+        .agg(F.expr("min(gbp_rate) as gbp_rate"), F.expr("count(*) as n"))
+        .selectExpr("date", f"if(n > 1, {two_rates}, gbp_rate) as gbp_rate")
     )
-    one_gbp_rate = F.when(
-        F.col("n") > 1,
-        F.raise_error(F.concat(F.lit("more than one GBP rate on "), F.col("date").cast("string"))),
-    ).otherwise(F.col("gbp_rate"))
     return (
         eur_rates(rates)
-        .join(gbp.select("date", one_gbp_rate.alias("gbp_rate")), "date", "left")
-        .select(
-            F.col("date").alias("rates_date"),
-            "currency",
-            (F.col("gbp_rate") * F.col("reverse_rate")).alias("to_gbp_rate"),
-        )
+        .join(gbp, "date", "left")
+        .selectExpr("date as rates_date", "currency", "gbp_rate * reverse_rate as to_gbp_rate")
     )

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuelens.functions.article import region_of, url_of
 from valuelens.functions.hours import (
     Hours,
-    day,
+    days_between,
     hour_of,
     ntz,
     plus_hours,
     received_for,
     window_starts,
 )
+from valuelens.functions.text import one_of, quoted
 from valuelens.operators.lookup import Lookup
 from valuelens.schemas import (
     BOOST_COMPONENT_TYPE,
@@ -31,38 +32,36 @@ def received_in(page_views: DataFrame, hours: Hours | None) -> DataFrame:
     """Page views of the days the windows read; prunes partitions."""
     if hours is None:
         return page_views
-    first, last = hours.received_dates
-    return page_views.where(F.col("received_date").between(day(first), day(last)))
+    return page_views.where(days_between("received_date", hours.received_dates))
 
 
 def component_events(
-    page_views: DataFrame, component_types: list[str], hours: Hours | None, *keep: str | Column
+    page_views: DataFrame, component_types: list[str], hours: Hours | None, *keep: str
 ) -> DataFrame:
-    """One row per VIEW event of the component types, with the columns to keep and ``event``."""
-    event = F.col("event")
-    events = (
+    """One row per VIEW event of the component types, with the SQL columns to keep and ``event``."""
+    wanted = f"event.event_action = 'VIEW' and {one_of('event.component_type', component_types)}"
+    if hours is not None:
+        wanted += f" and {hours.contains('event.event_timestamp')}"
+    return (
         received_in(page_views, hours)
-        .select(*keep, "received_date", F.explode("component_event_array").alias("event"))
-        .where((event["event_action"] == "VIEW") & event["component_type"].isin(component_types))
+        .selectExpr(*keep, "received_date", "explode(component_event_array) as event")
+        .where(wanted)
     )
-    return events if hours is None else events.where(hours.contains(event["event_timestamp"]))
 
 
 def hourly_component_events(
     page_views: DataFrame, component_types: list[str], hours: Hours | None
 ) -> DataFrame:
-    """Counted VIEW events: (window_start, component_type, test_name, variant_name)."""
+    """VIEW events that count: (window_start, component_type, test_name, variant_name)."""
     return (
         component_events(page_views, component_types, hours)
-        .select(
-            "received_date",
-            hour_of(F.col("event.event_timestamp")).alias("window_start"),
-            F.col("event.component_type").alias("component_type"),
-            F.col("event.ab_test_name").alias("test_name"),
-            F.col("event.ab_test_variant").alias("variant_name"),
+        .where(received_for("event.event_timestamp"))
+        .selectExpr(
+            f"{hour_of('event.event_timestamp')} as window_start",
+            "event.component_type",
+            "event.ab_test_name as test_name",
+            "event.ab_test_variant as variant_name",
         )
-        .where(received_for(F.col("window_start"), F.col("received_date")))
-        .drop("received_date")
     )
 
 
@@ -73,14 +72,11 @@ def component_view_rows(
     configs = Lookup.of(configs)
     keys = ["component_type", "test_name"]
     events = hourly_component_events(page_views, list(COMPONENT_TYPES.values()), hours)
-    if configs.small:
-        events = events.withColumn("views", F.lit(1).cast("bigint"))
-    else:
+    if not configs.small:
         # Too many configs to broadcast: shuffle counts, not events.
-        events = events.groupBy("window_start", *keys, "variant_name").agg(
-            F.count("*").alias("views")
-        )
-    return events.join(configs.side, keys).select(*SAMPLE_KEY, "views")
+        counts = events.groupBy("window_start", *keys, "variant_name").count()
+        return counts.join(configs.side, keys).selectExpr(*SAMPLE_KEY, "count as views")
+    return events.join(configs.side, keys).selectExpr(*SAMPLE_KEY, "1L as views")
 
 
 def component_views(
@@ -88,34 +84,33 @@ def component_views(
 ) -> DataFrame:
     """Views per hour, test and variant: the number of events, not of page views."""
     rows = component_view_rows(page_views, configs, hours)
-    return rows.groupBy(*SAMPLE_KEY).agg(F.sum("views").alias("views"))
+    return rows.groupBy(*SAMPLE_KEY).agg(F.expr("sum(views) as views"))
 
 
 def landing_pages(page_views: DataFrame, landing_host: str, hours: Hours | None) -> DataFrame:
     return received_in(page_views, hours).where(
-        (F.col("host") == landing_host) & F.col("path").like(LANDING_PATH)
+        f"host = {quoted(landing_host)} and path like {quoted(LANDING_PATH)}"
     )
 
 
-def on_both_days(per_received_date: DataFrame, hours: Hours | None) -> DataFrame:
-    """Views of a received_date count for that day and for the next: adds ``day``."""
-    days = per_received_date.withColumn(
-        "day", F.explode(F.array(F.col("received_date"), F.date_add("received_date", 1)))
-    ).drop("received_date")
+def on_both_days(per_received_date: DataFrame, hours: Hours | None, *keep: str) -> DataFrame:
+    """Views of a received_date count for that day and for the next: (day, *keep)."""
+    days = per_received_date.selectExpr(
+        "explode(array(received_date, date_add(received_date, 1))) as day", *keep
+    )
     if hours is None:
         return days
-    return days.where(F.col("day").between(day(hours.first.date()), day(hours.last.date())))
+    return days.where(days_between("day", (hours.first.date(), hours.last.date())))
 
 
-def each_hour(per_day: DataFrame, hours: Hours) -> DataFrame:
-    """Repeats the rows of a day for each of its hours: adds ``window_start``."""
-    midnight = F.col("day").cast("timestamp_ntz")
-    day_hours = F.sequence(
-        F.greatest(midnight, ntz(hours.first)),
-        F.least(plus_hours(midnight, 23), ntz(hours.last)),
-        F.expr("interval 1 hour"),
+def each_hour(per_day: DataFrame, hours: Hours, *keep: str) -> DataFrame:
+    """Repeats the rows of a day for each of its hours: (window_start, *keep)."""
+    midnight = "cast(day as timestamp_ntz)"
+    first = f"greatest({midnight}, {ntz(hours.first)})"
+    last = f"least({plus_hours(midnight, 23)}, {ntz(hours.last)})"
+    return per_day.selectExpr(
+        f"explode(sequence({first}, {last}, interval 1 hour)) as window_start", *keep
     )
-    return per_day.withColumn("window_start", F.explode(day_hours))
 
 
 def landing_views_by_day(
@@ -129,29 +124,29 @@ def landing_views_by_day(
     They are counted for the whole two days, not for the hour of a run.
     """
     tests = (
-        Lookup.of(configs).where(F.col("channel") == LANDING_CHANNEL).select("channel", "test_name")
+        Lookup.of(configs)
+        .where(f"channel = {quoted(LANDING_CHANNEL)}")
+        .selectExpr("channel", "test_name")
     )
-    keys = ["received_date", "test_name", "variant_name"]
+    group = ["test_name", "variant_name"]
     received = (
         landing_pages(page_views, landing_host, hours)
-        .select("received_date", F.explode("ab_test_array").alias("ab"))
-        .select(
-            "received_date",
-            F.col("ab.ab_test_name").alias("test_name"),
-            F.col("ab.ab_test_variant").alias("variant_name"),
+        .selectExpr("received_date", "explode(ab_test_array) as ab")
+        .selectExpr(
+            "received_date", "ab.ab_test_name as test_name", "ab.ab_test_variant as variant_name"
         )
     )
     if tests.small:
-        received = received.join(tests.side, "test_name")
-        per_date = received.groupBy("channel", *keys).agg(F.count("*").alias("views"))
+        per_date = received.join(tests.side, "test_name")
+        per_date = per_date.groupBy("received_date", "channel", *group).count()
     else:
         # Too many configs to broadcast: shuffle counts, not page views.
-        per_date = received.groupBy(*keys).agg(F.count("*").alias("views"))
+        per_date = received.groupBy("received_date", *group).count()
         per_date = per_date.join(tests.side, "test_name")
     return (
-        on_both_days(per_date, hours)
-        .groupBy("day", "channel", "test_name", "variant_name")
-        .agg(F.sum("views").alias("views"))
+        on_both_days(per_date, hours, "channel", *group, "count")
+        .groupBy("day", "channel", *group)
+        .agg(F.expr("sum(count) as views"))
     )
 
 
@@ -160,18 +155,7 @@ def landing_view_rows(
 ) -> DataFrame:
     """Rows of SAMPLE_KEY and ``views``: every hour of a day has the views of that day."""
     per_day = landing_views_by_day(page_views, configs, landing_host, hours)
-    return each_hour(per_day, hours).select(*SAMPLE_KEY, "views")
-
-
-def total_component_views(
-    page_views: DataFrame,
-    channels: list[str],
-    hours: Hours | None = None,
-    landing_host: str | None = None,
-) -> DataFrame:
-    """One row with the number of views of the channels, of any test."""
-    counts = views_by_hour(page_views, channels, hours, landing_host)
-    return counts.agg(F.coalesce(F.sum("channel_views"), F.lit(0)).alias("total_views"))
+    return each_hour(per_day, hours, *SAMPLE_KEY[1:], "views")
 
 
 def views_by_hour(
@@ -186,51 +170,64 @@ def views_by_hour(
     the page views of a day for each of its hours.
     """
     types = [COMPONENT_TYPES[name] for name in channels if name in COMPONENT_TYPES]
-    counts = (
-        hourly_component_events(page_views, types, hours)
-        .groupBy("window_start")
-        .agg(F.count("*").alias("channel_views"))
-    )
+    events = hourly_component_events(page_views, types, hours)
+    counts = events.groupBy("window_start").agg(F.expr("count(*) as channel_views"))
     if landing_host is None or LANDING_CHANNEL not in channels:
         return counts
-    pages = landing_pages(page_views, landing_host, hours)
-    per_day = pages.groupBy("received_date").agg(F.count("*").alias("views"))
-    landing = each_hour(on_both_days(per_day, hours), hours).select(
-        "window_start", F.col("views").alias("channel_views")
-    )
-    return counts.unionByName(landing).groupBy("window_start").agg(
-        F.sum("channel_views").alias("channel_views")
+    per_date = landing_pages(page_views, landing_host, hours).groupBy("received_date").count()
+    landing = each_hour(on_both_days(per_date, hours, "count"), hours, "count as channel_views")
+    return (
+        counts.unionByName(landing)
+        .groupBy("window_start")
+        .agg(F.expr("sum(channel_views) as channel_views"))
     )
 
 
+def total_component_views(
+    page_views: DataFrame,
+    channels: list[str],
+    hours: Hours | None = None,
+    landing_host: str | None = None,
+) -> DataFrame:
+    """One row with the number of views of the channels, of any test."""
+    counts = views_by_hour(page_views, channels, hours, landing_host)
+    return counts.selectExpr("coalesce(sum(channel_views), 0) as total_views")
+
+
 def article_view_rows(
     page_views: DataFrame, hours: Hours | None = None, span: int = BOOST_WINDOW_HOURS
 ) -> DataFrame:
     """Rows (window_start, url, region, views), to be summed over sliding windows of ``span`` hours."""
-    url = url_of(F.col("protocol"), F.col("host"), F.col("path")).alias("url")
-    region = region_of(F.col("country_key")).alias("region")
-    events = component_events(page_views, [BOOST_COMPONENT_TYPE], hours, url, region)
+    article = ["url", "region"]
+    events = component_events(
+        page_views,
+        [BOOST_COMPONENT_TYPE],
+        hours,
+        f"{url_of('protocol', 'host', 'path')} as url",
+        f"{region_of('country_key')} as region",
+    )
     if hours is not None and hours.single:
-        rows = events.select(
-            ntz(hours.first).alias("window_start"),
-            "received_date",
-            "url",
-            "region",
-            F.lit(1).cast("bigint").alias("views"),
+        rows = events.selectExpr(
+            f"{ntz(hours.first)} as window_start", "received_date", *article, "1L as views"
         )
     else:
         # Count each hour once, then add the counts up per window: events are not multiplied.
-        hourly = (
-            events.withColumn("hour", hour_of(F.col("event.event_timestamp")))
-            .groupBy("hour", "received_date", "url", "region")
-            .agg(F.count("*").alias("views"))
+        rows = (
+            events.selectExpr(
+                f"{hour_of('event.event_timestamp')} as hour", "received_date", *article
+            )
+            .groupBy("hour", "received_date", *article)
+            .count()
+            .selectExpr(
+                f"explode({window_starts('hour', span)}) as window_start",
+                "received_date",
+                *article,
+                "count as views",
+            )
         )
-        rows = hourly.withColumn("window_start", F.explode(window_starts(F.col("hour"), span)))
         if hours is not None:
-            rows = rows.where(hours.starts(F.col("window_start")))
-    return rows.where(received_for(F.col("window_start"), F.col("received_date"))).select(
-        "window_start", "url", "region", "views"
-    )
+            rows = rows.where(hours.starts("window_start"))
+    return rows.where(received_for("window_start")).select("window_start", *article, "views")
 
 
 def article_views(
@@ -240,5 +237,5 @@ def article_views(
     return (
         article_view_rows(page_views, hours, span)
         .groupBy("window_start", "url", "region")
-        .agg(F.sum("views").alias("total_views"))
+        .agg(F.expr("sum(views) as total_views"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuelens.functions.article import boost_id, threshold_of
@@ -45,29 +45,28 @@ def boost_candidates(
     ``prices`` is the fixed list of the job, or a price dimension made from the catalog.
     """
     span = span if hours is None else hours.span
+    article = ["window_start", "url", "region"]
     views = article_view_rows(page_views, hours, span)
     values = article_acquisition_values(
         acquisitions, prices, boost_rates(rates_for(rates, hours)), hours, span
-    ).withColumn("acquisitions", F.lit(1).cast("bigint"))
+    )
     return (
-        views.unionByName(values, allowMissingColumns=True)
+        views.selectExpr(*article, "views", "null as av_gbp", "0L as acquisitions")
+        .unionByName(values.selectExpr(*article, "0L as views", "av_gbp", "1L as acquisitions"))
         .where("url is not null")
-        .groupBy("window_start", "url", "region")
+        .groupBy(*article)
         .agg(
-            F.sum("av_gbp").alias("totalAv"),
-            F.sum("acquisitions").alias("totalAcquisitions"),
-            F.sum("views").alias("totalViews"),
-        )
-        .where(
-            (F.col("totalViews") > min_views)
-            & (F.col("totalAv") > min_value)
-            & F.col("totalAcquisitions").isNotNull()
+            F.expr("sum(av_gbp) as totalAv"),
+            F.expr("sum(acquisitions) as totalAcquisitions"),
+            F.expr("sum(views) as totalViews"),
         )
-        .withColumn("avPerView", F.col("totalAv") / F.col("totalViews"))
+        .where(f"totalViews > greatest(0, {min_views}) and totalAcquisitions > 0")
+        .where(f"totalAv > {float(min_value)}d")
+        .withColumn("avPerView", F.expr("totalAv / totalViews"))
     )
 
 
-def run_hour(window_start: Column, span: int = BOOST_WINDOW_HOURS) -> Column:
+def run_hour(window_start: str, span: int = BOOST_WINDOW_HOURS) -> str:
     """The hour of the run that looks at a window."""
     return plus_hours(window_start, span + 1)
 
@@ -75,19 +74,17 @@ def run_hour(window_start: Column, span: int = BOOST_WINDOW_HOURS) -> Column:
 def passes_threshold(
     candidates: DataFrame, thresholds: dict[str, float] = BOOST_THRESHOLDS
 ) -> DataFrame:
-    return candidates.where(F.col("avPerView") >= threshold_of(F.col("region"), thresholds))
+    return candidates.where(f"avPerView >= {threshold_of('region', thresholds)}")
 
 
-def active_boosts(boosts: DataFrame, as_of: datetime) -> DataFrame:
-    """Boosts that end today or tomorrow, and after the current hour."""
-    return boosts.where(_active(F.col("endDate"), F.col("endTimestamp"), ntz(floor_hour(as_of))))
+def _active(now: str) -> str:
+    today, tomorrow = boost_date_text(now), boost_date_text(plus_hours(now, 24))
+    return f"endDate in ({today}, {tomorrow}) and endTimestamp > {boost_time_text(now)}"
 
 
-def _active(end_date: Column, end_timestamp: Column, now: Column) -> Column:
-    tomorrow = plus_hours(now, 24)
-    return end_date.isin(boost_date_text(now), boost_date_text(tomorrow)) & (
-        end_timestamp > boost_time_text(now)
-    )
+def active_boosts(boosts: DataFrame, as_of: datetime) -> DataFrame:
+    """Boosts that end today or tomorrow, and after the current hour."""
+    return boosts.where(_active(ntz(floor_hour(as_of))))
 
 
 def boost_entries(
@@ -97,18 +94,12 @@ def boost_entries(
     thresholds: dict[str, float] = BOOST_THRESHOLDS,
 ) -> DataFrame:
     """Candidates that reach their region's threshold and are not boosted at the hour of their run."""
-    stored = boosts.select(
-        F.col("url").alias("boosted_url"),
-        F.col("region").alias("boosted_region"),
-        "endDate",
-        "endTimestamp",
+    stored = boosts.selectExpr(
+        "url as boosted_url", "region as boosted_region", "endDate", "endTimestamp"
     )
-    boosted = (
-        (F.col("url") == F.col("boosted_url"))
-        & (F.col("region") == F.col("boosted_region"))
-        & _active(
-            F.col("endDate"), F.col("endTimestamp"), run_hour(F.col("window_start"), span)
-        )
+    boosted = F.expr(
+        "url = boosted_url and region = boosted_region"
+        f" and {_active(run_hour('window_start', span))}"
     )
     return passes_threshold(candidates, thresholds).join(stored, boosted, "left_anti")
 
@@ -119,17 +110,17 @@ def boost_records(
     duration_hours: int = BOOST_DURATION_HOURS,
 ) -> DataFrame:
     """Entries with their key and the time the boost lasts, from the hour of the run."""
-    start = run_hour(F.col("window_start"), span)
+    start = run_hour("window_start", span)
     end = plus_hours(start, duration_hours)
-    return entries.select(
+    return entries.selectExpr(
         "url",
         "region",
         "totalAv",
         "totalAcquisitions",
         "totalViews",
         "avPerView",
-        boost_id(F.col("region"), F.col("url")).alias("id"),
-        boost_time_text(start).alias("startTimestamp"),
-        boost_date_text(end).alias("endDate"),
-        boost_time_text(end).alias("endTimestamp"),
+        f"{boost_id('region', 'url')} as id",
+        f"{boost_time_text(start)} as startTimestamp",
+        f"{boost_date_text(end)} as endDate",
+        f"{boost_time_text(end)} as endTimestamp",
     )

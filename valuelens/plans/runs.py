@@ -9,7 +9,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuelens.functions.hours import Hours, backfill_hours, boost_hours, ntz, sampling_hours
+from valuelens.functions.hours import Hours, backfill_hours, boost_hours, sampling_hours
+from valuelens.functions.text import one_of
 from valuelens.operators.acquisitions import unrated_acquisitions
 from valuelens.operators.configs import config_hours, sampled_tests, test_configs
 from valuelens.operators.lookup import Lookup
@@ -117,12 +118,12 @@ def sample(
 
         metrics = run_metrics(wanted, valid)
         points = metric_points(
-            metrics, ntz(now), TotalBanditTests="total_tests", TestsWithVariantData="tests_with_data"
+            metrics, now, TotalBanditTests="total_tests", TestsWithVariantData="tests_with_data"
         )
         host = landing_host if landing_aware_check else None
         for more in (
-            _no_views_points(facts, configs, metrics, ntz(now), host),
-            _diagnostic_points(facts, prices, hours, ntz(now)) if diagnostics else None,
+            _no_views_points(facts, configs, metrics, now, host),
+            _diagnostic_points(facts, prices, hours, now) if diagnostics else None,
         ):
             points = points if more is None else points.unionByName(more)
         append_metrics(points, outputs.metrics)
@@ -133,28 +134,28 @@ def sample(
 
 
 def _no_views_points(
-    facts: Facts, configs: DataFrame, metrics: DataFrame, time, landing_host: str | None
+    facts: Facts, configs: DataFrame, metrics: DataFrame, now: datetime, landing_host: str | None
 ) -> DataFrame | None:
     """Reads page views again, but only those of hours in which no test had any."""
     empty = metrics.where("variant_views = 0")
     first, last = empty.agg(F.min("window_start"), F.max("window_start")).first()
     if first is None:
         return None
-    known = configs.where(F.col("channel").isin(CHANNELS)).select("channel").distinct()
+    known = configs.where(one_of("channel", CHANNELS)).select("channel").distinct()
     channels = [row.channel for row in known.collect()]  # at most one row per known channel
     views = views_by_hour(facts.page_views, channels, Hours(first, last), landing_host)
     missing = no_views_check(empty, views).where("no_views_data = 1")
-    return metric_points(missing, time, NoViewsData="no_views_data")
+    return metric_points(missing, now, NoViewsData="no_views_data")
 
 
-def _diagnostic_points(facts: Facts, prices: DataFrame, hours: Hours, time) -> DataFrame:
+def _diagnostic_points(facts: Facts, prices: DataFrame, hours: Hours, now: datetime) -> DataFrame:
     rates = sample_rates(rates_for(facts.rates, hours))
     unrated = unrated_acquisitions(facts.acquisitions, rates, hours).agg(
         F.coalesce(F.sum("unrated"), F.lit(0)).alias("unrated")
     )
     missing = missing_prices(prices).agg(F.count("*").alias("missing"))
-    return metric_points(unrated, time, UnratedAcquisitions="unrated").unionByName(
-        metric_points(missing, time, MissingPrices="missing")
+    return metric_points(unrated, now, UnratedAcquisitions="unrated").unionByName(
+        metric_points(missing, now, MissingPrices="missing")
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuelens.functions.hours import Hours, sample_time_text
+from valuelens.functions.text import quoted
 from valuelens.operators.acquisitions import acquisition_values
 from valuelens.operators.configs import distinct_configs
 from valuelens.operators.lookup import Lookup
@@ -13,8 +14,6 @@ from valuelens.operators.rates import rates_for, sample_rates
 from valuelens.operators.views import SAMPLE_KEY, component_view_rows, landing_view_rows
 from valuelens.schemas import LANDING_CHANNEL, VALUE_CAP
 
-__all__ = ["SAMPLE_KEY", "combine", "sample_records", "sample_rows", "variant_samples"]
-
 
 def combine(views: DataFrame, values: DataFrame) -> DataFrame:
     """Samples from view rows and acquisition values.
@@ -23,21 +22,22 @@ def combine(views: DataFrame, values: DataFrame) -> DataFrame:
     views are dropped. Both inputs go through one aggregation, so there is one shuffle, of partial sums,
     and no join: a test that holds most of the rows is summed where its rows are read.
     """
+    views = views.selectExpr(*SAMPLE_KEY, "views", "null as capped_av_gbp", "0L as acquisitions")
     # A variant without a name matches no other, so such acquisitions belong to no group of views.
-    values = values.where(
-        F.col("test_name").isNotNull() & F.col("variant_name").isNotNull()
-    ).withColumn("acquisitions", F.lit(1).cast("bigint"))
-    sums = (
-        views.unionByName(values, allowMissingColumns=True)
+    values = values.where("test_name is not null and variant_name is not null").selectExpr(
+        *SAMPLE_KEY, "0L as views", "capped_av_gbp", "1L as acquisitions"
+    )
+    return (
+        views.unionByName(values)
         .groupBy(*SAMPLE_KEY)
         .agg(
-            F.sum("views").alias("views"),
-            F.coalesce(F.sum("capped_av_gbp"), F.lit(0.0)).alias("sum_av_gbp"),
-            F.coalesce(F.sum("acquisitions"), F.lit(0)).alias("acquisitions"),
+            F.expr("sum(views) as views"),
+            F.expr("coalesce(sum(capped_av_gbp), 0) as sum_av_gbp"),
+            F.expr("sum(acquisitions) as acquisitions"),
         )
         .where("views > 0")
+        .withColumn("sum_av_gbp_per_view", F.expr("try_divide(sum_av_gbp, views)"))
     )
-    return sums.withColumn("sum_av_gbp_per_view", F.try_divide("sum_av_gbp", "views"))
 
 
 def variant_samples(
@@ -62,12 +62,12 @@ def variant_samples(
     rates = Lookup.of(sample_rates(rates_for(rates, hours)))
 
     views = component_view_rows(page_views, configs, hours)
-    if landing_host is not None:
-        if hours is None:
-            raise ValueError("landing-page samples need the hours to report on")
-        views = views.unionByName(landing_view_rows(page_views, configs, landing_host, hours))
+    if landing_host is None:
+        configs = configs.where(f"channel <> {quoted(LANDING_CHANNEL)}")
+    elif hours is None:
+        raise ValueError("landing-page samples need the hours to report on")
     else:
-        configs = configs.where(F.col("channel") != LANDING_CHANNEL)
+        views = views.unionByName(landing_view_rows(page_views, configs, landing_host, hours))
     values = acquisition_values(
         acquisitions, prices, rates, configs, hours, value_cap, fix_gbp, quarterly
     )
@@ -76,29 +76,27 @@ def variant_samples(
 
 def sample_records(config_hours: DataFrame, samples: DataFrame) -> DataFrame:
     """One record per test and hour with an array of its variants, empty where there were no views."""
-    variant = F.struct(
-        F.col("variant_name").alias("variantName"),
-        F.col("sum_av_gbp").alias("annualisedValueInGBP"),
-        F.col("sum_av_gbp_per_view").alias("annualisedValueInGBPPerView"),
-        "views",
-    )
     keys = ["channel", "test_name", "window_start"]
+    variant = (
+        "named_struct('variantName', variant_name, 'annualisedValueInGBP', sum_av_gbp,"
+        " 'annualisedValueInGBPPerView', sum_av_gbp_per_view, 'views', views)"
+    )
     return (
-        config_hours.select(*keys, F.lit(None).alias("variant"))
-        .unionByName(samples.select(*keys, variant.alias("variant")))
+        config_hours.selectExpr(*keys, "null as variant")
+        .unionByName(samples.selectExpr(*keys, f"{variant} as variant"))
         .groupBy(*keys)
-        # collect_list skips the NULL of the config itself.
-        .agg(F.array_sort(F.collect_list("variant")).alias("variants"))
-        .select(
-            F.concat("channel", F.lit("_"), "test_name").alias("testName"),
+        # collect_list skips the NULL of the config itself; variants of a test are few.
+        .agg(F.expr("array_sort(collect_list(variant)) as variants"))
+        .selectExpr(
+            "concat(channel, '_', test_name) as testName",
             "variants",
-            sample_time_text(F.col("window_start")).alias("timestamp"),
+            f"{sample_time_text('window_start')} as timestamp",
         )
     )
 
 
 def sample_rows(records: DataFrame) -> DataFrame:
     """Records flattened to one row per variant; a record without variants gives one row of NULLs."""
-    return records.select(
-        "testName", "timestamp", F.explode_outer("variants").alias("variant")
-    ).select("testName", "timestamp", "variant.*")
+    return records.selectExpr("testName", "timestamp", "explode_outer(variants) as variant").select(
+        "testName", "timestamp", "variant.*"
+    )

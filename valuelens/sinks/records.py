@@ -23,7 +23,7 @@ _WRITTEN_AT = "written_at timestamp_ntz"
 
 def _append(records: DataFrame, path: str, written_at: datetime, partition: str) -> None:
     (
-        records.withColumn("written_at", ntz(written_at))
+        records.withColumn("written_at", F.expr(ntz(written_at)))
         # Few files per partition, and no task that must write a large partition alone.
         .hint("rebalance", F.col(partition))
         .write.mode("append")

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from valuelens import schemas
 from valuelens.functions.hours import Hours
+from valuelens.functions.text import one_of
 from valuelens.operators.acquisitions import acquired_in
 from valuelens.operators.rates import rates_for
 from valuelens.operators.views import received_in
@@ -31,6 +31,4 @@ def channel_tests(spark: SparkSession, path: str) -> DataFrame:
 
 def live_tests(tests: DataFrame) -> DataFrame:
     """Tests of the sampled channels that are not drafts. A test without a status is live."""
-    return tests.where(
-        F.col("channel").isin(schemas.CHANNELS) & ~F.col("status").eqNullSafe("Draft")
-    )
+    return tests.where(f"{one_of('channel', schemas.CHANNELS)} and not (status <=> 'Draft')")

@@ -20,25 +20,24 @@ from valuelens.schemas import BOOST_COMPONENT_TYPE, COMPONENT_TYPES, VALUE_CAP
 # Hourly runs at minute 45 look at the hour before last: events have this long to arrive.
 LATENESS = "1 hour 45 minutes"
 
+EVENT_TIME = "cast({} as timestamp) as event_time"
+
 
 def _views(page_views: DataFrame, component_types: list[str], lateness: str, *keep) -> DataFrame:
-    time = F.col("event.event_timestamp").cast("timestamp").alias("event_time")
-    return (
-        component_events(page_views, component_types, None, *keep)
-        .select("*", time, F.lit(1).cast("bigint").alias("views"))
-        .withWatermark("event_time", lateness)
-    )
+    time = EVENT_TIME.format("event.event_timestamp")
+    events = component_events(page_views, component_types, None, *keep)
+    return events.selectExpr("*", time).withWatermark("event_time", lateness)
 
 
 def _acquisitions(acquisitions: DataFrame, lateness: str) -> DataFrame:
-    return acquisitions.withColumn(
-        "event_time", F.col("event_timestamp").cast("timestamp")
-    ).withWatermark("event_time", lateness)
+    time = EVENT_TIME.format("event_timestamp")
+    return acquisitions.selectExpr("*", time).withWatermark("event_time", lateness)
 
 
-def _window_start(rows: DataFrame) -> DataFrame:
-    start = F.to_timestamp_ntz(F.date_format(F.col("window.start"), "yyyy-MM-dd HH:mm:ss"))
-    return rows.withColumn("window_start", start).drop("window")
+def _by_window_start(rows: DataFrame) -> DataFrame:
+    # Through text, so the session's time zone cancels out.
+    start = "to_timestamp_ntz(date_format(window.start, 'yyyy-MM-dd HH:mm:ss'))"
+    return rows.withColumn("window_start", F.expr(start)).drop("window")
 
 
 def stream_samples(
@@ -60,37 +59,43 @@ def stream_samples(
     group = ["channel", "test_name", "variant_name"]
     views = (
         _views(page_views, list(COMPONENT_TYPES.values()), lateness)
-        .select(
+        .selectExpr(
             "event_time",
-            "views",
-            F.col("event.component_type").alias("component_type"),
-            F.col("event.ab_test_name").alias("test_name"),
-            F.col("event.ab_test_variant").alias("variant_name"),
+            "event.component_type",
+            "event.ab_test_name as test_name",
+            "event.ab_test_variant as variant_name",
         )
         .join(configs.side, ["component_type", "test_name"])
-        .select("event_time", *group, "views")
+        .selectExpr(
+            "event_time", *group, "1L as views", "null as capped_av_gbp", "0L as acquisitions"
+        )
     )
     tested = of_tests(
         unnest_tests(_acquisitions(acquisitions, lateness), None, "event_time"), configs
     )
-    values = value_of_acquisitions(price_acquisitions(tested, prices), rates).select(
-        "event_time",
-        *group,
-        cap(F.col("av_gbp"), value_cap).alias("capped_av_gbp"),
-        F.lit(1).cast("bigint").alias("acquisitions"),
+    values = (
+        value_of_acquisitions(price_acquisitions(tested, prices), rates)
+        .where("variant_name is not null")
+        .selectExpr(
+            "event_time",
+            *group,
+            "0L as views",
+            f"{cap('av_gbp', value_cap)} as capped_av_gbp",
+            "1L as acquisitions",
+        )
     )
     sums = (
-        views.unionByName(values.where("variant_name is not null"), allowMissingColumns=True)
+        views.unionByName(values)
         .groupBy(F.window("event_time", "1 hour"), *group)
         .agg(
-            F.sum("views").alias("views"),
-            F.coalesce(F.sum("capped_av_gbp"), F.lit(0.0)).alias("sum_av_gbp"),
-            F.coalesce(F.sum("acquisitions"), F.lit(0)).alias("acquisitions"),
+            F.expr("sum(views) as views"),
+            F.expr("coalesce(sum(capped_av_gbp), 0) as sum_av_gbp"),
+            F.expr("sum(acquisitions) as acquisitions"),
         )
         .where("views > 0")
-        .withColumn("sum_av_gbp_per_view", F.try_divide("sum_av_gbp", "views"))
+        .withColumn("sum_av_gbp_per_view", F.expr("try_divide(sum_av_gbp, views)"))
     )
-    return _window_start(sums)
+    return _by_window_start(sums)
 
 
 def stream_articles(
@@ -101,44 +106,44 @@ def stream_articles(
     lateness: str = LATENESS,
 ) -> DataFrame:
     """Views and value per article and region over three hours, every hour, before any gate."""
-    rates = Lookup.of(boost_rates(rates).withColumn("rated", F.lit(True)))
+    rates = Lookup.of(boost_rates(rates).selectExpr("*", "true as rated"))
     article = ["url", "region"]
     views = _views(
         page_views,
         [BOOST_COMPONENT_TYPE],
         lateness,
-        url_of(F.col("protocol"), F.col("host"), F.col("path")).alias("url"),
-        region_of(F.col("country_key")).alias("region"),
-    ).select("event_time", *article, "views")
-    paid = price_acquisitions(_acquisitions(acquisitions, lateness), prices).select(
+        f"{url_of('protocol', 'host', 'path')} as url",
+        f"{region_of('country_key')} as region",
+    ).selectExpr("event_time", *article, "1L as views", "0L as acquisitions")
+    paid = price_acquisitions(_acquisitions(acquisitions, lateness), prices).selectExpr(
         "event_time",
-        F.col("referrer_url").alias("url"),
-        region_of(F.col("country_code")).alias("region"),
+        "referrer_url as url",
+        f"{region_of('country_code')} as region",
+        "0L as views",
+        "1L as acquisitions",
         "currency",
         "payment_frequency",
         "paid",
-        F.lit(1).cast("bigint").alias("acquisitions"),
     )
-    av_gbp = annualise(F.col("paid") * F.col("to_gbp_rate"), F.col("payment_frequency"))
-    start = F.col("window.start")
+    av_gbp = annualise("paid * to_gbp_rate", "payment_frequency")
     sums = (
         views.unionByName(paid, allowMissingColumns=True)
         .where("url is not null")
         .withColumn("window", F.window("event_time", "3 hours", "1 hour"))
-        .withColumn("rates_date", rates_date(start))
+        .withColumn("rates_date", F.expr(rates_date("window.start")))
         .join(rates.side, ["rates_date", "currency"], "left")
         # Acquisitions without a rate do not count; views need none.
-        .where("views is not null or rated")
+        .where("views > 0 or rated")
         .groupBy("window", *article)
         .agg(
-            F.sum("views").alias("totalViews"),
-            F.sum(av_gbp).alias("totalAv"),
-            F.sum("acquisitions").alias("totalAcquisitions"),
+            F.expr("sum(views) as totalViews"),
+            F.expr(f"sum({av_gbp}) as totalAv"),
+            F.expr("sum(acquisitions) as totalAcquisitions"),
         )
-        .where("totalViews is not null and totalAcquisitions is not null")
-        .withColumn("avPerView", F.col("totalAv") / F.col("totalViews"))
+        .where("totalViews > 0 and totalAcquisitions > 0")
+        .withColumn("avPerView", F.expr("totalAv / totalViews"))
     )
-    return _window_start(sums)
+    return _by_window_start(sums)
 
 
 def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
