@@ -22,7 +22,6 @@ from valuelens.operators.configs import (
     test_configs,
 )
 from valuelens.operators.latest import BOOST_RECORD_KEY, SAMPLE_RECORD_KEY, latest_per_key
-from valuelens.operators.lookup import Lookup
 from valuelens.operators.prices import (
     boost_prices,
     list_prices,
@@ -61,12 +60,12 @@ class Inputs:
         self.configs = t.configs(spark)
 
     @property
-    def prices(self) -> Lookup:
-        return Lookup.of(price_dimension(parse_catalogs(t.catalog_document(self.spark), "document")))
+    def prices(self) -> DataFrame:
+        return price_dimension(parse_catalogs(t.catalog_document(self.spark), "document"))
 
     @property
-    def tests(self) -> Lookup:
-        return Lookup.of(distinct_configs(self.configs))
+    def tests(self) -> DataFrame:
+        return distinct_configs(self.configs)
 
     def hours(self, span: int = 1) -> Hours:
         return Hours.spanning(self.events, "ts", span)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,15 +27,28 @@ class Lookup:
     def of(
         cls, frame: DataFrame | Lookup, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
     ) -> Lookup:
-        if isinstance(frame, Lookup):
-            return frame
-        # The limit keeps the measurement itself small, however large the table is.
-        rows, size = (
-            frame.limit(max_rows + 1)
-            .selectExpr("count(*)", "coalesce(sum(octet_length(to_json(struct(*)))), 0)")
-            .first()
-        )
-        return cls(frame, rows <= max_rows and size <= max_bytes)
+        return cls.all(frame, max_rows=max_rows, max_bytes=max_bytes)[0]
+
+    @classmethod
+    def all(
+        cls, *frames: DataFrame | Lookup, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
+    ) -> list[Lookup]:
+        """Lookups of several tables, measured in one job."""
+        # The limit keeps the measurement itself small, however large a table is.
+        measured = [
+            frame.limit(max_rows + 1).selectExpr(
+                f"{i} as i",
+                "count(*) as n",
+                "coalesce(sum(octet_length(to_json(struct(*)))), 0) as size",
+            )
+            for i, frame in enumerate(frames)
+            if isinstance(frame, DataFrame)
+        ]
+        sizes = reduce(DataFrame.unionAll, measured).collect() if measured else []
+        small = {row.i: row.n <= max_rows and row.size <= max_bytes for row in sizes}
+        return [
+            cls(frame, small[i]) if i in small else frame for i, frame in enumerate(frames)
+        ]
 
     @property
     def side(self) -> DataFrame:

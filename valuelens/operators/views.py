@@ -198,36 +198,25 @@ def article_view_rows(
     page_views: DataFrame, hours: Hours | None = None, span: int = BOOST_WINDOW_HOURS
 ) -> DataFrame:
     """Rows (window_start, url, region, views), to be summed over sliding windows of ``span`` hours."""
-    article = ["url", "region"]
-    events = component_events(
+    single = hours is not None and hours.single
+    starts = window_starts(hour_of("event.event_timestamp"), span)
+    rows = component_events(
         page_views,
         [BOOST_COMPONENT_TYPE],
         hours,
         f"{url_of('protocol', 'host', 'path')} as url",
         f"{region_of('country_key')} as region",
+    ).selectExpr(
+        # Repeated per window where they are read, then summed there: only sums are shuffled, once.
+        f"{ntz(hours.first) if single else f'explode({starts})'} as window_start",
+        "received_date",
+        "url",
+        "region",
+        "1L as views",
     )
-    if hours is not None and hours.single:
-        rows = events.selectExpr(
-            f"{ntz(hours.first)} as window_start", "received_date", *article, "1L as views"
-        )
-    else:
-        # Count each hour once, then add the counts up per window: events are not multiplied.
-        rows = (
-            events.selectExpr(
-                f"{hour_of('event.event_timestamp')} as hour", "received_date", *article
-            )
-            .groupBy("hour", "received_date", *article)
-            .count()
-            .selectExpr(
-                f"explode({window_starts('hour', span)}) as window_start",
-                "received_date",
-                *article,
-                "count as views",
-            )
-        )
-        if hours is not None:
-            rows = rows.where(hours.starts("window_start"))
-    return rows.where(received_for("window_start")).select("window_start", *article, "views")
+    if hours is not None and not single:
+        rows = rows.where(hours.starts("window_start"))
+    return rows.where(received_for("window_start")).drop("received_date")
 
 
 def article_views(

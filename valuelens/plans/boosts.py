@@ -46,10 +46,9 @@ def boost_candidates(
     """
     span = span if hours is None else hours.span
     article = ["window_start", "url", "region"]
+    prices, rates = Lookup.all(prices, boost_rates(rates_for(rates, hours)))
     views = article_view_rows(page_views, hours, span)
-    values = article_acquisition_values(
-        acquisitions, prices, boost_rates(rates_for(rates, hours)), hours, span
-    )
+    values = article_acquisition_values(acquisitions, prices, rates, hours, span)
     return (
         views.selectExpr(*article, "views", "null as av_gbp", "0L as acquisitions")
         .unionByName(values.selectExpr(*article, "0L as views", "av_gbp", "1L as acquisitions"))

@@ -13,7 +13,6 @@ from valuelens.functions.hours import Hours, backfill_hours, boost_hours, sampli
 from valuelens.functions.text import one_of
 from valuelens.operators.acquisitions import unrated_acquisitions
 from valuelens.operators.configs import config_hours, sampled_tests, test_configs
-from valuelens.operators.lookup import Lookup
 from valuelens.operators.prices import boost_prices, missing_prices, price_dimension
 from valuelens.operators.quality import (
     boost_rules,
@@ -180,7 +179,7 @@ def run_boosts(
         facts.page_views,
         facts.acquisitions,
         facts.rates,
-        Lookup.of(prices),
+        prices,
         boost_hours(as_of),
         min_views,
         min_value,

@@ -57,10 +57,9 @@ def variant_samples(
     ``configs`` has channel and name. ``hours`` may be None (all hours in the data) for component tests;
     landing-page tests also need ``landing_host``.
     """
-    configs = Lookup.of(distinct_configs(configs))
-    prices = Lookup.of(prices)
-    rates = Lookup.of(sample_rates(rates_for(rates, hours)))
-
+    configs, prices, rates = Lookup.all(
+        distinct_configs(configs), prices, sample_rates(rates_for(rates, hours))
+    )
     views = component_view_rows(page_views, configs, hours)
     if landing_host is None:
         configs = configs.where(f"channel <> {quoted(LANDING_CHANNEL)}")

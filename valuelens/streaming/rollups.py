@@ -54,8 +54,8 @@ def stream_samples(
     Views and acquisitions meet in one windowed aggregation, not in a join of streams. The date a page
     view was received plays no part.
     """
-    configs = Lookup.of(distinct_configs(configs)).where("component_type is not null")
-    rates = Lookup.of(sample_rates(rates))
+    configs, prices, rates = Lookup.all(distinct_configs(configs), prices, sample_rates(rates))
+    configs = configs.where("component_type is not null")
     group = ["channel", "test_name", "variant_name"]
     views = (
         _views(page_views, list(COMPONENT_TYPES.values()), lateness)
@@ -106,7 +106,7 @@ def stream_articles(
     lateness: str = LATENESS,
 ) -> DataFrame:
     """Views and value per article and region over three hours, every hour, before any gate."""
-    rates = Lookup.of(boost_rates(rates).selectExpr("*", "true as rated"))
+    prices, rates = Lookup.all(prices, boost_rates(rates).selectExpr("*", "true as rated"))
     article = ["url", "region"]
     views = _views(
         page_views,
