@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.driver.memory": "4g",
             "spark.sql.debug.maxToStringFields": "200",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

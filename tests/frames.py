@@ -5,6 +5,10 @@ from __future__ import annotations
 import json
 from datetime import date, datetime
 
+import pyarrow
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StructType
+
 from driver.tables import CATALOG_PRICES
 from valuelens import schemas
 from valuelens.sources.catalog import parse_catalogs
@@ -12,6 +16,26 @@ from valuelens.sources.catalog import parse_catalogs
 HOST = "support.example.com"
 
 
+def table(spark, rows, ddl):
+    """A local table; by way of Arrow, which needs no job to read it."""
+    schema = StructType.fromDDL(ddl)
+    records = [dict(zip(schema.names, row)) for row in rows]
+    arrow = pyarrow.Table.from_pylist(
+        [_record(record, schema) for record in records], schema=to_arrow_schema(schema)
+    )
+    return spark.createDataFrame(arrow, schema)
+
+
+def _record(value, kind):
+    """Tuples for structs become dictionaries, as Arrow wants them."""
+    if isinstance(kind, StructType) and value is not None:
+        fields = value if isinstance(value, dict) else dict(zip(kind.names, value))
+        return {field.name: _record(fields[field.name], field.dataType) for field in kind}
+    if isinstance(kind, ArrayType) and value is not None:
+        return [_record(item, kind.elementType) for item in value]
+    return value
+
+
 def at(text: str) -> datetime:
     return datetime.fromisoformat(text)
 
@@ -27,7 +51,7 @@ def page_view(
 
 
 def page_views(spark, *rows):
-    return spark.createDataFrame(list(rows), schemas.PAGE_VIEWS)
+    return table(spark, rows, schemas.PAGE_VIEWS)
 
 
 def acquisition(
@@ -46,19 +70,17 @@ def acquisition(
 
 
 def acquisitions(spark, *rows):
-    return spark.createDataFrame(list(rows), schemas.ACQUISITIONS)
+    return table(spark, rows, schemas.ACQUISITIONS)
 
 
 def rates(spark, *rows):
     """Rows are (day, currency, rate)."""
-    return spark.createDataFrame(
-        [(date.fromisoformat(day), target, rate) for day, target, rate in rows],
-        schemas.EXCHANGE_RATES,
-    )
+    days = [(date.fromisoformat(day), target, rate) for day, target, rate in rows]
+    return table(spark, days, schemas.EXCHANGE_RATES)
 
 
 def configs(spark, *rows):
-    return spark.createDataFrame(list(rows), "channel string, name string")
+    return table(spark, rows, "channel string, name string")
 
 
 def catalog_json(**changes) -> str:
@@ -71,7 +93,7 @@ def catalog_json(**changes) -> str:
 
 
 def catalog(spark, text: str | None = None):
-    rows = spark.createDataFrame([(text or catalog_json(),)], "document string")
+    rows = table(spark, [(text or catalog_json(),)], "document string")
     return parse_catalogs(rows, "document")
 
 

@@ -1,5 +1,6 @@
 import pytest
 
+from tests import frames
 from tests.frames import at
 from valuelens.functions.hours import Hours
 from valuelens.operators.configs import config_hours
@@ -23,7 +24,7 @@ GOOD = (HOUR, "Epic", "T", "control", 100, 10.5, 0.105, 5)
 
 
 def samples(spark, *rows):
-    return spark.createDataFrame(list(rows), SAMPLES)
+    return frames.table(spark, list(rows), SAMPLES)
 
 
 def test_valid_rows_pass(spark):
@@ -45,24 +46,23 @@ def test_rejected_hours(spark):
 
 
 def test_total_views(spark):
-    require(spark.createDataFrame([(1000,)], "total_views bigint"), total_views_rules())
+    require(frames.table(spark, [(1000,)], "total_views bigint"), total_views_rules())
     with pytest.raises(InvalidData):
-        require(spark.createDataFrame([(None,)], "total_views bigint"), total_views_rules())
+        require(frames.table(spark, [(None,)], "total_views bigint"), total_views_rules())
 
 
 def test_boost_rows(spark):
     schema = """url string, region string, totalAv double, totalViews bigint, avPerView double,
         totalAcquisitions bigint"""
     rows = [("u", "GB", 1.0, 1, 1.0, 1), ("u", "XX", 1.0, 1, 1.0, 1), ("u", None, 1.0, 1, None, 1)]
-    found = violations(spark.createDataFrame(rows, schema), boost_rules())
+    found = violations(frames.table(spark, rows, schema), boost_rules())
     counts = {row.rule: row.violations for row in found.collect() if row.violations}
     assert counts == {"region is unknown": 1, "region is missing": 1, "avPerView is missing": 1}
 
 
 def test_run_metrics_count_repeated_configs(spark):
     hours = Hours(HOUR, at("2024-01-02T13:00"))
-    configs = spark.createDataFrame(
-        [("Epic", "T"), ("Epic", "T"), ("Banner1", "U")], "channel string, name string"
+    configs = frames.table(spark, [("Epic", "T"), ("Epic", "T"), ("Banner1", "U")], "channel string, name string"
     )
     metrics = run_metrics(config_hours(configs, hours), samples(spark, GOOD))
     found = {row.window_start: tuple(row)[1:] for row in metrics.collect()}
@@ -70,7 +70,7 @@ def test_run_metrics_count_repeated_configs(spark):
 
 
 def test_one_test_with_one_variant(spark):
-    configs = spark.createDataFrame([("Epic", "T")], "channel string, name string")
+    configs = frames.table(spark, [("Epic", "T")], "channel string, name string")
     metrics = run_metrics(config_hours(configs, Hours(HOUR, HOUR)), samples(spark, GOOD))
     points = metric_points(
         metrics, HOUR, TotalBanditTests="total_tests", TestsWithVariantData="tests_with_data"
@@ -84,7 +84,7 @@ def test_one_test_with_one_variant(spark):
 def test_no_views(spark):
     schema = "window_start timestamp_ntz, {} bigint"
     hours = [at(f"2024-01-02T{i:02}:00") for i in range(3)]
-    metrics = spark.createDataFrame(list(zip(hours, [0, 0, 5])), schema.format("variant_views"))
-    views = spark.createDataFrame([(hours[0], 7)], schema.format("channel_views"))
+    metrics = frames.table(spark, list(zip(hours, [0, 0, 5])), schema.format("variant_views"))
+    views = frames.table(spark, [(hours[0], 7)], schema.format("channel_views"))
     found = {row.window_start: row.no_views_data for row in no_views_check(metrics, views).collect()}
     assert found == dict(zip(hours, [0, 1, 0]))

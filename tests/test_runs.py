@@ -158,7 +158,7 @@ def test_nothing_to_backfill(spark, site):
 
 def test_boost_runs(spark, site):
     path = f"{site.path}/boosts"
-    nothing = spark.createDataFrame([], schemas.BOOST_RECORDS)
+    nothing = frames.table(spark, [], schemas.BOOST_RECORDS)
     run_boosts(site.facts(), nothing, path, NOW)
     [record] = read_boosts(spark, path).collect()
     assert (record.region, record.totalViews, record.totalAcquisitions) == ("GB", 150, 6)
@@ -169,7 +169,7 @@ def test_boost_runs(spark, site):
 
 def test_boost_run_with_catalog_prices(spark, site):
     path = f"{site.path}/boosts"
-    nothing = spark.createDataFrame([], schemas.BOOST_RECORDS)
+    nothing = frames.table(spark, [], schemas.BOOST_RECORDS)
     run_boosts(site.facts(), nothing, path, NOW, catalog=site.catalog, min_views=150)
     assert spark.read.schema(schemas.BOOST_RECORDS).parquet(path).count() == 0
 
@@ -178,7 +178,7 @@ def test_latest_boost_per_key(spark, tmp_path):
     path = f"{tmp_path}/boosts"
     row = ("u", "GB", 1.0, 1, 1, 1.0, "GB_u", "2024-01-01 13:00:00.000", "2024-01-02", "2024-01-02 13:00:00.000")
     for value, minute in ((2.0, 30), (3.0, 20)):
-        records = spark.createDataFrame([(*row[:2], value, *row[3:])], schemas.BOOST_RECORDS)
+        records = frames.table(spark, [(*row[:2], value, *row[3:])], schemas.BOOST_RECORDS)
         append_boosts(records, path, NOW.replace(minute=minute))
     [current] = read_boosts(spark, path).collect()
     assert current.totalAv == 2.0
@@ -188,7 +188,7 @@ def test_latest_boost_per_key(spark, tmp_path):
 
 def test_sample_log_is_pruned_by_date(spark, tmp_path):
     path = f"{tmp_path}/samples"
-    records = spark.createDataFrame([("Epic_T", [], "2024-01-02 10:00:00.000Z")], schemas.SAMPLE_RECORDS)
+    records = frames.table(spark, [("Epic_T", [], "2024-01-02 10:00:00.000Z")], schemas.SAMPLE_RECORDS)
     append_samples(records, path, NOW)
     found = read_samples(spark, path).where("sample_date = date'2024-01-02'")
     assert found.count() == 1
@@ -198,6 +198,6 @@ def test_sample_log_is_pruned_by_date(spark, tmp_path):
 def test_failed_metrics_do_not_fail(spark, tmp_path):
     blocked = tmp_path / "file"
     blocked.write_text("")
-    points = spark.createDataFrame([("n", 1.0, "Count", NOW)], schemas.METRICS)
+    points = frames.table(spark, [("n", 1.0, "Count", NOW)], schemas.METRICS)
     assert append_metrics(points, f"{blocked}/metrics") is False
     assert append_metrics(points, f"{tmp_path}/metrics") is True

@@ -191,7 +191,7 @@ class TestConfigs:
         ]
         from valuelens.schemas import CHANNEL_TESTS
 
-        return spark.createDataFrame(rows, CHANNEL_TESTS)
+        return frames.table(spark, rows, CHANNEL_TESTS)
 
     def test_live(self, tests):
         names = {row.name for row in live_tests(tests).collect()}

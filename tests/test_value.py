@@ -79,7 +79,7 @@ def test_unknown_product_has_no_value(spark):
 
 def test_aud_annual_plan_has_no_boost_price(spark):
     key = {"product": "SUPPORTER_PLUS", "currency": "AUD", "payment_frequency": "ANNUALLY"}
-    request = spark.createDataFrame([key])
+    request = frames.table(spark, [tuple(key.values())], "product string, currency string, payment_frequency string")
     assert list_prices(request, boost_prices(spark)).first().price is None
     assert list_prices(request, price_dimension(frames.catalog(spark))).first().price == 200
 
@@ -118,20 +118,20 @@ def test_a_rate_of_zero_fails(spark):
 
 
 def test_cap_keeps_nulls(spark):
-    values = spark.createDataFrame([(249.99,), (250.0,), (300.0,), (None,)], "v double")
+    values = frames.table(spark, [(249.99,), (250.0,), (300.0,), (None,)], "v double")
     capped = [row.c for row in values.selectExpr(f"{cap('v')} as c").collect()]
     assert capped == [249.99, 250.0, 250.0, None]
 
 
 def test_annualise(spark):
     names = ["ONE_OFF", "MONTHLY", "ANNUALLY", "QUARTERLY", "monthly", None]
-    rows = spark.createDataFrame([(name,) for name in names], "f string")
+    rows = frames.table(spark, [(name,) for name in names], "f string")
     values = [row.v for row in rows.selectExpr(f"{annualise('2d', 'f')} as v").collect()]
     assert values == [2.0, 24.0, 2.0, None, None, None]
 
 
 def test_regions(spark):
-    rows = spark.createDataFrame([(c,) for c in [None, "gb", "IE", "JP", "GB", "CA"]], "c string")
+    rows = frames.table(spark, [(c,) for c in [None, "gb", "IE", "JP", "GB", "CA"]], "c string")
     found = [row.r for row in rows.selectExpr(f"{region_of('c')} as r").collect()]
     assert found == ["ROW", "ROW", "EU", "ROW", "GB", "CA"]
 
@@ -139,7 +139,7 @@ def test_regions(spark):
 def test_url_and_id(spark):
     path = "/" + "é" * 200
     row = (
-        spark.createDataFrame([("https", "h", path), ("https", None, "/p")], "p string, h string, t string")
+        frames.table(spark, [("https", "h", path), ("https", None, "/p")], "p string, h string, t string")
         .selectExpr(f"{url_of('p', 'h', 't')} as url")
         .selectExpr("url", f"{boost_id(repr('GB'), 'url')} as id")
         .collect()
@@ -155,7 +155,7 @@ class TestCatalog:
     def price(self, spark, product, currency, frequency, **options):
         key = {"product": product, "currency": currency, "payment_frequency": frequency}
         prices = price_dimension(frames.catalog(spark))
-        return list_prices(spark.createDataFrame([key]), prices, **options).first().price
+        return list_prices(frames.table(spark, [tuple(key.values())], "product string, currency string, payment_frequency string"), prices, **options).first().price
 
     def test_prices(self, spark):
         assert self.price(spark, "SUPPORTER_PLUS", "GBP", "MONTHLY") == 12

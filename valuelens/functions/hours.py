@@ -58,6 +58,10 @@ class Hours:
         """Exchange rates are those of the day before a window starts: the table lags by a day."""
         return self.first.date() - DAY, self.last.date() - DAY
 
+    @property
+    def event_dates(self) -> tuple[date, date]:
+        return self.first.date(), (self.end - HOUR).date()
+
     def contains(self, time: str) -> str:
         return f"{time} >= {ntz(self.first)} and {time} < {ntz(self.end)}"
 

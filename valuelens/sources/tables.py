@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from valuelens import schemas
-from valuelens.functions.hours import Hours
+from valuelens.functions.hours import Hours, days_between
 from valuelens.functions.text import one_of
 from valuelens.operators.acquisitions import acquired_in
 from valuelens.operators.rates import rates_for
@@ -17,8 +17,16 @@ def page_views(spark: SparkSession, path: str, hours: Hours | None = None) -> Da
     return received_in(spark.read.schema(schemas.PAGE_VIEWS).parquet(path), hours)
 
 
-def acquisitions(spark: SparkSession, path: str, hours: Hours | None = None) -> DataFrame:
-    return acquired_in(spark.read.schema(schemas.ACQUISITIONS).parquet(path), hours)
+def acquisitions(
+    spark: SparkSession, path: str, hours: Hours | None = None, by_date: bool = False
+) -> DataFrame:
+    """Acquisitions. ``by_date`` tells that the table is partitioned by event_date."""
+    if not by_date:
+        return acquired_in(spark.read.schema(schemas.ACQUISITIONS).parquet(path), hours)
+    rows = spark.read.schema(f"{schemas.ACQUISITIONS}, event_date date").parquet(path)
+    if hours is not None:
+        rows = rows.where(days_between("event_date", hours.event_dates))
+    return acquired_in(rows, hours).drop("event_date")
 
 
 def exchange_rates(spark: SparkSession, path: str, hours: Hours | None = None) -> DataFrame:
