@@ -93,9 +93,12 @@ def run_metrics(config_hours: DataFrame, samples: DataFrame) -> DataFrame:
     Equal configs count each, as each would have been queried.
     """
     keys = ["window_start", "channel", "test_name"]
-    sampled = samples.groupBy(*keys).agg(F.expr("sum(views) as views"))
     return (
-        config_hours.join(sampled, keys, "left")
+        config_hours.selectExpr(*keys, "copies", "null as views")
+        .unionByName(samples.selectExpr(*keys, "0L as copies", "views"))
+        .groupBy(*keys)
+        .agg(F.expr("sum(copies) as copies"), F.expr("sum(views) as views"))
+        .where("copies > 0")
         .groupBy("window_start")
         .agg(
             F.expr("sum(copies) as total_tests"),

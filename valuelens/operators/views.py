@@ -93,9 +93,9 @@ def landing_pages(page_views: DataFrame, landing_host: str, hours: Hours | None)
     )
 
 
-def on_both_days(per_received_date: DataFrame, hours: Hours | None, *keep: str) -> DataFrame:
-    """Views of a received_date count for that day and for the next: (day, *keep)."""
-    days = per_received_date.selectExpr(
+def on_both_days(received: DataFrame, hours: Hours | None, *keep: str) -> DataFrame:
+    """Page views of a received_date count for that day and for the next: (day, *keep)."""
+    days = received.selectExpr(
         "explode(array(received_date, date_add(received_date, 1))) as day", *keep
     )
     if hours is None:
@@ -128,26 +128,18 @@ def landing_views_by_day(
         .where(f"channel = {quoted(LANDING_CHANNEL)}")
         .selectExpr("channel", "test_name")
     )
-    group = ["test_name", "variant_name"]
-    received = (
-        landing_pages(page_views, landing_host, hours)
-        .selectExpr("received_date", "explode(ab_test_array) as ab")
-        .selectExpr(
-            "received_date", "ab.ab_test_name as test_name", "ab.ab_test_variant as variant_name"
-        )
+    keys = ["day", "test_name", "variant_name"]
+    pages = landing_pages(page_views, landing_host, hours).selectExpr(
+        "received_date", "explode(ab_test_array) as ab"
     )
-    if tests.small:
-        per_date = received.join(tests.side, "test_name")
-        per_date = per_date.groupBy("received_date", "channel", *group).count()
-    else:
-        # Too many configs to broadcast: shuffle counts, not page views.
-        per_date = received.groupBy("received_date", *group).count()
-        per_date = per_date.join(tests.side, "test_name")
-    return (
-        on_both_days(per_date, hours, "channel", *group, "count")
-        .groupBy("day", "channel", *group)
-        .agg(F.expr("sum(count) as views"))
+    on_days = on_both_days(
+        pages, hours, "ab.ab_test_name as test_name", "ab.ab_test_variant as variant_name"
     )
+    count = F.expr("count(*) as views")
+    if tests.small:
+        return on_days.join(tests.side, "test_name").groupBy("channel", *keys).agg(count)
+    # Too many configs to broadcast: shuffle counts, not page views.
+    return on_days.groupBy(*keys).agg(count).join(tests.side, "test_name")
 
 
 def landing_view_rows(
@@ -174,8 +166,9 @@ def views_by_hour(
     counts = events.groupBy("window_start").agg(F.expr("count(*) as channel_views"))
     if landing_host is None or LANDING_CHANNEL not in channels:
         return counts
-    per_date = landing_pages(page_views, landing_host, hours).groupBy("received_date").count()
-    landing = each_hour(on_both_days(per_date, hours, "count"), hours, "count as channel_views")
+    pages = landing_pages(page_views, landing_host, hours)
+    per_day = on_both_days(pages, hours).groupBy("day").count()
+    landing = each_hour(per_day, hours, "count as channel_views")
     return (
         counts.unionByName(landing)
         .groupBy("window_start")
