@@ -4,6 +4,7 @@ from tests import frames
 from tests.frames import acquisition, at, event, page_view
 from valuelens import schemas
 from valuelens.functions.hours import HOUR, Hours, boost_hours
+from valuelens.operators.lookup import Lookup
 from valuelens.operators.prices import boost_prices, price_dimension
 from valuelens.plans.boosts import (
     active_boosts,
@@ -59,6 +60,18 @@ def test_missing_addresses_do_not_match(spark):
     assert candidates(spark, hidden, acquired, boost_hours(NOW), min_views=0).count() == 0
 
 
+def test_articles_without_acquisitions_are_dropped_early_if_that_is_cheap(spark, monkeypatch):
+    seen = views(5) + views(7, path="/b") + views(2, country="DE")
+    acquired = [acquisition("2024-01-02T09:30:00", amount=100.0)]
+    found = candidates(spark, seen, acquired, boost_hours(NOW), min_views=0)
+    assert "LeftSemi" in found._jdf.queryExecution().executedPlan().toString()
+    never = lambda *tables, **_: [Lookup(getattr(t, "frame", t), False) for t in tables]
+    monkeypatch.setattr(Lookup, "all", never)
+    whole = candidates(spark, seen, acquired, boost_hours(NOW), min_views=0)
+    assert "LeftSemi" not in whole._jdf.queryExecution().executedPlan().toString()
+    assert frames.dicts(found) == frames.dicts(whole) != []
+
+
 def test_value_has_no_cap(spark):
     acquired = [acquisition("2024-01-02T09:30:00", amount=1000.0)]
     [row] = candidates(spark, views(5), acquired, boost_hours(NOW), min_views=0).collect()

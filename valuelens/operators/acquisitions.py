@@ -152,6 +152,16 @@ def article_acquisition_values(
     )
 
 
+def acquired_articles(acquisitions: DataFrame, hours: Hours | None = None) -> DataFrame:
+    """The (url, region) with any acquisition, of value or not."""
+    return (
+        acquired_in(acquisitions, hours)
+        .where("referrer_url is not null")
+        .selectExpr("referrer_url as url", f"{region_of('country_code')} as region")
+        .distinct()
+    )
+
+
 def article_acquisitions(values: DataFrame) -> DataFrame:
     """Value and number of acquisitions per window, article URL and region."""
     return values.groupBy("window_start", "url", "region").agg(

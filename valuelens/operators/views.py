@@ -188,18 +188,27 @@ def total_component_views(
 
 
 def article_view_rows(
-    page_views: DataFrame, hours: Hours | None = None, span: int = BOOST_WINDOW_HOURS
+    page_views: DataFrame,
+    hours: Hours | None = None,
+    span: int = BOOST_WINDOW_HOURS,
+    only: Lookup | None = None,
 ) -> DataFrame:
-    """Rows (window_start, url, region, views), to be summed over sliding windows of ``span`` hours."""
+    """Rows (window_start, url, region, views), to be summed over sliding windows of ``span`` hours.
+
+    ``only`` holds the (url, region) of articles of interest; others are dropped before they are shuffled.
+    """
     single = hours is not None and hours.single
     starts = window_starts(hour_of("event.event_timestamp"), span)
-    rows = component_events(
+    events = component_events(
         page_views,
         [BOOST_COMPONENT_TYPE],
         hours,
         f"{url_of('protocol', 'host', 'path')} as url",
         f"{region_of('country_key')} as region",
-    ).selectExpr(
+    )
+    if only is not None:
+        events = events.join(only.side, ["url", "region"], "left_semi")
+    rows = events.selectExpr(
         # Repeated per window where they are read, then summed there: only sums are shuffled, once.
         f"{ntz(hours.first) if single else f'explode({starts})'} as window_start",
         "received_date",

@@ -16,7 +16,7 @@ from valuelens.functions.hours import (
     ntz,
     plus_hours,
 )
-from valuelens.operators.acquisitions import article_acquisition_values
+from valuelens.operators.acquisitions import acquired_articles, article_acquisition_values
 from valuelens.operators.lookup import Lookup
 from valuelens.operators.rates import boost_rates, rates_for
 from valuelens.operators.views import article_view_rows
@@ -46,8 +46,11 @@ def boost_candidates(
     """
     span = span if hours is None else hours.span
     article = ["window_start", "url", "region"]
-    prices, rates = Lookup.all(prices, boost_rates(rates_for(rates, hours)))
-    views = article_view_rows(page_views, hours, span)
+    prices, rates, acquired = Lookup.all(
+        prices, boost_rates(rates_for(rates, hours)), acquired_articles(acquisitions, hours)
+    )
+    # Few of the articles viewed are acquired from, so this spares most of the shuffle.
+    views = article_view_rows(page_views, hours, span, acquired if acquired.small else None)
     values = article_acquisition_values(acquisitions, prices, rates, hours, span)
     return (
         views.selectExpr(*article, "views", "null as av_gbp", "0L as acquisitions")
