@@ -79,14 +79,26 @@ def passes_threshold(
     return candidates.where(f"avPerView >= {threshold_of('region', thresholds)}")
 
 
-def _active(now: str) -> str:
+def active_boosts(boosts: DataFrame, as_of: datetime) -> DataFrame:
+    """Boosts that end today or tomorrow, and after the current hour."""
+    now = ntz(floor_hour(as_of))
     today, tomorrow = boost_date_text(now), boost_date_text(plus_hours(now, 24))
-    return f"endDate in ({today}, {tomorrow}) and endTimestamp > {boost_time_text(now)}"
+    return boosts.where(
+        f"endDate in ({today}, {tomorrow}) and endTimestamp > {boost_time_text(now)}"
+    )
 
 
-def active_boosts(boosts: DataFrame, as_of: datetime) -> DataFrame:
-    """Boosts that end today or tomorrow, and after the current hour."""
-    return boosts.where(_active(ntz(floor_hour(as_of))))
+def boosted_days(boosts: DataFrame) -> DataFrame:
+    """(url, region, run_date, boosted_until): runs of a day find an article boosted before that time.
+
+    Runs look at boosts that end on their day or the next.
+    """
+    run_dates = "array(endDate, cast(date_sub(cast(endDate as date), 1) as string))"
+    return (
+        boosts.selectExpr("url", "region", f"explode({run_dates}) as run_date", "endTimestamp")
+        .groupBy("url", "region", "run_date")
+        .agg(F.expr("max(endTimestamp) as boosted_until"))
+    )
 
 
 def boost_entries(
@@ -95,15 +107,17 @@ def boost_entries(
     span: int = BOOST_WINDOW_HOURS,
     thresholds: dict[str, float] = BOOST_THRESHOLDS,
 ) -> DataFrame:
-    """Candidates that reach their region's threshold and are not boosted at the hour of their run."""
-    stored = boosts.selectExpr(
-        "url as boosted_url", "region as boosted_region", "endDate", "endTimestamp"
-    )
+    """Candidates that reach their region's threshold and are not boosted at the hour of their run.
+
+    Each candidate meets at most one row, however often its article was boosted before.
+    """
+    run = run_hour("window_start", span)
+    found = passes_threshold(candidates, thresholds).alias("c")
     boosted = F.expr(
-        "url = boosted_url and region = boosted_region"
-        f" and {_active(run_hour('window_start', span))}"
+        "c.url = b.url and c.region = b.region"
+        f" and {boost_date_text(run)} = run_date and boosted_until > {boost_time_text(run)}"
     )
-    return passes_threshold(candidates, thresholds).join(stored, boosted, "left_anti")
+    return found.join(boosted_days(boosts).alias("b"), boosted, "left_anti")
 
 
 def boost_records(
