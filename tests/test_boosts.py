@@ -106,9 +106,8 @@ def test_windows_at_once_equal_each_alone(spark):
 def entry_rows(spark, *rows):
     schema = """window_start timestamp_ntz, url string, region string, totalAv double,
         totalAcquisitions bigint, totalViews bigint, avPerView double"""
-    return frames.table(spark, [(at("2024-01-02T08:00"), url, region, 1.0, 1, 1, value) for url, region, value in rows],
-        schema,
-    )
+    found = [(at("2024-01-02T08:00"), url, region, 1.0, 1, 1, value) for url, region, value in rows]
+    return frames.table(spark, found, schema)
 
 
 def boost(url=URL, region="GB", end="2024-01-02 13:00:00.000"):

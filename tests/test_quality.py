@@ -62,8 +62,7 @@ def test_boost_rows(spark):
 
 def test_run_metrics_count_repeated_configs(spark):
     hours = Hours(HOUR, at("2024-01-02T13:00"))
-    configs = frames.table(spark, [("Epic", "T"), ("Epic", "T"), ("Banner1", "U")], "channel string, name string"
-    )
+    configs = frames.configs(spark, ("Epic", "T"), ("Epic", "T"), ("Banner1", "U"))
     metrics = run_metrics(config_hours(configs, hours), samples(spark, GOOD))
     found = {row.window_start: tuple(row)[1:] for row in metrics.collect()}
     assert found == {HOUR: (3, 2, 200), at("2024-01-02T13:00"): (3, 0, 0)}

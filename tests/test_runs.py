@@ -176,7 +176,8 @@ def test_boost_run_with_catalog_prices(spark, site):
 
 def test_latest_boost_per_key(spark, tmp_path):
     path = f"{tmp_path}/boosts"
-    row = ("u", "GB", 1.0, 1, 1, 1.0, "GB_u", "2024-01-01 13:00:00.000", "2024-01-02", "2024-01-02 13:00:00.000")
+    times = ("2024-01-01 13:00:00.000", "2024-01-02", "2024-01-02 13:00:00.000")
+    row = ("u", "GB", 1.0, 1, 1, 1.0, "GB_u", *times)
     for value, minute in ((2.0, 30), (3.0, 20)):
         records = frames.table(spark, [(*row[:2], value, *row[3:])], schemas.BOOST_RECORDS)
         append_boosts(records, path, NOW.replace(minute=minute))

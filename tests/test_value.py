@@ -21,6 +21,7 @@ from valuelens.operators.quality import InvalidData
 from valuelens.operators.rates import boost_rates, sample_rates
 from valuelens.sources.catalog import read_catalog
 
+PRICE_KEY = "product string, currency string, payment_frequency string"
 NOON = "2024-01-02T12:10:00"
 RATES = [("2024-01-01", "GBP", 0.8), ("2024-01-01", "EUR", 1.0), ("2024-01-01", "USD", 1.25)]
 
@@ -79,7 +80,7 @@ def test_unknown_product_has_no_value(spark):
 
 def test_aud_annual_plan_has_no_boost_price(spark):
     key = {"product": "SUPPORTER_PLUS", "currency": "AUD", "payment_frequency": "ANNUALLY"}
-    request = frames.table(spark, [tuple(key.values())], "product string, currency string, payment_frequency string")
+    request = frames.table(spark, [tuple(key.values())], PRICE_KEY)
     assert list_prices(request, boost_prices(spark)).first().price is None
     assert list_prices(request, price_dimension(frames.catalog(spark))).first().price == 200
 
@@ -155,7 +156,7 @@ class TestCatalog:
     def price(self, spark, product, currency, frequency, **options):
         key = {"product": product, "currency": currency, "payment_frequency": frequency}
         prices = price_dimension(frames.catalog(spark))
-        return list_prices(frames.table(spark, [tuple(key.values())], "product string, currency string, payment_frequency string"), prices, **options).first().price
+        return list_prices(frames.table(spark, [tuple(key.values())], PRICE_KEY), prices, **options).first().price
 
     def test_prices(self, spark):
         assert self.price(spark, "SUPPORTER_PLUS", "GBP", "MONTHLY") == 12
