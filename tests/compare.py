@@ -50,6 +50,7 @@ def differences(df, sql: str, connection) -> list[str]:
         "string": "VARCHAR",
         "date": "DATE",
         "timestamp_ntz": "TIMESTAMP",
+        "boolean": "BOOLEAN",
     }
     for name, kind in df.dtypes:
         if known.get(kind) != types[name]:
