@@ -31,6 +31,8 @@ class Vocabulary:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file.splitlines())}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
+        #: Every ending of a token, and its rank if it is a token itself.
+        self.endings = {token[i:]: None for token in self.ranks for i in range(len(token))} | self.ranks
         self.known_pairs: dict[int, bool] = {}
         self._alone: dict[int, bool] = {}
 
@@ -78,10 +80,13 @@ class Prefixes:
         token, exactly one may follow the last token of what stands before them.
         """
         vocabulary, data, last = self.vocabulary, self.data, self.last
-        rank_of, known_pairs, longest = vocabulary.ranks.get, vocabulary.known_pairs, vocabulary.longest
+        endings, known_pairs = vocabulary.endings, vocabulary.known_pairs
         for end in range(len(last) + 1, upto + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                token = rank_of(data[start:end])
+            for start in range(end - 1, -1, -1):
+                ending = data[start:end]
+                if ending not in endings:
+                    raise ValueError("the vocabulary lacks single bytes")
+                token = endings[ending]
                 if token is None:
                     continue
                 if not start:
@@ -92,8 +97,6 @@ class Prefixes:
                 may = known_pairs.get(pair)
                 if may or may is None and vocabulary.may_follow(pair):
                     break
-            else:
-                raise ValueError("the vocabulary lacks single bytes")
             last.append(token)
 
     def replace(self, start: int, end: int, by: bytes) -> int:
