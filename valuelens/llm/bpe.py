@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REMEMBERED_PIECES = 600_000  # of each Python worker; a cache only: results do not depend on it
+REMEMBERED_PREFIXES = 1_000_000
 REMEMBERED_PAIRS = 2_000_000
 SHORT = 64  # longer pieces are not remembered
 MAX_VOCABULARY_BYTES = 64 << 20
+_NEVER = 1 << 62
 
 
 class Vocabulary:
@@ -35,25 +37,70 @@ class Vocabulary:
         self.endings = {token[i:]: None for token in self.ranks for i in range(len(token))} | self.ranks
         self.known_pairs: dict[int, bool] = {}
         self._alone: dict[int, bool] = {}
+        self._known_edges: dict[int, tuple] = {}
 
-    def merged(self, data: bytes) -> list[int]:
-        """The definition: merge the adjacent pair of the lowest rank, the leftmost of equals, as long as there is one."""
+    def merged(self, data: bytes, trace: list[tuple[int, bytes, bytes]] | None = None) -> list[int]:
+        """The definition: merge the adjacent pair of the lowest rank, the leftmost of equals, as long as there is one.
+
+        ``trace`` gets, after each step, the rank merged, the first part and the last part.
+        """
         ranks, parts = self.ranks, [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
-            pairs = [ranks.get(a + b, 1 << 62) for a, b in zip(parts, parts[1:], strict=False)]
+            pairs = [ranks.get(a + b, _NEVER) for a, b in zip(parts, parts[1:], strict=False)]
             best = min(pairs)
-            if best == 1 << 62:
+            if best == _NEVER:
                 break
             at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            if trace is not None:
+                trace.append((best, parts[0], parts[-1]))
         return [ranks[p] for p in parts]
 
+    def _edges(self, token: int) -> tuple[tuple[int, ...], tuple[int, ...], bool]:
+        """What stands first, and what last, while the token is merged, each ending with the token; and whether
+        the ranks merged only rise, so that a part's rank tells when it comes into being.
+        """
+        known = self._known_edges.get(token)
+        if known is None:
+            data, trace = self.tokens[token], []
+            self.merged(data, trace)
+            first = dict.fromkeys([data[:1], *(f for _, f, _ in trace)])
+            last = dict.fromkeys([data[-1:], *(x for _, _, x in trace)])
+            rises = all(a[0] <= b[0] for a, b in zip(trace, trace[1:], strict=False))
+            known = tuple(map(self.ranks.get, first)), tuple(map(self.ranks.get, last)), rises
+            self._known_edges[token] = known
+        return known
+
     def may_follow(self, pair: int) -> bool:
-        """Whether the encoding of the two tokens' bytes (first << 32 | second) is these two tokens."""
+        """Whether the encoding of the two tokens' bytes (first << 32 | second) is these two tokens.
+
+        It is not if, at some time, the parts on both sides of the border would merge before either of them
+        merges with its own neighbour; at equal ranks the leftmost pair merges first.
+        """
         first, second = pair >> 32, pair & 0xFFFFFFFF
+        (_, left, rises), (right, _, rises_too) = self._edges(first), self._edges(second)
+        tokens, rank_of = self.tokens, self.ranks.get
+        if not (rises and rises_too):
+            known = self.merged(tokens[first] + tokens[second]) == [first, second]
+        else:
+            i = j = 0
+            while True:
+                across = rank_of(tokens[left[i]] + tokens[right[j]], _NEVER)
+                own = left[i + 1] if i + 1 < len(left) else _NEVER
+                other = right[j + 1] if j + 1 < len(right) else _NEVER
+                if across < own and across <= other:
+                    known = False
+                    break
+                if own == other == _NEVER:
+                    known = True
+                    break
+                if own <= other:
+                    i += 1
+                else:
+                    j += 1
         if len(self.known_pairs) >= REMEMBERED_PAIRS:
             self.known_pairs.clear()
-        known = self.known_pairs[pair] = self.merged(self.tokens[first] + self.tokens[second]) == [first, second]
+        self.known_pairs[pair] = known
         return known
 
     def stands_alone(self, token: int) -> bool:
@@ -67,9 +114,10 @@ class Vocabulary:
 class Prefixes:
     """The last token of every prefix of a byte string. ``last[i]`` ends the encoding of the first i + 1 bytes."""
 
-    def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, b"", []
-        self.append(data)
+    def __init__(self, vocabulary: Vocabulary, data: bytes = b"", last: list[int] | None = None):
+        """``last``: what is known already of the first prefixes of ``data``."""
+        self.vocabulary, self.data, self.last = vocabulary, data, last or []
+        self._extend(len(data))
 
     def append(self, more: bytes) -> None:
         self.data += more
@@ -126,15 +174,32 @@ class Prefixes:
 
 
 class _Pieces(dict):
-    """Packed ids of short pieces, worked out when first asked for."""
+    """Packed ids of short pieces, worked out when first asked for. Pieces share their prefixes' last tokens."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.prefixes = vocabulary, {}
+
+    def _short(self, data: bytes) -> Prefixes:
+        known, last = self.prefixes, []
+        for end in range(1, len(data) + 1):
+            token = known.get(data[:end])
+            if token is None:
+                break
+            last.append(token)
+        first = len(last)
+        found = Prefixes(self.vocabulary, data, last)
+        if len(known) >= REMEMBERED_PREFIXES:
+            known.clear()
+        for end in range(first + 1, len(data) + 1):
+            known[data[:end]] = found.last[end - 1]
+        return found
 
     def __missing__(self, piece: str) -> bytes:
         data = piece.encode("utf-8", "surrogatepass")
-        packed = array("I", Prefixes(self.vocabulary, data).ids()).tobytes()
-        if len(piece) <= SHORT:
+        if len(piece) > SHORT:
+            packed = array("I", Prefixes(self.vocabulary, data).ids()).tobytes()
+        else:
+            packed = array("I", self._short(data).ids()).tobytes()
             if len(self) >= REMEMBERED_PIECES:
                 self.clear()
             self[piece] = packed
