@@ -40,4 +40,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, a OR
 FROM f LEFT JOIN (SELECT source AS bad_source FROM bad) ON source = bad_source
 """
 
-ORACLE: dict[str, str] = {"op4_host_rules": HOST_RULES}
+CHAT = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  sum(length('<|im_start|>') + length(role) + 1 + length('<|im_end|>') + 1
+    + length(regexp_replace(text, '<(\\*)\|(im_start|im_end)\|>', '<\1\\|\2|>', 'g')))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {"op4_host_rules": HOST_RULES, "op8_chat_round_trip": CHAT}

@@ -166,7 +166,7 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 def spans_of(rule: Rule, place: int) -> str:
     """The rule's matches in ``text``, from left to right: start, place among the kinds, end, kind."""
-    pattern = "r'''" if False else _literal(rule.pattern)
+    pattern = _literal(rule.pattern)
     values = f"regexp_extract_all(text, {pattern}, {rule.group})"
     return f"""transform(array(struct(split(text, {pattern}, -1) AS parts,
         regexp_extract_all(text, {pattern}, 0) AS whole, {values} AS vals)), m ->
