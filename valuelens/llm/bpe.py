@@ -18,8 +18,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REMEMBERED_PIECES = 600_000  # of each Python worker; a cache only: results do not depend on it
-REMEMBERED_PREFIXES = 1_000_000
+REMEMBERED_PIECES = 1_000_000  # of each Python worker; a cache only: results do not depend on it
 REMEMBERED_PAIRS = 2_000_000
 SHORT = 64  # longer pieces are not remembered
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -33,6 +32,7 @@ class Vocabulary:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file.splitlines())}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
+        self.lengths = {rank: len(token) for token, rank in self.ranks.items()}
         #: Every ending of a token, and its rank if it is a token itself.
         self.endings = {token[i:]: None for token in self.ranks for i in range(len(token))} | self.ranks
         self.known_pairs: dict[int, bool] = {}
@@ -110,13 +110,44 @@ class Vocabulary:
             known = self._alone[token] = self.merged(self.tokens[token]) == [token]
         return known
 
+    def extend(self, last: list[int], data: bytes, upto: int) -> None:
+        """Appends the last tokens of the prefixes that are longer than ``last``, up to this length.
+
+        Of a prefix's endings that are a token, exactly one may follow the last token of what stands before it.
+        """
+        endings, known_pairs = self.endings, self.known_pairs
+        for end in range(len(last) + 1, upto + 1):
+            start = end - 1
+            while True:
+                token = endings[data[start:end]]
+                if token is not None:
+                    if not start:
+                        if self.stands_alone(token):
+                            break
+                    else:
+                        pair = last[start - 1] << 32 | token
+                        may = known_pairs.get(pair)
+                        if may or may is None and self.may_follow(pair):
+                            break
+                start -= 1
+            last.append(token)
+
+    def ids(self, last: list[int]) -> list[int]:
+        """The tokens of the whole, from the last tokens of its prefixes."""
+        found, lengths, end = [], self.lengths, len(last)
+        while end:
+            token = last[end - 1]
+            found.append(token)
+            end -= lengths[token]
+        found.reverse()
+        return found
+
 
 class Prefixes:
     """The last token of every prefix of a byte string. ``last[i]`` ends the encoding of the first i + 1 bytes."""
 
-    def __init__(self, vocabulary: Vocabulary, data: bytes = b"", last: list[int] | None = None):
-        """``last``: what is known already of the first prefixes of ``data``."""
-        self.vocabulary, self.data, self.last = vocabulary, data, last or []
+    def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
+        self.vocabulary, self.data, self.last = vocabulary, data, []
         self._extend(len(data))
 
     def append(self, more: bytes) -> None:
@@ -124,28 +155,7 @@ class Prefixes:
         self._extend(len(self.data))
 
     def _extend(self, upto: int) -> None:
-        """Works out the last tokens of the prefixes up to this length. Of a prefix's final bytes that are a
-        token, exactly one may follow the last token of what stands before them.
-        """
-        vocabulary, data, last = self.vocabulary, self.data, self.last
-        endings, known_pairs = vocabulary.endings, vocabulary.known_pairs
-        for end in range(len(last) + 1, upto + 1):
-            for start in range(end - 1, -1, -1):
-                ending = data[start:end]
-                if ending not in endings:
-                    raise ValueError("the vocabulary lacks single bytes")
-                token = endings[ending]
-                if token is None:
-                    continue
-                if not start:
-                    if vocabulary.stands_alone(token):
-                        break
-                    continue
-                pair = last[start - 1] << 32 | token
-                may = known_pairs.get(pair)
-                if may or may is None and vocabulary.may_follow(pair):
-                    break
-            last.append(token)
+        self.vocabulary.extend(self.last, self.data, upto)
 
     def replace(self, start: int, end: int, by: bytes) -> int:
         """Replaces bytes start to end. Returns how many positions behind the edit had to be worked out anew.
@@ -166,40 +176,20 @@ class Prefixes:
         return len(old)
 
     def ids(self) -> list[int]:
-        found, end = [], len(self.data)
-        while end:
-            found.append(self.last[end - 1])
-            end -= len(self.vocabulary.tokens[found[-1]])
-        return found[::-1]
+        return self.vocabulary.ids(self.last)
 
 
 class _Pieces(dict):
-    """Packed ids of short pieces, worked out when first asked for. Pieces share their prefixes' last tokens."""
+    """Packed ids of short pieces, worked out when first asked for."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.prefixes = vocabulary, {}
-
-    def _short(self, data: bytes) -> Prefixes:
-        known, last = self.prefixes, []
-        for end in range(1, len(data) + 1):
-            token = known.get(data[:end])
-            if token is None:
-                break
-            last.append(token)
-        first = len(last)
-        found = Prefixes(self.vocabulary, data, last)
-        if len(known) >= REMEMBERED_PREFIXES:
-            known.clear()
-        for end in range(first + 1, len(data) + 1):
-            known[data[:end]] = found.last[end - 1]
-        return found
+        self.vocabulary = vocabulary
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode("utf-8", "surrogatepass")
-        if len(piece) > SHORT:
-            packed = array("I", Prefixes(self.vocabulary, data).ids()).tobytes()
-        else:
-            packed = array("I", self._short(data).ids()).tobytes()
+        data, last = piece.encode("utf-8", "surrogatepass"), []
+        self.vocabulary.extend(last, data, len(data))
+        packed = array("I", self.vocabulary.ids(last)).tobytes()
+        if len(piece) <= SHORT:
             if len(self) >= REMEMBERED_PIECES:
                 self.clear()
             self[piece] = packed
