@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from valuelens.llm.licenses import TEMPLATES
+
 HOST_RULES = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
@@ -55,4 +57,44 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op4_host_rules": HOST_RULES, "op8_chat_round_trip": CHAT}
+LICENSES = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), w AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM d
+), phrases(label, p) AS (
+  VALUES ('cc-by', ['cc', 'by']), ('gpl', ['general', 'public', 'license']), ('reserved', ['all', 'rights', 'reserved'])
+), places AS (
+  SELECT r, label, i - 1 AS word FROM w JOIN phrases ON list_has_all(ws, p), unnest(range(1, len(ws) + 1)) AS u(i)
+  WHERE ws[i:i + len(p) - 1] = p
+), base AS (
+  SELECT r, count(*) AS n, min(word) AS a, max(word) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS l
+  FROM places GROUP BY r
+), templates(label, body) AS (
+  VALUES @templates
+), tw AS (
+  SELECT DISTINCT label, unnest(regexp_extract_all(body, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM templates
+), need AS (
+  SELECT label, count(*) AS n FROM tw GROUP BY label
+), lines AS (
+  SELECT r, unnest(range(len(string_split(t, chr(10))))) AS k, unnest(string_split(t, chr(10))) AS line FROM w
+), lw AS (
+  SELECT DISTINCT r, k, unnest(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM lines
+), met AS (
+  SELECT r, label, count(*) / any_value(n) AS share
+  FROM lw JOIN tw USING (word) JOIN need USING (label) GROUP BY r, k, label HAVING 5 * count(*) >= 4 * any_value(n)
+), found AS (
+  SELECT r, max(share) AS share FROM met GROUP BY r
+), named AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS l
+  FROM (SELECT r, label FROM met UNION ALL SELECT r, label FROM places) GROUP BY r
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(base.n, 0) AS n_base, base.a AS first_word, base.z AS last_word,
+  coalesce(base.l, '') AS base_labels, coalesce(named.l, '') AS labels,
+  CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(found.share, 0) END::DOUBLE AS score
+FROM w LEFT JOIN base USING (r) LEFT JOIN found USING (r) LEFT JOIN named USING (r)
+""".replace("@templates", ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES.items()))
+
+ORACLE: dict[str, str] = {
+    "op9_license_scan": LICENSES, "op4_host_rules": HOST_RULES, "op8_chat_round_trip": CHAT}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuelens.llm import bpe, chat, language, quality, secrets
+from valuelens.llm import bpe, chat, decontamination, language, licenses, quality, secrets
 from valuelens.llm.common import table
 from valuelens.llm.oracle import ORACLE
 
@@ -78,12 +78,35 @@ def chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_documents(spark, sf_dir).select("doc_id", "text"))
+    labels = "array_join(array_sort(array_distinct({})), ',')"
+    return found.select(
+        "doc_id",
+        F.col("licenses.n_words").alias("n_words"),
+        F.expr("cast(size(licenses.places) AS long)").alias("n_base"),
+        F.expr("array_min(licenses.places.word)").alias("first_word"),
+        F.expr("array_max(licenses.places.word)").alias("last_word"),
+        F.expr(labels.format("licenses.places.label")).alias("base_labels"),
+        F.expr(labels.format("concat(licenses.places.label, licenses.blocks.label)")).alias("labels"),
+        F.expr(
+            "if(size(licenses.places) > 0, 1D, coalesce(array_max(licenses.blocks.share), 0D))"
+        ).alias("score"),
+    )
+
+
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_round_trip": bpe_round_trip,
     "op4_host_rules": host_rules,
     "op5_language_id": language_id,
     "op7_secret_scan": secret_scan,
     "op8_chat_round_trip": chat_round_trip,
+    "op9_license_scan": license_scan,
+    "op10_benchmark_leaks": benchmark_leaks,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
