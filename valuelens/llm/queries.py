@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuelens.llm import bpe, chat, decontamination, language, licenses, quality, secrets
+from valuelens.llm import bpe, chat, decontamination, jaccard, language, licenses, quality, secrets
 from valuelens.llm.common import table
 from valuelens.llm.oracle import ORACLE
 
@@ -47,6 +47,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_documents(spark, sf_dir))
+
+
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_documents(spark, sf_dir).select("doc_id", "text"))
     count = lambda kind: F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) AS long)").alias(f"n_{kind}")
@@ -103,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_round_trip": bpe_round_trip,
     "op4_host_rules": host_rules,
     "op5_language_id": language_id,
+    "op6_jaccard_join": jaccard_join,
     "op7_secret_scan": secret_scan,
     "op8_chat_round_trip": chat_round_trip,
     "op9_license_scan": license_scan,
