@@ -5,8 +5,9 @@ each fragment by itself and summed per pair. Pairs to be counted come from the h
 that are similar enough share one of their first shingles.
 
 Texts with equal sets are one node. Within a group of nodes that share a first shingle, each is compared with the
-group's first node; then pairs of the group whose nodes are still in different components are compared, all of
-them. So no link between components is lost, and copies are never expanded into pairs.
+group's first node; then pairs of the group whose nodes are still in different components are counted, all of
+them, and compared if their common first shingles leave a chance. So no link between components is lost, and
+copies are never expanded into pairs.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ COUNTERS = 1 << 18  # of the sketch of shingle frequencies; its size does not de
 SIGMAS = 6
 FILTER_BITS = 1 << 22
 _SIMILAR = f"100 * shared >= {PERCENT} * (n_a + n_b - shared)"
+#: Of two sets with ``head`` common shingles in their heads, no more can be common than these and the longer tail.
+_REACHES = f"""head + greatest(({PERCENT} * n_a + 99) div 100, ({PERCENT} * n_b + 99) div 100) - 1
+    >= ({PERCENT} * (n_a + n_b) + 99 + {PERCENT}) div (100 + {PERCENT})"""
 _SIZES = f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)"
 
 
@@ -207,22 +211,23 @@ def _links(rows: DataFrame, pairs: DataFrame, nodes: DataFrame, order: Order) ->
 
 
 def _first_pairs(heads: DataFrame) -> DataFrame:
-    """Each node with the first node that it shares most first shingles with, of those of fitting size."""
+    """Each node with the first node that it shares most first shingles with, of those within reach."""
     tried = heads.where("first <> node").selectExpr("first AS a", "node AS b", "first_n AS n_a", "n AS n_b").where(_SIZES)
-    counted = tried.groupBy("a", "b", "n_a", "n_b").count()
-    best = counted.groupBy("b", "n_b").agg(F.max(F.struct("count", (-F.col("a")).alias("minus"), "n_a")).alias("best"))
+    counted = tried.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("head")).where(_REACHES)
+    best = counted.groupBy("b", "n_b").agg(F.max(F.struct("head", (-F.col("a")).alias("minus"), "n_a")).alias("best"))
     return written(best.selectExpr("-best.minus AS a", "b", "best.n_a", "n_b"), "pairs")
 
 
 def _cross_pairs(heads: DataFrame, found: DataFrame) -> DataFrame:
-    """All pairs of fitting size that share a first shingle and are not in one component yet."""
+    """All pairs that are not in one component yet and share enough first shingles to be within reach."""
     placed = heads.join(found, "node", "left").selectExpr("token", "node", "n", "coalesce(component, node) AS component")
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     rows = written(placed.join(mixed.select("token"), "token"), "mixed")
     a = rows.selectExpr("token", "node AS a", "n AS n_a", "component AS c_a")
     b = rows.selectExpr("token", "node AS b", "n AS n_b", "component AS c_b")
     pairs = a.join(b, "token").where(f"a < b AND c_a <> c_b AND {_SIZES}")
-    return written(pairs.select("a", "b", "n_a", "n_b").distinct(), "pairs")
+    counted = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("head"))
+    return written(counted.where(_REACHES).drop("head"), "pairs")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
