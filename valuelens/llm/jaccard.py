@@ -5,8 +5,8 @@ each fragment by itself and summed per pair. Pairs to be counted come from the h
 that are similar enough share one of their first shingles.
 
 Texts with equal sets are one node. Within a group of nodes that share a first shingle, each is compared with the
-group's first node; then pairs of the group whose nodes are still in different components are counted, all of
-them, and compared if their common first shingles leave a chance. So no link between components is lost, and
+group's first node; then all nodes of the group that are still in different components are held against each other
+by the outlines of their sets, and compared if these leave a chance. So no link between components is lost, and
 copies are never expanded into pairs.
 """
 
@@ -28,6 +28,8 @@ FRAGMENTS = 8
 COUNTERS = 1 << 18  # of the sketch of shingle frequencies; its size does not depend on the input
 SIGMAS = 6
 FILTER_BITS = 1 << 22
+CELLS = 256  # of a set's outline
+BLOCK = 1024  # nodes of a group that are compared with as many others at a time
 _SIMILAR = f"100 * shared >= {PERCENT} * (n_a + n_b - shared)"
 #: Of two sets with ``head`` common shingles in their heads, no more can be common than these and the longer tail.
 _REACHES = f"""head + greatest(({PERCENT} * n_a + 99) div 100, ({PERCENT} * n_b + 99) div 100) - 1
@@ -70,6 +72,12 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def outline(values: np.ndarray) -> bytes:
+    """How many shingles fall in each cell; 255 stands for as many or more."""
+    cells = np.bincount((mix(values, 3) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+    return np.minimum(cells, 255).astype(np.uint8).tobytes()
+
+
 class Order:
     """The global order: shingles that are no more frequent than chance first, by a hash; then by excess and hash.
 
@@ -119,12 +127,15 @@ def _nodes(rows: DataFrame, order: Order) -> DataFrame:
                     pa.array(map(len, sets), pa.int64()),
                     pa.array(map(fingerprint, sets), pa.binary()),
                     pa.array([shared.value.head(s).view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array(map(outline, sets), pa.binary()),
                 ],
-                names=["doc_id", "n", "print", "head"],
+                names=["doc_id", "n", "print", "head", "outline"],
             )
 
-    found = rows.mapInArrow(heads, "doc_id long, n long, print binary, head array<long>").where("n > 0")
-    one = found.groupBy("print").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("head").alias("head"))
+    found = rows.mapInArrow(heads, "doc_id long, n long, print binary, head array<long>, outline binary").where("n > 0")
+    one = found.groupBy("print").agg(
+        F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("head").alias("head"), F.first("outline").alias("outline")
+    )
     return written(one.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
 
@@ -150,7 +161,7 @@ def _shared_heads(nodes: DataFrame) -> DataFrame:
 
 def _needed(pairs: DataFrame, nodes: DataFrame) -> np.ndarray:
     """A filter of fixed size that passes the documents that stand for the nodes of these pairs, and some others."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node")
     slots = wanted.select((F.xxhash64("doc_id").bitwiseAND(FILTER_BITS - 1)).cast("int").alias("slot")).distinct()
     passes = np.zeros(FILTER_BITS, bool)
     passes[slots.toArrow()["slot"].to_numpy()] = True
@@ -191,7 +202,7 @@ def _segments(rows: DataFrame, pairs: DataFrame, nodes: DataFrame, order: Order)
 
     slotted = rows.withColumn("slot", F.xxhash64("doc_id").bitwiseAND(FILTER_BITS - 1).cast("int"))
     parts = slotted.mapInArrow(cut, "doc_id long, print binary, fragment int, part array<long>")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.drop("head"), "node")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "print", "doc_id"), "node")
     own = (parts["print"] == wanted["print"]) & parts["doc_id"].eqNullSafe(wanted["doc_id"])
     return parts.join(wanted, own).select("node", "fragment", "part").dropDuplicates(["node", "fragment"])
 
@@ -218,16 +229,83 @@ def _first_pairs(heads: DataFrame) -> DataFrame:
     return written(best.selectExpr("-best.minus AS a", "b", "best.n_a", "n_b"), "pairs")
 
 
-def _cross_pairs(heads: DataFrame, found: DataFrame) -> DataFrame:
-    """All pairs that are not in one component yet and share enough first shingles to be within reach."""
+def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by ``task``, each of two blocks of a group. Per node, those nodes of the other block that are in
+    another component and whose outline does not rule out a link: no more shingles can be common than the sum of
+    the lesser counts of all cells.
+    """
+    names = ["task", "second", "node", "n", "component", "outline"]
+
+    def compare(rows: list[tuple]) -> tuple[list[int], list[list[int]]]:
+        first, second = ([r for r in rows if r[1] == side] for side in (False, True))
+        other = second or first  # a block with itself comes once
+        if not first:
+            return [], []
+        nodes, sizes, parts = (np.array([r[k] for r in other], np.int64) for k in (2, 3, 4))
+        cells = np.frombuffer(b"".join(r[5] for r in other), np.uint8).reshape(-1, CELLS)
+        full = (cells == 255).any(axis=1)
+        owners, lists = [], []
+        for _, _, node, n, component, outline_ in first:
+            mine = np.frombuffer(outline_, np.uint8)
+            least = PERCENT * (sizes + n) / (100 + PERCENT)
+            fits = (parts != component) & (np.minimum(sizes, n) >= least) & ((nodes > node) | bool(second))
+            at = np.flatnonzero(fits)
+            bound = np.minimum(cells[at], mine).sum(axis=1, dtype=np.int64)
+            keep = nodes[at[(bound >= least[at]) | (full[at] & (255 in mine))]]
+            if len(keep):
+                owners.append(node)
+                lists.append(keep)
+        return owners, lists
+
+    def result(rows: list[tuple]) -> pa.RecordBatch:
+        owners, lists = compare(rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(owners, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], names=["node", "partners"]
+        )
+
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names), strict=True):
+            if held and held[-1][0] != row[0]:
+                yield result(held)
+                held = []
+            held.append(row)
+    if held:
+        yield result(held)
+
+
+def _cross_pairs(heads: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """All pairs that share a first shingle, are not in one component yet, and have outlines that allow a link.
+
+    Groups are cut into blocks; each two blocks meet in a task of their own, so that a task holds two
+    blocks and no more, whatever the size of the group.
+    """
     placed = heads.join(found, "node", "left").selectExpr("token", "node", "n", "coalesce(component, node) AS component")
-    mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    rows = written(placed.join(mixed.select("token"), "token"), "mixed")
-    a = rows.selectExpr("token", "node AS a", "n AS n_a", "component AS c_a")
-    b = rows.selectExpr("token", "node AS b", "n AS n_b", "component AS c_b")
-    pairs = a.join(b, "token").where(f"a < b AND c_a <> c_b AND {_SIZES}")
-    counted = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("head"))
-    return written(counted.where(_REACHES).drop("head"), "pairs")
+    mixed = placed.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")
+    ).where("low <> high").select("token", ((F.col("members") - 1) / BLOCK).cast("int").alias("last"))
+    rows = placed.join(mixed, "token").selectExpr(
+        "*", f"(row_number() OVER (PARTITION BY token ORDER BY node) - 1) div {BLOCK} AS block"
+    )
+    dealt = rows.join(nodes.select("node", "outline"), "node").selectExpr(
+        "token", "node", "n", "component", "outline", "block", "explode(sequence(0, last)) AS other"
+    ).selectExpr(
+        "struct(token, least(block, other) AS i, greatest(block, other) AS j) AS meeting",
+        "block > other AS second", "node", "n", "component", "outline",
+    )
+    # Of two blocks the later one is second; a block with itself has only first rows.
+    tasks = dealt.withColumn("task", F.to_json("meeting")).repartition("task").sortWithinPartitions("task")
+    lists = tasks.select("task", "second", "node", "n", "component", "outline").mapInArrow(
+        _partners, "node long, partners array<long>"
+    )
+    partners = lists.groupBy("node").agg(F.expr("array_distinct(flatten(collect_list(partners)))").alias("partners"))
+    pairs = partners.select("node", F.explode("partners").alias("partner")).selectExpr(
+        "least(node, partner) AS a", "greatest(node, partner) AS b"
+    ).distinct()
+    sizes = nodes.select("node", "n")
+    return written(
+        pairs.join(sizes.selectExpr("node AS a", "n AS n_a"), "a").join(sizes.selectExpr("node AS b", "n AS n_b"), "b"), "pairs"
+    )
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,7 +326,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     heads = _shared_heads(nodes)
 
     links = _links(rows, _first_pairs(heads), nodes, order)
-    cross = _cross_pairs(heads, components(links))
+    cross = _cross_pairs(heads, components(links), nodes)
     if not cross.isEmpty():
         links = links.union(_links(rows, cross, nodes, order))
     placed = nodes.select("node", "print", "doc_id").join(components(links), "node", "left")
