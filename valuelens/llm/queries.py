@@ -8,19 +8,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuelens.llm import bpe, chat, decontamination, jaccard, language, licenses, quality, secrets
+from valuelens.llm import bpe, chat, decontamination, jaccard, language, licenses, passages, pii, quality, secrets
 from valuelens.llm.common import table
 from valuelens.llm.oracle import ORACLE
 
 BATCH_ROWS = "512"  # of what passes to Python at once; some texts are very long
+SURROGATE_KEY = "of this query"  # in production a secret
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return table(spark, sf_dir, "documents")
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeats(_documents(spark, sf_dir))
+
+
+def surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(_documents(spark, sf_dir), SURROGATE_KEY).select("doc_id", "n_entities", "text")
+
+
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     file, pattern = bpe.read_vocabulary(public_tokenizers.path(VOCABULARY)), public_tokenizers.PATTERN
     coded = bpe.decode(bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), file, pattern), file, pattern)
@@ -104,7 +117,9 @@ def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeated_passages": repeated_passages,
     "op2_bpe_round_trip": bpe_round_trip,
+    "op3_surrogates": surrogates,
     "op4_host_rules": host_rules,
     "op5_language_id": language_id,
     "op6_jaccard_join": jaccard_join,
