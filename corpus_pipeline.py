@@ -1,14 +1,81 @@
-"""The pipeline: language identification, near-duplicate removal, decontamination, secrets, tokens."""
+"""The pipeline: language identification, near-duplicate removal, decontamination, secrets, tokens.
+
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and works on all that the stage before
+kept. ``run`` writes what each returns as Parquet and reads it again for the next.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from valuelens.llm import bpe, decontamination, jaccard, language, secrets
 from valuelens.llm.common import table, written
+from valuelens.llm.queries import VOCABULARY, small_batches
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in a language that the labelled ones teach; the label itself is not asked.
+
+    Rejected are texts that are null or have no letter, and those that no learnt language is likelier for than
+    all others together. Without labelled documents nothing is learnt, and nothing is kept.
+    """
+    small_batches(spark)
+    found = language.identify(docs.select(COLUMNS), language.train(docs))
+    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5)).select(COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays.
+
+    Rows with equal ids and texts are copies, of which one stays. Rows without an id cannot be told apart by it
+    and all stay.
+    """
+    small_batches(spark)
+    placed = jaccard.join(docs)
+    stays = placed.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.select(COLUMNS).join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(COLUMNS)
+    return named.unionByName(docs.select(COLUMNS).where("doc_id IS NULL"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    small_batches(spark)
+    leaks = decontamination.find(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.select(COLUMNS).join(leaks, "doc_id", "left_anti").select(COLUMNS)
+
+
+def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a note of their kind; every document stays."""
+    text = F.when(F.size("spans") > 0, secrets.redacted()).otherwise(F.col("text"))
+    scanned = secrets.scan(docs.select(COLUMNS)).withColumn("text", text)
+    return scanned.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, proven by decoding them again."""
+    small_batches(spark)
+    file, pattern = bpe.read_vocabulary(public_tokenizers.path(VOCABULARY)), public_tokenizers.PATTERN
+    coded = bpe.decode(bpe.encode(docs.select(COLUMNS), file, pattern), file, pattern)
+    whole = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    checked = F.when(whole, F.col("ids")).otherwise(F.raise_error(F.lit("tokens do not decode to the text")))
+    return coded.select(
+        "doc_id", "lang", "source", "n_chars", checked.cast("binary").alias("ids"), (F.length("ids") / 4).cast("long").alias("n_tokens")
+    )
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language-id", language_id),
+    ("near-duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("secrets", scan_secrets),
+    ("tokens", tokenize),
+]
 
 #: Naive Bayes, edit distances and byte-pair merges have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
@@ -17,5 +84,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
