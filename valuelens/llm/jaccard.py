@@ -29,6 +29,7 @@ COUNTERS = 1 << 18  # of the sketch of shingle frequencies; its size does not de
 SIGMAS = 6
 FILTER_BITS = 1 << 22
 CELLS = 256  # of a set's outline
+SMALL = 64  # members of a group whose pairs are counted rather than outlined
 BLOCK = 1024  # nodes of a group that are compared with as many others at a time
 _SIMILAR = f"100 * shared >= {PERCENT} * (n_a + n_b - shared)"
 #: Of two sets with ``head`` common shingles in their heads, no more can be common than these and the longer tail.
@@ -134,7 +135,7 @@ def _nodes(rows: DataFrame, order: Order) -> DataFrame:
 
     found = rows.mapInArrow(heads, "doc_id long, n long, print binary, head array<long>, outline binary").where("n > 0")
     one = found.groupBy("print").agg(
-        F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("head").alias("head"), F.first("outline").alias("outline")
+        F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("head").alias("head"), F.first("outline").alias("outline"), F.count("*").alias("copies")
     )
     return written(one.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
@@ -142,13 +143,13 @@ def _nodes(rows: DataFrame, order: Order) -> DataFrame:
 def _shared_heads(nodes: DataFrame) -> DataFrame:
     """token, node, n, first (node), first_n of all tokens in the heads of two or more nodes.
 
-    The window only looks back and one row ahead, so a token's rows are never held together.
+    First comes the node with most copies: what others were made from, more often than not. The window only looks back and one row ahead, so a token's rows are never held together.
     """
-    heads = nodes.select("node", "n", F.explode("head").alias("token"))
-    order = "OVER (PARTITION BY token ORDER BY node"
+    heads = nodes.select("node", "n", "copies", F.explode("head").alias("token"))
+    order = "OVER (PARTITION BY token ORDER BY copies DESC, node"
     looked = heads.selectExpr(
         "*",
-        f"min(struct(node, n)) {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS first",
+        f"first(struct(node, n)) {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS first",
         f"lead(node) {order}) AS next",
     )
     return written(
@@ -275,16 +276,24 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cross_pairs(heads: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
-    """All pairs that share a first shingle, are not in one component yet, and have outlines that allow a link.
+    """All pairs that share a first shingle, are not in one component yet, and may link.
 
-    Groups are cut into blocks; each two blocks meet in a task of their own, so that a task holds two
+    In small groups pairs are counted, as a pair that is in no large group has all its common first shingles
+    there. In large ones outlines decide. Large groups are cut into blocks; each two blocks meet in a task of their own, so that a task holds two
     blocks and no more, whatever the size of the group.
     """
     placed = heads.join(found, "node", "left").selectExpr("token", "node", "n", "coalesce(component, node) AS component")
     mixed = placed.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")
-    ).where("low <> high").select("token", ((F.col("members") - 1) / BLOCK).cast("int").alias("last"))
-    rows = placed.join(mixed, "token").selectExpr(
+    ).where("low <> high").select("token", "members")
+    met = written(placed.join(mixed, "token"), "mixed")
+    few = met.where(f"members <= {SMALL}")
+    a = few.selectExpr("token", "node AS a", "n AS n_a", "component AS c_a")
+    b = few.selectExpr("token", "node AS b", "n AS n_b", "component AS c_b")
+    counted = a.join(b, "token").where(f"a < b AND c_a <> c_b AND {_SIZES}").groupBy("a", "b", "n_a", "n_b")
+    close = counted.agg(F.count("*").alias("head")).where(_REACHES).drop("head")
+    many = met.where(f"members > {SMALL}").withColumn("last", F.expr(f"cast((members - 1) div {BLOCK} AS int)"))
+    rows = many.selectExpr(
         "*", f"(row_number() OVER (PARTITION BY token ORDER BY node) - 1) div {BLOCK} AS block"
     )
     dealt = rows.join(nodes.select("node", "outline"), "node").selectExpr(
@@ -303,9 +312,8 @@ def _cross_pairs(heads: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFr
         "least(node, partner) AS a", "greatest(node, partner) AS b"
     ).distinct()
     sizes = nodes.select("node", "n")
-    return written(
-        pairs.join(sizes.selectExpr("node AS a", "n AS n_a"), "a").join(sizes.selectExpr("node AS b", "n AS n_b"), "b"), "pairs"
-    )
+    outlined = pairs.join(sizes.selectExpr("node AS a", "n AS n_a"), "a").join(sizes.selectExpr("node AS b", "n AS n_b"), "b")
+    return written(close.unionByName(outlined).distinct(), "pairs")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
