@@ -208,14 +208,14 @@ CTES |= {
             strftime(start + INTERVAL 24 HOUR, '%Y-%m-%d') AS "endDate",
             strftime(start + INTERVAL 24 HOUR, '%Y-%m-%d %H:00:00.000') AS "endTimestamp",
             value AS "totalAv", value / 100 AS "avPerView", k::bigint AS "totalViews",
-            1::bigint AS "totalAcquisitions", ts
+            1::bigint AS "totalAcquisitions", event_id
         FROM (SELECT *, 'https://www.example.com/article/' || (user_id % 10) AS url,
                 {_list(["GB", "US", "AU", "NZ", "CA", "EU", "EU", "ROW"])}[user_id % 8 + 1] AS region,
                 date_trunc('hour', ts) AS start
             FROM e WHERE event_type = 'signup')""",
     "latest_boosts": """
-        SELECT * EXCLUDE (ts, n) FROM (
-            SELECT *, row_number() OVER (PARTITION BY id, "startTimestamp" ORDER BY ts DESC) AS n
+        SELECT * EXCLUDE (event_id, n) FROM (
+            SELECT *, row_number() OVER (PARTITION BY id, "startTimestamp" ORDER BY event_id DESC) AS n
             FROM stored) WHERE n = 1""",
     "entries": f"""
         SELECT c.* FROM candidates c
@@ -482,6 +482,19 @@ ORACLE: dict[str, str] = {
             strftime(window_start + INTERVAL 28 HOUR, '%Y-%m-%d %H:00:00.000') AS "endTimestamp"
         FROM entries"""),
     "run_metrics": _query("SELECT * FROM metric_hours"),
+    "run_metrics_without_configs": _query("""
+        SELECT window_start, 0::bigint AS total_tests, 0::bigint AS tests_with_data, 0::bigint AS variant_views
+        FROM windows"""),
+    "sampling_windows": _query("""
+        SELECT event_id, date_trunc('hour', ts)::timestamp - INTERVAL 2 HOUR AS sample_start,
+            date_trunc('hour', ts)::timestamp - INTERVAL 1 HOUR AS sample_end,
+            date_trunc('hour', ts)::timestamp - INTERVAL 4 HOUR AS boost_start,
+            date_trunc('hour', ts)::timestamp - INTERVAL 1 HOUR AS boost_end
+        FROM events"""),
+    "backfill_rejected_hours": _query("""
+        SELECT window_start FROM windows WHERE window_start::date IN (
+            SELECT min(ts)::date + 3 FROM events)
+        UNION SELECT window_start FROM damaged WHERE test_name IS NULL OR variant_name IS NULL"""),
     "no_views_check": _query("""
         SELECT window_start, variant_views, channel_views,
             (variant_views = 0 AND channel_views = 0)::int AS no_views_data

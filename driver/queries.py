@@ -10,7 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver import tables as t
-from valuelens.functions.hours import HOUR, Hours, backfill_hours, hour_of, ntz
+from valuelens.functions.hours import (
+    DAY,
+    HOUR,
+    Hours,
+    backfill_hours,
+    boost_window,
+    hour_of,
+    ntz,
+    sampling_window,
+)
 from valuelens.functions.article import region_of
 from valuelens.functions.value import cap
 from valuelens.operators import acquisitions as acq
@@ -29,7 +38,7 @@ from valuelens.operators.prices import (
     price_dimension,
     price_matrix,
 )
-from valuelens.operators.rates import boost_rates, eur_rates, sample_rates
+from valuelens.operators.rates import boost_rates, eur_rates, rates_for, sample_rates
 from valuelens.plans import boosts
 from valuelens.plans.samples import SAMPLE_KEY, sample_records, sample_rows, variant_samples
 from valuelens.schemas import CHANNELS
@@ -45,7 +54,6 @@ MIN_VIEWS, MIN_VALUE = 0, 40
 
 ACTIVE_AT = datetime(2024, 1, 15, 12, 34)
 RUN_AT = datetime(2024, 2, 1)
-RERUN_AT = datetime(2024, 2, 2)
 
 
 class Inputs:
@@ -287,7 +295,7 @@ def _flat(records: DataFrame) -> DataFrame:
 
 
 def samples_latest(spark, sf_dir):
-    """All hours sampled with a low cap, then the later half again with the usual one."""
+    """All hours sampled with a low cap, then the later half again with the usual one, by a later run of one time."""
     inputs = Inputs(spark, sf_dir)
     hours = inputs.hours()
     wanted = config_hours(inputs.configs, hours)
@@ -295,9 +303,8 @@ def samples_latest(spark, sf_dir):
     middle = hours.first + (hours.last - hours.first) // HOUR // 2 * HOUR
     later = Hours(middle, hours.last)
     again = sample_records(config_hours(inputs.configs, later), inputs.samples(later))
-    log = first.withColumn("written_at", F.expr(ntz(RUN_AT))).unionByName(
-        again.withColumn("written_at", F.expr(ntz(RERUN_AT)))
-    )
+    log = first.withColumn("run_id", F.lit("1")).unionByName(again.withColumn("run_id", F.lit("2")))
+    log = log.withColumn("written_at", F.expr(ntz(RUN_AT)))
     return _flat(latest_per_key(log, SAMPLE_RECORD_KEY))
 
 
@@ -361,6 +368,33 @@ def run_metrics(spark, sf_dir):
     return quality.run_metrics(wanted, inputs.samples(hours, landing=True))
 
 
+def run_metrics_without_configs(spark, sf_dir):
+    inputs = Inputs(spark, sf_dir)
+    hours = inputs.hours()
+    none = inputs.configs.where("false")
+    samples = inputs.samples(hours, landing=True).where("false")
+    due = quality.hours_frame(spark, hours)
+    return quality.run_metrics(config_hours(none, hours), samples, due)
+
+
+def sampling_windows(spark, sf_dir):
+    """What runs at the time of each event cover."""
+    sample, boost = sampling_window("ts"), boost_window("ts")
+    names = ["sample_start", "sample_end", "boost_start", "boost_end"]
+    bounds = [F.expr(sql).alias(name) for sql, name in zip((*sample, *boost), names)]
+    return t.events(spark, sf_dir).select("event_id", *bounds)
+
+
+def backfill_rejected_hours(spark, sf_dir):
+    """Hours of a backfill with a damaged sample, or valued at a day with a rate of zero."""
+    inputs = Inputs(spark, sf_dir)
+    hours = inputs.hours()
+    day = f"date'{(hours.first + 2 * DAY).date()}'"  # its rates value the day after
+    zero = inputs.rates.withColumn("rate", F.expr(f"if(date = {day} and target = 'USD', 0d, rate)"))
+    damaged = quality.rejected_hours(_damaged(inputs.samples()))
+    return quality.hours_with_zero_rates(rates_for(zero, hours), hours).union(damaged).distinct()
+
+
 def no_views_check(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
     hours = inputs.hours()
@@ -464,6 +498,9 @@ QUERIES: dict[str, Query] = {
     "boost_entries": boost_entries,
     "boost_records": boost_records,
     "run_metrics": run_metrics,
+    "run_metrics_without_configs": run_metrics_without_configs,
+    "sampling_windows": sampling_windows,
+    "backfill_rejected_hours": backfill_rejected_hours,
     "no_views_check": no_views_check,
     "sample_violations": sample_violations,
     "sample_rejected_hours": sample_rejected_hours,

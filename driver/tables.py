@@ -269,5 +269,6 @@ def stored_boosts(rows: DataFrame) -> DataFrame:
         (F.col("value") / 100).alias("avPerView"),
         F.col("k").cast("bigint").alias("totalViews"),
         F.lit(1).cast("bigint").alias("totalAcquisitions"),
-        F.col("ts").alias("written_at"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("written_at"),
+        F.lpad(F.col("event_id").cast("string"), 20, "0").alias("run_id"),
     )

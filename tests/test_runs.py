@@ -103,6 +103,86 @@ def test_a_repeated_run_replaces_its_records(spark, site):
     }
 
 
+def values(spark, site):
+    rows = read_samples(spark, site.outputs.samples).collect()
+    return {r.timestamp[:13]: r.variants[0].annualisedValueInGBP for r in rows if r.testName == "Epic_T"}
+
+
+def cheaper(site):
+    """The same facts with a tenth of every amount."""
+    facts = site.facts()
+    less = facts.acquisitions.withColumn("amount", facts.acquisitions.amount / 10)
+    return Facts(facts.page_views, less, facts.rates)
+
+
+def test_a_rerun_of_the_same_time_replaces_higher_values(spark, site):
+    run = lambda facts: run_sampling(facts, site.catalog, site.tests, frames.HOST, site.outputs, NOW)
+    run(site.facts())
+    assert values(spark, site) == {"2024-01-02 10": 160.0}
+    run(cheaper(site))
+    assert values(spark, site) == {"2024-01-02 10": 16.0}
+
+
+def test_a_manual_run_of_an_earlier_hour_replaces_what_a_backfill_wrote(spark, site):
+    configs = frames.configs(spark, ("Epic", "T"))
+    start, now = at("2024-01-02T04:00"), at("2024-01-02T06:30")
+    run_backfill(site.facts(), site.catalog, configs, frames.HOST, site.outputs, start, now)
+    assert values(spark, site) == {"2024-01-02 03": 160.0, "2024-01-02 04": 160.0}
+    again = at("2024-01-02T05:45")
+    run_sampling(cheaper(site), site.catalog, site.tests, frames.HOST, site.outputs, again)
+    assert values(spark, site) == {"2024-01-02 03": 16.0, "2024-01-02 04": 160.0}
+
+
+def test_a_run_without_configs_reports_zeros(spark, site):
+    none = site.tests.where("false")
+    run_sampling(site.facts(), site.catalog, none, frames.HOST, site.outputs, NOW)
+    assert [m for m in metrics(spark, site) if m[0] != "NoViewsData"] == [
+        ("TestsWithVariantData", 0.0), ("TotalBanditTests", 0.0),
+    ]
+
+
+def test_a_failing_query_of_metrics_stops_the_run_before_any_write(spark, site, monkeypatch):
+    from valuelens.plans import runs
+
+    failing = lambda *a: site.tests.selectExpr("raise_error('no views') as name", "1d as value", "'Count' as unit", "now() as time")
+    monkeypatch.setattr(runs, "_no_views_points", failing)
+    with pytest.raises(Exception, match="no views"):
+        run_sampling(site.facts(), site.catalog, site.tests, frames.HOST, site.outputs, NOW)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(site.outputs.samples)
+
+
+def test_backfill_leaves_hours_with_a_zero_rate_out(spark, site):
+    facts = site.facts()
+    zero = frames.rates(spark, ("2024-01-02", "GBP", 0.8), ("2024-01-02", "USD", 0.0))
+    facts = Facts(facts.page_views, facts.acquisitions, facts.rates.unionByName(zero))
+    configs = frames.configs(spark, ("Epic", "T"))
+    start, now = at("2024-01-02T23:00"), at("2024-01-03T03:30")
+    run_backfill(facts, site.catalog, configs, frames.HOST, site.outputs, start, now)
+    times = {row.timestamp[:13] for row in read_samples(spark, site.outputs.samples).collect()}
+    assert times == {"2024-01-02 22", "2024-01-02 23"}
+    assert ("RejectedHours", 2.0) in metrics(spark, site)
+
+
+def test_corrections_reach_runs(spark, site):
+    facts = site.facts()
+    in_pounds = facts.acquisitions.selectExpr(
+        "event_timestamp", "product", "'QUARTERLY' as payment_frequency", "'GBP' as currency",
+        "amount", "component_type", "country_code", "referrer_url", "ab_tests",
+    )
+    facts = Facts(facts.page_views, in_pounds, facts.rates)
+    run_sampling(facts, site.catalog, site.tests, frames.HOST, site.outputs, NOW, quarterly=True, fix_gbp=True)
+    assert values(spark, site)["2024-01-02 10"] > 0
+
+
+@pytest.mark.parametrize("documents", ["", "[{0}, {0}]"])
+def test_there_must_be_one_catalog(spark, tmp_path, documents):
+    path = tmp_path / "catalog.json"
+    path.write_text(documents.replace("{0}", frames.catalog_json()))
+    with pytest.raises(InvalidData, match="exactly one"):
+        read_catalog(spark, str(path))
+
+
 def test_no_views_are_reported(spark, site):
     later = at("2024-01-02T23:45")
     component_tests = site.tests.where("channel <> 'SupportLandingPage'")

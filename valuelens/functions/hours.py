@@ -85,6 +85,16 @@ def boost_hours(as_of: datetime, span: int = BOOST_WINDOW_HOURS) -> Hours:
     return Hours(start, start, span)
 
 
+def sampling_window(time: str) -> tuple[str, str]:
+    """Start and end of the window that a sampling run at this time covers, as SQL."""
+    return plus_hours(hour_of(time), -2), plus_hours(hour_of(time), -1)
+
+
+def boost_window(time: str, span: int = BOOST_WINDOW_HOURS) -> tuple[str, str]:
+    """Start and end of the window that a boost run at this time covers, as SQL."""
+    return plus_hours(hour_of(time), -1 - span), plus_hours(hour_of(time), -1)
+
+
 def backfill_hours(start: datetime, now: datetime) -> Hours | None:
     """Windows of the runs at start+1h, start+2h, ... as long as the run before was due before now."""
     runs = -((_utc(start) - floor_hour(now)) // HOUR)

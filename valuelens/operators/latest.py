@@ -9,14 +9,17 @@ SAMPLE_RECORD_KEY = ["testName", "timestamp"]
 BOOST_RECORD_KEY = ["id", "startTimestamp"]
 
 
-def latest_per_key(log: DataFrame, key: list[str], written_at: str = "written_at") -> DataFrame:
-    """One row per key, as written last.
+VERSION = ["written_at", "run_id"]
 
-    An aggregation rather than a ranking: versions of a key are reduced before they are shuffled.
+
+def latest_per_key(log: DataFrame, key: list[str]) -> DataFrame:
+    """One row per key, as written last: by the time of writing, then by the run that wrote it.
+
+    An aggregation rather than a ranking: versions of a key are reduced before they are shuffled. A run writes a
+    key once, so the values of a row never decide.
     """
-    rest = [name for name in log.columns if name not in key]
-    # The whole row breaks ties, so the choice does not depend on the order of rows.
-    newest = F.max(F.struct(written_at, *[name for name in rest if name != written_at]))
+    rest = [name for name in log.columns if name not in [*key, *VERSION]]
+    newest = F.max(F.struct(*VERSION, F.struct(*rest).alias("row")))
     return log.groupBy(*key).agg(newest.alias("newest")).select(
-        *key, *[F.col("newest")[name].alias(name) for name in rest if name != written_at]
+        *key, *[F.col("newest.row")[name].alias(name) for name in rest]
     )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuelens.functions.hours import ntz
+from valuelens.functions.hours import Hours, ntz, rates_date
 from valuelens.functions.text import one_of, quoted, struct_array
 from valuelens.schemas import (
     BILLING_PERIODS,
@@ -82,16 +82,41 @@ def require(rows: DataFrame, rules: dict[str, str]) -> DataFrame:
     return rows
 
 
+def hours_frame(spark: SparkSession, hours: Hours) -> DataFrame:
+    """(window_start) of all windows."""
+    return spark.range(1).select(F.expr(f"explode({hours.each()}) as window_start"))
+
+
 def rejected_hours(samples: DataFrame) -> DataFrame:
     """Hours with an invalid sample."""
     return samples.where(" or ".join(sample_rules().values())).select("window_start").distinct()
 
 
-def run_metrics(config_hours: DataFrame, samples: DataFrame) -> DataFrame:
+def hours_with_zero_rates(rates: DataFrame, hours: Hours) -> DataFrame:
+    """Hours valued at a day that has a rate of zero, which no value can be divided by."""
+    days = rates.where("rate = 0").selectExpr("date as rates_day").distinct()
+    return hours_frame(rates.sparkSession, hours).join(
+        days, F.expr(f"{rates_date('window_start')} = rates_day"), "left_semi"
+    )
+
+
+def run_metrics(
+    config_hours: DataFrame, samples: DataFrame, hours: DataFrame | None = None
+) -> DataFrame:
     """Per hour: the number of configs, of configs with samples, and the views of all samples.
 
-    Equal configs count each, as each would have been queried.
+    Equal configs count each, as each would have been queried. Hours of ``hours`` without any config have zeros.
     """
+    found = _metrics_of_configs(config_hours, samples)
+    if hours is None:
+        return found
+    counts = ["total_tests", "tests_with_data", "variant_views"]
+    return hours.join(found, "window_start", "left").select(
+        "window_start", *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in counts]
+    )
+
+
+def _metrics_of_configs(config_hours: DataFrame, samples: DataFrame) -> DataFrame:
     keys = ["window_start", "channel", "test_name"]
     return (
         config_hours.selectExpr(*keys, "copies", "null as views")

@@ -1,13 +1,15 @@
 """Keyed records and metrics on Parquet.
 
 Runs append; readers see the record written last for each key. A repeated run therefore replaces its
-records, and a run that dies half-way can simply be repeated.
+records, whatever hours either covered, and a run that dies half-way can simply be repeated.
 """
 
 from __future__ import annotations
 
 import logging
-from datetime import datetime
+import time
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +20,22 @@ from valuelens.operators.latest import BOOST_RECORD_KEY, SAMPLE_RECORD_KEY, late
 
 log = logging.getLogger(__name__)
 
-_WRITTEN_AT = "written_at timestamp_ntz"
+_VERSION = "written_at timestamp_ntz, run_id string"
 
 
-def _append(records: DataFrame, path: str, written_at: datetime, partition: str) -> None:
+def new_run_id() -> str:
+    """Later runs of one writer sort behind earlier ones."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+
+
+def _append(
+    records: DataFrame, path: str, partition: str, written_at: datetime | None, run_id: str | None
+) -> None:
+    """Stamps the records with the time of writing (not the time a run is for) and with the run."""
+    stamp = written_at or datetime.now(timezone.utc).replace(tzinfo=None)
     (
-        records.withColumn("written_at", F.expr(ntz(written_at)))
+        records.withColumn("written_at", F.expr(ntz(stamp)))
+        .withColumn("run_id", F.lit(run_id or new_run_id()))
         # Few files per partition, and no task that must write a large partition alone.
         .hint("rebalance", F.col(partition))
         .write.mode("append")
@@ -32,39 +44,51 @@ def _append(records: DataFrame, path: str, written_at: datetime, partition: str)
     )
 
 
-def append_samples(records: DataFrame, path: str, written_at: datetime) -> None:
+def append_samples(
+    records: DataFrame, path: str, written_at: datetime | None = None, run_id: str | None = None
+) -> None:
     """Adds sample records, at most one per test and hour, to the log."""
     day = F.to_date(F.substring("timestamp", 1, 10))
-    _append(records.withColumn("sample_date", day), path, written_at, "sample_date")
+    _append(records.withColumn("sample_date", day), path, "sample_date", written_at, run_id)
 
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
     """The current record per test and hour. Filter on sample_date to read few files."""
-    schema = f"{schemas.SAMPLE_RECORDS}, {_WRITTEN_AT}, sample_date date"
+    schema = f"{schemas.SAMPLE_RECORDS}, {_VERSION}, sample_date date"
     log_rows = spark.read.schema(schema).parquet(path)
     return latest_per_key(log_rows, [*SAMPLE_RECORD_KEY, "sample_date"])
 
 
-def append_boosts(records: DataFrame, path: str, written_at: datetime) -> None:
+def append_boosts(
+    records: DataFrame, path: str, written_at: datetime | None = None, run_id: str | None = None
+) -> None:
     """Adds boost records to the log, by the date they end."""
-    _append(records, path, written_at, "endDate")
+    _append(records, path, "endDate", written_at, run_id)
 
 
 def read_boosts(spark: SparkSession, path: str) -> DataFrame:
     """The current record per article, region and start. The end date follows from the start."""
-    schema = f"{schemas.BOOST_RECORDS}, {_WRITTEN_AT}"
+    schema = f"{schemas.BOOST_RECORDS}, {_VERSION}"
     log_rows = spark.read.schema(schema).parquet(path)
     return latest_per_key(log_rows, [*BOOST_RECORD_KEY, "endDate"])
 
 
 def append_metrics(points: DataFrame, path: str) -> bool:
-    """Adds metric points. A failure is logged, not raised: metrics must not fail a run."""
+    """Adds metric points. A failing write is logged, not raised: metrics must not fail a run.
+
+    The points are worked out before that, so that a failing query does fail the run.
+    """
+    points = points.persist()
     try:
-        points.coalesce(1).write.mode("append").parquet(path)
-    except Exception:  # whatever the storage raises
-        log.exception("could not write metrics to %s", path)
-        return False
-    return True
+        points.count()
+        try:
+            points.hint("rebalance").write.mode("append").parquet(path)
+        except Exception:  # whatever the storage raises
+            log.exception("could not write metrics to %s", path)
+            return False
+        return True
+    finally:
+        points.unpersist()
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

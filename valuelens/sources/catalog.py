@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuelens.operators.quality import catalog_rules, require
+from valuelens.operators.quality import InvalidData, catalog_rules, require
 from valuelens.schemas import PRODUCT_CATALOG
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """The catalog of a JSON file, checked: a document of another shape fails."""
+    """The catalog of a JSON file, checked: any other number of documents than one, or another shape, fails."""
     catalog = (
         spark.read.schema(PRODUCT_CATALOG)
         .option("multiLine", True)
         .option("mode", "FAILFAST")
         .json(path)
     )
+    if catalog.limit(2).count() != 1:
+        raise InvalidData(f"{path} does not hold exactly one catalog")
     return require(catalog, catalog_rules())
 
 

@@ -106,7 +106,7 @@ def stream_articles(
     lateness: str = LATENESS,
 ) -> DataFrame:
     """Views and value per article and region over three hours, every hour, before any gate."""
-    prices, rates = Lookup.all(prices, boost_rates(rates).selectExpr("*", "true as rated"))
+    prices, rates = Lookup.all(prices, boost_rates(rates))
     article = ["url", "region"]
     views = _views(
         page_views,
@@ -114,30 +114,34 @@ def stream_articles(
         lateness,
         f"{url_of('protocol', 'host', 'path')} as url",
         f"{region_of('country_key')} as region",
-    ).selectExpr("event_time", *article, "1L as views", "0L as acquisitions")
+    ).selectExpr("event_time", *article, "1L as views", "null as av_gbp", "0L as acquisitions")
     paid = price_acquisitions(_acquisitions(acquisitions, lateness), prices).selectExpr(
         "event_time",
         "referrer_url as url",
         f"{region_of('country_code')} as region",
-        "0L as views",
-        "1L as acquisitions",
         "currency",
         "payment_frequency",
         "paid",
     )
-    av_gbp = annualise("paid * to_gbp_rate", "payment_frequency")
+    window = F.window("event_time", "3 hours", "1 hour")
+    columns = ["window", *article, "views", "av_gbp", "acquisitions"]
+    # Rates are joined to acquisitions alone; those without a rate do not count.
+    values = (
+        paid.withColumn("window", window)
+        .withColumn("rates_date", F.expr(rates_date("window.start")))
+        .join(rates.side, ["rates_date", "currency"])
+        .withColumn("av_gbp", F.expr(annualise("paid * to_gbp_rate", "payment_frequency")))
+        .selectExpr("window", *article, "0L as views", "av_gbp", "1L as acquisitions")
+    )
     sums = (
-        views.unionByName(paid, allowMissingColumns=True)
+        views.withColumn("window", window)
+        .selectExpr("window", *article, "views", "cast(av_gbp as double) as av_gbp", "acquisitions")
+        .unionByName(values.select(*columns))
         .where("url is not null")
-        .withColumn("window", F.window("event_time", "3 hours", "1 hour"))
-        .withColumn("rates_date", F.expr(rates_date("window.start")))
-        .join(rates.side, ["rates_date", "currency"], "left")
-        # Acquisitions without a rate do not count; views need none.
-        .where("views > 0 or rated")
         .groupBy("window", *article)
         .agg(
             F.expr("sum(views) as totalViews"),
-            F.expr(f"sum({av_gbp}) as totalAv"),
+            F.expr("sum(av_gbp) as totalAv"),
             F.expr("sum(acquisitions) as totalAcquisitions"),
         )
         .where("totalViews > 0 and totalAcquisitions > 0")
