@@ -61,7 +61,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, proven by decoding them again."""
     small_batches(spark)
     file, pattern = bpe.read_vocabulary(public_tokenizers.path(VOCABULARY)), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(docs.select(COLUMNS), file, pattern), file, pattern)
+    coded = bpe.round_trip(docs.select(COLUMNS), file, pattern)
     whole = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     checked = F.when(whole, F.col("ids")).otherwise(F.raise_error(F.lit("tokens do not decode to the text")))
     return coded.select(

@@ -57,6 +57,9 @@ def test_odd_rows_have_tokens(spark):
     rows = coded.collect()
     assert len(rows) == len(ODD)
     assert all(bytes(r.decoded) == (r.text or "").encode() for r in rows)
+    both = bpe.round_trip(documents(spark, *ODD), FILE, public_tokenizers.PATTERN)
+    assert sorted(both.columns) == sorted(coded.columns)
+    assert sorted(map(repr, both.select(coded.columns).collect())) == sorted(map(repr, rows))
 
 
 def test_languages_of_held_out_documents(spark):

@@ -255,5 +255,23 @@ def decode(encoded: DataFrame, file: bytes, pattern: str, ids_col: str = "ids",
     return encoded.withColumn(out, run(F.col(ids_col)))
 
 
+def round_trip(
+    docs: DataFrame, file: bytes, pattern: str, text_col: str = "text", ids_out: str = "ids", decoded_out: str = "decoded"
+) -> DataFrame:
+    """Adds what :func:`encode` and then :func:`decode` add, in one pass: texts cross to Python once, and one worker
+    for each task holds the vocabulary and the pieces it has seen, not two that share them out by chance.
+    """
+    codec = _shared(docs.sparkSession, file, pattern)
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        ids = [codec().encode(x) for x in texts]
+        decoded = [codec().decode(x) for x in ids]
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
+
+    both = docs.withColumn(decoded_out, run(F.col(text_col).cast("string")))
+    return both.withColumn(ids_out, F.col(decoded_out)["ids"]).withColumn(decoded_out, F.col(decoded_out)["decoded"])
+
+
 def unpack(packed: bytes) -> Iterable[int]:
     return np.frombuffer(packed, "<u4").tolist()

@@ -36,7 +36,7 @@ def surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     file, pattern = bpe.read_vocabulary(public_tokenizers.path(VOCABULARY)), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), file, pattern), file, pattern)
+    coded = bpe.round_trip(_documents(spark, sf_dir).select("doc_id", "text"), file, pattern)
     return coded.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
