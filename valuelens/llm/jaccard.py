@@ -79,6 +79,23 @@ def outline(values: np.ndarray) -> bytes:
     return np.minimum(cells, 255).astype(np.uint8).tobytes()
 
 
+def _cells(outlines: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(outlines), np.uint8).reshape(-1, CELLS)
+
+
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Those pairs (a, b, n_a, n_b) whose outlines do not rule out a link: no more shingles can be common than the sum
+    of the lesser counts of all cells.
+    """
+    for batch in batches:
+        n_a, n_b = (batch.column(k).to_numpy() for k in (2, 3))
+        mine, theirs = (_cells(batch.column(k).to_pylist()) for k in (4, 5))
+        bound = np.minimum(mine, theirs).sum(axis=1, dtype=np.int64)
+        full = (mine == 255).any(axis=1) & (theirs == 255).any(axis=1)
+        keep = (bound * (100 + PERCENT) >= PERCENT * (n_a + n_b)) | full
+        yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(keep))
+
+
 class Order:
     """The global order: shingles that are no more frequent than chance first, by a hash; then by excess and hash.
 
@@ -160,19 +177,30 @@ def _shared_heads(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _needed(pairs: DataFrame, nodes: DataFrame) -> np.ndarray:
-    """A filter of fixed size that passes the documents that stand for the nodes of these pairs, and some others."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node")
-    slots = wanted.select((F.xxhash64("doc_id").bitwiseAND(FILTER_BITS - 1)).cast("int").alias("slot")).distinct()
+def _wanted(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, is_a, print, own (a hash of the id that stands for it): the nodes of these pairs."""
+    sides = pairs.select(F.col("a").alias("node"), F.lit(True).alias("is_a")).union(pairs.select("b", F.lit(False)))
+    one = sides.groupBy("node").agg(F.max("is_a").alias("is_a"))
+    return one.join(nodes.select("node", "print", F.xxhash64("doc_id").alias("own")), "node")
+
+
+def _needed(wanted: DataFrame) -> np.ndarray:
+    """A filter of fixed size that passes the documents that stand for these nodes, and some others."""
+    slots = wanted.select(F.col("own").bitwiseAND(FILTER_BITS - 1).cast("int").alias("slot")).distinct()
     passes = np.zeros(FILTER_BITS, bool)
     passes[slots.toArrow()["slot"].to_numpy()] = True
     return passes
 
 
 def _segments(rows: DataFrame, pairs: DataFrame, nodes: DataFrame, order: Order) -> DataFrame:
-    """node, fragment, part: the shingles of each fragment, of the nodes of these pairs."""
+    """node, is_a, fragment, part: the shingles of each fragment, of the nodes of these pairs.
+
+    Rows that pass for a node have its print, and so its set. They are told apart by print and id, as the join
+    leaves them, so that dropping repeated ones takes no shuffle of its own.
+    """
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((order, np.packbits(_needed(pairs, nodes))))
+    wanted = written(_wanted(pairs, nodes), "wanted")
+    shared = spark.sparkContext.broadcast((order, np.packbits(_needed(wanted))))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, packed = shared.value
@@ -180,39 +208,39 @@ def _segments(rows: DataFrame, pairs: DataFrame, nodes: DataFrame, order: Order)
         for batch in batches:
             chosen = np.flatnonzero(passes[batch.column(2).to_numpy()])
             batch = batch.take(pa.array(chosen))
-            ids, prints, places, parts = [], [], [], []
-            for doc_id, text in zip(
+            owns, prints, places, parts = [], [], [], []
+            for own, text in zip(
                 batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True
             ):
                 values = shingles(text)
                 where = order.fragments(values)
                 for fragment in np.unique(where).tolist():
-                    ids.append(doc_id)
+                    owns.append(own)
                     prints.append(fingerprint(values))
                     places.append(fragment)
                     parts.append(values[where == fragment].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()),
+                    pa.array(owns, pa.int64()),
                     pa.array(prints, pa.binary()),
                     pa.array(places, pa.int32()),
                     pa.array(parts, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "print", "fragment", "part"],
+                names=["own", "print", "fragment", "part"],
             )
 
-    slotted = rows.withColumn("slot", F.xxhash64("doc_id").bitwiseAND(FILTER_BITS - 1).cast("int"))
-    parts = slotted.mapInArrow(cut, "doc_id long, print binary, fragment int, part array<long>")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "print", "doc_id"), "node")
-    own = (parts["print"] == wanted["print"]) & parts["doc_id"].eqNullSafe(wanted["doc_id"])
-    return parts.join(wanted, own).select("node", "fragment", "part").dropDuplicates(["node", "fragment"])
+    own = F.xxhash64("doc_id")
+    slotted = rows.select(own.alias("own"), "text", own.bitwiseAND(FILTER_BITS - 1).cast("int").alias("slot"))
+    parts = slotted.mapInArrow(cut, "own long, print binary, fragment int, part array<long>")
+    found = parts.join(wanted, ["print", "own"]).dropDuplicates(["print", "own", "fragment"])
+    return found.select("node", "is_a", "fragment", "part")
 
 
 def _links(rows: DataFrame, pairs: DataFrame, nodes: DataFrame, order: Order) -> DataFrame:
     """Those pairs (a, b, n_a, n_b) that are similar: overlaps by fragment, summed per pair."""
     segments = written(_segments(rows, pairs, nodes, order), "segments")
     left = segments.select(F.col("node").alias("b"), "fragment", F.col("part").alias("part_b"))
-    right = segments.select(F.col("node").alias("a"), "fragment", F.col("part").alias("part_a"))
+    right = segments.where("is_a").select(F.col("node").alias("a"), "fragment", F.col("part").alias("part_a"))
     counted = (
         pairs.join(left, "b")
         .join(right, ["a", "fragment"])
@@ -243,7 +271,7 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not first:
             return [], []
         nodes, sizes, parts = (np.array([r[k] for r in other], np.int64) for k in (2, 3, 4))
-        cells = np.frombuffer(b"".join(r[5] for r in other), np.uint8).reshape(-1, CELLS)
+        cells = _cells([r[5] for r in other])
         full = (cells == 255).any(axis=1)
         owners, lists = [], []
         for _, _, node, n, component, outline_ in first:
@@ -279,7 +307,7 @@ def _cross_pairs(heads: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFr
     """All pairs that share a first shingle, are not in one component yet, and may link.
 
     In small groups pairs are counted, as a pair that is in no large group has all its common first shingles
-    there. In large ones outlines decide. Large groups are cut into blocks; each two blocks meet in a task of their own, so that a task holds two
+    there, and then outlines decide. In large ones outlines decide alone. Large groups are cut into blocks; each two blocks meet in a task of their own, so that a task holds two
     blocks and no more, whatever the size of the group.
     """
     placed = heads.join(found, "node", "left").selectExpr("token", "node", "n", "coalesce(component, node) AS component")
@@ -291,7 +319,14 @@ def _cross_pairs(heads: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFr
     a = few.selectExpr("token", "node AS a", "n AS n_a", "component AS c_a")
     b = few.selectExpr("token", "node AS b", "n AS n_b", "component AS c_b")
     counted = a.join(b, "token").where(f"a < b AND c_a <> c_b AND {_SIZES}").groupBy("a", "b", "n_a", "n_b")
-    close = counted.agg(F.count("*").alias("head")).where(_REACHES).drop("head")
+    outlines = nodes.select("node", "outline")
+    close = (
+        counted.agg(F.count("*").alias("head")).where(_REACHES).drop("head")
+        .join(outlines.withColumnsRenamed({"node": "a", "outline": "outline_a"}), "a")
+        .join(outlines.withColumnsRenamed({"node": "b", "outline": "outline_b"}), "b")
+        .select("a", "b", "n_a", "n_b", "outline_a", "outline_b")
+        .mapInArrow(_fit, "a long, b long, n_a long, n_b long")
+    )
     many = met.where(f"members > {SMALL}").withColumn("last", F.expr(f"cast((members - 1) div {BLOCK} AS int)"))
     rows = many.selectExpr(
         "*", f"(row_number() OVER (PARTITION BY token ORDER BY node) - 1) div {BLOCK} AS block"
