@@ -28,7 +28,7 @@ FRAGMENTS = 8
 COUNTERS = 1 << 18  # of the sketch of shingle frequencies; its size does not depend on the input
 SIGMAS = 6
 FILTER_BITS = 1 << 22
-CELLS = 256  # of a set's outline
+CELLS = 256, 1 << 16  # of a set's outline: at least, and at most
 SMALL = 64  # members of a group whose pairs are counted rather than outlined
 BLOCK = 1024  # nodes of a group that are compared with as many others at a time
 _SIMILAR = f"100 * shared >= {PERCENT} * (n_a + n_b - shared)"
@@ -74,25 +74,40 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def outline(values: np.ndarray) -> bytes:
-    """How many shingles fall in each cell; 255 stands for as many or more."""
-    cells = np.bincount((mix(values, 3) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+    """How many shingles fall in each cell; 255 stands for as many or more. Cells hold two to four on average, or fewer."""
+    width = CELLS[0]
+    while width * 4 < len(values) and width < CELLS[1]:
+        width *= 2
+    cells = np.bincount((mix(values, 3) & np.uint64(width - 1)).astype(np.int64), minlength=width)
     return np.minimum(cells, 255).astype(np.uint8).tobytes()
 
 
-def _cells(outlines: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(outlines), np.uint8).reshape(-1, CELLS)
+def _folded(cells: np.ndarray, width: int) -> np.ndarray:
+    """Outlines, one in a row, with as many cells as this."""
+    if cells.shape[1] == width:
+        return cells
+    return cells.reshape(len(cells), -1, width).sum(axis=1, dtype=np.uint32)
 
 
-def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Those pairs (a, b, n_a, n_b) whose outlines do not rule out a link: no more shingles can be common than the sum
-    of the lesser counts of all cells.
+def _least_sums(mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """Of one outline and others: the sums of the lesser counts of all cells. No more shingles can be common, unless
+    counts stop at 255 in both.
     """
+    width = min(len(mine), theirs.shape[1])
+    ours, others = _folded(mine[None], width), _folded(theirs, width)
+    sums = np.minimum(others, ours).sum(axis=1, dtype=np.int64)
+    if 255 in mine:
+        sums[(theirs == 255).any(axis=1)] = np.iinfo(np.int64).max
+    return sums
+
+
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Those pairs (a, b, n_a, n_b) whose outlines do not rule out a link."""
     for batch in batches:
-        n_a, n_b = (batch.column(k).to_numpy() for k in (2, 3))
-        mine, theirs = (_cells(batch.column(k).to_pylist()) for k in (4, 5))
-        bound = np.minimum(mine, theirs).sum(axis=1, dtype=np.int64)
-        full = (mine == 255).any(axis=1) & (theirs == 255).any(axis=1)
-        keep = (bound * (100 + PERCENT) >= PERCENT * (n_a + n_b)) | full
+        least = PERCENT * (batch.column(2).to_numpy() + batch.column(3).to_numpy()) / (100 + PERCENT)
+        outlines = zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)
+        sums = [_least_sums(np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)[None])[0] for a, b in outlines]
+        keep = np.array(sums, np.int64) >= least
         yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(keep))
 
 
@@ -260,8 +275,7 @@ def _first_pairs(heads: DataFrame) -> DataFrame:
 
 def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by ``task``, each of two blocks of a group. Per node, those nodes of the other block that are in
-    another component and whose outline does not rule out a link: no more shingles can be common than the sum of
-    the lesser counts of all cells.
+    another component and whose outline does not rule out a link.
     """
     names = ["task", "second", "node", "n", "component", "outline"]
 
@@ -271,16 +285,25 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not first:
             return [], []
         nodes, sizes, parts = (np.array([r[k] for r in other], np.int64) for k in (2, 3, 4))
-        cells = _cells([r[5] for r in other])
-        full = (cells == 255).any(axis=1)
+        widths = np.array([len(r[5]) for r in other])
+        outlines = {
+            w: np.frombuffer(b"".join(r[5] for r in other if len(r[5]) == w), np.uint8).reshape(-1, w)
+            for w in np.unique(widths).tolist()
+        }
+        row = np.zeros(len(other), np.int64)  # of a node, among those with as many cells
+        for w in outlines:
+            row[widths == w] = np.arange(len(outlines[w]))
         owners, lists = [], []
         for _, _, node, n, component, outline_ in first:
             mine = np.frombuffer(outline_, np.uint8)
             least = PERCENT * (sizes + n) / (100 + PERCENT)
             fits = (parts != component) & (np.minimum(sizes, n) >= least) & ((nodes > node) | bool(second))
-            at = np.flatnonzero(fits)
-            bound = np.minimum(cells[at], mine).sum(axis=1, dtype=np.int64)
-            keep = nodes[at[(bound >= least[at]) | (full[at] & (255 in mine))]]
+            kept = []
+            for w, cells in outlines.items():
+                at = np.flatnonzero(fits & (widths == w))
+                if len(at):
+                    kept.append(nodes[at[_least_sums(mine, cells[row[at]]) >= least[at]]])
+            keep = np.concatenate(kept) if kept else nodes[:0]
             if len(keep):
                 owners.append(node)
                 lists.append(keep)
