@@ -141,3 +141,14 @@ def test_stages_take_odd_rows(spark):
         docs = stage(spark, docs, SF_DIR)
     out = {r.doc_id for r in docs.collect()}
     assert 20 in out and 21 not in out and 22 in out and 1 not in out
+
+
+@pytest.mark.parametrize("n", [3, 255, 1020, 1030, 4100, 20_000])
+def test_outlines_never_rule_out_what_is_common(n):
+    rng = np.random.default_rng(n)
+    mine = rng.integers(0, 1 << 63, n).astype(np.uint64)
+    others = [np.concatenate([mine[: n - cut], rng.integers(0, 1 << 63, more).astype(np.uint64)]) for cut, more in ((0, n // 5), (n // 2, n // 3), (n // 5, 0))]
+    for other in others:
+        rows = np.frombuffer(jaccard.outline(other), np.uint8)[None]
+        bound = jaccard._least_sums(np.frombuffer(jaccard.outline(mine), np.uint8), rows)[0]
+        assert bound >= len(np.intersect1d(mine, other))
