@@ -114,6 +114,16 @@ def test_repeats(spark):
     assert passages.repeats(documents(spark, *docs).where("false")).count() == 0
 
 
+def test_slices_do_not_depend_on_chunks_and_batches(spark, monkeypatch):
+    def rows():
+        return sorted(queries.repeated_passages(spark, SF_DIR).collect())
+
+    expected = rows()
+    monkeypatch.setattr(passages, "CHUNK_BITS", 1)
+    monkeypatch.setattr(passages, "BATCH_BYTES", 500)
+    assert rows() == expected
+
+
 def test_most_passages_with_an_edit_are_found(spark):
     docs = []
     for i in range(40):
