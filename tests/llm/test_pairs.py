@@ -114,6 +114,28 @@ def test_repeats(spark):
     assert passages.repeats(documents(spark, *docs).where("false")).count() == 0
 
 
+def test_unchanged_passages_behind_partial_quotes(spark):
+    """Earlier texts hold only parts of a passage, so that the later ones must meet each other."""
+    docs, later = [], {}
+    for i in range(20):
+        shared = prose(5000 + i, 60, 5000).split()
+        parts = [shared[:45], shared[15:], shared[:49], shared[8:]]
+        for k, part in enumerate(parts):
+            docs.append((100 * i + k, " ".join([prose(6000 + 10 * i + k, 30, 5000), *part, prose(7000 + 10 * i + k, 30, 5000)])))
+        for k in range(4, 8):
+            docs.append((100 * i + k, " ".join([prose(6000 + 10 * i + k, 30, 5000), *shared, prose(7000 + 10 * i + k, 30, 5000)])))
+            later[100 * i + k] = set(range(30, 41))
+    texts, first, expected, got = dict(docs), {}, defaultdict(set), defaultdict(set)
+    for i, text in sorted(texts.items()):
+        for k, gram in enumerate(windows(word_hashes(words(text)), passages.PASSAGE_WORDS).tolist()):
+            if first.setdefault(gram, i) != i:
+                expected[i].add(k)
+    for r in passages.repeats(documents(spark, *docs)).collect():
+        got[r.doc_id] |= set(range(r.first_word, r.end_word - passages.PASSAGE_WORDS + 1))
+    assert all(expected[i] >= places for i, places in later.items() if i % 100 > 4)
+    assert not {i: places - got[i] for i, places in expected.items() if places - got[i]}
+
+
 def test_slices_do_not_depend_on_chunks_and_batches(spark, monkeypatch):
     def rows():
         return sorted(queries.repeated_passages(spark, SF_DIR).collect())
