@@ -157,6 +157,45 @@ def test_most_passages_with_an_edit_are_found(spark):
     assert found <= set(range(1, 80, 2)) and len(found) >= 32
 
 
+@pytest.mark.parametrize("change", ["insert", "delete"])
+def test_most_passages_with_a_word_more_or_less_are_found(spark, change):
+    docs = []
+    for i in range(40):
+        shared = prose(1000 + i, 60, 5000).split()
+        docs.append((2 * i, " ".join(shared) + " " + prose(2000 + i, 60, 5000)))
+        shared[30 : 30 + (change == "delete")] = ["new"] if change == "insert" else []
+        docs.append((2 * i + 1, prose(3000 + i, 20, 5000) + " " + " ".join(shared)))
+    rows = passages.repeats(documents(spark, *docs)).collect()
+    found = {r.doc_id for r in rows}
+    assert found <= set(range(1, 80, 2)) and len(found) >= 32
+    assert all(abs(r.first_word - 20 - r.other_first_word) <= 1 for r in rows)
+
+
+def test_agreement_is_jaccard_of_passages():
+    rng = np.random.default_rng(5)
+    size, outcomes = passages.PASSAGE, set()
+    for _ in range(200):
+        shared = [f"w{k}" for k in rng.integers(0, 10**6, 80)]
+        other = list(shared)
+        if rng.integers(0, 2):
+            other[int(rng.integers(0, 80))] = "changed"
+        at, more = int(rng.integers(0, 80)), int(rng.integers(0, 2))
+        other[at : at + 1 - more] = ["new"] * more
+        ours, theirs = (windows(word_hashes([w.encode() for w in x]), passages.SHINGLE) & np.uint64(0xFFFFFF) for x in (shared, other))
+        ours, theirs = ours.astype(np.int64), theirs.astype(np.int64)
+        n = min(len(ours), len(theirs))
+        ours, padded = ours[:n], np.concatenate(([0], theirs, [0, 0, 0]))[: n + 2]
+        expected = set()
+        for s in range(n - size + 1):
+            for t in (s, s + 1, s + 2):
+                a, b = set(ours[s : s + size].tolist()), set(padded[t : t + size].tolist())
+                if 5 * len(a & b) >= 4 * len(a | b):
+                    expected.add(s)
+        assert set(passages.agreeing_passages(ours, padded)[0].tolist()) == expected
+        outcomes.add(0 < len(expected) < n - size + 1)
+    assert outcomes == {True, False}
+
+
 def test_pipeline(spark):
     out = {r.doc_id: r for r in corpus_pipeline.run(spark, SF_DIR).collect()}
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
