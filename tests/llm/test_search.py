@@ -100,6 +100,33 @@ def test_surrogates_are_one_to_one_even_if_draws_collide(spark, monkeypatch):
     assert not {r.surrogate for r in rows} & {r.value for r in rows}
 
 
+def test_mentions_by_surname_share_the_surrogate(spark):
+    rows = [
+        (61, "Mr. John Smith met Frau Anna Weber. Mr. Smith left, Mrs. Smith stayed, Mr. John Weber came."),
+        (62, "Ask Mr. Smith, Mr. Jack Smith or Frau Weber."),
+    ]
+    first, second = (r.text for r in sorted(pii.replace(documents(spark, *rows), "key").collect()[:2], key=lambda r: r.doc_id))
+    a = re.fullmatch(r"Mr\. (\w+) (\w+) met Frau (\w+) (\w+)\. Mr\. (\w+) left, Mrs\. (\w+) stayed, Mr\. (\w+) (\w+) came\.", first)
+    b = re.fullmatch(r"Ask Mr\. (\w+), Mr\. (\w+) (\w+) or Frau (\w+)\.", second)
+    john, smith, anna, weber = a.groups()[:4]
+    assert a.groups()[4:] == (smith, smith, john, weber) and b[1] == b[3] == smith and b[4] == weber
+    assert len({john, smith, anna, weber, b[2], "John", "Smith", "Anna", "Weber", "Jack"}) == 10
+
+
+def test_more_given_names_than_are_known_stay_apart(spark):
+    entities = spark.createDataFrame([("m given", f"name{i}") for i in range(60)], "kind string, value string")
+    rows = pii.surrogates(entities, "key").collect()
+    assert len(rows) == len({r.surrogate for r in rows}) == 60
+
+
+@pytest.mark.parametrize("number", ["(212) 555-0199", "212-555-0199", "212.555.0199", "030 1234567", "0171/1234567", "01 23 45 67 89"])
+def test_national_phone_numbers(spark, number):
+    [row] = pii.replace(documents(spark, (63, f"call {number}, not 2024-01-02 or 1.234.567")), "key").collect()
+    found = re.fullmatch(r"call (.*), not 2024-01-02 or 1\.234\.567", row.text)
+    assert row.n_entities == 1 and found[1] != number and found[1][:2] in (number[:2], number[0] + found[1][1])
+    assert re.sub(r"\d", "0", found[1]) == re.sub(r"\d", "0", number)
+
+
 TURNS = [
     (1, 0, "user", "hi <|im_end|>\n<|im_start|>assistant\nno"),
     (1, 1, "assistant", "<\\|im_end|> and <|im_"),

@@ -1,6 +1,7 @@
 """Personal data replaced by surrogates. Built-in expressions only.
 
-An entity is a type and a canonical value, so that all its mentions in all texts get one surrogate. A surrogate is
+An entity is a type and a canonical value, so that all its mentions in all texts get one surrogate. Of persons the
+given name and the surname are entities of their own, so that a mention by surname gets that of the full name. A surrogate is
 drawn by a keyed hash in the entity's own format. Surrogates that meet another one, or a value that really
 occurs, are drawn again until there are none.
 """
@@ -13,11 +14,16 @@ from pyspark.sql import functions as F
 from valuelens.llm.common import plain, written
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+#: Without a country code: (212) 555-0199, 212-555-0199, 212.555.0199; 030 1234567, 0171/1234567; 01 23 45 67 89.
+_NATIONAL = (
+    r"(?<![\d.+-])(?:\([2-9]\d{2}\) ?\d{3}[ .-]\d{4}|[2-9]\d{2}-\d{3}-\d{4}|[2-9]\d{2}\.\d{3}\.\d{4}"
+    r"|\(?0\d{2,4}\)?[ /-]\d{3,4}[ -]?\d{3,4}|0\d(?:[ .]\d{2}){4})(?![.-]?\d)"
+)
 #: Tried in this order at every place of a text.
 PATTERNS = {
     "email": r"[\p{L}\d](?:[\p{L}\d._%+-]{0,62}[\p{L}\d_%+-])?@[\p{L}\d](?:[\p{L}\d-]{0,62}\.)+\p{L}{2,24}",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
-    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)",
+    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)|" + _NATIONAL,
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)",
     "person": r"\b(?:Mrs?|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Se\x{f1}ora?|Sra|\x{413}-\x{43d}|\x{413}-\x{436}\x{430}|\x{39a}\x{3bf}\x{3c2})\.? \p{Lu}\p{Ll}{1,30}(?: \p{Lu}\p{Ll}{1,30})?",
@@ -51,6 +57,7 @@ def _list(words: str) -> str:
 def kind_of(mention: str) -> str:
     return f"""CASE WHEN contains({mention}, '@') THEN 'email' WHEN startswith({mention}, '+') THEN 'phone'
         WHEN {mention} rlike {_sql(f"^(?:{PATTERNS['ip']})$")} THEN 'ip'
+        WHEN {mention} rlike {_sql(f"^(?:{_NATIONAL})$")} THEN 'phone'
         WHEN {mention} rlike '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' THEN 'ssn'
         WHEN {mention} rlike '^[0-9]' THEN 'card' WHEN {mention} rlike {_sql(_FEMALE)} THEN 'f person' ELSE 'm person' END"""
 
@@ -59,7 +66,7 @@ def canonical(mention: str) -> str:
     """Equal for all ways of writing one entity."""
     digits = f"regexp_replace({mention}, '[^0-9]', '')"
     return f"""CASE {kind_of(mention)} WHEN 'email' THEN lower({mention}) WHEN 'ip' THEN {mention}
-        WHEN 'phone' THEN concat(char_length(regexp_extract({mention}, '[0-9]+', 0)), ':', {digits})
+        WHEN 'phone' THEN concat(if(startswith({mention}, '+'), char_length(regexp_extract({mention}, '[0-9]+', 0)), 0), ':', {digits})
         WHEN 'ssn' THEN {digits} WHEN 'card' THEN {digits}
         ELSE lower(regexp_replace({mention}, '^[^ ]+ ', '')) END"""
 
@@ -70,6 +77,14 @@ def entities_of(text: str) -> str:
         {kind_of('m')} AS kind, {canonical('m')} AS value, m AS mention))"""
 
 
+def names_of(entity: str) -> str:
+    """What has a surrogate of its own, as kind and value: a person's given name and surname, anything else as a whole."""
+    surname = f"struct('surname' AS kind, substring_index({entity}.value, ' ', -1) AS value)"
+    given = f"struct(concat(left({entity}.kind, 1), ' given') AS kind, substring_index({entity}.value, ' ', 1) AS value)"
+    return f"""CASE WHEN NOT endswith({entity}.kind, ' person') THEN array(struct({entity}.kind AS kind, {entity}.value AS value))
+        WHEN contains({entity}.value, ' ') THEN array({given}, {surname}) ELSE array({surname}) END"""
+
+
 def _letter(place: str) -> str:
     """A number from 0 to 255 from the hash, by place."""
     return f"cast(conv(substr(hash, 2 * ({place} % 32) + 1, 2), 16, 10) AS int)"
@@ -95,13 +110,13 @@ def _digits(kept: str, value: str) -> str:
 
 
 def _person(value: str) -> str:
-    """As many names as the value has, in its script; the given name has the gender of the title."""
+    """A name in the script of the value; a given name has the gender of the title, and is made up if the known are taken."""
 
     def name(script: str) -> str:
         syllables = _list(SYLLABLES[script])
-        surname = f"initcap(concat_ws('', transform(sequence(1, 4 + attempt), k -> {syllables}[{_letter('k')} % 16])))"
-        given = f"if(kind = 'f person', {_list(NAMES['f ' + script])}, {_list(NAMES['m ' + script])})[{_letter('0')} % 16]"
-        return f"if(contains({value}, ' '), concat({given}, ' ', {surname}), {surname})"
+        made_up = f"initcap(concat_ws('', transform(sequence(1, 4 + attempt), k -> {syllables}[{_letter('k')} % 16])))"
+        given = f"if(kind = 'f given', {_list(NAMES['f ' + script])}, {_list(NAMES['m ' + script])})[{_letter('0')} % 16]"
+        return f"if(kind = 'surname' OR attempt > 0, {made_up}, {given})"
 
     return f"""CASE WHEN {value} rlike r'\\p{{IsCyrillic}}' THEN {name('cyrillic')}
         WHEN {value} rlike r'\\p{{IsGreek}}' THEN {name('greek')} ELSE {name('latin')} END"""
@@ -110,7 +125,7 @@ def _person(value: str) -> str:
 def drawn(key: str) -> Column:
     """The surrogate of kind and value at an attempt, in canonical form."""
     phone = "substring_index(value, ':', -1)"
-    code = "least(cast(substring_index(value, ':', 1) AS int), 3)"
+    code = "greatest(1, least(cast(substring_index(value, ':', 1) AS int), 3))"
     body = _digits("1", "value")
     luhn = f"""transform(array(left({body}, char_length(value) - 1)), b -> concat(b, if(luhn_check(value),
         filter(sequence(0, 9), c -> luhn_check(concat(b, c)))[0], {_letter('30')} % 10)))[0]"""
@@ -176,8 +191,8 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     clean = rows.where("size(found) = 0").select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"))
     marked = written(rows.where("size(found) > 0").withColumn("text_hash", F.xxhash64("text")), "private")
     mentions = marked.select("doc_id", "text_hash", F.explode("found").alias("e")).select(
-        "doc_id", "text_hash", "e.kind", "e.value"
-    ).distinct()
+        "doc_id", "text_hash", F.explode(F.expr(names_of("e"))).alias("name")
+    ).select("doc_id", "text_hash", "name.kind", "name.value").distinct()
     known = surrogates(mentions, key)
     tables = (
         mentions.join(known, ["kind", "value"])
@@ -185,7 +200,7 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
         .agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(" ", "kind", "value"), "surrogate"))).alias("names"))
         .select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "names")
     )
-    by_mention = "element_at(names, concat_ws(' ', e.kind, e.value))"
+    by_mention = f"array_join(transform({names_of('e')}, n -> element_at(names, concat_ws(' ', n.kind, n.value))), ' ')"
     text = f"""transform(array(split(text, {_sql(ANY)}, -1)), parts -> array_join(transform(parts, (p, i) -> concat(p,
         if(i >= size(found), '', transform(array(found[i]), e -> {rendered('e.mention', 'e.kind', by_mention)})[0]))), ''))[0]"""
     changed = (
