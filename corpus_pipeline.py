@@ -30,24 +30,33 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5)).select(COLUMNS)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """With ``row_key``, a hash of id and text, null or not: rows of one key are copies."""
+    return docs.select(COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays.
+    """Of each group of linked documents the one with the smallest id stays, one without id only if none has one.
 
-    Rows with equal ids and texts are copies, of which one stays. Rows without an id cannot be told apart by it
-    and all stay.
+    Rows with equal ids and texts are copies, of which one stays. Rows that repeat an id with another text are
+    documents of their own, and so are rows without an id.
     """
     small_batches(spark)
-    placed = jaccard.join(docs)
-    stays = placed.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.select(COLUMNS).join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(COLUMNS)
-    return named.unionByName(docs.select(COLUMNS).where("doc_id IS NULL"))
+    rows = keyed(docs)
+    placed = jaccard.join(rows, id_col="row_key").select(F.col("doc_id").alias("row_key"), "component_id").distinct()
+    named = rows.select("row_key", "doc_id").distinct().join(placed, "row_key")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    stays = named.groupBy("component_id").agg(first.alias("first")).select("first.row_key").distinct()
+    kept = rows.join(stays, "row_key", "left_semi").withColumn("text_hash", F.hash("text"))
+    return kept.dropDuplicates(["row_key", "doc_id", "text_hash"]).select(COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, with or without an id; others of the same id stay."""
     small_batches(spark)
-    leaks = decontamination.find(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.select(COLUMNS).join(leaks, "doc_id", "left_anti").select(COLUMNS)
+    rows = keyed(docs)
+    leaks = decontamination.find(rows, table(spark, sf_dir, "benchmark"), id_col="row_key")
+    return rows.join(leaks.select(F.col("doc_id").alias("row_key")).distinct(), "row_key", "left_anti").select(COLUMNS)
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

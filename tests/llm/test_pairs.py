@@ -214,6 +214,20 @@ def test_stages_take_odd_rows(spark):
     assert 20 in out and 21 not in out and 22 in out and 1 not in out
 
 
+def test_stages_tell_rows_of_one_id_apart(spark):
+    one, other, third = prose(301, 80, 5000), prose(302, 80, 5000), prose(303, 80, 5000)
+    near = one + " more"
+    rows = [(30, one), (30, one), (30, other), (31, near), (30, third), (None, third), (None, prose(304, 80, 5000)), (None, near)]
+    out = corpus_pipeline.near_duplicates(spark, documents(spark, *rows), SF_DIR).collect()
+    expected = [(30, one), (30, other), (30, third), (None, prose(304, 80, 5000))]
+    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted((i or 0, t) for i, t in expected)
+
+    leak = max((r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()), key=len)
+    rows = [(40, leak), (40, one), (None, "see: " + leak), (None, other), (None, None)]
+    out = corpus_pipeline.decontaminate(spark, documents(spark, *rows), SF_DIR).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == sorted([(40, one), (0, other), (0, "")])
+
+
 @pytest.mark.parametrize("n", [3, 255, 1020, 1030, 4100, 20_000])
 def test_outlines_never_rule_out_what_is_common(n):
     rng = np.random.default_rng(n)
