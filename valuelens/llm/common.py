@@ -73,3 +73,23 @@ def shingles(text: str | bytes | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(windows(word_hashes(tokens), min(size, len(tokens))))
 
 
+#: A key with more than this share of all rows is hot; there are fewer such keys than its inverse.
+HOT_KEYS = 10_000
+
+
+def hot_join(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows joined (inner, null-safely) with ``facts``, which has one row per key and ``n``, the key's number of rows at least.
+
+    Facts of hot keys are broadcast, fewer than ``HOT_KEYS`` of them whatever the input; the other keys meet
+    in a shuffle, none of them with more than that share of the rows. Both tables are read twice: pass written ones.
+    """
+    total = facts.agg(F.sum("n")).first()[0] or 0
+    facts = facts.select(*(F.col(k).alias(f"__{k}") for k in keys), *(c for c in facts.columns if c not in keys))
+    hot = F.col("n") * HOT_KEYS > total
+    same = None
+    for k in keys:
+        equal = F.col(k).eqNullSafe(F.col(f"__{k}"))
+        same = equal if same is None else same & equal
+    few, helped = F.broadcast(facts.where(hot)), [f"__{k}" for k in keys]
+    many = rows.join(few.select(helped), same, "left_anti").join(facts.where(~hot), same)
+    return rows.join(few, same).unionByName(many).drop("n", *helped)

@@ -96,5 +96,94 @@ SELECT doc_id, len(ws) AS n_words, coalesce(base.n, 0) AS n_base, base.a AS firs
 FROM w LEFT JOIN base USING (r) LEFT JOIN found USING (r) LEFT JOIN named USING (r)
 """.replace("@templates", ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES.items()))
 
+#: Splits, keys and the first document that holds a repeated key.
+LINES = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT r, doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), firsts AS (
+  SELECT key, min(doc_id) AS first_doc FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+)
+SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (k.doc_id <> first_doc) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (first_doc IS NULL OR k.doc_id IS NULL OR k.doc_id = first_doc), '')) AS kept_sha256
+FROM k LEFT JOIN firsts USING (key) GROUP BY r
+"""
+
+#: The CRC is worked out byte by byte, from a table that its polynomial gives.
+RESAMPLING = r"""
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), texts AS (
+  SELECT row_number() OVER () AS r, true AS own, doc_id, text FROM documents
+  UNION ALL SELECT -row_number() OVER (), false, NULL, text FROM benchmark
+), w AS (
+  SELECT r, own, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM texts
+), f AS (
+  SELECT r, unnest(ws) AS g FROM w
+  UNION ALL SELECT r, unnest(list_transform(list_zip(ws[:-2], ws[2:]), lambda z: z[1] || ' ' || z[2])) FROM w WHERE len(ws) > 1
+), g AS (
+  SELECT g, hex(encode(g)) AS h FROM (SELECT DISTINCT g FROM f)
+), b AS (
+  SELECT g, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM g, crc_table
+), c AS (
+  SELECT r, bucket, count(*) AS n FROM f JOIN b USING (g) GROUP BY r, bucket
+), h AS (
+  SELECT bucket, coalesce(sum(n) FILTER (r > 0), 0) AS s, coalesce(sum(n) FILTER (r < 0), 0) AS t FROM c GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000) / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM h
+), weights AS (
+  SELECT r, sum(n)::BIGINT AS n_features, floor(sum(n * gain) / sum(n))::BIGINT AS weight FROM c JOIN gains USING (bucket) GROUP BY r
+), scores AS (
+  SELECT r, doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN weights USING (r) WHERE own
+), places AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scores WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank
+FROM scores LEFT JOIN places USING (r)
+"""
+
+#: Three searches for the nearest entries; the first two are followed by new means.
+CODES = r"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), parts AS (
+  SELECT vec_id, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS x FROM kept, unnest(range(16)) AS u(p)
+), book0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts QUALIFY e < 64
+), @rounds
+sums AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near2 GROUP BY vec_id),
+labels AS (SELECT label, sum(error)::BIGINT AS label_error FROM kept JOIN sums USING (vec_id) GROUP BY label)
+SELECT vec_id, code, error, label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM kept JOIN sums USING (vec_id) JOIN labels ON kept.label IS NOT DISTINCT FROM labels.label
+""".replace("@rounds", "\n".join(
+    [f"""near{k} AS (
+  SELECT vec_id, p, arg_min(e, d * 64 + e) AS e, min(d) AS d FROM (
+    SELECT vec_id, p, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM parts JOIN book{k} USING (p)
+  ) GROUP BY vec_id, p
+),""" + (f""" means{k} AS (
+  SELECT p, e, list(m ORDER BY j) AS c FROM (
+    SELECT p, e, j, floor(sum(x[j]) / count(*))::BIGINT AS m
+    FROM near{k} JOIN parts USING (vec_id, p), unnest(range(1, len(x) + 1)) AS u(j) GROUP BY p, e, j
+  ) GROUP BY p, e
+), book{k + 1} AS (SELECT p, e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN means{k} m USING (p, e)),""" if k<2 else "") for k in range(3)]))
+
 ORACLE: dict[str, str] = {
-    "op9_license_scan": LICENSES, "op4_host_rules": HOST_RULES, "op8_chat_round_trip": CHAT}
+    "op4_host_rules": HOST_RULES,
+    "op8_chat_round_trip": CHAT,
+    "op9_license_scan": LICENSES,
+    "op11_line_dedup": LINES,
+    "op12_target_resampling": RESAMPLING,
+    "op13_vector_codes": CODES,
+}

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuelens.llm import bpe, chat, decontamination, jaccard, language, licenses, passages, pii, quality, secrets
+from valuelens.llm import bpe, chat, codes, decontamination, jaccard, language, licenses, lines, passages, pii, quality, resampling, secrets
 from valuelens.llm.common import table
 from valuelens.llm.oracle import ORACLE
 
 BATCH_ROWS = "512"  # of what passes to Python at once; some texts are very long
 SURROGATE_KEY = "of this query"  # in production a secret
+LINE_BATCHES = 2  # deliveries that the line index is built from; the second meets the first one's filters
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -116,6 +117,21 @@ def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = lines.deduplicated(_documents(spark, sf_dir), batches=LINE_BATCHES)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_passages": repeated_passages,
     "op2_bpe_round_trip": bpe_round_trip,
@@ -127,6 +143,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_round_trip": chat_round_trip,
     "op9_license_scan": license_scan,
     "op10_benchmark_leaks": benchmark_leaks,
+    "op11_line_dedup": line_dedup,
+    "op12_target_resampling": target_resampling,
+    "op13_vector_codes": vector_codes,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
