@@ -1,0 +1,85 @@
+"""Vector codes: against plain numpy."""
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.compare import differences, duck
+from tests.llm.rows import SF_DIR
+from valuelens.llm import codes, queries
+from valuelens.llm.oracle import ORACLE
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, error string, point string, n string"
+
+
+def plain_codes(rows):
+    """Of finite vectors of one length, in order of their ids."""
+    points = np.floor(np.array([v for _, v, _ in rows], np.float32).astype(np.float64) * 256).astype(np.int64)
+    parts = points.reshape(len(rows), 16, -1)
+    books = parts[:64].transpose(1, 0, 2).copy()
+    for turn in range(3):
+        distances = ((parts[:, :, None, :] - books[None]) ** 2).sum(-1)
+        near, least = distances.argmin(2), distances.min(2)
+        if turn < 2:
+            for p in range(16):
+                for e in set(near[:, p].tolist()):
+                    own = parts[near[:, p] == e, p]
+                    books[p, e] = own.sum(0) // len(own)
+    errors, labels = least.sum(1).tolist(), Counter()
+    for (_, _, label), error in zip(rows, errors):
+        labels[label] += error
+    sha = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return sorted((i, bytes(c).hex(), e, labels[label]) for (i, _, label), c, e in zip(rows, near.tolist(), errors)), sha
+
+
+def compressed(spark, rows):
+    found, books = codes.compress(spark.createDataFrame([(*r, *"abcd") for r in rows], SCHEMA))
+    return sorted((r.vec_id, r.code, r.error, r.label_error) for r in found.collect()), books.sha256()
+
+
+def test_query_equals_its_sql(spark):
+    assert differences(queries.vector_codes(spark, SF_DIR), ORACLE["op13_vector_codes"], duck(SF_DIR)) == []
+
+
+@pytest.mark.parametrize("n, size, spread", [(300, 32, 1.0), (10, 16, 0.01), (200, 48, 0.004), (65, 16, 1000.0)])
+def test_codes_of_random_vectors(spark, n, size, spread):
+    rng = np.random.default_rng(n)
+    vectors = (rng.standard_normal((n, size)) * spread).astype(np.float32)
+    vectors[n // 2 :: 3] = vectors[0]  # copies, and so ties
+    rows = [(i, v.tolist(), [None, 1, 2, 2][i % 4]) for i, v in enumerate(vectors)]
+    assert compressed(spark, rows) == plain_codes(rows)
+
+
+def test_odd_vectors_are_dropped(spark):
+    rng = np.random.default_rng(1)
+    good = [(i, rng.standard_normal(32).tolist(), i % 3) for i in range(5, 90)]
+    odd = [(0, None, 1), (1, [1.0] * 31 + [None], 1), (2, [1.0] * 31 + [float("nan")], 1), (3, [float("-inf")] + [0.0] * 31, 1)]
+    assert compressed(spark, odd + good) == plain_codes(good)
+    assert compressed(spark, odd + good + [(200, [1.0] * 16, 1), (201, [], 1)]) == plain_codes(good)
+    assert compressed(spark, odd) == ([], codes.hashlib.sha256(b"").hexdigest())
+    assert compressed(spark, [(1, [1.0] * 17, 1)])[0] == []
+    assert compressed(spark, [])[0] == []
+
+
+def test_repeated_and_missing_ids_and_huge_components(spark):
+    rows = [(1, [0.5] * 16, 1), (1, [0.5] * 16, 1), (None, [1e30] * 16, None), (2, [-1e30] * 16, None)]
+    found, _ = codes.compress(spark.createDataFrame([(*r, *"abcd") for r in rows], SCHEMA))
+    got = found.collect()
+    assert len(got) == 4 and all(r.error == 0 and r.label_error == 0 for r in got)
+    assert {r.code for r in got if r.vec_id is None} == {"03" * 16}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_masks_hold_every_entry_within_the_radius(seed):
+    rng = np.random.default_rng(seed)
+    book, points = rng.integers(-9, 9, (rng.integers(1, 65), 3)), rng.integers(-12, 12, (200, 3))
+    masks = codes.Masks(book)
+    distances = ((points[:, None] - book) ** 2).sum(-1)
+    near, least = masks.nearest(points)
+    assert (near == distances.argmin(1)).all() and (least == distances.min(1)).all()
+    held = masks.candidates(points)[:, None] >> np.arange(len(book), dtype=np.uint64) & np.uint64(1)
+    reach = masks.radii(points)
+    assert (held[distances <= reach[:, None] ** 2] == 1).all()
+    assert ((np.abs(points[:, None] - book) <= reach[:, None, None]).all(2) == held.astype(bool)).all()
