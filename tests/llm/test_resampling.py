@@ -45,10 +45,10 @@ def test_query_equals_its_sql(spark):
 def test_windows_whatever_the_blocks(monkeypatch, block):
     monkeypatch.setattr(resampling, "BLOCK_BYTES", block)
     found, singles = [[] for _ in TEXTS], Counter()
-    for numbers, buckets, single in resampling.features(TEXTS):
+    for first, _, numbers, buckets, single in resampling.features(TEXTS):
         for n, b in zip(numbers.tolist(), buckets.tolist()):
-            found[n].append(b)
-        singles.update(numbers[single].tolist())
+            found[first + n].append(b)
+        singles.update((first + numbers[single]).tolist())
     for n, text in enumerate(TEXTS):
         assert sorted(found[n]) == plain_buckets(text)
         assert singles[n] == len(WORD.findall((text or "").encode().lower()))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
-from valuelens.llm.common import written
+from valuelens.llm.common import plain, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BUCKETS = 10_000
@@ -112,13 +112,13 @@ def window_buckets(data: bytes, offsets: np.ndarray, crcs: np.ndarray) -> tuple[
     pairs = shifted(before, np.minimum(lengths, LONG_WORD)) ^ crcs[1:]
     for at in np.flatnonzero(lengths > LONG_WORD).tolist():
         pairs[at] = zlib.crc32(data[offsets[at + 1, 0] : offsets[at + 1, 1]], int(before[at]))
-    return (crcs % BUCKETS).astype(np.int64), (pairs % BUCKETS).astype(np.int64)
+    return (crcs % BUCKETS).astype(np.uint16), (pairs % BUCKETS).astype(np.uint16)
 
 
-def features(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """In blocks of bounded size: of each window the number of its text, its bucket, and whether it is a single word.
-
-    Short texts share a block; a long one is split block by block, with the last word carried on to the next.
+def features(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """In groups of texts, from ``first`` up to ``last``: of each window the number of its text, its bucket, and whether it is a
+    single word. A group has BLOCK_BYTES at most or is one longer text, which is split block by block, the last word
+    being carried on to the next.
     """
     lowered = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
     first = 0
@@ -129,37 +129,56 @@ def features(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray,
             last += 1
         data = b"\n".join(lowered[first:last])
         ends = np.cumsum([len(x) + 1 for x in lowered[first:last]])
-        carried = np.empty((0, 2), np.int64)
+        carried, parts = np.empty((0, 2), np.int64), []
         for low, high in _cuts(data):
-            fresh = word_offsets(data[low:high]) + low
-            offsets = np.concatenate([carried, fresh])
+            offsets = np.concatenate([carried, word_offsets(data[low:high]) + low])
             if not len(offsets):
                 continue
-            numbers = np.searchsorted(ends, offsets[:, 0], "right") + first
+            numbers = np.searchsorted(ends, offsets[:, 0], "right").astype(np.int32)
             single, pair = window_buckets(data, offsets, word_crcs(data, offsets))
-            within = numbers[1:] == numbers[:-1]
-            single, owners = single[len(carried) :], numbers[len(carried) :]
-            yield (
-                np.concatenate([owners, numbers[1:][within]]),
-                np.concatenate([single, pair[within]]),
-                np.arange(len(single) + within.sum()) < len(single),
-            )
+            within, fresh = numbers[1:] == numbers[:-1], slice(len(carried), None)
+            parts.append((numbers[fresh], single[fresh], np.ones(len(single[fresh]), bool)))
+            parts.append((numbers[1:][within], pair[within], np.zeros(within.sum(), bool)))
             carried = offsets[-1:]
+        none = (np.empty(0, np.int32), np.empty(0, np.uint16), np.empty(0, bool))
+        yield (first, last, *(np.concatenate(c) for c in zip(*(parts or [none]), strict=True)))
         first = last
 
 
-def histogram(rows: DataFrame, text_col: str) -> np.ndarray:
+def bucketed(rows: DataFrame, name: str) -> DataFrame:
+    """doc_id, n_words, buckets (16 bits each) of rows with doc_id and text: written, as splitting costs most by far."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, numbers, buckets, single in features(batch.column(1).to_pylist()):
+                n = last - first
+                ends = 2 * np.cumsum(np.bincount(numbers, minlength=n))
+                packed = buckets[np.argsort(numbers, kind="stable")].astype("<u2").tobytes()
+                buffers = [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int64).tobytes()), pa.py_buffer(packed)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, n),
+                        pa.array(np.bincount(numbers[single], minlength=n)),
+                        pa.Array.from_buffers(pa.large_binary(), n, buffers).cast(pa.binary()),
+                    ],
+                    names=["doc_id", "n_words", "buckets"],
+                )
+
+    return written(rows.mapInArrow(run, "doc_id long, n_words long, buckets binary"), name)
+
+
+def histogram(rows: DataFrame) -> np.ndarray:
     """Windows of the whole table by bucket: summed in each task, then by Spark."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for _, buckets, _ in features(batch.column(0).to_pylist()):
-                sums += np.bincount(buckets, minlength=BUCKETS)
+            for buckets in batch.column(0):
+                sums += np.bincount(np.frombuffer(buckets.as_buffer(), "<u2"), minlength=BUCKETS)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["bucket", "n"])
 
-    found = rows.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "bucket long, n long")
+    found = rows.select("buckets").mapInArrow(count, "bucket long, n long")
     totals = np.zeros(BUCKETS, np.int64)
     for r in found.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # a row per bucket at most
         totals[r.bucket] = r.n
@@ -173,26 +192,20 @@ def gains(corpus: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.array([math.floor(1000 * math.log(x)) for x in ratio], np.int64)
 
 
-def weigh(docs: DataFrame, gain: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_features, weight."""
-    shared = docs.sparkSession.sparkContext.broadcast(gain)
+def weigh(rows: DataFrame, gain: np.ndarray) -> DataFrame:
+    """doc_id, n_words, n_features, weight: the floored mean gain of a row's buckets."""
+    shared = rows.sparkSession.sparkContext.broadcast(gain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            sums, counts, singles = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
-            for numbers, buckets, single in features(batch.column(1).to_pylist()):
-                sums += np.bincount(numbers, shared.value[buckets], n).astype(np.int64)  # exact up to 2^53
-                counts += np.bincount(numbers, minlength=n)
-                singles += np.bincount(numbers[single], minlength=n)
-            weights = np.where(counts > 0, sums // np.maximum(counts, 1), 0)
+            found = [np.frombuffer(b.as_buffer(), "<u2") for b in batch.column(2)]
+            weights = [int(shared.value[b].sum()) // len(b) if len(b) else 0 for b in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(singles), pa.array(counts), pa.array(weights)],
+                [batch.column(0), batch.column(1), pa.array([len(b) for b in found], pa.int64()), pa.array(weights, pa.int64())],
                 names=["doc_id", "n_words", "n_features", "weight"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
+    return rows.select("doc_id", "n_words", "buckets").mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
 
 
 def scored(weights: DataFrame, seed: int = SEED) -> DataFrame:
@@ -237,8 +250,9 @@ def resample(
     rows that repeat an id share its deviate too, and of equal ones which is ranked first is open. An empty target has
     equal counts in all buckets; without documents there are no rows.
     """
-    gain = gains(histogram(docs, text_col), histogram(target, target_col))
-    rows = written(scored(weigh(docs, gain, id_col, text_col), seed), "scored")
+    split = bucketed(plain(docs, id_col, text_col), "buckets")
+    wanted = bucketed(target.select(F.lit(0).cast("long").alias("doc_id"), F.col(target_col).cast("string").alias("text")), "target")
+    rows = written(scored(weigh(split, gains(histogram(split), histogram(wanted))), seed), "scored")
     enough = F.col("n_words") >= min_words
     drawn = rows.where(enough).count() * percent // 100
     others = rows.where(~enough).withColumn("rank", F.lit(None).cast("long"))
