@@ -481,6 +481,26 @@ ORACLE: dict[str, str] = {
             strftime(window_start + INTERVAL 28 HOUR, '%Y-%m-%d') AS "endDate",
             strftime(window_start + INTERVAL 28 HOUR, '%Y-%m-%d %H:00:00.000') AS "endTimestamp"
         FROM entries"""),
+    # From each entry to the next one a day later at least.
+    "boost_entries_sequential": _query(
+        f"""SELECT window_start, {BOOST} FROM entries JOIN chain USING (url, region, window_start)""",
+        chain="""
+        SELECT url, region, MIN(window_start) AS window_start FROM entries GROUP BY ALL
+        UNION ALL SELECT e.url, e.region, MIN(e.window_start) FROM chain c JOIN entries e
+            ON e.url = c.url AND e.region = c.region AND e.window_start >= c.window_start + INTERVAL 24 HOUR
+        GROUP BY ALL""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+    "boost_candidates_default_gates": _query(
+        f"""SELECT window_start, {BOOST} FROM candidates""",
+        boost_hours="""
+        SELECT unnest(range(168)) AS back, date_trunc('hour', ts)::timestamp AS hour, received_date,
+            'https://www.example.com/' AS url, 'ROW' AS region
+        FROM view_events WHERE component_type = 'ACQUISITIONS_EPIC' AND host = 'www.example.com'""",
+        boost_totals=CTES["boost_totals"]
+        .replace("[0, 1, 2]", "range(168)")
+        .replace("referrer_url AS url, region", "'https://www.example.com/' AS url, 'ROW' AS region"),
+        candidates=CTES["candidates"].replace("total_views > 0", "total_views > 100"),
+    ),
     "run_metrics": _query("SELECT * FROM metric_hours"),
     "run_metrics_without_configs": _query("""
         SELECT window_start, 0::bigint AS total_tests, 0::bigint AS tests_with_data, 0::bigint AS variant_views
@@ -546,3 +566,6 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, hour - back * INTERVAL 1 HOUR AS window_start FROM boost_hours) GROUP BY ALL""",
     ),
 }
+
+# Compaction changes no record.
+ORACLE |= {"samples_compacted": ORACLE["samples_latest"], "boosts_compacted": ORACLE["boosts_latest"]}

@@ -43,6 +43,14 @@ from valuelens.plans import boosts
 from valuelens.plans.samples import SAMPLE_KEY, sample_records, sample_rows, variant_samples
 from valuelens.schemas import CHANNELS
 from valuelens.session import shared_folder
+from valuelens.sinks.compaction import append_path
+from valuelens.sinks.records import (
+    append_samples,
+    compact_boosts,
+    compact_samples,
+    read_boosts,
+    read_samples,
+)
 from valuelens.sources.catalog import parse_catalogs
 from valuelens.sources.tables import live_tests
 from valuelens.streaming import rollups
@@ -51,6 +59,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Gates low enough for the small tables to have articles beyond them.
 MIN_VIEWS, MIN_VALUE = 0, 40
+WEEK = 168  # hours
 
 ACTIVE_AT = datetime(2024, 1, 15, 12, 34)
 RUN_AT = datetime(2024, 2, 1)
@@ -294,15 +303,20 @@ def _flat(records: DataFrame) -> DataFrame:
     )
 
 
-def samples_latest(spark, sf_dir):
-    """All hours sampled with a low cap, then the later half again with the usual one, by a later run of one time."""
+def _sampled_twice(spark, sf_dir):
+    """All hours sampled with a low cap, then the later half again with the usual one."""
     inputs = Inputs(spark, sf_dir)
     hours = inputs.hours()
     wanted = config_hours(inputs.configs, hours)
     first = sample_records(wanted, inputs.samples(hours, value_cap=10.0))
     middle = hours.first + (hours.last - hours.first) // HOUR // 2 * HOUR
     later = Hours(middle, hours.last)
-    again = sample_records(config_hours(inputs.configs, later), inputs.samples(later))
+    return first, sample_records(config_hours(inputs.configs, later), inputs.samples(later))
+
+
+def samples_latest(spark, sf_dir):
+    """The current records of two runs of one time."""
+    first, again = _sampled_twice(spark, sf_dir)
     log = first.withColumn("run_id", F.lit("1")).unionByName(again.withColumn("run_id", F.lit("2")))
     log = log.withColumn("written_at", F.expr(ntz(RUN_AT)))
     return _flat(latest_per_key(log, SAMPLE_RECORD_KEY))
@@ -360,6 +374,55 @@ def boost_records(spark, sf_dir):
     return rounded(boosts.boost_records(entries), *BOOST_VALUES)
 
 
+def boost_entries_sequential(spark, sf_dir):
+    """Entries of all windows, an article that entered being boosted for a day."""
+    inputs = Inputs(spark, sf_dir)
+    entries = boosts.sequential_entries(inputs.candidates(), boosts_latest(spark, sf_dir))
+    return rounded(entries, *BOOST_VALUES)
+
+
+def boost_candidates_default_gates(spark, sf_dir):
+    """Candidates with the gates that a run has: the whole site as one article, over windows of a week."""
+    inputs = Inputs(spark, sf_dir)
+    site = {"path": F.lit("/"), "country_key": F.lit(None).cast("string")}
+    acquired = {"referrer_url": F.lit("https://www.example.com/"), "country_code": F.lit(None).cast("string")}
+    found = boosts.boost_candidates(
+        inputs.page_views.where("host = 'www.example.com'").withColumns(site),
+        inputs.acquisitions.withColumns(acquired),
+        inputs.rates,
+        boost_prices(spark),
+        None,
+        span=WEEK,
+    )
+    return rounded(found, *BOOST_VALUES)
+
+
+def _compacted(spark, name, append, read, compact, *runs):
+    """What a log holds after it was compacted between its runs, and once more after the last."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+    for number, records in enumerate(runs, 1):
+        append(records, path, RUN_AT, str(number))
+        compact(spark, path, settled=number < len(runs))
+    return read(spark, path)
+
+
+def samples_compacted(spark, sf_dir):
+    first, again = _sampled_twice(spark, sf_dir)
+    found = _compacted(spark, "samples", append_samples, read_samples, compact_samples, first, again)
+    return _flat(found)
+
+
+def boosts_compacted(spark, sf_dir):
+    """Stored boosts, of which each sign-up's records are a run, in two parts by hour; the later one is not merged yet."""
+    path = f"{shared_folder(spark)}/boosts-{uuid.uuid4()}"
+    rows = t.stored_boosts(t.events(spark, sf_dir))
+    early = F.hour("written_at") < 12
+    for part, settled in ((rows.where(early), True), (rows.where(~early), False)):
+        part.write.mode("append").partitionBy("endDate").parquet(append_path(spark, path))
+        compact_boosts(spark, path, settled)
+    return read_boosts(spark, path)
+
+
 def run_metrics(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
     hours = inputs.hours()
@@ -497,6 +560,10 @@ QUERIES: dict[str, Query] = {
     "boost_active": boost_active,
     "boost_entries": boost_entries,
     "boost_records": boost_records,
+    "boost_entries_sequential": boost_entries_sequential,
+    "boost_candidates_default_gates": boost_candidates_default_gates,
+    "samples_compacted": samples_compacted,
+    "boosts_compacted": boosts_compacted,
     "run_metrics": run_metrics,
     "run_metrics_without_configs": run_metrics_without_configs,
     "sampling_windows": sampling_windows,

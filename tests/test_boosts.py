@@ -12,6 +12,7 @@ from valuelens.plans.boosts import (
     boost_entries,
     boost_records,
     passes_threshold,
+    sequential_entries,
 )
 
 RATES = [("2024-01-01", "GBP", 0.8), ("2024-01-01", "EUR", 1.0)]
@@ -150,3 +151,46 @@ def test_records(spark):
     assert record.id == "GB_aHR0cHM6Ly93d3cuZXhhbXBsZS5jb20vYQ=="
     assert record.startTimestamp == "2024-01-02 12:00:00.000"
     assert (record.endDate, record.endTimestamp) == ("2024-01-03", "2024-01-03 12:00:00.000")
+
+
+def candidate_rows(spark, *rows):
+    schema = """window_start timestamp_ntz, url string, region string, totalAv double,
+        totalAcquisitions bigint, totalViews bigint, avPerView double"""
+    return frames.table(spark, [(start, url, region, 1.0, 1, 1, value) for start, url, region, value in rows], schema)
+
+
+@pytest.mark.parametrize("duration", [4, 24])
+def test_sequential_entries_equal_hourly_runs(spark, duration):
+    first = at("2024-01-02T00:00")
+    rows = [
+        (first + i * HOUR, f"https://{url}", region, 0.02 if (i * 7 + url) % 5 else 0.001)
+        for i in range(14)
+        for url in range(3)
+        for region in ("GB", "US", "ROW")
+        if (i * 3 + url) % 4
+    ]
+    found = candidate_rows(spark, *rows)
+    stored = boosts(spark, boost("https://0", end="2024-01-02 11:00:00.000"), boost("https://1", "ROW", "2024-01-02 09:00:00.000"))
+    entered, known = [], [tuple(row) for row in stored.collect()]
+    for i in range(14):
+        run = first + (i + 4) * HOUR
+        active = active_boosts(boosts(spark, *known), run)
+        now = boost_entries(found.where(f"window_start = timestamp_ntz'{first + i * HOUR}'"), active)
+        entered += [tuple(row) for row in now.collect()]
+        known += [tuple(row) for row in boost_records(now, duration_hours=duration).select(*stored.columns).collect()]
+    together = sequential_entries(found, stored, duration_hours=duration)
+    assert sorted(map(tuple, together.collect())) == sorted(entered)
+    assert (len(entered) > len({row[1:3] for row in entered})) == (duration == 4)
+
+
+def test_sequential_entries_need_one_shuffle_of_candidates(spark):
+    found = candidate_rows(spark, (at("2024-01-02T00:00"), URL, "GB", 1.0))
+    plan = sequential_entries(found, boosts(spark, boost()))._jdf.queryExecution().executedPlan().toString()
+    fold = plan[: plan.index("ObjectHashAggregate", plan.index("ObjectHashAggregate") + 1)]
+    assert fold.count("Exchange hashpartitioning(url") == 1 and "Python" not in plan
+
+
+def test_candidates_out_of_order_and_repeated_windows(spark):
+    rows = [(at(f"2024-01-02T{h:02}:00"), URL, "GB", 1.0) for h in (9, 3, 6, 3)]
+    assert [r.window_start for r in sequential_entries(candidate_rows(spark, *rows), boosts(spark)).collect()] == [rows[1][0]]
+    assert sequential_entries(candidate_rows(spark), boosts(spark)).count() == 0

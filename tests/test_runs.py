@@ -7,7 +7,7 @@ from tests.frames import acquisition, at, event, page_view
 from valuelens import schemas
 from valuelens.functions.hours import HOUR, sampling_hours
 from valuelens.operators.quality import InvalidData
-from valuelens.plans.runs import Facts, Outputs, run_backfill, run_boosts, run_sampling
+from valuelens.plans.runs import Facts, Outputs, run_backfill, run_boost_backfill, run_boosts, run_sampling
 from valuelens.sinks.records import (
     append_boosts,
     append_metrics,
@@ -282,3 +282,17 @@ def test_failed_metrics_do_not_fail(spark, tmp_path):
     points = frames.table(spark, [("n", 1.0, "Count", NOW)], schemas.METRICS)
     assert append_metrics(points, f"{blocked}/metrics") is False
     assert append_metrics(points, f"{tmp_path}/metrics") is True
+
+
+def test_boost_backfill_equals_hourly_runs(spark, site):
+    hourly, at_once = f"{site.path}/hourly", f"{site.path}/at_once"
+    nothing = frames.table(spark, [], schemas.BOOST_RECORDS)
+    start = at("2024-01-02T10:20")
+    stored = nothing
+    for hour in range(4):
+        run_boosts(site.facts(), stored, hourly, start + (hour + 1) * HOUR)
+        stored = read_boosts(spark, hourly)
+    run_boost_backfill(site.facts(), nothing, at_once, start, start + 4 * HOUR)
+    key = lambda path: sorted((r.id, r.startTimestamp, r.totalViews) for r in read_boosts(spark, path).collect())
+    assert key(at_once) == key(hourly) and len(key(hourly)) == 1
+    run_boost_backfill(site.facts(), nothing, f"{site.path}/none", NOW, NOW)

@@ -104,6 +104,15 @@ def backfill_hours(start: datetime, now: datetime) -> Hours | None:
     return Hours(first, first + (runs - 1) * HOUR)
 
 
+def boost_backfill_hours(start: datetime, now: datetime, span: int = BOOST_WINDOW_HOURS) -> Hours | None:
+    """Windows of the boost runs at start+1h, start+2h, ... as long as the run before was due before now."""
+    hours = backfill_hours(start, now)
+    if hours is None:
+        return None
+    back = (span - 1) * HOUR
+    return Hours(hours.first - back, hours.last - back, span)
+
+
 def _utc(time: datetime) -> datetime:
     return time.astimezone(timezone.utc).replace(tzinfo=None) if time.tzinfo else time
 

@@ -120,6 +120,35 @@ def boost_entries(
     return found.join(boosted_days(boosts).alias("b"), boosted, "left_anti")
 
 
+def sequential_entries(
+    candidates: DataFrame,
+    boosts: DataFrame,
+    span: int = BOOST_WINDOW_HOURS,
+    thresholds: dict[str, float] = BOOST_THRESHOLDS,
+    duration_hours: int = BOOST_DURATION_HOURS,
+) -> DataFrame:
+    """Entries of a plan of many windows, as hourly runs would have made them one after the other.
+
+    An article that enters is boosted from the hour of its run, so that it does not enter again before its boost ends. Stored
+    boosts are left out first; then the candidates of an article and region are gone through in order of time. They meet in
+    one shuffle, and an array holds one candidate per window of the plan at most.
+    """
+    free = boost_entries(candidates, boosts, span, thresholds)
+    columns = [name for name in candidates.columns if name not in ("url", "region")]
+    # A run looks at boosts that end on its day or the next, and after its hour.
+    run, entered = run_hour("x.window_start", span), run_hour("e.window_start", span)
+    end = plus_hours(entered, duration_hours)
+    seen = f"datediff(to_date({end}), to_date({run})) in (0, 1) and {end} > {run}"
+    in_order = f"array_sort(collect_list(struct({', '.join(['window_start', *(c for c in columns if c != 'window_start')])})))"
+    fold = f"aggregate(found, slice(found, 1, 0), (a, x) -> if(exists(a, e -> {seen}), a, concat(a, array(x))))"
+    return (
+        free.groupBy("url", "region")
+        .agg(F.expr(in_order).alias("found"))
+        .selectExpr("url", "region", f"inline({fold})")
+        .select(*candidates.columns)
+    )
+
+
 def boost_records(
     entries: DataFrame,
     span: int = BOOST_WINDOW_HOURS,

@@ -9,7 +9,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuelens.functions.hours import Hours, backfill_hours, boost_hours, sampling_hours
+from valuelens.functions.hours import Hours, backfill_hours, boost_backfill_hours, boost_hours, sampling_hours
 from valuelens.functions.text import one_of
 from valuelens.operators.acquisitions import unrated_acquisitions
 from valuelens.operators.configs import config_hours, sampled_tests, test_configs
@@ -28,7 +28,13 @@ from valuelens.operators.quality import (
 )
 from valuelens.operators.rates import rates_for, sample_rates
 from valuelens.operators.views import views_by_hour
-from valuelens.plans.boosts import active_boosts, boost_candidates, boost_entries, boost_records
+from valuelens.plans.boosts import (
+    active_boosts,
+    boost_candidates,
+    boost_entries,
+    boost_records,
+    sequential_entries,
+)
 from valuelens.plans.samples import sample_records, variant_samples
 from valuelens.schemas import BOOST_MIN_VALUE, BOOST_MIN_VIEWS, CHANNELS
 from valuelens.sinks.records import append_boosts, append_metrics, append_samples
@@ -220,3 +226,33 @@ def run_boosts(
         append_boosts(boost_records(entries), boosts_path)
     finally:
         candidates.unpersist()
+
+
+def run_boost_backfill(
+    facts: Facts,
+    boosts: DataFrame,
+    boosts_path: str,
+    start: datetime,
+    now: datetime,
+    min_views: int = BOOST_MIN_VIEWS,
+    min_value: float = BOOST_MIN_VALUE,
+    catalog: DataFrame | None = None,
+) -> None:
+    """All hourly boost runs due after ``start`` up to ``now``, in one job.
+
+    An article that enters in one of the hours is boosted in the later ones, as if each run had seen the records of those
+    before it. ``boosts`` are the records stored so far.
+    """
+    hours = boost_backfill_hours(start, now)
+    if hours is None:
+        log.info("nothing to backfill")
+        return
+    prices = boost_prices(facts.page_views.sparkSession) if catalog is None else price_dimension(catalog)
+    candidates = boost_candidates(
+        facts.page_views, facts.acquisitions, facts.rates, prices, hours, min_views, min_value
+    ).persist()  # checked, then written; only articles beyond the gates
+    try:
+        entries = sequential_entries(require(candidates, boost_rules()), boosts)
+        append_boosts(boost_records(entries), boosts_path)
+    finally:
+        candidates.unpersist()

@@ -1,7 +1,8 @@
 """Keyed records and metrics on Parquet.
 
 Runs append; readers see the record written last for each key. A repeated run therefore replaces its
-records, whatever hours either covered, and a run that dies half-way can simply be repeated.
+records, whatever hours either covered, and a run that dies half-way can simply be repeated. ``compact_samples`` and
+``compact_boosts``, now and then, keep readers from going through all versions ever written.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from pyspark.sql import functions as F
 
 from valuelens import schemas
 from valuelens.functions.hours import ntz
-from valuelens.operators.latest import BOOST_RECORD_KEY, SAMPLE_RECORD_KEY, latest_per_key
+from valuelens.operators.latest import BOOST_RECORD_KEY, SAMPLE_RECORD_KEY
+from valuelens.sinks import compaction
 
 log = logging.getLogger(__name__)
 
-_VERSION = "written_at timestamp_ntz, run_id string"
+SAMPLES = compaction.Keyed(f"{schemas.SAMPLE_RECORDS}, sample_date date", tuple(SAMPLE_RECORD_KEY), "sample_date")
+BOOSTS = compaction.Keyed(schemas.BOOST_RECORDS, tuple(BOOST_RECORD_KEY), "endDate")
 
 
 def new_run_id() -> str:
@@ -40,7 +43,7 @@ def _append(
         .hint("rebalance", F.col(partition))
         .write.mode("append")
         .partitionBy(partition)
-        .parquet(path)
+        .parquet(compaction.append_path(records.sparkSession, path))
     )
 
 
@@ -54,9 +57,11 @@ def append_samples(
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
     """The current record per test and hour. Filter on sample_date to read few files."""
-    schema = f"{schemas.SAMPLE_RECORDS}, {_VERSION}, sample_date date"
-    log_rows = spark.read.schema(schema).parquet(path)
-    return latest_per_key(log_rows, [*SAMPLE_RECORD_KEY, "sample_date"])
+    return compaction.read(spark, path, SAMPLES)
+
+
+def compact_samples(spark: SparkSession, path: str, settled: bool = False) -> None:
+    compaction.compact(spark, path, SAMPLES, settled)
 
 
 def append_boosts(
@@ -68,9 +73,11 @@ def append_boosts(
 
 def read_boosts(spark: SparkSession, path: str) -> DataFrame:
     """The current record per article, region and start. The end date follows from the start."""
-    schema = f"{schemas.BOOST_RECORDS}, {_VERSION}"
-    log_rows = spark.read.schema(schema).parquet(path)
-    return latest_per_key(log_rows, [*BOOST_RECORD_KEY, "endDate"])
+    return compaction.read(spark, path, BOOSTS)
+
+
+def compact_boosts(spark: SparkSession, path: str, settled: bool = False) -> None:
+    compaction.compact(spark, path, BOOSTS, settled)
 
 
 def append_metrics(points: DataFrame, path: str) -> bool:
