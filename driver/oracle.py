@@ -493,11 +493,11 @@ ORACLE: dict[str, str] = {
     "boost_candidates_default_gates": _query(
         f"""SELECT window_start, {BOOST} FROM candidates""",
         boost_hours="""
-        SELECT unnest(range(168)) AS back, date_trunc('hour', ts)::timestamp AS hour, received_date,
+        SELECT unnest(range(48)) AS back, date_trunc('hour', ts)::timestamp AS hour, received_date,
             'https://www.example.com/' AS url, 'ROW' AS region
-        FROM view_events WHERE component_type = 'ACQUISITIONS_EPIC' AND host = 'www.example.com'""",
+        FROM view_events, range(6) WHERE component_type = 'ACQUISITIONS_EPIC' AND host = 'www.example.com'""",
         boost_totals=CTES["boost_totals"]
-        .replace("[0, 1, 2]", "range(168)")
+        .replace("[0, 1, 2]", "range(48)")
         .replace("referrer_url AS url, region", "'https://www.example.com/' AS url, 'ROW' AS region"),
         candidates=CTES["candidates"].replace("total_views > 0", "total_views > 100"),
     ),

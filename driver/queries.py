@@ -59,7 +59,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Gates low enough for the small tables to have articles beyond them.
 MIN_VIEWS, MIN_VALUE = 0, 40
-WEEK = 168  # hours
+TWO_DAYS = 48  # hours
 
 ACTIVE_AT = datetime(2024, 1, 15, 12, 34)
 RUN_AT = datetime(2024, 2, 1)
@@ -382,9 +382,10 @@ def boost_entries_sequential(spark, sf_dir):
 
 
 def boost_candidates_default_gates(spark, sf_dir):
-    """Candidates with the gates that a run has: the whole site as one article, over windows of a week."""
+    """Candidates with the gates that a run has: the whole site as one article, every event shown six times, two days long."""
     inputs = Inputs(spark, sf_dir)
-    site = {"path": F.lit("/"), "country_key": F.lit(None).cast("string")}
+    shown = F.flatten(F.array_repeat("component_event_array", 6))
+    site = {"path": F.lit("/"), "country_key": F.lit(None).cast("string"), "component_event_array": shown}
     acquired = {"referrer_url": F.lit("https://www.example.com/"), "country_code": F.lit(None).cast("string")}
     found = boosts.boost_candidates(
         inputs.page_views.where("host = 'www.example.com'").withColumns(site),
@@ -392,7 +393,7 @@ def boost_candidates_default_gates(spark, sf_dir):
         inputs.rates,
         boost_prices(spark),
         None,
-        span=WEEK,
+        span=TWO_DAYS,
     )
     return rounded(found, *BOOST_VALUES)
 
