@@ -48,6 +48,12 @@ def joined(segments: str) -> str:
     return f"array_join(transform({segments}, s -> s.text), '')"
 
 
+def loss_text(segments: str, level: str) -> str:
+    """What a model learns to write, as in the source: escaped texts are read back one by one, and then joined."""
+    own = f"transform(filter({segments}, s -> s.loss), s -> if({level} = 0, s.text, {unescaped('s.text')}))"
+    return f"array_join({own}, '')"
+
+
 def parsed(formatted: str) -> str:
     """The turns of a formatted conversation; null if it does not follow the grammar."""
     bodies = f"""transform(filter(parts, (p, i) -> i % 2 = 1), p -> struct(
@@ -71,7 +77,8 @@ def format_conversations(
 
     Null texts and roles count as empty. Rows are ordered by turn (null first), then role, then text, so that ties
     and repeated rows, which all stay, have one result. Rows without an id are one conversation. A
-    conversation is one output row by its nature, whatever its length; nothing larger is gathered.
+    conversation is one output row by its nature, whatever its length; nothing larger is gathered. An empty table gives no
+    rows. Other columns are not used, whatever their names.
     """
     turns = (
         rows.select(

@@ -81,10 +81,13 @@ def chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    learnt = chat.unescaped("array_join(transform(filter(segments, s -> s.loss), s -> s.text), '')")
+    return chat_digests(rows)
+
+
+def chat_digests(rows: DataFrame) -> DataFrame:
     return (
         chat.format_conversations(rows)
-        .withColumn("learnt", F.expr(learnt))
+        .withColumn("learnt", F.expr(chat.loss_text("segments", "level")))
         .select(
             "conv_id",
             F.size("turns").cast("long").alias("n_turns"),
