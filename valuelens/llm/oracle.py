@@ -57,6 +57,7 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
+#: Blocks begin at a word of their template and are as long as the length filter allows.
 LICENSES = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -77,13 +78,20 @@ WITH d AS (
   SELECT DISTINCT label, unnest(regexp_extract_all(body, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM templates
 ), need AS (
   SELECT label, count(*) AS n FROM tw GROUP BY label
-), lines AS (
-  SELECT r, unnest(range(len(string_split(t, chr(10))))) AS k, unnest(string_split(t, chr(10))) AS line FROM w
-), lw AS (
-  SELECT DISTINCT r, k, unnest(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM lines
+), lengths AS (
+  SELECT label, len(regexp_extract_all(body, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) * 5 // 4 AS most FROM templates
+), hits AS (
+  SELECT r, label, i, ws[i] AS word
+  FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM w) JOIN tw ON word = ws[i]
+), able AS (
+  SELECT r, label FROM hits JOIN need USING (label) GROUP BY r, label HAVING 5 * count(DISTINCT word) >= 4 * any_value(n)
+), near AS (
+  SELECT * FROM hits SEMI JOIN able USING (r, label)
 ), met AS (
-  SELECT r, label, count(*) / any_value(n) AS share
-  FROM lw JOIN tw USING (word) JOIN need USING (label) GROUP BY r, k, label HAVING 5 * count(*) >= 4 * any_value(n)
+  SELECT a.r, a.label, count(DISTINCT b.word) / any_value(n) AS share
+  FROM near a JOIN need USING (label) JOIN lengths USING (label)
+    JOIN near b ON b.r = a.r AND b.label = a.label AND b.i >= a.i AND b.i < a.i + most
+  GROUP BY a.r, a.label, a.i HAVING 5 * count(DISTINCT b.word) >= 4 * any_value(n)
 ), found AS (
   SELECT r, max(share) AS share FROM met GROUP BY r
 ), named AS (
