@@ -10,6 +10,7 @@ so that no match is lost by this.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,13 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuelens.llm.common import mix, plain, windows, word_hashes, words
+from valuelens.llm.common import mix, plain, windows, word_hashes, words, written
 
 MAX_EDITS_PERCENT = 20  # of the item's words
 REPETITIONS = 24
 SAMPLED = 3
-BLOCK_ITEMS = 20_000  # of the benchmark that one pass over the documents looks for
-MAX_ITEM_WORDS = 10_000
+BLOCK_WORDS = 2_000_000  # of the benchmark that one pass over the documents looks for; a longer item is its own block
 _BITS = 1 << 22
 _PADDING = np.uint64(0)
 
@@ -60,20 +60,24 @@ def signatures(sequences: np.ndarray) -> np.ndarray:
     return total
 
 
-def nearest(item: list[int], text: list[int]) -> tuple[int, int, int]:
+def nearest(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """The least edit distance of the item to any run of words of the text, and that run's start and end.
 
-    Of equal distances the leftmost end wins, then the longest run.
+    Of equal distances the leftmost end wins, then the longest run. A cell holds its distance in the upper half and the start of
+    its run in the lower, so that the least cell is the least distance with the leftmost start; a row is worked out at once,
+    as words that only the text has are a running minimum.
     """
-    above = [(0, i) for i in range(len(text) + 1)]
+    one = np.int64(1) << np.int64(32)
+    steps = np.arange(len(text) + 1) * one
+    above = np.arange(len(text) + 1, dtype=np.int64)
     for i, word in enumerate(item, 1):
-        row = [(i, 0)]
-        for j, other in enumerate(text, 1):
-            same = above[j - 1] if word == other else (above[j - 1][0] + 1, above[j - 1][1])
-            row.append(min(same, (above[j][0] + 1, above[j][1]), (row[-1][0] + 1, row[-1][1])))
-        above = row
-    distance, end = min((d, j) for j, (d, _) in enumerate(above))
-    return distance, above[end][1], end
+        row = above + one
+        row[0] = i * one
+        np.minimum(row[1:], above[:-1] + np.where(text == word, np.int64(0), one), out=row[1:])
+        above = np.minimum.accumulate(row - steps) + steps
+    distances = above >> 32
+    end = int(np.argmin(distances))
+    return int(distances[end]), int(above[end] & (one - 1)), end
 
 
 @dataclass
@@ -154,7 +158,7 @@ class Items:
             if same:
                 best[item] = (0, min(same), min(same) + length)
                 continue
-            target, reach = self.hashes[item].tolist(), 2 * edits
+            target, reach = self.hashes[item], 2 * edits
             merged: list[list[int]] = []
             for start in sorted(starts):
                 low, high = max(0, start - reach), min(len(hashes), start + length + reach)
@@ -163,28 +167,38 @@ class Items:
                 else:
                     merged.append([low, high])
             for low, high in merged:
-                distance, start, end = nearest(target, hashes[low:high].tolist())
+                distance, start, end = nearest(target, hashes[low:high])
                 if distance <= edits:
                     best[item] = min(best.get(item, (1 << 62, 0, 0)), (distance, low + start, low + end))
         return sorted((self.ids[item], start, end, distance) for item, (distance, start, end) in best.items())
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Items]:
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """The items in blocks of bounded size, by id. Items that are null, without words or without id match nothing."""
     rows = benchmark.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).orderBy("doc_id", "text")
-    ids, hashes = [], []
+    ids, hashes, size = [], [], 0
     for row in rows.toLocalIterator():
         found = word_hashes(words(row.text))
-        if len(found) > MAX_ITEM_WORDS:
-            raise ValueError(f"item {row.doc_id} has more than {MAX_ITEM_WORDS} words")
+        if ids and size + len(found) > BLOCK_WORDS:
+            yield ids, hashes
+            ids, hashes, size = [], [], 0
         if len(found):
             ids.append(row.doc_id)
             hashes.append(found)
-        if len(ids) == BLOCK_ITEMS:
-            yield Items(ids, hashes)
-            ids, hashes = [], []
+            size += len(found)
     if ids:
-        yield Items(ids, hashes)
+        yield ids, hashes
+
+
+_INDEX: dict[str, Items] = {}
+
+
+def _index(name: str, shared) -> Items:
+    """The index of a block, built once by each worker process."""
+    if name not in _INDEX:
+        _INDEX.clear()
+        _INDEX[name] = Items(*shared.value)
+    return _INDEX[name]
 
 
 def find(
@@ -198,19 +212,22 @@ def find(
     """doc_id, item_id, first_word, end_word, edits: the best match of each item in each document that has one.
 
     A match is a run of words within ``MAX_EDITS_PERCENT`` of the item's words in edits; words are compared with
-    A-Z in lower case. The benchmark is the query set: it goes to the executors in blocks of ``BLOCK_ITEMS``, each
-    searched in all documents. Null or empty documents and items match nothing, and neither does an empty
-    table. Repeated documents give repeated rows; repeated items are found alike, each under its id. Documents
-    are not shuffled at all.
+    A-Z in lower case. The benchmark is the query set: it goes to the executors in blocks of ``BLOCK_WORDS``, each
+    searched in all documents; with more than one block, each one's matches are written before the next is read, so that
+    the driver holds one. Items of any length are looked for; one longer than a block is a block of its own. Null or
+    empty documents and items match nothing, and neither does an empty table. Repeated documents give repeated rows; repeated items
+    are found alike, each under its id. Other columns are not used, whatever their names. Documents are not shuffled at all.
     """
     schema = "doc_id long, item_id long, first_word long, end_word long, edits long"
     rows, spark = plain(docs, id_col, text_col), docs.sparkSession
     found = spark.createDataFrame([], schema)
-    for block in _blocks(plain(benchmark, item_col, item_text_col)):
-        shared = spark.sparkContext.broadcast((block.ids, block.hashes))
+    blocks = _blocks(plain(benchmark, item_col, item_text_col))
+    block = next(blocks, None)
+    while block is not None:
+        shared, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = Items(*shared.value)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            items = _index(name, shared)
             for batch in batches:
                 ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
                 got = [(i, *m) for i, text in zip(ids, texts, strict=True) for m in items.search(text)]
@@ -220,5 +237,9 @@ def find(
                     names=["doc_id", "item_id", "first_word", "end_word", "edits"],
                 )
 
-        found = found.unionByName(rows.mapInArrow(run, schema))
+        matches, block = rows.mapInArrow(run, schema), next(blocks, None)
+        if block is not None:
+            matches = written(matches, "matches")
+            shared.destroy()
+        found = found.unionByName(matches)
     return found
