@@ -19,6 +19,7 @@ ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
+BLOCK_CELLS = 1 << 22  # of the sparse product that are laid out at a time, unless one text has more
 _DOCUMENTS = -1  # stands in the place of a bucket where documents are counted
 
 
@@ -110,16 +111,57 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     )
 
 
-def score(model: Model, text: str | None) -> tuple[str, float]:
-    """The likeliest language (of equals, the first by name) and its probability."""
-    found = buckets(text)
-    if not len(found) or not model.languages:
-        return UNKNOWN, 0.0
-    counts = np.bincount(found, minlength=BUCKETS)
-    at = np.flatnonzero(counts)
-    logs = counts[at].astype(np.float64) @ model.log_probs[at].astype(np.float64) + model.log_priors
-    best = int(np.argmax(logs))
-    return model.languages[best], float(1 / np.exp(logs - logs[best]).sum())
+@dataclass(frozen=True)
+class Sparse:
+    """The buckets of several texts and how often each occurs: those of text i from ``starts[i]`` up to ``starts[i + 1]``."""
+
+    starts: np.ndarray
+    bucket: np.ndarray
+    n: np.ndarray
+
+    @staticmethod
+    def of(texts: list[str | None]) -> Sparse:
+        starts, at, n = [0], [], []
+        for text in texts:
+            counts = np.bincount(buckets(text), minlength=BUCKETS)
+            at.append(np.flatnonzero(counts))
+            n.append(counts[at[-1]])
+            starts.append(starts[-1] + len(at[-1]))
+        none = [np.empty(0, np.int64)]
+        return Sparse(np.array(starts), np.concatenate(at or none), np.concatenate(n or none))
+
+    def blocks(self, rows: int) -> Iterator[tuple[int, int]]:
+        """Texts from first up to last with so many rows together, or one text."""
+        first, last = 0, len(self.starts) - 1
+        while first < last:
+            end = max(first + 1, int(np.searchsorted(self.starts, self.starts[first] + rows, "right")) - 1)
+            yield first, end
+            first = end
+
+
+def scores(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Of each text the likeliest language (of equals, the first by name) and its probability.
+
+    One sparse product for many texts: the rows of the matrix that occur, each times its count, summed by text. What is
+    laid out at a time is bounded, whatever the texts and languages.
+    """
+    languages, best = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    if not model.languages:
+        return languages, best
+    found = Sparse.of(texts)
+    for first, last in found.blocks(max(1, BLOCK_CELLS // len(model.languages))):
+        low, high = found.starts[first], found.starts[last]
+        begins = found.starts[first:last]
+        own = np.flatnonzero(np.diff(found.starts[first : last + 1]))
+        if not len(own):
+            continue
+        cells = model.log_probs[found.bucket[low:high]] * found.n[low:high, None].astype(np.float64)
+        logs = np.add.reduceat(cells, begins[own] - low, axis=0) + model.log_priors
+        top = logs.argmax(axis=1)
+        best[first + own] = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
+        for at, language in zip((first + own).tolist(), top.tolist(), strict=True):
+            languages[at] = model.languages[language]
+    return languages, best
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -132,7 +174,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([score(shared.value, x) for x in texts], columns=["lang_pred", "score"])
+        languages, best = scores(shared.value, texts.tolist())
+        return pd.DataFrame({"lang_pred": languages, "score": best})
 
     found = docs.drop("lang_pred", "score").withColumn("__found", predict(F.col(text_col).cast("string")))
     return found.select("*", "__found.lang_pred", "__found.score").drop("__found")
