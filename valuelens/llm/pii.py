@@ -26,10 +26,12 @@ PATTERNS = {
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)|" + _NATIONAL,
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)",
-    "person": r"\b(?:Mrs?|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Se\x{f1}ora?|Sra|\x{413}-\x{43d}|\x{413}-\x{436}\x{430}|\x{39a}\x{3bf}\x{3c2})\.? \p{Lu}\p{Ll}{1,30}(?: \p{Lu}\p{Ll}{1,30})?",
+    "person": r"(?<![\p{L}\d])(?:Mrs?|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Se\x{f1}ora?|Sra|\x{413}-\x{43d}|\x{413}-\x{436}\x{430}|\x{39a}\x{3bf}\x{3c2}|\x{39a}\x{3b1}|\x{39a}\x{3c5}\x{3c1}\x{3af}\x{3b1})\.? \p{Lu}\p{Ll}{1,30}(?: \p{Lu}\p{Ll}{1,30})?",
 }
 ANY = "|".join(PATTERNS.values())
-_FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Se\x{f1}ora|Sra|\x{413}-\x{436}\x{430})\b"
+_FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Se\x{f1}ora|Sra|\x{413}-\x{436}\x{430}|\x{39a}\x{3b1}|\x{39a}\x{3c5}\x{3c1}\x{3af}\x{3b1})(?!\p{L})"
+#: Country codes of one and two digits; all others have three.
+_CODES = (r"^[17]", r"^(?:2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])")
 #: Given names by gender and script.
 NAMES = {
     "f latin": "Ada Carla Elena Greta Ines Karin Lena Maria Nora Olga Petra Rosa Sara Tessa Vera Yvonne",
@@ -62,11 +64,16 @@ def kind_of(mention: str) -> str:
         WHEN {mention} rlike '^[0-9]' THEN 'card' WHEN {mention} rlike {_sql(_FEMALE)} THEN 'f person' ELSE 'm person' END"""
 
 
+def _code(digits: str) -> str:
+    """How many digits the country code of a number has."""
+    return f"CASE WHEN {digits} rlike '{_CODES[0]}' THEN 1 WHEN {digits} rlike '{_CODES[1]}' THEN 2 ELSE 3 END"
+
+
 def canonical(mention: str) -> str:
     """Equal for all ways of writing one entity."""
     digits = f"regexp_replace({mention}, '[^0-9]', '')"
     return f"""CASE {kind_of(mention)} WHEN 'email' THEN lower({mention}) WHEN 'ip' THEN {mention}
-        WHEN 'phone' THEN concat(if(startswith({mention}, '+'), char_length(regexp_extract({mention}, '[0-9]+', 0)), 0), ':', {digits})
+        WHEN 'phone' THEN concat(if(startswith({mention}, '+'), {_code(digits)}, 0), ':', {digits})
         WHEN 'ssn' THEN {digits} WHEN 'card' THEN {digits}
         ELSE lower(regexp_replace({mention}, '^[^ ]+ ', '')) END"""
 
