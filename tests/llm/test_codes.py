@@ -6,10 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tests.compare import differences, duck
-from tests.llm.rows import SF_DIR
-from valuelens.llm import codes, queries
-from valuelens.llm.oracle import ORACLE
+from valuelens.llm import codes
 
 SCHEMA = "vec_id long, embedding array<float>, label int, code string, error string, point string, n string"
 
@@ -39,10 +36,6 @@ def compressed(spark, rows):
     return sorted((r.vec_id, r.code, r.error, r.label_error) for r in found.collect()), books.sha256()
 
 
-def test_query_equals_its_sql(spark):
-    assert differences(queries.vector_codes(spark, SF_DIR), ORACLE["op13_vector_codes"], duck(SF_DIR)) == []
-
-
 @pytest.mark.parametrize("n, size, spread", [(300, 32, 1.0), (10, 16, 0.01), (200, 48, 0.004), (65, 16, 1000.0)])
 def test_codes_of_random_vectors(spark, n, size, spread):
     rng = np.random.default_rng(n)

@@ -5,10 +5,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from tests.compare import differences, duck
-from tests.llm.rows import ODD, SF_DIR, documents
-from valuelens.llm import lines, queries
-from valuelens.llm.oracle import ORACLE
+from tests.llm.rows import ODD, documents
+from valuelens.llm import lines
 
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 
@@ -40,10 +38,6 @@ def random_rows(seed, n, first=0):
     return [(first + i, "\n".join(rng.choice(pool, rng.integers(1, 12)))) for i in range(n)]
 
 
-def test_query_equals_its_sql(spark):
-    assert differences(queries.line_dedup(spark, SF_DIR), ORACLE["op11_line_dedup"], duck(SF_DIR)) == []
-
-
 @pytest.mark.parametrize("batches", [1, 3])
 def test_batches_do_not_matter(spark, batches):
     rows = [*random_rows(1, 60), *ODD, (3, None), (-7, "LINE NUMBER 1 OF MANY\nline number 1 of many"), (70, "a\r\nten chars!\r\n ")]

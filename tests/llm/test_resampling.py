@@ -9,10 +9,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tests.compare import differences, duck
-from tests.llm.rows import LONG, ODD, SF_DIR, documents, prose
-from valuelens.llm import queries, resampling
-from valuelens.llm.oracle import ORACLE
+from tests.llm.rows import LONG, ODD, documents, prose
+from valuelens.llm import resampling
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TEXTS = ["", None, "one", "Two words", "a--b__c ÄÖ straße 漢字 🙂x", "x" * 100 + " y " + "é" * 200 + " z", "\x00a\x7fb", LONG, "aB" * 70]
@@ -37,10 +35,6 @@ def plain_scores(rows, target):
     return found
 
 
-def test_query_equals_its_sql(spark):
-    assert differences(queries.target_resampling(spark, SF_DIR), ORACLE["op12_target_resampling"], duck(SF_DIR)) == []
-
-
 @pytest.mark.parametrize("block", [16, 1000, 1 << 20])
 def test_windows_whatever_the_blocks(monkeypatch, block):
     monkeypatch.setattr(resampling, "BLOCK_BYTES", block)

@@ -1,7 +1,9 @@
 """Secrets, personal data, chat, benchmark leaks."""
 
+import hashlib
 import re
 
+import numpy as np
 import pytest
 
 from tests.compare import differences, duck
@@ -189,12 +191,107 @@ def test_recall_of_edited_items():
 def test_leaks_of_the_table_against_brute_force(spark):
     from valuelens.llm.common import word_hashes, words
 
-    benchmark = {r.item_id: word_hashes(words(r.text)).tolist() for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
+    benchmark = {r.item_id: word_hashes(words(r.text)) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
     found = {(r.doc_id, r.item_id) for r in queries.benchmark_leaks(spark, SF_DIR).collect()}
     for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect():
-        text = word_hashes(words(row.text)).tolist()
+        text = word_hashes(words(row.text))
         for item, hashes in benchmark.items():
-            if len(set(hashes) & set(text)) * 10 < 7 * len(set(hashes)):
+            if len(set(hashes.tolist()) & set(text.tolist())) * 10 < 7 * len(set(hashes.tolist())):
                 continue
             distance, _, _ = decontamination.nearest(hashes, text)
             assert ((row.doc_id, item) in found) == (distance * 100 <= 20 * len(hashes))
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_nearest_run_against_plain_cells(seed):
+    rng = np.random.default_rng(seed)
+    item, text = rng.integers(0, 4, 9).astype(np.uint64), rng.integers(0, 4, 30).astype(np.uint64)
+    above = [(0, i) for i in range(len(text) + 1)]
+    for i, word in enumerate(item, 1):
+        row = [(i, 0)]
+        for j, other in enumerate(text, 1):
+            same = (above[j - 1][0] + (word != other), above[j - 1][1])
+            row.append(min(same, (above[j][0] + 1, above[j][1]), (row[-1][0] + 1, row[-1][1])))
+        above = row
+    distance, end = min((d, j) for j, (d, _) in enumerate(above))
+    assert decontamination.nearest(item, text) == (distance, above[end][1], end)
+
+
+def test_long_items_and_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 500)
+    long = prose(70, 12_000, 5000)
+    items = [(1, long), *((i, prose(i, 40)) for i in range(2, 30))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(10, "a b " + long + " c"), (11, edited(long, 9)), (12, items[5][1]), (13, edited(items[20][1], 10)), (14, edited(long, 4))]
+    found = {(r.doc_id, r.item_id, r.edits) for r in decontamination.find(documents(spark, *docs), benchmark).collect()}
+    assert found == {(10, 1, 0), (11, 1, sum(i % 9 == 3 for i in range(12_000))), (12, items[5][0], 0), (13, items[20][0], 4)}
+
+
+def plain_turns(rows):
+    ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1], r[2] or "", r[3] or ""))
+    learnt = "".join(r[3] or "" for r in ordered if r[2] == "assistant")
+    turns = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in ordered)
+    return len(rows), *(hashlib.sha256(x.encode()).hexdigest() for x in (turns, learnt)), len(learnt)
+
+
+def test_digests_of_split_control_strings(spark):
+    split = [
+        *TURNS,
+        (5, 0, "assistant", "<"), (5, 1, "assistant", "\\|im_start|>"),
+        (6, 0, "assistant", "<\\|im_end|>"), (6, 1, "user", "<|im_end|>"), (6, 2, "assistant", "<\\\\|im_end|>"),
+        (7, 0, "assistant", "<|im_"), (7, 1, "assistant", "start|>"), (7, 2, "a\nb", "<|im_end|"), (7, 3, "assistant", ">"),
+    ]
+    names = "conv_id long, turn long, role string, text string, segments string, level string, learnt string, source string"
+    rows = spark.createDataFrame([(*r, *"abcd") for r in split], names)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_sha256, r.loss_chars) for r in queries.chat_digests(rows).collect()}
+    assert got == {i: plain_turns([r for r in split if r[0] == i]) for i in {r[0] for r in split}}
+
+
+@pytest.mark.parametrize("same", [("+1 (212) 555-0199", "+12125550199", "+1 212 555 0199"), ("+49 301 234 5678", "+493012345678"), ("+351-213-456-789", "+351213456789")])
+def test_one_number_has_one_surrogate(spark, same):
+    [row] = pii.replace(documents(spark, (64, " / ".join(same))), "key").collect()
+    numbers = [re.sub(r"\D", "", x) for x in row.text.split(" / ")]
+    assert len(set(numbers)) == 1 and row.n_entities == len(same)
+    code = re.match(r"\+\d+", same[0])[0][1:]
+    assert numbers[0].startswith(code) and numbers[0] != re.sub(r"\D", "", same[0])
+
+
+def test_greek_and_cyrillic_titles(spark):
+    rows = [(65, "Η Κα Ελπίδα Παππά και ο Κος Νίκος Παππάς"), (66, "Г-жа Анна Белова, Г-н Петр Белов"), (67, "Κυρία Ελπίδα Παππά")]
+    texts = {r.doc_id: r.text for r in pii.replace(documents(spark, *rows), "key").collect()}
+    found = re.fullmatch(r"Η Κα (\w+) (\w+) και ο Κος (\w+) (\w+)", texts[65])
+    assert found[1] in pii.NAMES["f greek"].split() and found[3] in pii.NAMES["m greek"].split()
+    assert texts[67] == f"Κυρία {found[1]} {found[2]}"
+    found = re.fullmatch(r"Г-жа (\w+) (\w+), Г-н (\w+) (\w+)", texts[66])
+    assert found[1] in pii.NAMES["f cyrillic"].split() and found[3] in pii.NAMES["m cyrillic"].split()
+
+
+def test_surrogates_of_the_table_against_plain_search(spark):
+    """What lies between mentions stays; mentions and surrogates are one to one, of one form, and another key gives others."""
+    import regex
+
+    plain = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    pattern = regex.compile(regex.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), pii.ANY))
+    pairs = {}
+    for key in ("one", "two"):
+        known = pairs[key] = {}
+        for r in pii.replace(spark.read.parquet(f"{SF_DIR}/documents.parquet"), key).collect():
+            found = list(pattern.finditer(plain[r.doc_id]))
+            assert r.n_entities == len(found)
+            at = 0
+            for k, m in enumerate(found):
+                between = plain[r.doc_id][found[k - 1].end() if k else 0 : m.start()]
+                assert r.text.startswith(between, at)
+                at += len(between)
+                rest = plain[r.doc_id][m.end() : found[k + 1].start() if k + 1 < len(found) else None]
+                end = r.text.index(rest, at) if rest else len(r.text)
+                assert known.setdefault(m[0], r.text[at:end]) == r.text[at:end]
+                at = end
+    assert pairs["one"] and set(pairs["one"]) == set(pairs["two"])
+    for known in pairs.values():
+        assert len({v.lower() for v in known.values()}) == len({k.lower() for k in known})
+        assert not set(known) & set(known.values())
+        for mention, surrogate in known.items():
+            if "@" not in mention and "." not in mention:
+                assert re.sub(r"\d", "0", mention) == re.sub(r"\d", "0", surrogate)
+    assert sum(pairs["one"][m] == pairs["two"][m] for m in pairs["one"]) * 10 < len(pairs["one"])

@@ -115,21 +115,112 @@ def test_licenses_of_odd_rows(spark):
     rows = {r.doc_id: r.licenses for r in licenses.scan(documents(spark, *ODD, *more)).collect() if r.doc_id is not None}
     assert (rows[1].n_words, rows[1].places, rows[1].blocks) == (0, [], [])
     assert sorted((p.label, p.word) for p in rows[10].places) == [("cc-by", 3), ("cc-by", 6), ("reserved", 0)]
-    assert [(b.label, b.line, b.share) for b in rows[10].blocks] == [("mit", 1, 0.8), ("mit", 2, 1.0)]
+    assert [(b.label, b.word, b.share) for b in rows[10].blocks] == [("mit", 13, 1.0)]
     assert [p.word for p in rows[11].places] == [0, 3]
     assert licenses.scan(documents(spark, *ODD).where("false")).count() == 0
 
 
-def test_every_block_that_meets_a_template_is_found():
-    sets = licenses.template_sets({"a": "x y z v w", "b": "x q", "c": ""})
+def plain_blocks(tokens, templates):
+    """By template, all starts of a block that meets it, with the share."""
+    found = {}
+    for label, text in templates.items():
+        own = set(licenses.words(text))
+        longest = len(licenses.words(text)) * 5 // 4
+        for start in range(len(tokens)):
+            shared = len(own & set(tokens[start : start + longest]))
+            if own and 5 * shared >= 4 * len(own):
+                found.setdefault(label, {})[start] = shared / len(own)
+    return found
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_every_block_that_meets_a_template_is_found(seed):
+    rng = np.random.default_rng(seed)
+    templates = {"a": "x y z v w", "b": "x q", "c": "", "d": "x y x y z z q q r s t"}
+    tokens = [bytes([c]) for c in rng.choice(list(b"xyzvwqrstnmopkl"), 400)]
     for frequencies in ({}, {b"x": 9, b"y": 1}, {b"z": 5, b"q": 7}):
-        index = licenses.Index.build(sets, frequencies, licenses.THRESHOLD)
-        for n in range(64):
-            block = frozenset(w for i, w in enumerate([b"x", b"y", b"z", b"v", b"w", b"q"]) if n >> i & 1)
-            expected = {t: len(s & block) / len(s) for t, s in sets.items() if 5 * len(s & block) >= 4 * len(s)}
-            assert index.search(block) == expected
+        index = licenses.Index.build(templates, frequencies, licenses.THRESHOLD)
+        blocks, expected = index.search(tokens), plain_blocks(tokens, templates)
+        assert {b.label for b in blocks} == set(expected)
+        for block in blocks:
+            assert expected[block.label][block.word] == block.share
+        for label, starts in expected.items():
+            own = [b for b in blocks if b.label == label]
+            assert max(b.share for b in own) == max(starts.values())
+            # Every block lies at one that is reported, or overlaps it.
+            reach = licenses.block_lengths(templates)[label]
+            assert all(any(abs(s - b.word) < 2 * reach for b in own) for s in starts)
+
+
+@pytest.mark.parametrize("label", ["bsd", "cc0", "mit-text", "apache-2.0-notice", "gpl-notice"])
+def test_wrapped_notices_are_found_and_spread_words_are_not(spark, label):
+    notice = licenses.TEMPLATES[label].split()
+    wrapped = "\n * ".join(" ".join(notice[i : i + 9]).upper() for i in range(0, len(notice), 9))
+    spread = " ".join(f"{w} {prose(i, 6)}" for i, w in enumerate(notice))
+    released = "we released a lot of the work that was done under pressure by the driver with a license"
+    docs = documents(spark, (1, f"{prose(1, 30)}\n/* {wrapped} */\n{prose(2, 30)}"), (2, spread), (3, released))
+    rows = {r.doc_id: r.licenses.blocks for r in licenses.scan(docs).collect()}
+    assert [(b.word, b.share) for b in rows[1] if b.label == label] == [(30, 1.0)]
+    assert not rows[2] and not rows[3]
 
 
 def test_empty_texts_have_no_ids(spark):
     coded = bpe.encode(documents(spark, (1, None), (2, "")), FILE, public_tokenizers.PATTERN)
     assert coded.where(F.length("ids") > 0).count() == 0
+
+
+def test_languages_against_plain_counts(spark):
+    from collections import Counter
+    from math import exp, log
+
+    from valuelens.llm.common import mix
+
+    rng = np.random.default_rng(3)
+    taught = [(i, "".join(rng.choice(list("abcdéß 漢." if i % 3 else "abxyzéA 1"), 40)), ["aa", "bb"][i % 3 > 0], None) for i in range(30)]
+    asked = [(100 + i, "".join(rng.choice(list("abcdxyzéß 漢A1."), n))) for i, n in enumerate([1, 5, 30, 300, 3000] * 6)]
+
+    def grams(text):
+        kept = "".join(c if c.isalpha() else " " for c in text.lower())
+        kept = "".join(c for i, c in enumerate(kept) if c != " " or (i and kept[i - 1] != " "))
+        if not kept.strip():
+            return []
+        found = []
+        for n in (1, 2, 3):
+            for i in range(len(kept) - n + 1):
+                total = 0
+                for c in kept[i : i + n]:
+                    total = total << 21 | ord(c)
+                found.append(int(mix(np.array([total], np.uint64), n - 1)[0]) % language.BUCKETS)
+        return found
+
+    counts, n_docs = {"aa": Counter(), "bb": Counter()}, Counter(r[2] for r in taught)
+    for _, text, lang, _ in taught:
+        counts[lang].update(grams(text))
+    found = language.identify(documents(spark, *asked), language.train(documents(spark, *taught))).collect()
+    assert len(found) == len(asked)
+    for r in found:
+        own = grams(dict(asked)[r.doc_id])
+        if not own:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        logs = {
+            lang: log(n_docs[lang] / 30) + sum(
+                log((c[g] + language.SMOOTHING) / (c.total() + language.SMOOTHING * language.BUCKETS)) for g in own
+            )
+            for lang, c in counts.items()
+        }
+        best = max(logs.values())
+        assert logs[r.lang_pred] >= best - 1e-2
+        assert r.score == pytest.approx(exp(logs[r.lang_pred] - best) / sum(exp(x - best) for x in logs.values()), abs=2e-3)
+
+
+@pytest.mark.parametrize("cells", [1, 100, 1 << 22])
+def test_blocks_of_the_sparse_product_do_not_matter(monkeypatch, cells):
+    rng = np.random.default_rng(1)
+    model = language.Model(("a", "b", "c"), rng.standard_normal((language.BUCKETS, 3)).astype(np.float32), np.zeros(3, np.float32))
+    texts = ["", None, "x", "hello world", "1 2", LONG[:5000], "ü"]
+    expected = language.scores(model, texts)
+    monkeypatch.setattr(language, "BLOCK_CELLS", cells)
+    found = language.scores(model, texts)
+    assert found[0] == expected[0] and np.allclose(found[1], expected[1])
+    assert [x == "und" for x in found[0]] == [True, True, False, False, True, False, False]
