@@ -135,10 +135,19 @@ def _valued(source: str, quarterly: bool = False, fix_gbp: bool = False) -> str:
                 ON f.currency = s.currency AND f.rates_date = s.window_start::date - 1)"""
 
 
+def _exact_sum(value: str) -> str:
+    """Whole numbers, and two fractions of thirty bits: a sum that does not depend on the order of rows."""
+    part = "1073741824::double"
+    fraction = f"({value} - floor({value})) * {part}"
+    rest = f"({fraction} - floor({fraction})) * {part}"
+    whole, upper, lower = (f"SUM(floor({x})::bigint)::double" for x in (value, fraction, rest))
+    return f"({whole} + ({upper} + {lower} / {part}) / {part})"
+
+
 def _totals(value_cap: float = 250.0) -> str:
     return f"""
         SELECT window_start, channel, test_name, variant_name, COUNT(*) AS acquisitions,
-            SUM(CASE WHEN av_gbp >= {value_cap} THEN {value_cap}::double ELSE av_gbp END) AS sum_av_gbp
+            {_exact_sum(f"(CASE WHEN av_gbp >= {value_cap} THEN {value_cap}::double ELSE av_gbp END)")} AS sum_av_gbp
         FROM valued GROUP BY ALL"""
 
 
@@ -189,9 +198,9 @@ CTES |= {
     "boost_priced": _priced("acquisitions", "fixed_prices"),
     "boost_totals": """
         SELECT window_start, referrer_url AS url, region, COUNT(*)::bigint AS acquisitions,
-            SUM(CASE payment_frequency WHEN 'ONE_OFF' THEN paid * to_gbp_rate
+            """ + _exact_sum("""(CASE payment_frequency WHEN 'ONE_OFF' THEN paid * to_gbp_rate
                 WHEN 'MONTHLY' THEN (paid * to_gbp_rate) * 12
-                WHEN 'ANNUALLY' THEN paid * to_gbp_rate END) AS sum_av_gbp
+                WHEN 'ANNUALLY' THEN paid * to_gbp_rate END)""") + """ AS sum_av_gbp
         FROM (SELECT * EXCLUDE (window_start), window_start - back * INTERVAL 1 HOUR AS window_start
             FROM (SELECT *, unnest([0, 1, 2]) AS back, """ + _region("country_code") + """ AS region
                 FROM boost_priced)) a
@@ -303,19 +312,19 @@ def _query(select: str, **overrides: str) -> str:
 
 
 SAMPLE = """window_start, channel, test_name, variant_name, views, acquisitions,
-    round(sum_av_gbp + 1e-9, 6) AS sum_av_gbp, round(sum_av_gbp_per_view + 1e-9, 6) AS sum_av_gbp_per_view"""
+    sum_av_gbp AS sum_av_gbp, sum_av_gbp_per_view AS sum_av_gbp_per_view"""
 ACQUISITION = """window_start, product, payment_frequency, currency, amount, component_type, test_name,
     variant_name"""
-BOOST = """url, region, round("totalAv" + 1e-9, 6) AS "totalAv", "totalAcquisitions", "totalViews",
-    round("avPerView" + 1e-9, 6) AS "avPerView\""""
+BOOST = """url, region, "totalAv" AS "totalAv", "totalAcquisitions", "totalViews",
+    "avPerView" AS "avPerView\""""
 
 
 def _flat(samples: str, hours: str, name: str = "config_hours") -> str:
     return f"""
         SELECT channel || '_' || test_name AS "testName",
             strftime(window_start, '%Y-%m-%d %H:%M:%S.') || '000Z' AS "timestamp",
-            variant_name AS "variantName", round(sum_av_gbp + 1e-9, 6) AS "annualisedValueInGBP",
-            round(sum_av_gbp_per_view + 1e-9, 6) AS "annualisedValueInGBPPerView", views
+            variant_name AS "variantName", sum_av_gbp AS "annualisedValueInGBP",
+            sum_av_gbp_per_view AS "annualisedValueInGBPPerView", views
         FROM (SELECT * FROM {name} WHERE {hours})
         LEFT JOIN {samples} USING (channel, test_name, window_start)"""
 
@@ -336,19 +345,17 @@ def _missing(*names: str) -> dict[str, str]:
 CLOSED = """(SELECT least((SELECT MAX(ts) FROM view_events {views}),
     (SELECT MAX(event_timestamp) FROM acquisitions)) - INTERVAL 105 MINUTE)"""
 
+# From each entry to the next one a day later at least.
+CHAIN = """
+        SELECT url, region, MIN(window_start) AS window_start FROM entries GROUP BY ALL
+        UNION ALL SELECT e.url, e.region, MIN(e.window_start) FROM chain c JOIN entries e
+            ON e.url = c.url AND e.region = c.region AND e.window_start >= c.window_start + INTERVAL 24 HOUR
+        GROUP BY ALL"""
+
 CATALOG_RULES = {
-    "SupporterPlus.active is missing": "false",
-    "SupporterPlus.Monthly has no pricing": "false",
-    "SupporterPlus.Monthly has an empty price": "false",
-    "SupporterPlus.Annual has no pricing": "false",
-    "SupporterPlus.Annual has an empty price": "false",
-    "DigitalSubscription.active is missing": "false",
-    "DigitalSubscription.Monthly has no pricing": "false",
-    "DigitalSubscription.Monthly has an empty price": "false",
-    "DigitalSubscription.Quarterly has no pricing": "false",
-    "DigitalSubscription.Quarterly has an empty price": "false",
-    "DigitalSubscription.Annual has no pricing": "p_partkey % 11 = 0",
-    "DigitalSubscription.Annual has an empty price": "false",
+    f"{product}.{plan} {text}" if plan else f"{product}.active is missing": f"p_partkey % {t.BROKEN_OF} = {k}"
+    for k, (product, plan, kind) in t.BROKEN.items()
+    for text in [{"gone": "has no pricing", "empty": "has an empty price", "inactive": ""}[kind]]
 }
 
 ORACLE: dict[str, str] = {
@@ -420,7 +427,7 @@ ORACLE: dict[str, str] = {
         priced=_priced("unnested", "list_prices"),
     ),
     "acquisition_totals": _query("""
-        SELECT window_start, channel, test_name, variant_name, round(sum_av_gbp + 1e-9, 6) AS sum_av_gbp,
+        SELECT window_start, channel, test_name, variant_name, sum_av_gbp AS sum_av_gbp,
             acquisitions
         FROM totals"""),
     "acquisitions_unrated": _query("""
@@ -467,7 +474,7 @@ ORACLE: dict[str, str] = {
     ),
     "boost_views": _query("SELECT * FROM boost_views"),
     "boost_acquisitions": _query("""
-        SELECT window_start, url, region, round(sum_av_gbp + 1e-9, 6) AS sum_av_gbp, acquisitions
+        SELECT window_start, url, region, sum_av_gbp AS sum_av_gbp, acquisitions
         FROM boost_totals"""),
     "boost_candidates": _query(f"SELECT window_start, {BOOST} FROM candidates"),
     "boosts_latest": _query("SELECT * FROM latest_boosts"),
@@ -481,14 +488,9 @@ ORACLE: dict[str, str] = {
             strftime(window_start + INTERVAL 28 HOUR, '%Y-%m-%d') AS "endDate",
             strftime(window_start + INTERVAL 28 HOUR, '%Y-%m-%d %H:00:00.000') AS "endTimestamp"
         FROM entries"""),
-    # From each entry to the next one a day later at least.
     "boost_entries_sequential": _query(
         f"""SELECT window_start, {BOOST} FROM entries JOIN chain USING (url, region, window_start)""",
-        chain="""
-        SELECT url, region, MIN(window_start) AS window_start FROM entries GROUP BY ALL
-        UNION ALL SELECT e.url, e.region, MIN(e.window_start) FROM chain c JOIN entries e
-            ON e.url = c.url AND e.region = c.region AND e.window_start >= c.window_start + INTERVAL 24 HOUR
-        GROUP BY ALL""",
+        chain=CHAIN,
     ).replace("WITH ", "WITH RECURSIVE ", 1),
     "boost_candidates_default_gates": _query(
         f"""SELECT window_start, {BOOST} FROM candidates""",
@@ -556,8 +558,8 @@ ORACLE: dict[str, str] = {
     ),
     "stream_article_windows": _query(
         f"""SELECT window_start, url, region, total_views AS "totalViews",
-            round(sum_av_gbp + 1e-9, 6) AS "totalAv", acquisitions AS "totalAcquisitions",
-            round(sum_av_gbp / total_views + 1e-9, 6) AS "avPerView"
+            sum_av_gbp AS "totalAv", acquisitions AS "totalAcquisitions",
+            sum_av_gbp / total_views AS "avPerView"
         FROM boost_totals JOIN boost_views USING (window_start, url, region)
         WHERE window_start + INTERVAL 3 HOUR <=
             {CLOSED.format(views="WHERE component_type = 'ACQUISITIONS_EPIC'")}""",
@@ -567,5 +569,75 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+ORACLE |= {
+    "stream_keyed_samples": _query(
+        """SELECT channel || '_' || test_name AS "testName",
+            strftime(window_start, '%Y-%m-%d %H:%M:%S.') || '000Z' AS "timestamp", variant_name AS "variantName",
+            sum_av_gbp AS "annualisedValueInGBP", sum_av_gbp_per_view AS "annualisedValueInGBPPerView", views
+        FROM component_samples""",
+        hourly_events="SELECT *, date_trunc('hour', ts)::timestamp AS window_start FROM view_events",
+    ),
+    "stream_boost_entries": _query(
+        f"""SELECT {BOOST}, region || '_' || to_base64(encode(url)) AS id,
+            strftime(window_start + INTERVAL 4 HOUR, '%Y-%m-%d %H:00:00.000') AS "startTimestamp",
+            strftime(window_start + INTERVAL 28 HOUR, '%Y-%m-%d') AS "endDate",
+            strftime(window_start + INTERVAL 28 HOUR, '%Y-%m-%d %H:00:00.000') AS "endTimestamp"
+        FROM entries JOIN chain USING (url, region, window_start)""",
+        boost_views="""
+        SELECT window_start, url, region, COUNT(*)::bigint AS total_views
+        FROM (SELECT *, hour - back * INTERVAL 1 HOUR AS window_start FROM boost_hours) GROUP BY ALL""",
+        entries=f"""
+        SELECT c.* FROM candidates c
+        JOIN (VALUES {_rows(BOOST_THRESHOLDS.items())}) th(region, lowest) ON th.region = c.region
+        WHERE "avPerView" >= lowest AND window_start + INTERVAL 3 HOUR <=
+            {CLOSED.format(views="WHERE component_type = 'ACQUISITIONS_EPIC'")}""",
+        chain=CHAIN,
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+    "stream_landing_hours": _query("SELECT * FROM landing_views"),
+    "catalog_files": f"""
+        SELECT p_partkey % {t.BUNDLES} AS bundle, COUNT(*) AS documents,
+            coalesce(string_agg(DISTINCT rule, ', ' ORDER BY rule), '') AS rules,
+            CASE WHEN COUNT(rule) > 0 THEN 0 ELSE COUNT(*) * {len(LIST_PRICES)} END AS prices
+        FROM part LEFT JOIN (VALUES {", ".join(
+            f"({k}, '{name}')" for k, name in [
+                *((int(test.rsplit(" ", 1)[1]), name) for name, test in CATALOG_RULES.items()),
+                (t.MALFORMED, "document is malformed"),
+            ])}) v(remainder, rule) ON p_partkey % {t.BROKEN_OF} = remainder
+        GROUP BY p_partkey % {t.BUNDLES}""",
+    "run_outputs": _query(
+        """
+        SELECT 'TotalBanditTests' AS name, given, COUNT(*) AS points, 3.0::double * COUNT(*) AS value FROM due GROUP BY given
+        UNION ALL SELECT 'TestsWithVariantData', given, COUNT(*), SUM(coalesce(tests, 0))::double
+            FROM due LEFT JOIN with_views USING (window_start) GROUP BY given
+        UNION ALL SELECT 'NoViewsData', given, COUNT(*), COUNT(*)::double FROM due
+            WHERE window_start NOT IN (SELECT window_start FROM with_views)
+            AND window_start NOT IN (SELECT window_start FROM channel_hours) GROUP BY given
+        UNION ALL SELECT 'RejectedHours', false, 1, 0
+        UNION ALL SELECT 'MissingPrices', false, 1, 0
+        UNION ALL SELECT 'UnratedAcquisitions', false, 1, COUNT(*)::double FROM acquisitions a
+            WHERE window_start IN (SELECT window_start FROM due) AND NOT EXISTS (SELECT 1 FROM sample_fx f
+                WHERE f.currency = a.currency AND f.rates_date = a.window_start::date - 1)
+        UNION ALL SELECT 'records of ' || window_start::date, NULL, 3 * COUNT(*), SUM(coalesce(variants, 0))::double
+            FROM (SELECT DISTINCT window_start FROM due) LEFT JOIN with_views USING (window_start) GROUP BY window_start::date""",
+        due="""
+        SELECT false AS given, unnest(generate_series(date_trunc('hour', low) - INTERVAL 1 HOUR,
+            date_trunc('hour', low) - INTERVAL 1 HOUR + (ceil(epoch(date_trunc('hour', high) - low)
+                / 3600)::int - 1) * INTERVAL 1 HOUR, INTERVAL 1 HOUR))::timestamp AS window_start
+        FROM (SELECT MIN(ts) AS low, MAX(ts) AS high FROM events)
+        UNION ALL SELECT true, TIMESTAMP '2024-01-10 12:00:00'""",
+        with_views="""
+        SELECT window_start, COUNT(DISTINCT channel) AS tests, COUNT(*) AS variants FROM component_views GROUP BY window_start""",
+        channel_hours="SELECT DISTINCT window_start FROM hourly_events",
+    ),
+    "run_metrics_partial": _query("""
+        SELECT window_start, COUNT(channel) AS total_tests, COUNT(views) AS tests_with_data,
+            COALESCE(SUM(views), 0)::bigint AS variant_views
+        FROM windows
+        LEFT JOIN (SELECT * FROM config_hours WHERE hour(window_start) >= 6) USING (window_start)
+        LEFT JOIN (SELECT window_start, channel, test_name, SUM(views) AS views FROM all_samples GROUP BY ALL)
+            USING (window_start, channel, test_name)
+        GROUP BY window_start"""),
+}
+
 # Compaction changes no record.
 ORACLE |= {"samples_compacted": ORACLE["samples_latest"], "boosts_compacted": ORACLE["boosts_latest"]}

@@ -40,6 +40,7 @@ from valuelens.operators.prices import (
 )
 from valuelens.operators.rates import boost_rates, eur_rates, rates_for, sample_rates
 from valuelens.plans import boosts
+from valuelens.plans.runs import Facts, Outputs, run_backfill, run_sampling
 from valuelens.plans.samples import SAMPLE_KEY, sample_records, sample_rows, variant_samples
 from valuelens.schemas import CHANNELS
 from valuelens.session import shared_folder
@@ -49,11 +50,13 @@ from valuelens.sinks.records import (
     compact_boosts,
     compact_samples,
     read_boosts,
+    read_keyed,
+    read_metrics,
     read_samples,
 )
-from valuelens.sources.catalog import parse_catalogs
+from valuelens.sources.catalog import accepted_catalogs, parse_catalogs, read_catalog_files, rejected_files
 from valuelens.sources.tables import live_tests
-from valuelens.streaming import rollups
+from valuelens.streaming import keyed, rollups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +66,7 @@ TWO_DAYS = 48  # hours
 
 ACTIVE_AT = datetime(2024, 1, 15, 12, 34)
 RUN_AT = datetime(2024, 2, 1)
+RUN_OF = datetime(2024, 1, 10, 14, 45)  # covers 12:00 to 13:00
 
 
 class Inputs:
@@ -120,12 +124,6 @@ class Inputs:
         )
 
 
-def rounded(rows: DataFrame, *columns: str) -> DataFrame:
-    """Sums of doubles differ in the last digits with the order of rows. The nudge keeps halves, common
-    among sums of prices, from being rounded up by one engine and down by the other."""
-    return rows.withColumns({name: F.round(F.col(name) + 1e-9, 6) for name in columns})
-
-
 SAMPLE_VALUES = ["sum_av_gbp", "sum_av_gbp_per_view"]
 BOOST_VALUES = ["totalAv", "avPerView"]
 ACQUISITION = ["window_start", "product", "payment_frequency", "currency", "amount"]
@@ -175,10 +173,25 @@ def price_lookup(spark, sf_dir):
 
 
 def catalog_violations(spark, sf_dir):
-    catalogs = parse_catalogs(t.catalog_documents(spark, sf_dir), "document", "version")
+    catalogs = parse_catalogs(t.broken_catalog_documents(spark, sf_dir), "document", "version")
     return quality.violations(catalogs, quality.catalog_rules())
 
 
+def catalog_files(spark, sf_dir):
+    """Bundles of catalog files: how many documents each has, how many prices are accepted, and which rules it breaks."""
+    folder = f"{shared_folder(spark)}/catalogs-{uuid.uuid4()}"
+    written = t.broken_catalog_documents(spark, sf_dir, malformed=True).select("bundle", "document")
+    written.repartition("bundle").write.partitionBy("bundle").text(folder)
+    documents = read_catalog_files(spark, folder)
+    bundle = F.regexp_extract("file", "bundle=([0-9]+)/", 1).cast("long").alias("bundle")
+    broken = rejected_files(documents).groupBy(bundle).agg(F.array_join(F.array_sort(F.collect_set("rule")), ", ").alias("rules"))
+    prices = price_dimension(accepted_catalogs(documents), "file").groupBy(bundle).agg(F.count("*").alias("prices"))
+    counts = documents.groupBy(bundle).agg(F.count("*").alias("documents"))
+    return counts.join(broken, "bundle", "left").join(prices, "bundle", "left").select(
+        "bundle", "documents", F.coalesce("rules", F.lit("")).alias("rules"), F.coalesce("prices", F.lit(0).cast("long")).alias("prices")
+    )
+
+
 def fx_reverse_rate(spark, sf_dir):
     return eur_rates(t.quoted_rates(spark, sf_dir))
 
@@ -247,7 +260,7 @@ def acquisition_totals(spark, sf_dir):
     values = acq.acquisition_values(
         inputs.acquisitions, inputs.prices, sample_rates(inputs.rates), inputs.tests
     )
-    return rounded(acq.acquisition_totals(values), "sum_av_gbp")
+    return acq.acquisition_totals(values)
 
 
 def acquisitions_unrated(spark, sf_dir):
@@ -256,18 +269,18 @@ def acquisitions_unrated(spark, sf_dir):
 
 
 def variant_samples_component(spark, sf_dir):
-    return rounded(Inputs(spark, sf_dir).samples(), *SAMPLE_VALUES)
+    return Inputs(spark, sf_dir).samples()
 
 
 def variant_samples_landing(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
     inputs.configs = inputs.configs.where("channel = 'SupportLandingPage'")
-    return rounded(inputs.samples(inputs.hours(), landing=True), *SAMPLE_VALUES)
+    return inputs.samples(inputs.hours(), landing=True)
 
 
 def variant_samples_all(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
-    return rounded(inputs.samples(inputs.hours(), landing=True), *SAMPLE_VALUES)
+    return inputs.samples(inputs.hours(), landing=True)
 
 
 def backfill_windows(spark, sf_dir):
@@ -287,7 +300,7 @@ def backfill_samples(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
     first, last = inputs.events.agg(F.min("ts"), F.max("ts")).first()
     hours = backfill_hours(first + (last - first) / 2, last)
-    return rounded(inputs.samples(hours, landing=True), *SAMPLE_VALUES)
+    return inputs.samples(hours, landing=True)
 
 
 def sample_records_flat(spark, sf_dir):
@@ -298,9 +311,7 @@ def sample_records_flat(spark, sf_dir):
 
 
 def _flat(records: DataFrame) -> DataFrame:
-    return rounded(
-        sample_rows(records), "annualisedValueInGBP", "annualisedValueInGBPPerView"
-    )
+    return sample_rows(records)
 
 
 def _sampled_twice(spark, sf_dir):
@@ -347,11 +358,11 @@ def boost_acquisitions(spark, sf_dir):
     values = acq.article_acquisition_values(
         inputs.acquisitions, boost_prices(spark), boost_rates(inputs.rates)
     )
-    return rounded(acq.article_acquisitions(values), "sum_av_gbp")
+    return acq.article_acquisitions(values)
 
 
 def boost_candidates(spark, sf_dir):
-    return rounded(Inputs(spark, sf_dir).candidates(), *BOOST_VALUES)
+    return Inputs(spark, sf_dir).candidates()
 
 
 def boosts_latest(spark, sf_dir):
@@ -365,20 +376,20 @@ def boost_active(spark, sf_dir):
 def boost_entries(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
     entries = boosts.boost_entries(inputs.candidates(), boosts_latest(spark, sf_dir))
-    return rounded(entries, *BOOST_VALUES)
+    return entries
 
 
 def boost_records(spark, sf_dir):
     inputs = Inputs(spark, sf_dir)
     entries = boosts.boost_entries(inputs.candidates(), boosts_latest(spark, sf_dir))
-    return rounded(boosts.boost_records(entries), *BOOST_VALUES)
+    return boosts.boost_records(entries)
 
 
 def boost_entries_sequential(spark, sf_dir):
     """Entries of all windows, an article that entered being boosted for a day."""
     inputs = Inputs(spark, sf_dir)
     entries = boosts.sequential_entries(inputs.candidates(), boosts_latest(spark, sf_dir))
-    return rounded(entries, *BOOST_VALUES)
+    return entries
 
 
 def boost_candidates_default_gates(spark, sf_dir):
@@ -395,7 +406,7 @@ def boost_candidates_default_gates(spark, sf_dir):
         None,
         span=TWO_DAYS,
     )
-    return rounded(found, *BOOST_VALUES)
+    return found
 
 
 def _compacted(spark, name, append, read, compact, *runs):
@@ -441,6 +452,42 @@ def run_metrics_without_configs(spark, sf_dir):
     return quality.run_metrics(config_hours(none, hours), samples, due)
 
 
+def run_outputs(spark, sf_dir):
+    """What two runs leave behind, read back: a backfill of all hours, then a run at a time that is given.
+
+    Metrics by run, and by hour how many records hold how many variants.
+    """
+    inputs = Inputs(spark, sf_dir)
+    folder = f"{shared_folder(spark)}/run-{uuid.uuid4()}"
+    outputs = Outputs(f"{folder}/samples", f"{folder}/metrics")
+    facts = Facts(inputs.page_views, inputs.acquisitions, inputs.rates)
+    catalog = parse_catalogs(t.catalog_document(spark), "document")
+    configs = inputs.configs.where("channel <> 'SupportLandingPage'")
+    first, last = inputs.events.agg(F.min("ts"), F.max("ts")).first()
+    run_backfill(facts, catalog, configs, t.LANDING_HOST, outputs, first, last, diagnostics=True)
+    methodology = F.expr("array(named_struct('name', 'Roulette', 'testName', cast(null as string), 'epsilon', cast(null as double)))")
+    run_sampling(facts, catalog, configs.withColumn("methodologies", methodology), t.LANDING_HOST, outputs, RUN_OF)
+    metrics = read_metrics(spark, outputs.metrics).groupBy("name", "time").agg(
+        F.count("*").alias("points"), F.sum("value").alias("value")
+    )
+    records = read_samples(spark, outputs.samples).select(
+        F.concat(F.lit("records of "), F.col("sample_date").cast("string")).alias("name"), F.size("variants").alias("n")
+    )
+    found = records.groupBy("name").agg(F.count("*").alias("points"), F.sum("n").cast("double").alias("value"))
+    later = F.expr(f"time = {ntz(RUN_OF)}")
+    return metrics.select("name", later.alias("given"), "points", "value").unionByName(
+        found.select("name", F.lit(None).cast("boolean").alias("given"), "points", "value")
+    )
+
+
+def run_metrics_partial(spark, sf_dir):
+    """Metrics of a run in which configs only cover some hours: those of night hours are without any."""
+    inputs = Inputs(spark, sf_dir)
+    hours = inputs.hours()
+    wanted = config_hours(inputs.configs, hours).where("hour(window_start) >= 6")
+    return quality.run_metrics(wanted, inputs.samples(hours, landing=True), quality.hours_frame(spark, hours))
+
+
 def sampling_windows(spark, sf_dir):
     """What runs at the time of each event cover."""
     sample, boost = sampling_window("ts"), boost_window("ts")
@@ -510,7 +557,7 @@ def stream_hourly_samples(spark, sf_dir):
     rows = rollups.stream_samples(
         t.page_views(stream), t.acquisitions(stream), inputs.rates, inputs.prices, inputs.configs
     )
-    return rounded(_streamed(spark, rows), *SAMPLE_VALUES).select(
+    return _streamed(spark, rows).select(
         *SAMPLE_KEY, "views", "acquisitions", *SAMPLE_VALUES
     )
 
@@ -520,7 +567,43 @@ def stream_article_windows(spark, sf_dir):
     rows = rollups.stream_articles(
         t.page_views(stream), t.acquisitions(stream), inputs.rates, boost_prices(spark)
     )
-    return rounded(_streamed(spark, rows), *BOOST_VALUES)
+    return _streamed(spark, rows)
+
+
+def _ended(query) -> None:
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+
+
+def stream_keyed_samples(spark, sf_dir):
+    """Records of a stream's hours, the open ones too."""
+    inputs, stream = Inputs(spark, sf_dir), t.event_stream(spark, sf_dir)
+    folder = f"{shared_folder(spark)}/keyed-{uuid.uuid4()}"
+    sums = keyed.stream_component_sums(t.page_views(stream), t.acquisitions(stream), inputs.rates, inputs.prices)
+    _ended(keyed.write_samples(sums, inputs.configs, f"{folder}/sums", f"{folder}/samples", f"{folder}/state"))
+    return _flat(read_samples(spark, f"{folder}/samples"))
+
+
+def stream_boost_entries(spark, sf_dir):
+    """Boost records of a stream's closed windows."""
+    inputs, stream = Inputs(spark, sf_dir), t.event_stream(spark, sf_dir)
+    folder = f"{shared_folder(spark)}/keyed-{uuid.uuid4()}"
+    windows = rollups.stream_articles(
+        t.page_views(stream), t.acquisitions(stream), inputs.rates, boost_prices(spark)
+    )
+    _ended(keyed.write_boosts(windows, f"{folder}/boosts", f"{folder}/state", MIN_VIEWS, MIN_VALUE))
+    return read_boosts(spark, f"{folder}/boosts")
+
+
+def stream_landing_hours(spark, sf_dir):
+    """Landing-page views of every hour, from a stream's counts by day."""
+    inputs, stream = Inputs(spark, sf_dir), t.event_stream(spark, sf_dir)
+    folder = f"{shared_folder(spark)}/keyed-{uuid.uuid4()}"
+    counts = keyed.stream_landing_counts(t.page_views(stream), t.LANDING_HOST)
+    _ended(keyed.write_landing_counts(counts, f"{folder}/counts", f"{folder}/state"))
+    return keyed.landing_hours(read_keyed(spark, f"{folder}/counts", keyed.LANDING_COUNTS), inputs.configs, inputs.hours())
 
 
 QUERIES: dict[str, Query] = {
@@ -575,4 +658,10 @@ QUERIES: dict[str, Query] = {
     "boost_violations": boost_violations,
     "stream_hourly_samples": stream_hourly_samples,
     "stream_article_windows": stream_article_windows,
+    "stream_keyed_samples": stream_keyed_samples,
+    "stream_boost_entries": stream_boost_entries,
+    "stream_landing_hours": stream_landing_hours,
+    "catalog_files": catalog_files,
+    "run_outputs": run_outputs,
+    "run_metrics_partial": run_metrics_partial,
 }

@@ -29,24 +29,17 @@ CONFIGS = [
 # Units per EUR; the rate of a day is base * (1 + day of month / 1000), that of EUR always 1.
 BASE_RATES = {"GBP": 0.85, "USD": 1.1, "AUD": 1.65, "EUR": 1.0, "NZD": 1.78, "CAD": 1.48}
 
-# (catalog product, rate plan): price per currency
+# (catalog product, rate plan): price per currency. Made up: a month's price in pounds, what a plan costs in months, and
+# what a currency's prices are raised by.
+MONTH = {"SupporterPlus": 11.5, "DigitalSubscription": 17.25}
+MONTHS = {"Monthly": 1, "Quarterly": 2.75, "Annual": 10}
+RAISED = {"GBP": 1, "USD": 1.25, "AUD": 1.75, "EUR": 1.125, "NZD": 1.875, "CAD": 1.5}
+PLANS = {"SupporterPlus": ["Monthly", "Annual"], "DigitalSubscription": ["Monthly", "Quarterly", "Annual"]}
 CATALOG_PRICES = {
-    ("SupporterPlus", "Monthly"): {
-        "GBP": 12, "USD": 15, "AUD": 20, "EUR": 12, "NZD": 20, "CAD": 15,
-    },
-    ("SupporterPlus", "Annual"): {
-        "GBP": 120, "USD": 150, "AUD": 200, "EUR": 120, "NZD": 200, "CAD": 150,
-    },
-    ("DigitalSubscription", "Monthly"): {
-        "GBP": 18, "USD": 28, "AUD": 30, "EUR": 20, "NZD": 30, "CAD": 30,
-    },
-    ("DigitalSubscription", "Quarterly"): {
-        "GBP": 44.94, "USD": 74.94, "AUD": 79.99, "EUR": 56.19, "NZD": 79.99, "CAD": 82.31,
-    },
-    ("DigitalSubscription", "Annual"): {
-        "GBP": 180, "USD": 280, "AUD": 300, "EUR": 200, "NZD": 300, "CAD": 300,
-    },
-}
+    (product, plan): {currency: MONTH[product] * MONTHS[plan] * by for currency, by in RAISED.items()}
+    for product, plans in PLANS.items()
+    for plan in plans
+}
 
 
 EVENTS = (
@@ -211,7 +204,7 @@ def channel_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def catalog_text(raised_by: str = "0", pricing_of=None) -> str:
+def catalog_text(raised_by: str = "0", pricing_of=None, active_of=None) -> str:
     """SQL for a catalog document, its prices raised by an expression."""
     plans: dict[str, list[str]] = {}
     for (product, plan), prices in CATALOG_PRICES.items():
@@ -223,7 +216,7 @@ def catalog_text(raised_by: str = "0", pricing_of=None) -> str:
             f"'{plan}', named_struct('billingPeriod', '{plan}', 'pricing', {pricing})"
         )
     products = [
-        f"'{product}', named_struct('active', true, 'ratePlans', map({', '.join(parts)}))"
+        f"'{product}', named_struct('active', {active_of(product) if active_of else 'true'}, 'ratePlans', map({', '.join(parts)}))"
         for product, parts in plans.items()
     ]
     return f"to_json(named_struct({', '.join(products)}))"
@@ -248,6 +241,38 @@ def catalog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: By remainder of the version: the rule that its document breaks.
+BROKEN = {
+    **{2 * i: (product, plan, "gone") for i, (product, plan) in enumerate(CATALOG_PRICES)},
+    **{2 * i + 1: (product, plan, "empty") for i, (product, plan) in enumerate(CATALOG_PRICES)},
+    10: ("SupporterPlus", None, "inactive"),
+    11: ("DigitalSubscription", None, "inactive"),
+}
+BROKEN_OF = 97
+MALFORMED = 50
+BUNDLES = 40
+
+
+def broken_catalog_documents(spark: SparkSession, sf_dir: str, malformed: bool = False) -> DataFrame:
+    """A version of the catalog per part; some break one of the rules, each rule in another version."""
+    remainder = f"p_partkey % {BROKEN_OF}"
+    where = {broken: f"{remainder} = {k}" for k, broken in BROKEN.items()}
+
+    def broken_pricing(product: str, plan: str, pricing: str) -> str:
+        no_price = f"map_concat(map_filter({pricing}, (c, p) -> c <> 'GBP'), map('GBP', cast(null as double)))"
+        return (
+            f"case when {where[product, plan, 'gone']} then null"
+            f" when {where[product, plan, 'empty']} then {no_price} else {pricing} end"
+        )
+
+    text = catalog_text("(p_partkey % 10)", broken_pricing, lambda product: f"if({where[product, None, 'inactive']}, null, true)")
+    if malformed:
+        text = f"if({remainder} = {MALFORMED}, substr({text}, 2), {text})"
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("version"), F.expr(f"p_partkey % {BUNDLES}").alias("bundle"), F.expr(text).alias("document")
+    )
+
+
 def catalog_document(spark: SparkSession) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.expr(catalog_text()).alias("document"))
 

@@ -26,7 +26,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.5f}"
+        return "nan" if math.isnan(value) else repr(value)  # sums are exact, so the last digit counts
     return str(value)
 
 

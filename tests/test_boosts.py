@@ -1,5 +1,6 @@
 import pytest
 
+from driver.tables import CATALOG_PRICES
 from tests import frames
 from tests.frames import acquisition, at, event, page_view
 from valuelens import schemas
@@ -85,7 +86,7 @@ def test_catalog_prices_on_request(spark):
     assert candidates(spark, views(5), acquired, **options).count() == 0
     prices = price_dimension(frames.catalog(spark))
     [row] = candidates(spark, views(5), acquired, prices=prices, **options).collect()
-    assert row.totalAv == pytest.approx(160)
+    assert row.totalAv == pytest.approx(0.8 * CATALOG_PRICES["DigitalSubscription", "Annual"]["EUR"])
 
 
 def test_windows_at_once_equal_each_alone(spark):

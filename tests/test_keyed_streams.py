@@ -1,0 +1,142 @@
+"""Streams into keyed records: stopped anywhere and started again."""
+
+import pytest
+
+from tests import frames
+from tests.frames import HOST, acquisition, at, event, page_view
+from valuelens import schemas
+from valuelens.functions.hours import Hours
+from valuelens.operators.prices import boost_prices, price_dimension
+from valuelens.operators.views import landing_view_rows
+from valuelens.plans.boosts import boost_candidates, boost_records, sequential_entries
+from valuelens.plans.samples import sample_records, variant_samples
+from valuelens.sinks.records import read_boosts, read_keyed, read_samples
+from valuelens.streaming import keyed
+from valuelens.streaming.rollups import stream_articles
+
+RATES = [("2024-01-01", "GBP", 0.8), ("2024-01-01", "EUR", 1.0), ("2024-01-01", "USD", 1.25)]
+CONFIGS = [("Epic", "T"), ("SupportLandingPage", "L")]
+# Three batches; the second has late events of the first one's hour, in another variant too.
+BATCHES = [
+    (
+        [page_view("2024-01-02", [event("2024-01-02T10:05:00")] * 3), page_view("2024-01-02", [event("2024-01-02T10:10:00", "Other")])],
+        [acquisition("2024-01-02T10:30:00", amount=50.0), acquisition("2024-01-02T10:30:00", amount=9.0, tests=[("Other", "control")])],
+    ),
+    (
+        [page_view("2024-01-02", [event("2024-01-02T10:45:00", variant="b"), event("2024-01-02T11:05:00")])],
+        [acquisition("2024-01-02T10:40:00", amount=500.0), acquisition("2024-01-02T11:30:00", currency="USD", amount=20.0)],
+    ),
+    ([page_view("2024-01-02", [event("2024-01-02T11:50:00")] * 2)], [acquisition("2024-01-02T11:40:00", amount=0.1)]),
+]
+
+
+class Source:
+    """Files that arrive one by one."""
+
+    def __init__(self, spark, tmp_path):
+        self.spark, self.path = spark, str(tmp_path)
+
+    def add(self, views, acquired):
+        frames.page_views(self.spark, *views).coalesce(1).write.mode("append").parquet(f"{self.path}/views")
+        frames.acquisitions(self.spark, *acquired).coalesce(1).write.mode("append").parquet(f"{self.path}/acquired")
+
+    def streams(self):
+        read = lambda schema, name: self.spark.readStream.schema(schema).parquet(f"{self.path}/{name}")
+        return read(schemas.PAGE_VIEWS, "views"), read(schemas.ACQUISITIONS, "acquired")
+
+    def tables(self):
+        read = lambda schema, name: self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        return read(schemas.PAGE_VIEWS, "views"), read(schemas.ACQUISITIONS, "acquired")
+
+
+@pytest.fixture()
+def source(spark, tmp_path):
+    return Source(spark, tmp_path)
+
+
+def flat(records):
+    return sorted((r.testName, r.timestamp, sorted(map(tuple, r.variants))) for r in records.collect())
+
+
+@pytest.mark.parametrize("stops_at", ["before anything", "between sums and records", "before the commit", None])
+def test_a_stream_that_stops_and_starts_again_keeps_the_records_of_a_batch(spark, source, monkeypatch, stops_at):
+    rates, prices = frames.rates(spark, *RATES), price_dimension(frames.catalog(spark))
+    configs = frames.configs(spark, *CONFIGS)
+
+    def run():
+        sums = keyed.stream_component_sums(*source.streams(), rates, prices)
+        paths = (f"{source.path}/{name}" for name in ("sums", "samples", "state"))
+        keyed.write_samples(sums, configs, *paths).awaitTermination()
+
+    def stops(*_, **__):
+        raise RuntimeError("lost")
+
+    for number, batch in enumerate(BATCHES):
+        source.add(*batch)
+        if number == 1 and stops_at:
+            with monkeypatch.context() as patch:
+                if stops_at == "before anything":
+                    patch.setattr(keyed, "append_keyed", stops)
+                elif stops_at == "between sums and records":
+                    patch.setattr(keyed, "append_samples", stops)
+                else:
+                    real = keyed.append_samples
+                    patch.setattr(keyed, "append_samples", lambda *a, **k: (real(*a, **k), stops()))
+                with pytest.raises(Exception, match="lost"):
+                    run()
+        run()
+    samples = variant_samples(*source.tables(), rates, prices, configs, None)
+    hours = samples.select("channel", "test_name", "window_start").distinct()
+    expected = flat(sample_records(hours, samples))
+    assert flat(read_samples(spark, f"{source.path}/samples")) == expected and len(expected) == 2
+    assert [len(variants) for *_, variants in expected] == [2, 1]
+
+
+def test_boosts_of_a_stream_that_stops(spark, source, monkeypatch):
+    rates, prices = frames.rates(spark, *RATES), boost_prices(spark)
+
+    def run():
+        windows = stream_articles(*source.streams(), rates, prices)
+        keyed.write_boosts(windows, f"{source.path}/boosts", f"{source.path}/state", 2, 40).awaitTermination()
+
+    url = "https://www.example.com/a"
+    days = [
+        ([page_view("2024-01-02", [event(f"2024-01-02T{h:02}:05:00")] * 5)], [acquisition(f"2024-01-02T{h:02}:30:00", amount=60.0 + h)])
+        for h in (3, 9, 16, 22)
+    ]
+    for number, batch in enumerate(days):
+        source.add(*batch)
+        if number == 2:
+            with monkeypatch.context() as patch:
+                real = keyed.append_boosts
+
+                def stops(*a, **k):
+                    real(*a, **k)
+                    raise RuntimeError("lost")
+
+                patch.setattr(keyed, "append_boosts", stops)
+                with pytest.raises(Exception, match="lost"):
+                    run()
+        run()
+    candidates = boost_candidates(*source.tables(), rates, prices, None, 2, 40).where("window_start <= timestamp_ntz'2024-01-02 17:00:00'")
+    nothing = frames.table(spark, [], schemas.BOOST_RECORDS)
+    expected = boost_records(sequential_entries(candidates, nothing)).select("id", "startTimestamp", "totalViews")
+    got = read_boosts(spark, f"{source.path}/boosts").select("id", "startTimestamp", "totalViews")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect())) != []
+    assert all(r.url == url for r in read_boosts(spark, f"{source.path}/boosts").collect())
+
+
+def test_landing_views_of_a_stream_are_those_of_a_batch(spark, source):
+    def page(day, variant="a", **options):
+        return page_view(day, None, [("L", variant), ("Other", "x")], **{"host": HOST, "path": "/uk/contribute", **options})
+
+    configs = frames.configs(spark, *CONFIGS)
+    hours = Hours(at("2024-01-01T22:00"), at("2024-01-04T01:00"))
+    batches = [[page("2024-01-01"), page("2024-01-02")], [page("2024-01-02", "b"), page("2024-01-03")], [page("2024-01-02", host="x")]]
+    for views in batches:
+        source.add(views, [])
+        counts = keyed.stream_landing_counts(source.streams()[0], HOST)
+        keyed.write_landing_counts(counts, f"{source.path}/counts", f"{source.path}/state").awaitTermination()
+    found = keyed.landing_hours(read_keyed(spark, f"{source.path}/counts", keyed.LANDING_COUNTS), configs, hours)
+    expected = landing_view_rows(source.tables()[0], keyed.distinct_configs(configs), HOST, hours)
+    assert frames.dicts(found, "window_start", "variant_name") == frames.dicts(expected, "window_start", "variant_name") != []

@@ -118,7 +118,7 @@ def test_samples_are_summed_before_one_shuffle(spark, site):
     # The other exchanges belong to the small distinct list of configs.
     shuffles = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
     assert shuffles.count("window_start") == 1 and set(shuffles) <= {"window_start", "channel"}
-    assert "partial_sum(capped_av_gbp" in plan
+    assert "partial_sum((FLOOR(capped_av_gbp" in plan
 
 
 @pytest.mark.parametrize(
@@ -159,3 +159,35 @@ def test_results_do_not_depend_on_broadcasting(spark, site, monkeypatch):
     monkeypatch.setattr(Lookup, "all", never)
     monkeypatch.setattr(Lookup, "of", lambda table, **_: never(table)[0])
     assert frames.dicts(samples(spark, site, tests, host=frames.HOST)) == expected != []
+
+
+def above_scan(plan, folder):
+    """The lines above the scan of a folder, from the scan up, as far as the first exchange."""
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*"))
+    [start] = [i for i, line in enumerate(lines) if "FileScan" in line and f"/{folder}]" in line.replace(",", "]")]
+    above, level = [], depth(lines[start])
+    for line in reversed(lines[:start]):
+        if depth(line) < level:
+            level = depth(line)
+            above.append(line)
+            if "Exchange" in line:
+                return above
+    return above
+
+
+def test_without_broadcasts_acquisitions_are_counted_before_they_are_shuffled(spark, site, monkeypatch):
+    never = lambda *tables, **_: [Lookup(getattr(t, "frame", t), False) for t in tables]
+    monkeypatch.setattr(Lookup, "all", never)
+    monkeypatch.setattr(Lookup, "of", lambda table, **_: never(table)[0])
+    hours = Hours(at("2024-01-02T08:00"), at("2024-01-02T08:00"), 3)
+    read = tables.acquisitions(spark, f"{site}/acquisitions", hours), tables.exchange_rates(spark, f"{site}/rates", hours)
+    candidates = boost_candidates(tables.page_views(spark, f"{site}/views", hours), *read, boost_prices(spark), hours)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plans = [plan_of(samples(spark, site, [("Epic", "T")])), plan_of(candidates)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in plans:
+        above = above_scan(plan, "acquisitions")
+        assert "Exchange" in above[-1] and any("partial_count(1)" in line for line in above)

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 
 from tests import frames
@@ -16,6 +18,7 @@ from valuelens.operators.quality import (
     total_views_rules,
     violations,
 )
+from valuelens.sources.catalog import MALFORMED, accepted_catalogs, read_catalog_files, rejected_files
 
 SAMPLES = """window_start timestamp_ntz, channel string, test_name string, variant_name string,
     views bigint, sum_av_gbp double, sum_av_gbp_per_view double, acquisitions bigint"""
@@ -87,3 +90,29 @@ def test_no_views(spark):
     views = frames.table(spark, [(hours[0], 7)], schema.format("channel_views"))
     found = {row.window_start: row.no_views_data for row in no_views_check(metrics, views).collect()}
     assert found == dict(zip(hours, [0, 1, 0]))
+
+
+def test_catalog_files_are_accepted_or_rejected_one_by_one(spark, tmp_path):
+    good, other = json.loads(frames.catalog_json()), json.loads(frames.catalog_json())
+    del other["DigitalSubscription"]["ratePlans"]["Quarterly"]
+    empty = json.loads(frames.catalog_json())
+    empty["SupporterPlus"]["ratePlans"]["Monthly"]["pricing"]["GBP"] = None
+    text = json.loads(frames.catalog_json())
+    text["SupporterPlus"]["ratePlans"]["Monthly"]["pricing"]["GBP"] = "twelve"
+    files = {"a": [good, good], "b": [good, other], "c": [empty], "d": [good, "{"], "e": [text], "f": [good], "g": []}
+    for name, documents in files.items():
+        lines = [d if isinstance(d, str) else json.dumps(d) for d in documents]
+        (tmp_path / f"{name}.json").write_text("\n".join([*lines, ""]))
+    documents = read_catalog_files(spark, str(tmp_path))
+    broken = {(row.file[-6], row.rule): row.violations for row in rejected_files(documents).collect()}
+    assert broken == {
+        ("b", "DigitalSubscription.Quarterly has no pricing"): 1,
+        ("c", "SupporterPlus.Monthly has an empty price"): 1,
+        ("d", MALFORMED): 1,
+        ("e", MALFORMED): 1,
+    }
+    assert sorted(row.file[-6] for row in accepted_catalogs(documents).collect()) == ["a", "a", "f"]
+    (tmp_path / "whole").mkdir()
+    (tmp_path / "whole" / "x.json").write_text(json.dumps(good, indent=1))
+    whole = read_catalog_files(spark, f"{tmp_path}/whole", lines=False)
+    assert accepted_catalogs(whole).count() == 1 and rejected_files(whole).count() == 0

@@ -48,3 +48,19 @@ def eur_to_gbp(av_eur: str, currency: str, gbp_rate: str, fix_gbp: bool = False)
 def cap(value: str, limit: float = VALUE_CAP) -> str:
     """At most ``limit``. A NULL stays NULL, which ``least`` would replace by the limit."""
     return f"if({value} >= {float(limit)}d, {float(limit)}d, {value})"
+
+
+PART = 1 << 30
+
+
+def exact_sum(value: str, times: str = "1L") -> str:
+    """The sum of a column of doubles, each counted ``times`` times, in which the order of rows plays no part.
+
+    Every double is cut into a whole number and two fractions of thirty bits, which are summed as whole numbers; what is
+    beyond sixty bits behind the point is dropped, which is nothing for values of a cent or more. The sum of no values, or of
+    NULLs alone, is NULL. A group may have eight billion rows.
+    """
+    fraction = f"({value} - floor({value})) * {PART}d"
+    rest = f"({fraction} - floor({fraction})) * {PART}d"
+    whole, upper, lower = (f"cast(sum(floor({part}) * {times}) as double)" for part in (value, fraction, rest))
+    return f"({whole} + ({upper} + {lower} / {PART}d) / {PART}d)"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from valuelens.functions.article import region_of
 from valuelens.functions.hours import Hours, hour_of, ntz, rates_date, window_starts
-from valuelens.functions.value import annualise, cap, eur_to_gbp, paid_or_list_price
+from valuelens.functions.value import annualise, cap, eur_to_gbp, exact_sum, paid_or_list_price
 from valuelens.operators.lookup import Lookup
 from valuelens.operators.prices import list_prices, price_acquisitions
 from valuelens.operators.views import SAMPLE_KEY
@@ -36,6 +36,11 @@ def unnest_tests(acquisitions: DataFrame, hours: Hours | None = None, *keep: str
     )
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """Equal rows as one with their number ``n``, so that what follows shuffles counts, not acquisitions."""
+    return rows.groupBy(*rows.columns).agg(F.expr("count(*) as n"))
+
+
 def of_tests(unnested: DataFrame, configs: DataFrame | Lookup) -> DataFrame:
     """Acquisitions of configured tests, with the channel of the test.
 
@@ -85,16 +90,26 @@ def acquisition_values(
     fix_gbp: bool = False,
     quarterly: bool = False,
 ) -> DataFrame:
-    """Rows of SAMPLE_KEY and ``capped_av_gbp``, one per acquisition in a configured test."""
-    tested = of_tests(unnest_tests(acquisitions, hours), configs)
+    """Rows of SAMPLE_KEY, ``capped_av_gbp`` and ``n``, the acquisitions in a configured test that have this value.
+
+    Where a lookup is too large to broadcast, acquisitions that are equal in all that their value depends on are counted
+    first: the joins then shuffle counts. The cap is that of a single acquisition either way.
+    """
+    configs, prices, rates = Lookup.all(configs, prices, rates)
+    unnested = unnest_tests(acquisitions, hours)
+    if configs.small and prices.small and rates.small:
+        unnested = unnested.withColumn("n", F.expr("1L"))
+    else:
+        unnested = counted(unnested)
+    tested = of_tests(unnested, configs)
     valued = value_of_acquisitions(price_acquisitions(tested, prices), rates, fix_gbp, quarterly)
-    return valued.selectExpr(*SAMPLE_KEY, f"{cap('av_gbp', value_cap)} as capped_av_gbp")
+    return valued.selectExpr(*SAMPLE_KEY, f"{cap('av_gbp', value_cap)} as capped_av_gbp", "n")
 
 
 def acquisition_totals(values: DataFrame) -> DataFrame:
     """Value and number of acquisitions per hour, test and variant."""
     return values.groupBy(*SAMPLE_KEY).agg(
-        F.expr("sum(capped_av_gbp) as sum_av_gbp"), F.expr("count(*) as acquisitions")
+        F.expr(f"{exact_sum('capped_av_gbp', 'n')} as sum_av_gbp"), F.expr("sum(n) as acquisitions")
     )
 
 
@@ -102,13 +117,15 @@ def unrated_acquisitions(
     acquisitions: DataFrame, rates: DataFrame | Lookup, hours: Hours | None = None
 ) -> DataFrame:
     """Per hour, the acquisitions that count nowhere as their currency has no rate on the day."""
+    hours_and_currencies = acquired_in(acquisitions, hours).selectExpr(
+        f"{hour_of('event_timestamp')} as window_start", "currency"
+    )
     return (
-        acquired_in(acquisitions, hours)
-        .selectExpr(f"{hour_of('event_timestamp')} as window_start", "currency")
+        counted(hours_and_currencies)
         .withColumn("rates_date", F.expr(rates_date("window_start")))
         .join(Lookup.of(rates).side, ["rates_date", "currency"], "left_anti")
         .groupBy("window_start")
-        .agg(F.expr("count(*) as unrated"))
+        .agg(F.expr("sum(n) as unrated"))
     )
 
 
@@ -119,36 +136,40 @@ def article_acquisition_values(
     hours: Hours | None = None,
     span: int = BOOST_WINDOW_HOURS,
 ) -> DataFrame:
-    """Rows (window_start, url, region, av_gbp), one per acquisition and window it falls in.
+    """Rows (window_start, url, region, av_gbp, n): the acquisitions of an article that have this value, per window.
 
     ``rates`` are boost rates. The value has no cap. Rates are those of the window, so an acquisition
-    may have another value in the next window.
+    may have another value in the next window. Where the lookups are too large to broadcast, equal acquisitions of an hour are
+    counted before they are joined.
     """
     single = hours is not None and hours.single
-    if single:
-        window_start = ntz(hours.first)
-    else:
-        window_start = f"explode({window_starts(hour_of('event_timestamp'), span)})"
-    columns = ["payment_frequency", "currency", "paid", "url", "region"]
+    window_start = ntz(hours.first) if single else f"explode({window_starts('hour', span)})"
+    columns = ["payment_frequency", "currency", "url", "region"]
+    prices, rates = Lookup.all(prices, rates)
+    rows = acquired_in(acquisitions, hours).selectExpr(
+        f"{hour_of('event_timestamp')} as hour",
+        "product",
+        "amount",
+        "payment_frequency",
+        "currency",
+        "referrer_url as url",
+        f"{region_of('country_code')} as region",
+    )
+    rows = rows.withColumn("n", F.expr("1L")) if prices.small and rates.small else counted(rows)
+    paid = paid_or_list_price("product", "amount", "price")
     rows = (
-        list_prices(acquired_in(acquisitions, hours), prices)
-        .selectExpr(
-            f"{window_start} as window_start",
-            "payment_frequency",
-            "currency",
-            f"{paid_or_list_price('product', 'amount', 'price')} as paid",
-            "referrer_url as url",
-            f"{region_of('country_code')} as region",
-        )
-        .selectExpr("window_start", *columns, f"{rates_date('window_start')} as rates_date")
+        list_prices(rows, prices)
+        .selectExpr(f"{window_start} as window_start", *columns, f"{paid} as paid", "n")
+        .selectExpr("*", f"{rates_date('window_start')} as rates_date")
     )
     if hours is not None and not single:
         rows = rows.where(hours.starts("window_start"))
-    return rows.join(Lookup.of(rates).side, ["rates_date", "currency"]).selectExpr(
+    return rows.join(rates.side, ["rates_date", "currency"]).selectExpr(
         "window_start",
         "url",
         "region",
         f"{annualise('paid * to_gbp_rate', 'payment_frequency')} as av_gbp",
+        "n",
     )
 
 
@@ -165,5 +186,5 @@ def acquired_articles(acquisitions: DataFrame, hours: Hours | None = None) -> Da
 def article_acquisitions(values: DataFrame) -> DataFrame:
     """Value and number of acquisitions per window, article URL and region."""
     return values.groupBy("window_start", "url", "region").agg(
-        F.expr("sum(av_gbp) as sum_av_gbp"), F.expr("count(*) as acquisitions")
+        F.expr(f"{exact_sum('av_gbp', 'n')} as sum_av_gbp"), F.expr("sum(n) as acquisitions")
     )

@@ -113,6 +113,28 @@ def each_hour(per_day: DataFrame, hours: Hours, *keep: str) -> DataFrame:
     )
 
 
+def landing_counts(page_views: DataFrame, landing_host: str, hours: Hours | None) -> DataFrame:
+    """Landing-page views per day received, test and variant: (received_date, test_name, variant_name, pages)."""
+    pages = landing_pages(page_views, landing_host, hours).selectExpr("received_date", "explode(ab_test_array) as ab")
+    tested = pages.selectExpr("received_date", "ab.ab_test_name as test_name", "ab.ab_test_variant as variant_name")
+    return tested.groupBy("received_date", "test_name", "variant_name").agg(F.expr("count(*) as pages"))
+
+
+def landing_days(counts: DataFrame, configs: DataFrame | Lookup, hours: Hours | None = None) -> DataFrame:
+    """Landing-page views per day, test and variant from ``landing_counts``."""
+    tests = (
+        Lookup.of(configs)
+        .where(f"channel = {quoted(LANDING_CHANNEL)}")
+        .selectExpr("channel", "test_name")
+    )
+    on_days = on_both_days(counts, hours, "test_name", "variant_name", "pages")
+    return (
+        on_days.join(tests.side, "test_name")
+        .groupBy("channel", "day", "test_name", "variant_name")
+        .agg(F.expr("sum(pages) as views"))
+    )
+
+
 def landing_views_by_day(
     page_views: DataFrame,
     configs: DataFrame | Lookup,
@@ -121,33 +143,21 @@ def landing_views_by_day(
 ) -> DataFrame:
     """Landing-page views per day, test and variant: page views received that day or the day before.
 
-    They are counted for the whole two days, not for the hour of a run.
+    They are counted for the whole two days, not for the hour of a run. Only counts per day received are doubled, joined
+    with configs and summed again.
     """
-    tests = (
-        Lookup.of(configs)
-        .where(f"channel = {quoted(LANDING_CHANNEL)}")
-        .selectExpr("channel", "test_name")
-    )
-    keys = ["day", "test_name", "variant_name"]
-    pages = landing_pages(page_views, landing_host, hours).selectExpr(
-        "received_date", "explode(ab_test_array) as ab"
-    )
-    on_days = on_both_days(
-        pages, hours, "ab.ab_test_name as test_name", "ab.ab_test_variant as variant_name"
-    )
-    count = F.expr("count(*) as views")
-    if tests.small:
-        return on_days.join(tests.side, "test_name").groupBy("channel", *keys).agg(count)
-    # Too many configs to broadcast: shuffle counts, not page views.
-    return on_days.groupBy(*keys).agg(count).join(tests.side, "test_name")
+    return landing_days(landing_counts(page_views, landing_host, hours), configs, hours)
+
+
+def landing_rows(per_day: DataFrame, hours: Hours) -> DataFrame:
+    """Rows of SAMPLE_KEY and ``views``: every hour of a day has the views of that day."""
+    return each_hour(per_day, hours, *SAMPLE_KEY[1:], "views")
 
 
 def landing_view_rows(
     page_views: DataFrame, configs: DataFrame | Lookup, landing_host: str, hours: Hours
 ) -> DataFrame:
-    """Rows of SAMPLE_KEY and ``views``: every hour of a day has the views of that day."""
-    per_day = landing_views_by_day(page_views, configs, landing_host, hours)
-    return each_hour(per_day, hours, *SAMPLE_KEY[1:], "views")
+    return landing_rows(landing_views_by_day(page_views, configs, landing_host, hours), hours)
 
 
 def views_by_hour(
@@ -167,8 +177,8 @@ def views_by_hour(
     if landing_host is None or LANDING_CHANNEL not in channels:
         return counts
     pages = landing_pages(page_views, landing_host, hours)
-    per_day = on_both_days(pages, hours).groupBy("day").count()
-    landing = each_hour(per_day, hours, "count as channel_views")
+    per_day = on_both_days(pages.groupBy("received_date").count(), hours, "count")
+    landing = each_hour(per_day.groupBy("day").agg(F.expr("sum(count) as n")), hours, "n as channel_views")
     return (
         counts.unionByName(landing)
         .groupBy("window_start")

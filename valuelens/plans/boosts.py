@@ -16,6 +16,7 @@ from valuelens.functions.hours import (
     ntz,
     plus_hours,
 )
+from valuelens.functions.value import exact_sum
 from valuelens.operators.acquisitions import acquired_articles, article_acquisition_values
 from valuelens.operators.lookup import Lookup
 from valuelens.operators.rates import boost_rates, rates_for
@@ -53,12 +54,12 @@ def boost_candidates(
     views = article_view_rows(page_views, hours, span, acquired if acquired.small else None)
     values = article_acquisition_values(acquisitions, prices, rates, hours, span)
     return (
-        views.selectExpr(*article, "views", "null as av_gbp", "0L as acquisitions")
-        .unionByName(values.selectExpr(*article, "0L as views", "av_gbp", "1L as acquisitions"))
+        views.selectExpr(*article, "views", "cast(null as double) as av_gbp", "0L as acquisitions")
+        .unionByName(values.selectExpr(*article, "0L as views", "av_gbp", "n as acquisitions"))
         .where("url is not null")
         .groupBy(*article)
         .agg(
-            F.expr("sum(av_gbp) as totalAv"),
+            F.expr(f"{exact_sum('av_gbp', 'acquisitions')} as totalAv"),
             F.expr("sum(acquisitions) as totalAcquisitions"),
             F.expr("sum(views) as totalViews"),
         )

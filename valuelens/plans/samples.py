@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from valuelens.functions.hours import Hours, sample_time_text
 from valuelens.functions.text import quoted
+from valuelens.functions.value import exact_sum
 from valuelens.operators.acquisitions import acquisition_values
 from valuelens.operators.configs import distinct_configs
 from valuelens.operators.lookup import Lookup
@@ -22,17 +23,17 @@ def combine(views: DataFrame, values: DataFrame) -> DataFrame:
     views are dropped. Both inputs go through one aggregation, so there is one shuffle, of partial sums,
     and no join: a test that holds most of the rows is summed where its rows are read.
     """
-    views = views.selectExpr(*SAMPLE_KEY, "views", "null as capped_av_gbp", "0L as acquisitions")
+    views = views.selectExpr(*SAMPLE_KEY, "views", "cast(null as double) as capped_av_gbp", "0L as acquisitions")
     # A variant without a name matches no other, so such acquisitions belong to no group of views.
     values = values.where("test_name is not null and variant_name is not null").selectExpr(
-        *SAMPLE_KEY, "0L as views", "capped_av_gbp", "1L as acquisitions"
+        *SAMPLE_KEY, "0L as views", "capped_av_gbp", "n as acquisitions"
     )
     return (
         views.unionByName(values)
         .groupBy(*SAMPLE_KEY)
         .agg(
             F.expr("sum(views) as views"),
-            F.expr("coalesce(sum(capped_av_gbp), 0) as sum_av_gbp"),
+            F.expr(f"coalesce({exact_sum('capped_av_gbp', 'acquisitions')}, 0) as sum_av_gbp"),
             F.expr("sum(acquisitions) as acquisitions"),
         )
         .where("views > 0")

@@ -80,6 +80,15 @@ def compact_boosts(spark: SparkSession, path: str, settled: bool = False) -> Non
     compaction.compact(spark, path, BOOSTS, settled)
 
 
+def append_keyed(rows: DataFrame, path: str, kind: compaction.Keyed, run_id: str) -> None:
+    """Adds rows of a kind to their log, with at most one row per key."""
+    _append(rows, path, kind.date, None, run_id)
+
+
+def read_keyed(spark: SparkSession, path: str, kind: compaction.Keyed) -> DataFrame:
+    return compaction.read(spark, path, kind)
+
+
 def append_metrics(points: DataFrame, path: str) -> bool:
     """Adds metric points. A failing write is logged, not raised: metrics must not fail a run.
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from valuelens.functions.article import region_of, url_of
 from valuelens.functions.hours import rates_date
-from valuelens.functions.value import annualise, cap
+from valuelens.functions.value import annualise, cap, exact_sum
 from valuelens.operators.acquisitions import of_tests, unnest_tests, value_of_acquisitions
 from valuelens.operators.configs import distinct_configs
 from valuelens.operators.lookup import Lookup
@@ -67,7 +67,7 @@ def stream_samples(
         )
         .join(configs.side, ["component_type", "test_name"])
         .selectExpr(
-            "event_time", *group, "1L as views", "null as capped_av_gbp", "0L as acquisitions"
+            "event_time", *group, "1L as views", "cast(null as double) as capped_av_gbp", "0L as acquisitions"
         )
     )
     tested = of_tests(
@@ -89,7 +89,7 @@ def stream_samples(
         .groupBy(F.window("event_time", "1 hour"), *group)
         .agg(
             F.expr("sum(views) as views"),
-            F.expr("coalesce(sum(capped_av_gbp), 0) as sum_av_gbp"),
+            F.expr(f"coalesce({exact_sum('capped_av_gbp')}, 0) as sum_av_gbp"),
             F.expr("sum(acquisitions) as acquisitions"),
         )
         .where("views > 0")
@@ -114,7 +114,7 @@ def stream_articles(
         lateness,
         f"{url_of('protocol', 'host', 'path')} as url",
         f"{region_of('country_key')} as region",
-    ).selectExpr("event_time", *article, "1L as views", "null as av_gbp", "0L as acquisitions")
+    ).selectExpr("event_time", *article, "1L as views", "cast(null as double) as av_gbp", "0L as acquisitions")
     paid = price_acquisitions(_acquisitions(acquisitions, lateness), prices).selectExpr(
         "event_time",
         "referrer_url as url",
@@ -135,13 +135,13 @@ def stream_articles(
     )
     sums = (
         views.withColumn("window", window)
-        .selectExpr("window", *article, "views", "cast(av_gbp as double) as av_gbp", "acquisitions")
+        .selectExpr("window", *article, "views", "av_gbp", "acquisitions")
         .unionByName(values.select(*columns))
         .where("url is not null")
         .groupBy("window", *article)
         .agg(
             F.expr("sum(views) as totalViews"),
-            F.expr("sum(av_gbp) as totalAv"),
+            F.expr(f"{exact_sum('av_gbp')} as totalAv"),
             F.expr("sum(acquisitions) as totalAcquisitions"),
         )
         .where("totalViews > 0 and totalAcquisitions > 0")
