@@ -7,8 +7,9 @@ reach and holds the place. Only reaches of a passage's length are kept, about 2
 Passages in two texts collide under a function if their windows have the same least shingle; shifted by the
 distance of the two places, the windows' reaches must overlap by a passage. Collisions of a pair of texts at one shift,
 or at two next to each other, under enough functions name a region, and the texts decide. Of the texts that meet under a key each is compared with
-the first. Where that leaves a text uncovered, all passages of the key meet by a hash of the whole passage, so that one
-that is held unchanged is always found; one with edits as often as enough functions agree with a first text.
+the first. Where that leaves a text uncovered, all passages of the key meet again, by a hash of the whole passage, so that one
+that is held unchanged is always found, and by two anchors near its ends, so that copies with an edit between them find each other
+behind texts that hold a part only.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ AGREEING = -(-8 * PASSAGE // 9)
 HALF = PASSAGE // 2
 CHUNK_BITS = 12  # 2 to this power regions of a text may share one reading of it
 BATCH_BYTES = 16 << 20  # of shingles that leave a task at a time
+#: Anchors are the least of so many shingles; two of them that lie so many steps apart stand for a passage.
+ANCHOR_WINDOW = 6
+ANCHORS_APART = (PASSAGE - 8, PASSAGE)
+MARGIN = 12  # shingles beyond them on either side that are compared
 GRAM_BYTES = 3  # of a shingle that is compared with another at an equal place
 
 
@@ -292,25 +297,26 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _unchanged(rows: DataFrame, collisions: DataFrame, runs: DataFrame) -> DataFrame:
-    """Passages that later texts of a half's key share unchanged, whatever the first text of the key holds.
+def _beyond_first(rows: DataFrame, collisions: DataFrame, runs: DataFrame) -> DataFrame:
+    """What later texts of a key share with each other, whatever the first text of the key holds.
 
-    Every passage has one least place and one longer side of it, so that it belongs to one window of a half's key,
-    and equal passages to one key. Of keys with a window that no verified run covers, all windows' passages
-    meet the first equal one, by a hash of the whole passage: one row for each passage, not for each pair. Keys that
-    many different texts hold so cost no more than their texts. A key's second window has only the first before it,
-    and was compared with that; so keys are asked for by their third and later ones.
+    Of keys with a window that no verified run covers, all windows' passages meet again, by two kinds of keys: a hash of the
+    whole passage, and of two anchors about a passage apart, with anything between them. Every passage has one least place and one
+    longer side of it, so that it belongs to one window of a half's key, and equal passages to one key: one that is held
+    unchanged is always found. A text that holds a part of a passage only does not hold both its ends; so copies that differ
+    between their ends meet copies, and the texts decide. Each row meets the first of its key: one row for each passage or pair of
+    anchors, not for each pair of texts. A key's second window has only the first before it, and was
+    compared with that; so keys are asked for by their third and later ones.
     """
-    halves = collisions.where(f"key & 7 >= {FUNCTIONS}")
-    # A side's passages, by their start: those that reach HALF places to the right of the place, or begin HALF to the left.
-    place, left, right, side = _part("place", ""), _part("left", ""), _part("right", ""), f"(key & 7) = {FUNCTIONS}"
+    # The passages of a window, by their start; of a half's window, those that hold the half too.
+    place, left, right, kind = _part("place", ""), _part("left", ""), _part("right", ""), f"(key & 7) - {FUNCTIONS}"
     spans = (
         "key", "doc_id", "cast(at >> 32 AS int) AS text_hash",
-        f"{place} - if({side}, least({left}, {PASSAGE - 1 - HALF}), least({left}, {PASSAGE - 1})) AS low",
-        f"{place} + if({side}, least(0, {right} - {PASSAGE - 1}), least(-{HALF}, {right} - {PASSAGE - 1})) AS high",
+        f"{place} - if({kind} = 0, least({left}, {PASSAGE - 1 - HALF}), least({left}, {PASSAGE - 1})) AS low",
+        f"{place} + if({kind} = 1, least(-{HALF}, {right} - {PASSAGE - 1}), least(0, {right} - {PASSAGE - 1})) AS high",
     )
-    members = halves.selectExpr(*spans, "third").where("low <= high")
-    heads = halves.selectExpr("key", "other_id AS doc_id", "other_at AS at", "other_reach AS reach").distinct()
+    members = collisions.selectExpr(*spans, "third").where("low <= high")
+    heads = collisions.selectExpr("key", "other_id AS doc_id", "other_at AS at", "other_reach AS reach").distinct()
     covered = runs.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "first_word", "end_word")
     within = (F.col("first_word") <= F.col("low")) & (F.col("end_word") >= F.col("high") + PASSAGE_WORDS)
     own = (F.col("doc_id") == F.col("id")) & (F.col("text_hash") == F.col("hash"))
@@ -320,42 +326,94 @@ def _unchanged(rows: DataFrame, collisions: DataFrame, runs: DataFrame) -> DataF
         F.expr("collect_set(cast(low AS long) << 32 | high)").alias("ranges")
     )
     texts = rows.dropDuplicates(["doc_id", "text_hash"]).join(ranges, own).select("doc_id", "text_hash", "text", "ranges")
-    met = texts.mapInArrow(_passage_rows, "passage long, doc_id long, at long").selectExpr(
+    met = texts.mapInArrow(_again_rows, "again long, doc_id long, at long, span int, last int").selectExpr(
         "*",
-        "first(struct(doc_id, at)) OVER (PARTITION BY passage ORDER BY doc_id, at"
+        "first(struct(doc_id, at, last)) OVER (PARTITION BY again ORDER BY doc_id, at"
         " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS first",
     )
-    equal = met.where("first.doc_id <> doc_id").selectExpr(
-        "doc_id", "cast(at >> 32 AS int) AS text_hash", "first.doc_id AS other_id", "cast(first.at >> 32 AS int) AS other_hash",
-        f"{place} - cast(first.at & 4294967295L AS int) AS shift", f"{place} AS low",
+    pairs = written(
+        met.where("first.doc_id <> doc_id").selectExpr(
+            "doc_id", "cast(at >> 32 AS int) AS text_hash", "first.doc_id AS other_id", "cast(first.at >> 32 AS int) AS other_hash",
+            f"{place} - cast(first.at & 4294967295L AS int) AS shift", f"{place} AS place", "span", "last", "first.last AS other_last",
+        ),
+        "again",
     )
     # Passages next to each other in both texts have the same number less their rank.
-    line = "PARTITION BY doc_id, text_hash, other_id, other_hash, shift ORDER BY low"
-    merged = equal.selectExpr("*", f"low - row_number() OVER ({line}) AS line").groupBy(
+    line = "PARTITION BY doc_id, text_hash, other_id, other_hash, shift ORDER BY place"
+    merged = pairs.where("span = 0").selectExpr("*", f"place - row_number() OVER ({line}) AS line").groupBy(
         "doc_id", "text_hash", "other_id", "other_hash", "shift", "line"
-    ).agg(F.min("low").alias("low"), F.max("low").alias("high"))
-    return merged.selectExpr(
+    ).agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    unchanged = merged.selectExpr(
         "doc_id", "cast(low AS long) AS first_word", f"cast(high + {PASSAGE_WORDS} AS long) AS end_word",
         "other_id", "cast(low - shift AS long) AS other_first_word",
     )
+    # Around two anchors, as far as a passage that holds both may reach, and both texts do.
+    regions = pairs.where("span > 0").selectExpr(
+        "doc_id", "text_hash", "other_id", "other_hash", f"{FUNCTIONS} AS function", "shift",
+        f"greatest(0, shift, place - {MARGIN}) AS low", f"least(place + span + {MARGIN}, last, other_last + shift) AS high",
+    ).where(f"high - low + 1 >= {PASSAGE}")
+    changed = _runs(rows, _regions(regions), "changed")
+    return unchanged.unionByName(changed.drop("text_hash"))
+
+
+def anchors(grams: np.ndarray) -> np.ndarray:
+    """Places of shingles that are the least of some ``ANCHOR_WINDOW`` in a row: texts that share these share the anchor."""
+    values = mix(grams, 30)
+    if len(values) < ANCHOR_WINDOW:
+        return np.empty(0, np.int64)
+    least = sliding_minimum(values, ANCHOR_WINDOW)
+    edge = np.zeros(ANCHOR_WINDOW - 1, np.uint64)
+    around = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, least, edge]), ANCHOR_WINDOW)
+    return np.flatnonzero(around.max(axis=1) == values)
+
 
+def anchor_pairs(places: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places from low to high steps apart."""
+    first, last = np.searchsorted(places, places + low), np.searchsorted(places, places + high, "right")
+    left = np.repeat(np.arange(len(places)), last - first)
+    nth = np.arange(len(left)) - np.repeat(np.cumsum(last - first) - (last - first), last - first)
+    return places[left], places[first[left] + nth]
 
-def _passage_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A hash of each passage that starts within the ranges, with its place; a text at a time."""
+
+def _again_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of each passage that starts within the ranges, and of the pairs of anchors in these passages, with their places; a
+    text at a time."""
     for batch in batches:
         for doc_id, text_hash, text, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             grams = windows(word_hashes(words(text)), SHINGLE)
             passages = windows(grams, PASSAGE)
-            wanted = np.zeros(len(passages), bool)
+            wanted, steps = np.zeros(len(passages), bool), np.zeros(len(grams) + 1, np.int64)
             for span in ranges:
-                wanted[span >> 32 : (span & 0xFFFFFFFF) + 1] = True
+                low, high = span >> 32, span & 0xFFFFFFFF
+                wanted[low : high + 1] = True
+                steps[low] += 1
+                steps[high + PASSAGE] -= 1
+            inside = np.concatenate(([0], np.cumsum(np.cumsum(steps[:-1]) > 0)))
+            left, right = anchor_pairs(anchors(grams), *ANCHORS_APART)
+            both = inside[right + 1] - inside[left] == right + 1 - left  # with all that lies between them
+            left, right = left[both], right[both]
             at = np.flatnonzero(wanted)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (passages[at].view(np.int64), np.full(len(at), doc_id), text_hash << 32 | at)],
-                names=["passage", "doc_id", "at"],
+                [
+                    pa.array(np.concatenate([passages[at], mix(mix(grams[left], 31) + grams[right], 32)]).view(np.int64)),
+                    pa.array(np.full(len(at) + len(left), doc_id)),
+                    pa.array(text_hash << 32 | np.concatenate([at, left])),
+                    pa.array(np.concatenate([np.zeros(len(at)), right - left]).astype(np.int32)),
+                    pa.array(np.full(len(at) + len(left), len(grams) - 1, np.int32)),
+                ],
+                names=["again", "doc_id", "at", "span", "last"],
             )
 
 
+def _runs(rows: DataFrame, regions: DataFrame, name: str) -> DataFrame:
+    """What the texts say about the regions: verified runs, written."""
+    cut = _slices(rows, regions).select(
+        "doc_id", F.col("text_hash").cast("long"), "other_id", F.col("low").cast("long"), F.col("shift").cast("long"), "mine", "theirs"
+    )
+    schema = "doc_id long, text_hash long, first_word long, end_word long, other_id long, other_first_word long"
+    return written(cut.mapInArrow(_verified, schema), name)
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, first_word, end_word, other_id, other_first_word: passages of ``PASSAGE_WORDS`` or more that another document holds
     too, with the place in the first document (by id) that it was compared with.
@@ -366,9 +424,5 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     rows = plain(docs, id_col, text_col).where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("text_hash", F.hash("text"))
     collisions = written(_collisions(rows.select("doc_id", "text_hash", "text")), "collisions")
-    cut = _slices(rows, _regions(_shifted(collisions))).select(
-        "doc_id", F.col("text_hash").cast("long"), "other_id", F.col("low").cast("long"), F.col("shift").cast("long"), "mine", "theirs"
-    )
-    schema = "doc_id long, text_hash long, first_word long, end_word long, other_id long, other_first_word long"
-    runs = written(cut.mapInArrow(_verified, schema), "runs")
-    return runs.drop("text_hash").unionByName(_unchanged(rows, collisions, runs)).distinct()
+    runs = _runs(rows, _regions(_shifted(collisions)), "runs")
+    return runs.drop("text_hash").unionByName(_beyond_first(rows, collisions, runs)).distinct()
