@@ -154,7 +154,7 @@ def test_most_passages_with_an_edit_are_found(spark):
         shared[30] = "new"
         docs.append((2 * i + 1, prose(3000 + i, 20, 5000) + " " + " ".join(shared)))
     found = {r.doc_id for r in passages.repeats(documents(spark, *docs)).collect()}
-    assert found <= set(range(1, 80, 2)) and len(found) >= 32
+    assert found <= set(range(1, 80, 2)) and len(found) >= 36
 
 
 @pytest.mark.parametrize("change", ["insert", "delete"])
@@ -167,10 +167,43 @@ def test_most_passages_with_a_word_more_or_less_are_found(spark, change):
         docs.append((2 * i + 1, prose(3000 + i, 20, 5000) + " " + " ".join(shared)))
     rows = passages.repeats(documents(spark, *docs)).collect()
     found = {r.doc_id for r in rows}
-    assert found <= set(range(1, 80, 2)) and len(found) >= 32
+    assert found <= set(range(1, 80, 2)) and len(found) >= 36
     assert all(abs(r.first_word - 20 - r.other_first_word) <= 1 for r in rows)
 
 
+def changed(words_, place, change):
+    return [*words_[:place], *({"replace": ["new"], "insert": ["new", words_[place]], "delete": []}[change]), *words_[place + 1 :]]
+
+
+@pytest.mark.parametrize("change", ["replace", "insert", "delete"])
+@pytest.mark.parametrize("quotes", [1, 2, 5])
+def test_most_edited_passages_behind_partial_quotes_are_found(spark, quotes, change):
+    """Earlier texts hold parts of the passage, each with an edit of its own; of two later copies the second has one."""
+    docs, rng = [], np.random.default_rng(quotes)
+    for i in range(60):
+        shared = prose(9000 + i, 60, 5000).split()
+        parts = [shared[:45], shared[15:], shared[:44], shared[13:58], shared[16:]][:quotes]
+        texts = [*(changed(x, 30 - 15 * (k in (1, 4)), "replace") for k, x in enumerate(parts)), shared, changed(shared, int(rng.integers(12, 48)), change)]
+        for k, own in enumerate(texts):
+            docs.append((100 * i + k, " ".join([prose(10_000 + 20 * i + k, 30, 5000), *own, prose(20_000 + 20 * i + k, 30, 5000)])))
+    rows = passages.repeats(documents(spark, *docs)).collect()
+    found = {r.doc_id // 100 for r in rows if r.doc_id % 100 == quotes + 1 and r.other_id % 100 == quotes}
+    assert len(found) >= 54
+    assert all(r.other_id // 100 == r.doc_id // 100 for r in rows)
+
+
+def test_anchors_are_shared_by_texts_that_share_their_windows():
+    rng = np.random.default_rng(1)
+    grams = rng.integers(0, 1 << 62, 300).astype(np.uint64)
+    found = passages.anchors(grams)
+    values = passages.mix(grams, 30)
+    size = passages.ANCHOR_WINDOW
+    assert set(found.tolist()) == {i + int(np.argmin(values[i : i + size])) for i in range(len(grams) - size + 1)}
+    pairs = set(zip(*(x.tolist() for x in passages.anchor_pairs(found, 38, 46))))
+    assert pairs == {(a, b) for a in found.tolist() for b in found.tolist() if 38 <= b - a <= 46}
+    assert len(passages.anchors(grams[:3])) == 0
+
+
 def test_agreement_is_jaccard_of_passages():
     rng = np.random.default_rng(5)
     size, outcomes = passages.PASSAGE, set()
