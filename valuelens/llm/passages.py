@@ -322,8 +322,9 @@ def _beyond_first(rows: DataFrame, collisions: DataFrame, runs: DataFrame) -> Da
     own = (F.col("doc_id") == F.col("id")) & (F.col("text_hash") == F.col("hash"))
     keys = members.where("third").join(covered, own & within, "left_anti").select("key").distinct()
     wanted = members.drop("third").unionByName(heads.selectExpr(*spans).where("low <= high")).join(keys, "key", "left_semi")
+    # The highest bit tells the windows of halves, which alone have to be gone through passage by passage.
     ranges = wanted.groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(
-        F.expr("collect_set(cast(low AS long) << 32 | high)").alias("ranges")
+        F.expr(f"collect_set(if(key & 7 >= {FUNCTIONS}, {1 << 62}L, 0L) | cast(low AS long) << 32 | high)").alias("ranges")
     )
     texts = rows.dropDuplicates(["doc_id", "text_hash"]).join(ranges, own).select("doc_id", "text_hash", "text", "ranges")
     met = texts.mapInArrow(_again_rows, "again long, doc_id long, at long, span int, last int").selectExpr(
@@ -367,12 +368,14 @@ def anchors(grams: np.ndarray) -> np.ndarray:
     return np.flatnonzero(around.max(axis=1) == values)
 
 
-def anchor_pairs(places: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of places from low to high steps apart."""
-    first, last = np.searchsorted(places, places + low), np.searchsorted(places, places + high, "right")
-    left = np.repeat(np.arange(len(places)), last - first)
-    nth = np.arange(len(left)) - np.repeat(np.cumsum(last - first) - (last - first), last - first)
-    return places[left], places[first[left] + nth]
+def anchor_pairs(grams: np.ndarray, places: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each place with the least of the shingles from low to high steps behind it, where the text goes that far: one pair for each
+    place, and the same one in texts that agree there."""
+    places = places[places + high < len(grams)]
+    if not len(places):
+        return places, places
+    behind = places[:, None] + np.arange(low, high + 1)
+    return places, behind[np.arange(len(places)), np.argmin(mix(grams[behind], 30), axis=1)]
 
 
 def _again_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,12 +387,12 @@ def _again_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             passages = windows(grams, PASSAGE)
             wanted, steps = np.zeros(len(passages), bool), np.zeros(len(grams) + 1, np.int64)
             for span in ranges:
-                low, high = span >> 32, span & 0xFFFFFFFF
-                wanted[low : high + 1] = True
+                low, high = span >> 32 & 0x3FFFFFFF, span & 0xFFFFFFFF
+                wanted[low : high + 1] |= span >> 62 != 0
                 steps[low] += 1
                 steps[high + PASSAGE] -= 1
             inside = np.concatenate(([0], np.cumsum(np.cumsum(steps[:-1]) > 0)))
-            left, right = anchor_pairs(anchors(grams), *ANCHORS_APART)
+            left, right = anchor_pairs(grams, anchors(grams), *ANCHORS_APART)
             both = inside[right + 1] - inside[left] == right + 1 - left  # with all that lies between them
             left, right = left[both], right[both]
             at = np.flatnonzero(wanted)
