@@ -26,7 +26,7 @@ MAX_EDITS_PERCENT = 20  # of the item's words
 REPETITIONS = 24
 SAMPLED = 3
 BLOCK_WORDS = 2_000_000  # of the benchmark that one pass over the documents looks for; a longer item is its own block
-_BITS = 1 << 22
+_SPARSE = 64  # slots of a filter for each piece, so that few others pass
 _PADDING = np.uint64(0)
 
 
@@ -100,8 +100,8 @@ class Items:
         self.sorted_pieces = {n: np.sort(np.fromiter(p, np.uint64, len(p))) for n, p in self.pieces.items()}
         self.filters = {}
         for n, keys in self.sorted_pieces.items():
-            self.filters[n] = np.zeros(_BITS, bool)
-            self.filters[n][(keys & np.uint64(_BITS - 1)).astype(np.int64)] = True
+            self.filters[n] = np.zeros(1 << (_SPARSE * len(keys)).bit_length(), bool)
+            self.filters[n][(keys & np.uint64(len(self.filters[n]) - 1)).astype(np.int64)] = True
         self.signatures = {}
         for length, members in by_length.items():
             rows = np.stack([self.hashes[m] for m in members])
@@ -115,7 +115,7 @@ class Items:
         starts: dict[int, set[int]] = defaultdict(set)
         for n, keys in self.sorted_pieces.items():
             grams = windows(hashes, n)
-            maybe = np.flatnonzero(self.filters[n][(grams & np.uint64(_BITS - 1)).astype(np.int64)])
+            maybe = np.flatnonzero(self.filters[n][(grams & np.uint64(len(self.filters[n]) - 1)).astype(np.int64)])
             if not len(maybe):
                 continue
             place = np.minimum(np.searchsorted(keys, grams[maybe]), len(keys) - 1)

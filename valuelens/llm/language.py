@@ -19,7 +19,8 @@ ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
-BLOCK_CELLS = 1 << 22  # of the sparse product that are laid out at a time, unless one text has more
+BLOCK_TEXTS = 64  # that share a sparse product
+BLOCK_CELLS = 1 << 19  # of it that are laid out at a time, unless one text has more
 _DOCUMENTS = -1  # stands in the place of a bucket where documents are counted
 
 
@@ -146,21 +147,19 @@ def scores(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray
     laid out at a time is bounded, whatever the texts and languages.
     """
     languages, best = [UNKNOWN] * len(texts), np.zeros(len(texts))
-    if not model.languages:
-        return languages, best
-    found = Sparse.of(texts)
-    for first, last in found.blocks(max(1, BLOCK_CELLS // len(model.languages))):
-        low, high = found.starts[first], found.starts[last]
-        begins = found.starts[first:last]
-        own = np.flatnonzero(np.diff(found.starts[first : last + 1]))
-        if not len(own):
-            continue
-        cells = model.log_probs[found.bucket[low:high]] * found.n[low:high, None].astype(np.float64)
-        logs = np.add.reduceat(cells, begins[own] - low, axis=0) + model.log_priors
-        top = logs.argmax(axis=1)
-        best[first + own] = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
-        for at, language in zip((first + own).tolist(), top.tolist(), strict=True):
-            languages[at] = model.languages[language]
+    for start in range(0, len(texts) if model.languages else 0, BLOCK_TEXTS):
+        found = Sparse.of(texts[start : start + BLOCK_TEXTS])
+        for first, last in found.blocks(max(1, BLOCK_CELLS // len(model.languages))):
+            low, high = found.starts[first], found.starts[last]
+            own = np.flatnonzero(np.diff(found.starts[first : last + 1]))
+            if not len(own):
+                continue
+            cells = model.log_probs[found.bucket[low:high]] * found.n[low:high, None].astype(np.float64)
+            logs = np.add.reduceat(cells, found.starts[first + own] - low, axis=0) + model.log_priors
+            at = start + first + own
+            best[at] = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
+            for i, top in zip(at.tolist(), logs.argmax(axis=1).tolist(), strict=True):
+                languages[i] = model.languages[top]
     return languages, best
 
 
