@@ -178,6 +178,27 @@ class TestCatalog:
         assert found["SUPPORTER_PLUS", "GBP"] == {"MONTHLY": 11.5, "ANNUALLY": 115.0}
         assert len(found) == 12 and len(found["DIGITAL_SUBSCRIPTION", "CAD"]) == 3
 
+    def test_matrix_of_versions(self, spark):
+        rows = [
+            (version, "P", frequency, "GBP", price)
+            for version, frequency, price in [
+                (1, "MONTHLY", 1.0), (1, "MONTHLY", 2.0), (1, "ANNUALLY", 9.0), (2, "MONTHLY", 3.0), (None, "QUARTERLY", 4.0), (None, "QUARTERLY", 4.0), (None, "MONTHLY", None),
+            ]
+        ]
+        prices = frames.table(spark, rows, "version long, product string, payment_frequency string, currency string, price double")
+        matrix = price_matrix(prices, "version")
+        assert sorted((row.version or 0, row.prices) for row in matrix.collect()) == [
+            (0, {"QUARTERLY": 4.0}), (1, {"MONTHLY": 2.0, "ANNUALLY": 9.0}), (2, {"MONTHLY": 3.0}),
+        ]
+
+        def aggregates_before_exchange(frame):
+            plan = frame._jdf.queryExecution().executedPlan().toString().rpartition("Initial Plan")[2]
+            return "Aggregate" in plan[plan.index("Exchange"):]
+
+        # Versions are many: a task that reads does not hold their groups. Without them groups are few, and summed there.
+        assert not aggregates_before_exchange(matrix)
+        assert aggregates_before_exchange(price_matrix(prices))
+
     def test_file(self, spark, tmp_path):
         path = tmp_path / "catalog.json"
         path.write_text(frames.catalog_json(Other={"active": False}))

@@ -70,14 +70,20 @@ def list_prices(requests: DataFrame, prices: DataFrame | Lookup, strict: bool =
 
 
 def price_matrix(prices: DataFrame, *keep: str) -> DataFrame:
-    """Per product and currency, a map from payment frequency to price."""
+    """Per product and currency, a map from payment frequency to price.
+
+    With ``keep`` there are about as many groups as catalogs, and sums of a task hardly shrink its rows: these are dealt by group
+    first, so that no task holds the groups of all that it read. Without it the groups are few, and summed where they are read.
+    """
     # A map of at most three frequencies, so no group can grow.
     frequencies = ", ".join(quoted(name) for name in BILLING_PERIODS)
     found = ", ".join(
         f"max(price) filter (where payment_frequency = '{name}')" for name in BILLING_PERIODS
     )
     all_prices = f"map_from_arrays(array({frequencies}), array({found}))"
-    return prices.groupBy(*keep, "product", "currency").agg(
+    groups = [*keep, "product", "currency"]
+    dealt = prices.repartition(*groups) if keep else prices
+    return dealt.groupBy(*groups).agg(
         F.expr(f"map_filter({all_prices}, (frequency, price) -> price is not null)").alias("prices")
     )
 
