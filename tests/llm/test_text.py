@@ -29,6 +29,20 @@ def test_tokens_are_those_of_the_library(library):
         assert codec.decode(packed) == text.encode()
 
 
+def test_pieces_are_remembered_from_the_second_time_on_and_rare_ones_forgotten(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_PIECES", 40)
+    codec = bpe.Codec(FILE, public_tokenizers.PATTERN)
+    first = " ".join(f"once{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500))
+    assert bpe.unpack(codec.encode(first)) == library.encode_ordinary(first)
+    assert len(codec.pieces) <= 5  # but for pieces that share a slot
+    assert bpe.unpack(codec.encode(first * 3)) == library.encode_ordinary(first * 3)
+    for i in range(200):
+        text = f" often often x{chr(97 + i % 26)}{chr(97 + i // 26)}" * 2
+        assert bpe.unpack(codec.encode(text)) == library.encode_ordinary(text)
+        assert len(codec.pieces) + len(codec.pieces.older) <= 40
+    assert " often" in codec.pieces or " often" in codec.pieces.older
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_appends_and_edits_give_what_a_new_encoding_gives(seed):
     vocabulary = bpe.Vocabulary(FILE)

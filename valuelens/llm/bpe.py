@@ -18,7 +18,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REMEMBERED_PIECES = 1_000_000  # of each Python worker; a cache only: results do not depend on it
+REMEMBERED_PIECES = 500_000  # of each Python worker, in two halves; a cache only: results do not depend on it
+ASKED_BITS = 22  # 2 to this power slots tell which pieces were asked for before
 REMEMBERED_PAIRS = 2_000_000
 SHORT = 64  # longer pieces are not remembered
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -180,17 +181,28 @@ class Prefixes:
 
 
 class _Pieces(dict):
-    """Packed ids of short pieces, worked out when first asked for."""
+    """Packed ids of short pieces, remembered when they are asked for a second time: most pieces are never asked for again.
+
+    When half of what may be remembered is there, it takes the place of the older half; what is asked for again moves back, so
+    that frequent pieces stay and only those not seen for long are forgotten.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.older, self.asked = vocabulary, {}, bytearray(1 << ASKED_BITS)
 
     def __missing__(self, piece: str) -> bytes:
-        data, last = piece.encode("utf-8", "surrogatepass"), []
-        self.vocabulary.extend(last, data, len(data))
-        packed = array("I", self.vocabulary.ids(last)).tobytes()
+        packed = self.older.pop(piece, None)
+        if packed is None:
+            data, last = piece.encode("utf-8", "surrogatepass"), []
+            self.vocabulary.extend(last, data, len(data))
+            packed = array("I", self.vocabulary.ids(last)).tobytes()
+            slot = hash(piece) & len(self.asked) - 1
+            if not self.asked[slot]:
+                self.asked[slot] = 1
+                return packed
         if len(piece) <= SHORT:
-            if len(self) >= REMEMBERED_PIECES:
+            if 2 * len(self) >= REMEMBERED_PIECES:
+                self.older, self.asked = dict(self), bytearray(len(self.asked))
                 self.clear()
             self[piece] = packed
         return packed
