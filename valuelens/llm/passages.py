@@ -15,14 +15,15 @@ behind texts that hold a part only.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuelens.llm.common import SHINGLE, mix, plain, windows, word_hashes, words, written
+from valuelens.llm.common import SHINGLE, mix, plain, texts_word_hashes, windows, written
 
 PASSAGE_WORDS = 50
 PASSAGE = PASSAGE_WORDS - SHINGLE + 1  # in shingles
@@ -33,22 +34,30 @@ AGREEING = -(-8 * PASSAGE // 9)
 HALF = PASSAGE // 2
 CHUNK_BITS = 12  # 2 to this power regions of a text may share one reading of it
 BATCH_BYTES = 16 << 20  # of shingles that leave a task at a time
+GROUP_BYTES = 1 << 20  # of texts, or of shingles, that numpy goes through at once
 #: Anchors are the least of so many shingles; two of them that lie so many steps apart stand for a passage.
 ANCHOR_WINDOW = 6
 ANCHORS_APART = (PASSAGE - 8, PASSAGE)
+JACCARD_ROWS = 1 << 14  # passages whose sets are compared at once
 MARGIN = 12  # shingles beyond them on either side that are compared
 GRAM_BYTES = 3  # of a shingle that is compared with another at an equal place
 
 
 def sliding_minimum(values: np.ndarray, size: int) -> np.ndarray:
-    """The least of every ``size`` values in a row, from running minima of blocks, forwards and backwards."""
-    n = len(values)
-    padded = np.full(-(-n // size) * size, np.iinfo(np.uint64).max, np.uint64)
-    padded[:n] = values
-    blocks = padded.reshape(-1, size)
-    forward = np.minimum.accumulate(blocks, axis=1).ravel()
-    backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(backward[: n - size + 1], forward[size - 1 : n])
+    """The least of every ``size`` values in a row, from minima of twice as many again and again."""
+    least, wide = values, 1
+    while 2 * wide <= size:
+        least, wide = np.minimum(least[:-wide], least[wide:]), 2 * wide
+    more = size - wide
+    return np.minimum(least[: len(least) - more], least[more:]) if more else least
+
+
+def least_places(values: np.ndarray, size: int) -> np.ndarray:
+    """Places of values that are the least of some ``size`` in a row, equal ones included."""
+    if len(values) < size:
+        return np.empty(0, np.int64)
+    edge = np.full(size - 1, ~values.dtype.type(0))
+    return np.flatnonzero(~sliding_minimum(np.concatenate([edge, ~sliding_minimum(values, size), edge]), size) == values)
 
 
 def compact_windows(values: np.ndarray, size: int) -> np.ndarray:
@@ -57,12 +66,7 @@ def compact_windows(values: np.ndarray, size: int) -> np.ndarray:
     Such a node is the least of some ``size`` values in a row, and so are all nodes above it; so the tree of these
     places alone has the same reaches.
     """
-    if len(values) < size:
-        return np.empty((0, 3), np.int64)
-    least = sliding_minimum(values, size)
-    few = np.unique(least[np.flatnonzero(np.diff(least, append=~least[-1:]))])  # the last of each run of equals
-    at_most = few[np.minimum(np.searchsorted(few, values), len(few) - 1)]
-    places = np.flatnonzero(at_most == values)  # a superset: equal values elsewhere do no harm
+    places = least_places(values, size)
     heights = values[places].tolist()
     left, right = [0] * len(places), [len(values) - 1] * len(places)
     stack: list[int] = []
@@ -76,6 +80,52 @@ def compact_windows(values: np.ndarray, size: int) -> np.ndarray:
     return found[found[:, 2] - found[:, 0] + 1 >= size]
 
 
+def groups(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Rows in a row, of ``most`` together or one that is larger."""
+    ends, first = np.cumsum(sizes), 0
+    while first < len(sizes):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield slice(first, last)
+        first = last
+
+
+@dataclass
+class Shingled:
+    """Shingles of several texts in a row, one at the place of each word: those that would reach into the next text are ``outside``."""
+
+    grams: np.ndarray
+    outside: np.ndarray
+    owner: np.ndarray  # the text of each place
+    starts: np.ndarray  # of the texts
+    sizes: np.ndarray  # shingles of each text; none or less if it has too few words
+
+    @staticmethod
+    def of(texts: list[bytes]) -> Shingled:
+        hashes, ends = texts_word_hashes(texts)
+        grams = windows(np.concatenate([hashes, np.zeros(SHINGLE - 1, np.uint64)]), SHINGLE)
+        owner = np.repeat(np.arange(len(texts)), np.diff(ends))
+        outside = np.arange(SHINGLE, len(grams) + SHINGLE) > ends[1:][owner]
+        return Shingled(grams, outside, owner, ends[:-1], np.diff(ends) - SHINGLE + 1)
+
+
+def _once(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.RecordBatch]:
+    """Without rows whose first columns repeat those of an earlier one of this task."""
+    seen: set[tuple] = set()
+    for batch in batches:
+        new = []
+        for key in zip(*(batch.column(c).to_pylist() for c in range(n_keys)), strict=True):
+            new.append(key not in seen)
+            seen.add(key)
+        yield batch if all(new) else batch.filter(pa.array(new, pa.bool_()))
+
+
+def _shingled(texts: pa.Array) -> Iterator[tuple[slice, Shingled]]:
+    texts = texts.cast(pa.binary())
+    for rows in groups(pc.binary_length(texts).to_numpy(zero_copy_only=False), GROUP_BYTES):
+        yield rows, Shingled.of(texts[rows.start : rows.stop].to_pylist())
+
+
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each window, by its least shingle; and of one function, for each side of its place that has room
     for half a passage, by the shingles of that half.
@@ -87,17 +137,16 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     and the place, ``reach`` the steps to the left and to the right, 32 bits each.
     """
     for batch in batches:
-        out: list[tuple] = []
-        texts = batch.column(2).cast(pa.binary()).to_pylist()
-        for doc_id, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, strict=True):
-            grams = windows(word_hashes(words(text)), SHINGLE)
-            if len(grams) < PASSAGE:
-                continue
-            halves = windows(grams, HALF + 1)
+        doc_ids, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+        for rows, texts in _shingled(batch.column(2)):
+            out: list[tuple] = []
+            halves = windows(texts.grams, HALF + 1)
             for function in range(FUNCTIONS):
-                found = compact_windows(mix(grams, function), PASSAGE)
-                left, place, right = found.T
-                meetings = [(function, mix(grams[place], function + 10), np.ones(len(place), bool))]
+                values = mix(texts.grams, function)
+                values[texts.outside] = 0  # less than any, so that nothing reaches over a text's end
+                found = compact_windows(values, PASSAGE)
+                left, place, right = found[~texts.outside[found[:, 1]]].T
+                meetings = [(function, mix(texts.grams[place], function + 10), np.ones(len(place), bool))]
                 if function == 0:
                     for side, start, room in ((0, place, right - place), (1, place - HALF, place - left)):
                         fits = room >= HALF
@@ -105,11 +154,12 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for number, keys, fits in meetings:
                     numbered = (keys & ~np.uint64(7) | np.uint64(number)).view(np.int64)
                     here, before, behind = place[fits], (place - left)[fits], (right - place)[fits]
-                    out.append((numbered, np.full(len(keys), doc_id), text_hash << 32 | here, before << 32 | behind))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, np.int64)] * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], names=["key", "doc_id", "at", "reach"]
-        )
+                    owner = texts.owner[here]
+                    at = hashes[rows][owner] << 32 | here - texts.starts[owner]
+                    out.append((numbered, doc_ids[rows][owner], at, before << 32 | behind))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)], names=["key", "doc_id", "at", "reach"]
+            )
 
 
 def _collisions(rows: DataFrame) -> DataFrame:
@@ -119,12 +169,12 @@ def _collisions(rows: DataFrame) -> DataFrame:
     one pair each, not all pairs.
     """
     found = rows.mapInArrow(_window_rows, "key long, doc_id long, at long, reach long")
+    line = "PARTITION BY key ORDER BY doc_id, at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     first = found.selectExpr(
         "*",
-        "first(struct(doc_id, at, reach)) OVER (PARTITION BY key ORDER BY doc_id, at"
-        " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS first",
-        "row_number() OVER (PARTITION BY key ORDER BY doc_id, at) AS rank",
-    ).selectExpr("key", "doc_id", "at", "reach", "rank > 2 AS third", "first.doc_id AS other_id", "first.at AS other_at", "first.reach AS other_reach")
+        *(f"first({c}) OVER ({line}) AS {other}" for c, other in (("doc_id", "other_id"), ("at", "other_at"), ("reach", "other_reach"))),
+        f"row_number() OVER ({line}) > 2 AS third",
+    )
     meets = f"other_id <> doc_id AND {_overlap('least')} + 1 >= {PASSAGE}"
     return first.where(f"{meets} OR key & 7 >= {FUNCTIONS} AND (other_id <> doc_id OR other_at <> at)")
 
@@ -171,12 +221,12 @@ def _regions(collisions: DataFrame) -> DataFrame:
     spans = (
         islands(collisions.repartition(*texts), "shift", "low, high, function", PASSAGE)
         .groupBy(*texts, "shift", "island")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_set("function").alias("functions"))
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.expr("bit_or(shiftleft(1, function))").alias("functions"))
         .drop("island")
-        .withColumn("enough", (F.size("functions") >= ENOUGH) | (F.array_max("functions") >= FUNCTIONS))
+        .withColumn("enough", (F.bit_count("functions") >= ENOUGH) | (F.col("functions") >= 1 << FUNCTIONS))
         .selectExpr("*", "explode(if(enough, array(cast(NULL AS int)), array(shift, shift + 1))) AS band")
     )
-    near = f"size(array_distinct(flatten(collect_list(functions) OVER ({pair}, band, island)))) AS near"
+    near = f"bit_count(bit_or(functions) OVER ({pair}, band, island)) AS near"
     return (
         islands(spans, "band", "low, high, shift", PASSAGE - 1)
         .selectExpr("*", near)
@@ -202,7 +252,8 @@ def _slices(rows: DataFrame, regions: DataFrame) -> DataFrame:
         F.collect_list(F.struct("region", "side", "low", "high")).alias("sides")
     )
     own = (F.col("doc_id") == F.col("id")) & (F.col("text_hash") == F.col("hash"))
-    texts = rows.dropDuplicates(["doc_id", "text_hash"]).join(chunks, own).select("text", "sides")
+    # A task cuts rows that repeat a text once; where two tasks do, the same shingles come twice.
+    texts = rows.join(chunks, own).select("doc_id", "text_hash", "chunk", "text", "sides")
 
     def sliced(region: pa.Array, side: pa.Array, done: int, parts: list[bytes]) -> pa.RecordBatch:
         n = len(parts)
@@ -211,21 +262,23 @@ def _slices(rows: DataFrame, regions: DataFrame) -> DataFrame:
         )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            region, side, low, high = lists.flatten().flatten()
-            spans = iter(zip(low.to_pylist(), high.to_pylist(), strict=True))
-            parts, size, done = [], 0, 0
-            for text, count in zip(batch.column(0).cast(pa.binary()).to_pylist(), lists.value_lengths().to_pylist(), strict=True):
-                grams = windows(word_hashes(words(text)), SHINGLE).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES]
-                for first, last in islice(spans, count):
-                    before, behind = max(-first, 0), max(last + 1 - len(grams), 0)
-                    parts.append(bytes(GRAM_BYTES * before) + grams[max(first, 0) : last + 1].tobytes() + bytes(GRAM_BYTES * behind))
+        for batch in _once(batches, 3):
+            for rows, shingled in _shingled(batch.column(3)):
+                own = batch.column(4).slice(rows.start, rows.stop - rows.start)
+                region, side, low, high = own.flatten().flatten()
+                text = np.repeat(np.arange(len(own)), own.value_lengths().to_numpy())
+                low, behind, n = low.to_numpy().astype(np.int64), high.to_numpy().astype(np.int64) + 1, shingled.sizes[text]
+                first, last = (GRAM_BYTES * (shingled.starts[text] + np.clip(x, 0, n)) for x in (low, behind))
+                before, after = GRAM_BYTES * np.maximum(-low, 0), GRAM_BYTES * np.maximum(behind - n, 0)
+                grams = shingled.grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES].tobytes()
+                parts, size, done = [], 0, 0
+                for start, end, zeros, more in zip(first.tolist(), last.tolist(), before.tolist(), after.tolist(), strict=True):
+                    parts.append(bytes(zeros) + grams[start:end] + bytes(more))
                     size += len(parts[-1])
                     if size >= BATCH_BYTES:
                         yield sliced(region, side, done, parts)
                         done, parts, size = done + len(parts), [], 0
-            yield sliced(region, side, done, parts)
+                yield sliced(region, side, done, parts)
 
     cuts = texts.mapInArrow(cut, "region long, side int, grams binary")
     both = cuts.groupBy("region").agg(
@@ -234,67 +287,85 @@ def _slices(rows: DataFrame, regions: DataFrame) -> DataFrame:
     return number.join(both, "region")
 
 
-def _values(grams: bytes) -> np.ndarray:
-    parts = np.frombuffer(grams, np.uint8).reshape(-1, GRAM_BYTES).astype(np.int32)
+def _values(grams: list[bytes]) -> np.ndarray:
+    parts = np.frombuffer(b"".join(grams), np.uint8).reshape(-1, GRAM_BYTES).astype(np.int32)
     return parts[:, 0] | parts[:, 1] << 8 | parts[:, 2] << 16
 
 
-def agreeing_passages(ours: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def agreeing_passages(ours: np.ndarray, others: np.ndarray, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Starts of our passages that agree with one of the other text, and by how many words its start is ahead of its place.
 
     A passage agrees where enough shingles are equal place by place, or else where the sets of its shingles and of
     those of a passage at most one word ahead or behind have a Jaccard similarity of 0.8. One word more on one
     side takes four shingles of the other and five of its own, of 46 each; two take too many.
+
+    With ``sizes`` these are several regions in a row, of so many of our shingles each; the other text's have two more.
     """
-    n = len(ours) - PASSAGE + 1
-    if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+    sizes = np.array([len(ours)]) if sizes is None else sizes
+    ends = np.cumsum(sizes)
+    region = np.repeat(np.arange(len(sizes)), sizes)
+    starts = np.flatnonzero(np.arange(PASSAGE, len(ours) + PASSAGE) <= ends[region])
     # equal[e][i]: our shingle i is the other's at i - (e - 1)
-    equal = [ours == others[2 - e : 2 - e + len(ours)] for e in range(3)]
-    counts = np.concatenate(([0], np.cumsum(equal[1])))
-    good = counts[PASSAGE:] - counts[:-PASSAGE] >= AGREEING
-    ahead = np.zeros(n, np.int64)
-    if good.all() or not (equal[0].any() or equal[2].any()):
-        return np.flatnonzero(good), ahead[good]
+    there = np.arange(len(ours)) + 2 * region
+    equal = [ours == others[there + 2 - e] for e in range(3)]
+    good, ahead = _counted(equal[1], starts, 0, PASSAGE) >= AGREEING, np.zeros(len(starts), np.int64)
     up_to = [equal[0], equal[0] | equal[1], equal[0] | equal[1] | equal[2]]
     from_ = [up_to[2], equal[1] | equal[2], equal[2]]
-    inner = np.concatenate(([0], np.cumsum(up_to[2])))
-    inner = inner[PASSAGE - 2 : PASSAGE - 2 + n] - inner[2 : 2 + n]  # of the places 2 to PASSAGE - 3 of each passage
-    for d in range(3):  # at the ends, only what lies within the other's passage
-        shared = inner + up_to[d][:n] + up_to[min(d + 1, 2)][1 : 1 + n]
-        shared += from_[d][PASSAGE - 1 :][:n].astype(np.int64) + from_[max(d - 1, 0)][PASSAGE - 2 :][:n]
-        for s in np.flatnonzero(~good & (shared >= AGREEING)).tolist():
-            mine, theirs = set(ours[s : s + PASSAGE].tolist()), set(others[s + 2 - d : s + 2 - d + PASSAGE].tolist())
-            if 5 * len(mine & theirs) >= 4 * len(mine | theirs):
-                good[s], ahead[s] = True, d - 1
-    starts = np.flatnonzero(good)
-    return starts, ahead[starts]
-
-
-def agreeing_runs(mine: bytes, theirs: bytes) -> list[tuple[int, int, int]]:
-    """Maximal runs of words, from first to behind the last, that are covered by passages which agree; and the first one's
-    shift beyond that of the region."""
-    if mine == theirs[GRAM_BYTES:-GRAM_BYTES] and len(mine) >= PASSAGE * GRAM_BYTES:
-        return [(0, len(mine) // GRAM_BYTES + SHINGLE - 1, 0)]
-    good, ahead = agreeing_passages(_values(mine), _values(theirs))
-    if not len(good):
-        return []
-    breaks = np.flatnonzero(np.diff(good) > PASSAGE_WORDS)
-    starts, ends = np.concatenate(([0], breaks + 1)), good[np.concatenate((breaks, [len(good) - 1]))]
-    return [(int(good[s]), int(e) + PASSAGE_WORDS, int(ahead[s])) for s, e in zip(starts, ends, strict=True)]
+    # At most so many shingles are shared: of the places 2 to PASSAGE - 3 of each passage, and at the ends only what lies within
+    # the other's passage.
+    inner = _counted(up_to[2], starts, 2, PASSAGE - 2)
+    maybe = np.flatnonzero(~good & (inner + 4 >= AGREEING))
+    for d in range(3):
+        maybe = maybe[~good[maybe]]
+        s = starts[maybe]
+        shared = inner[maybe] + up_to[d][s] + up_to[min(d + 1, 2)][s + 1]
+        shared = shared + from_[d][s + PASSAGE - 1] + from_[max(d - 1, 0)][s + PASSAGE - 2]
+        asked = maybe[shared >= AGREEING]
+        for k in range(0, len(asked), JACCARD_ROWS):
+            some = asked[k : k + JACCARD_ROWS]
+            mine = starts[some]
+            alike = _jaccard(ours, mine, others, there[mine] + 2 - d)
+            good[some[alike]], ahead[some[alike]] = True, d - 1
+    return starts[good], ahead[good]
+
+
+def _counted(flags: np.ndarray, starts: np.ndarray, low: int, high: int) -> np.ndarray:
+    """How many of the flags from low to before high steps behind each start are set."""
+    counts = np.concatenate(([0], np.cumsum(flags)))
+    return counts[starts + high] - counts[starts + low]
+
+
+def _jaccard(ours: np.ndarray, mine: np.ndarray, others: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """Whether the passages that start there have a Jaccard similarity of 0.8, as sets of shingles."""
+    places = np.arange(PASSAGE)
+    both = np.concatenate([ours[mine[:, None] + places], others[theirs[:, None] + places]], axis=1)
+    n_mine, n_theirs, union = (
+        (np.diff(np.sort(x, axis=1), axis=1) != 0).sum(axis=1) + 1 for x in (both[:, :PASSAGE], both[:, PASSAGE:], both)
+    )
+    return 5 * (n_mine + n_theirs - union) >= 4 * union
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Maximal runs of words, from first to behind the last, that are covered by passages which agree."""
     for batch in batches:
-        out = []
-        for doc_id, text_hash, other_id, low, shift, mine, theirs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for start, end, ahead in agreeing_runs(mine, theirs):
-                out.append((doc_id, text_hash, low + start, low + end, other_id, low + start - shift - ahead))
-        columns = list(zip(*out, strict=True)) or [[]] * 6
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns],
-            names=["doc_id", "text_hash", "first_word", "end_word", "other_id", "other_first_word"],
-        )
+        sizes = pc.binary_length(batch.column(5)).to_numpy(zero_copy_only=False).astype(np.int64)
+        for rows in groups(sizes, GROUP_BYTES):
+            part = batch.slice(rows.start, rows.stop - rows.start)
+            doc_id, text_hash, other_id, low, shift = (part.column(c).to_numpy() for c in range(5))
+            n = sizes[rows] // GRAM_BYTES
+            good, ahead = agreeing_passages(*(_values(part.column(c).to_pylist()) for c in (5, 6)), n)
+            region = np.searchsorted(np.cumsum(n), good, "right")
+            begins = np.diff(good, prepend=-PASSAGE_WORDS - 1) > PASSAGE_WORDS
+            begins |= np.diff(region, prepend=-1) != 0
+            first = np.flatnonzero(begins)
+            last = np.append(first[1:] - 1, len(good) - 1)[: len(first)]
+            own = region[first]
+            start = low[own] + good[first] - (np.cumsum(n) - n)[own]
+            columns = [doc_id[own], text_hash[own], start, start + good[last] - good[first] + PASSAGE_WORDS, other_id[own], start - shift[own] - ahead[first]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns],
+                names=["doc_id", "text_hash", "first_word", "end_word", "other_id", "other_first_word"],
+            )
 
 
 def _beyond_first(rows: DataFrame, collisions: DataFrame, runs: DataFrame) -> DataFrame:
@@ -326,22 +397,21 @@ def _beyond_first(rows: DataFrame, collisions: DataFrame, runs: DataFrame) -> Da
     ranges = wanted.groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(
         F.expr(f"collect_set(if(key & 7 >= {FUNCTIONS}, {1 << 62}L, 0L) | cast(low AS long) << 32 | high)").alias("ranges")
     )
-    texts = rows.dropDuplicates(["doc_id", "text_hash"]).join(ranges, own).select("doc_id", "text_hash", "text", "ranges")
+    texts = rows.join(ranges, own).select("doc_id", "text_hash", "text", "ranges")
+    line = "PARTITION BY again ORDER BY doc_id, at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     met = texts.mapInArrow(_again_rows, "again long, doc_id long, at long, span int, last int").selectExpr(
-        "*",
-        "first(struct(doc_id, at, last)) OVER (PARTITION BY again ORDER BY doc_id, at"
-        " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS first",
+        "*", *(f"first({c}) OVER ({line}) AS {other}" for c, other in (("doc_id", "other_id"), ("at", "other_at"), ("last", "other_last")))
     )
     pairs = written(
-        met.where("first.doc_id <> doc_id").selectExpr(
-            "doc_id", "cast(at >> 32 AS int) AS text_hash", "first.doc_id AS other_id", "cast(first.at >> 32 AS int) AS other_hash",
-            f"{place} - cast(first.at & 4294967295L AS int) AS shift", f"{place} AS place", "span", "last", "first.last AS other_last",
+        met.where("other_id <> doc_id").selectExpr(
+            "doc_id", "cast(at >> 32 AS int) AS text_hash", "other_id", "cast(other_at >> 32 AS int) AS other_hash",
+            f"{place} - {_part('place', 'other_')} AS shift", f"{place} AS place", "span", "last", "other_last",
         ),
         "again",
     )
-    # Passages next to each other in both texts have the same number less their rank.
+    # Passages next to each other in both texts have the same number less their rank; rows may repeat a text.
     line = "PARTITION BY doc_id, text_hash, other_id, other_hash, shift ORDER BY place"
-    merged = pairs.where("span = 0").selectExpr("*", f"place - row_number() OVER ({line}) AS line").groupBy(
+    merged = pairs.where("span = 0").selectExpr("*", f"place - dense_rank() OVER ({line}) AS line").groupBy(
         "doc_id", "text_hash", "other_id", "other_hash", "shift", "line"
     ).agg(F.min("place").alias("low"), F.max("place").alias("high"))
     unchanged = merged.selectExpr(
@@ -357,15 +427,12 @@ def _beyond_first(rows: DataFrame, collisions: DataFrame, runs: DataFrame) -> Da
     return unchanged.unionByName(changed.drop("text_hash"))
 
 
-def anchors(grams: np.ndarray) -> np.ndarray:
+def anchors(grams: np.ndarray, outside: np.ndarray | None = None) -> np.ndarray:
     """Places of shingles that are the least of some ``ANCHOR_WINDOW`` in a row: texts that share these share the anchor."""
     values = mix(grams, 30)
-    if len(values) < ANCHOR_WINDOW:
-        return np.empty(0, np.int64)
-    least = sliding_minimum(values, ANCHOR_WINDOW)
-    edge = np.zeros(ANCHOR_WINDOW - 1, np.uint64)
-    around = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, least, edge]), ANCHOR_WINDOW)
-    return np.flatnonzero(around.max(axis=1) == values)
+    if outside is not None:
+        values[outside] = 0  # less than any
+    return least_places(values, ANCHOR_WINDOW)
 
 
 def anchor_pairs(grams: np.ndarray, places: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
@@ -375,39 +442,48 @@ def anchor_pairs(grams: np.ndarray, places: np.ndarray, low: int, high: int) ->
     if not len(places):
         return places, places
     behind = places[:, None] + np.arange(low, high + 1)
-    return places, behind[np.arange(len(places)), np.argmin(mix(grams[behind], 30), axis=1)]
+    return places, behind[np.arange(len(places)), np.argmin(mix(grams, 30)[behind], axis=1)]
 
 
 def _again_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of each passage that starts within the ranges, and of the pairs of anchors in these passages, with their places; a
-    text at a time."""
-    for batch in batches:
-        for doc_id, text_hash, text, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            grams = windows(word_hashes(words(text)), SHINGLE)
-            passages = windows(grams, PASSAGE)
-            wanted, steps = np.zeros(len(passages), bool), np.zeros(len(grams) + 1, np.int64)
-            for span in ranges:
-                low, high = span >> 32 & 0x3FFFFFFF, span & 0xFFFFFFFF
-                wanted[low : high + 1] |= span >> 62 != 0
-                steps[low] += 1
-                steps[high + PASSAGE] -= 1
-            inside = np.concatenate(([0], np.cumsum(np.cumsum(steps[:-1]) > 0)))
-            left, right = anchor_pairs(grams, anchors(grams), *ANCHORS_APART)
-            both = inside[right + 1] - inside[left] == right + 1 - left  # with all that lies between them
+    """Keys of each passage that starts within the ranges, and of the pairs of anchors in these passages, with their places."""
+    least, most = ANCHORS_APART
+    for batch in _once(batches, 2):
+        doc_ids, hashes, ranges = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64), batch.column(3)
+        for rows, texts in _shingled(batch.column(2)):
+            own = ranges.slice(rows.start, rows.stop - rows.start)
+            spans, counts = own.flatten().to_numpy(), own.value_lengths().to_numpy()
+            start = np.repeat(texts.starts, counts)
+            low, behind, halves = start + (spans >> 32 & 0x3FFFFFFF), start + (spans & 0xFFFFFFFF) + 1, spans >> 62 != 0
+            at = np.flatnonzero(_within(low[halves], behind[halves], len(texts.grams)))
+            inside = np.concatenate(([0], np.cumsum(_within(low, behind + PASSAGE - 1, len(texts.grams)))))
+            left = anchors(texts.grams, texts.outside)
+            # With all that lies between them; first those that have room for the nearer end.
+            left = left[left + most < (texts.starts + texts.sizes)[texts.owner[left]]]
+            left = left[inside[left + least + 1] - inside[left] == least + 1]
+            left, right = anchor_pairs(texts.grams, left, least, most)
+            both = inside[right + 1] - inside[left] == right + 1 - left
             left, right = left[both], right[both]
-            at = np.flatnonzero(wanted)
+            again = np.concatenate([windows(texts.grams, PASSAGE)[at], mix(mix(texts.grams[left], 31) + texts.grams[right], 32)])
+            place = np.concatenate([at, left])
+            owner = texts.owner[place]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([passages[at], mix(mix(grams[left], 31) + grams[right], 32)]).view(np.int64)),
-                    pa.array(np.full(len(at) + len(left), doc_id)),
-                    pa.array(text_hash << 32 | np.concatenate([at, left])),
-                    pa.array(np.concatenate([np.zeros(len(at)), right - left]).astype(np.int32)),
-                    pa.array(np.full(len(at) + len(left), len(grams) - 1, np.int32)),
+                    pa.array(again.view(np.int64)),
+                    pa.array(doc_ids[rows][owner]),
+                    pa.array(hashes[rows][owner] << 32 | place - texts.starts[owner]),
+                    pa.array(np.concatenate([np.zeros(len(at), np.int64), right - left]).astype(np.int32)),
+                    pa.array((texts.sizes - 1)[owner].astype(np.int32)),
                 ],
                 names=["again", "doc_id", "at", "span", "last"],
             )
 
 
+def _within(low: np.ndarray, behind: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places lie in a range, from low to before behind."""
+    return np.cumsum(np.bincount(low, minlength=n + 1)[:n] - np.bincount(behind, minlength=n + 1)[:n]) > 0
+
+
 def _runs(rows: DataFrame, regions: DataFrame, name: str) -> DataFrame:
     """What the texts say about the regions: verified runs, written."""
     cut = _slices(rows, regions).select(
