@@ -3,12 +3,13 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from tests.llm.rows import ODD, SF_DIR, documents, prose
 from valuelens.llm import components, jaccard, passages, queries
-from valuelens.llm.common import shingles, windows, word_hashes, words
+from valuelens.llm.common import shingles, texts_word_hashes, windows, word_hashes, words
 
 
 def linked(texts):
@@ -205,6 +206,69 @@ def test_anchors_are_shared_by_texts_that_share_their_windows():
     assert len(passages.anchors(grams[:3])) == 0
 
 
+def test_numpy_goes_through_many_texts_at_once(monkeypatch):
+    """The same rows as text by text, with one call for all of them; a range's end is that of its text."""
+    texts = [prose(400 + i, 20 * i, 300) for i in range(40)] + ["", " ", "one", "x " * 100, "a b c d e"]
+    ids, hashes = pa.array(range(len(texts)), pa.int64()), pa.array([(-1) ** i * i for i in range(len(texts))], pa.int32())
+    spans = [[1 << 62 | n - 75 << 32 | n - 60, n - 70 << 32 | n - 50] if (n := len(t.split()) + 1) > 120 else [] for t in texts]
+    batch = pa.RecordBatch.from_arrays([ids, hashes, pa.array(texts), pa.array(spans, pa.list_(pa.int64()))], names=["id", "hash", "text", "ranges"])
+    calls = []
+    monkeypatch.setattr(passages, "compact_windows", lambda *a, f=passages.compact_windows: (calls.append(1), f(*a))[1])
+
+    def rows(step):
+        return sorted(r for b in step(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+
+    together = rows(passages._window_rows), rows(passages._again_rows)
+    assert len(calls) == passages.FUNCTIONS and all(together)
+    assert len(list(passages._again_rows(iter([batch])))) == 1
+    monkeypatch.setattr(passages, "GROUP_BYTES", 1)
+    assert (rows(passages._window_rows), rows(passages._again_rows)) == together
+
+
+def test_words_of_many_texts_have_the_hashes_of_each():
+    rng = np.random.default_rng(3)
+    pool = np.frombuffer("aZ \n\x0b\x00\x1c\x1fé\x8509".encode(), np.uint8)
+    for _ in range(300):
+        sizes = rng.choice([0, 1, 7, 40, 300], int(rng.integers(0, 6)))
+        texts = [rng.choice(pool if rng.integers(0, 2) else pool[[0, 1, 2, 0, 1, 0]], n).tobytes() + b"q" * int(rng.integers(0, 70)) for n in sizes]
+        found, begins = texts_word_hashes(texts)
+        assert found.tolist() == [h for t in texts for h in word_hashes(words(t)).tolist()]
+        assert np.diff(begins).tolist() == [len(words(t)) for t in texts] and begins[0] == 0
+
+
+def test_regions_are_compared_together():
+    rng = np.random.default_rng(6)
+    ours, others = [], []
+    for k in range(60):
+        mine = rng.integers(1, 1 << 23, int(rng.integers(10, 200)))
+        theirs = mine.tolist()
+        for at in rng.integers(0, len(mine), k % 4).tolist():
+            theirs[at : at + 5] = rng.integers(1, 1 << 23, 4 + k % 3).tolist()
+        ours.append(mine)
+        others.append(np.array([0, *theirs, *[0] * 9])[: len(mine) + 2])
+    sizes, found = np.array([len(x) for x in ours]), []
+    for begin, mine, theirs in zip((np.cumsum(sizes) - sizes).tolist(), ours, others, strict=True):
+        found += [(begin + s, a) for s, a in zip(*(x.tolist() for x in passages.agreeing_passages(mine, theirs)), strict=True)]
+    together = passages.agreeing_passages(np.concatenate(ours), np.concatenate(others), sizes)
+    assert found and list(zip(*(x.tolist() for x in together), strict=True)) == found
+
+
+def test_rows_that_repeat_a_text_have_its_passages(spark):
+    docs = []
+    for i in range(6):
+        shared = prose(8000 + i, 60, 5000).split()
+        docs += [(10 * i + k, " ".join([*part, prose(8100 + 10 * i + k, 30, 5000)])) for k, part in enumerate((shared[:45], shared, shared, changed(shared, 30, "insert")))]
+    expected = sorted(passages.repeats(documents(spark, *docs)).collect())
+    assert {r.doc_id % 10 for r in expected} >= {2, 3}
+    found = passages.repeats(documents(spark, *docs, *docs, *docs).repartition(5)).collect()
+    covered = defaultdict(set)
+    for r in found:
+        covered[r.doc_id] |= set(range(r.first_word, r.end_word))
+    assert len(found) == len(set(found))
+    assert {(r.doc_id, r.other_id) for r in found} == {(r.doc_id, r.other_id) for r in expected}
+    assert all(covered[r.doc_id] >= set(range(r.first_word, r.end_word)) for r in expected)
+
+
 def test_agreement_is_jaccard_of_passages():
     rng = np.random.default_rng(5)
     size, outcomes = passages.PASSAGE, set()

@@ -15,12 +15,13 @@ behind texts that hold a part only.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuelens.llm.common import SHINGLE, mix, plain, texts_word_hashes, windows, written
@@ -34,6 +35,7 @@ AGREEING = -(-8 * PASSAGE // 9)
 HALF = PASSAGE // 2
 CHUNK_BITS = 12  # 2 to this power regions of a text may share one reading of it
 BATCH_BYTES = 16 << 20  # of shingles that leave a task at a time
+TEXTS_IN_MEMORY = 1 << 14  # whose lists of places a task gathers without sorting
 GROUP_BYTES = 1 << 20  # of texts, or of shingles, that numpy goes through at once
 #: Anchors are the least of so many shingles; two of them that lie so many steps apart stand for a passage.
 ANCHOR_WINDOW = 6
@@ -395,7 +397,7 @@ def _beyond_first(rows: DataFrame, collisions: DataFrame, runs: DataFrame) -> Da
     wanted = members.drop("third").unionByName(heads.selectExpr(*spans).where("low <= high")).join(keys, "key", "left_semi")
     # The highest bit tells the windows of halves, which alone have to be gone through passage by passage.
     ranges = wanted.groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(
-        F.expr(f"collect_set(if(key & 7 >= {FUNCTIONS}, {1 << 62}L, 0L) | cast(low AS long) << 32 | high)").alias("ranges")
+        F.expr(f"collect_list(if(key & 7 >= {FUNCTIONS}, {1 << 62}L, 0L) | cast(low AS long) << 32 | high)").alias("ranges")
     )
     texts = rows.join(ranges, own).select("doc_id", "text_hash", "text", "ranges")
     line = "PARTITION BY again ORDER BY doc_id, at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -493,6 +495,18 @@ def _runs(rows: DataFrame, regions: DataFrame, name: str) -> DataFrame:
     return written(cut.mapInArrow(_verified, schema), name)
 
 
+@contextmanager
+def _gathering(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile tasks gather lists of more texts before they go on by sorting."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(TEXTS_IN_MEMORY))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, first_word, end_word, other_id, other_first_word: passages of ``PASSAGE_WORDS`` or more that another document holds
     too, with the place in the first document (by id) that it was compared with.
@@ -503,5 +517,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     rows = plain(docs, id_col, text_col).where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("text_hash", F.hash("text"))
     collisions = written(_collisions(rows.select("doc_id", "text_hash", "text")), "collisions")
-    runs = _runs(rows, _regions(_shifted(collisions)), "runs")
-    return runs.drop("text_hash").unionByName(_beyond_first(rows, collisions, runs)).distinct()
+    with _gathering(docs.sparkSession):  # all lists are gathered before something is written
+        runs = _runs(rows, _regions(_shifted(collisions)), "runs")
+        more = _beyond_first(rows, collisions, runs)
+    return runs.drop("text_hash").unionByName(more).distinct()
